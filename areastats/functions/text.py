@@ -21,14 +21,22 @@ def strip_anywhere(c: Column, word: str = "County") -> Column:
 
 
 def plain_number(c: Column) -> Column:
-    """A double as text, all digits, without an exponent from 0.0001 up: ``0.0003``, ``1.0``."""
+    """A double as text: all digits from 0.0001 up (``0.0003``, ``1.0``), ``2e-05`` below that."""
     text = c.cast("string")
 
     def digits(scale: int) -> Column:
         return F.regexp_replace(c.try_cast(f"decimal(38,{scale})").cast("string"), r"(\.\d+?)0+$", "$1")
 
-    plain = F.when(F.abs(c) < 1, digits(30)).otherwise(digits(18))
-    return F.when(~text.contains("E") | (F.abs(c) < 1e-4) | (F.abs(c) >= 1e16), text).otherwise(plain)
+    small = F.regexp_replace(F.regexp_replace(text, r"(?:\.0)?E-(\d+)$", "e-$1"), r"e-(\d)$", "e-0$1")
+    large = F.regexp_replace(text, r"(?:\.0)?E(\d+)$", "e+$1")
+    size = F.abs(c)
+    return (
+        F.when(~text.contains("E"), text)
+        .when(size < 1e-4, small)
+        .when(size < 1, digits(30))
+        .when(size < 1e16, digits(18))
+        .otherwise(large)
+    )
 
 
 def quoted_line(key: Column, value: Column, quote_value: bool = True) -> Column:

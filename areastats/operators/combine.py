@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 from areastats.config import KEY
-from areastats.operators.skew import HOT_SHARE, join_unique
+from areastats.operators.skew import key_set, match_keys
 
 
 def join_all(frames: Sequence[DataFrame], key: str = KEY, how: str = "inner") -> DataFrame:
@@ -20,47 +20,31 @@ def join_all(frames: Sequence[DataFrame], key: str = KEY, how: str = "inner") ->
     """
     if not frames:
         raise ValueError("nothing to join")
-    names = [c for df in frames for c in df.columns if c != key]
+    names = [c.lower() for df in frames for c in df.columns if c != key]
     clash = sorted({c for c in names if names.count(c) > 1})
     if clash:
         raise ValueError(f"columns in more than one table: {clash}")
     return reduce(lambda a, b: a.join(b, key, how), frames)
 
 
-def missing_rows(filler: DataFrame, base_keys: DataFrame, key: str, hot_share: float | None = HOT_SHARE) -> DataFrame:
-    """Rows of ``filler`` whose key is known and not among ``base_keys`` (unique, no NULL)."""
-    rows = filler.where(F.col(f"`{key}`").isNotNull())
-    if hot_share is None:
-        return rows.join(base_keys, key, "left_anti")
-    return join_unique(rows, base_keys, key, "left_anti", hot_share)
-
-
-def known_keys(df: DataFrame, key: str) -> DataFrame:
-    """Distinct keys without NULL."""
-    return df.select(key).where(F.col(f"`{key}`").isNotNull()).distinct()
-
-
 def fill_missing(
-    base: DataFrame,
-    fillers: Sequence[DataFrame],
-    key: str = KEY,
-    *,
-    sequential: bool = False,
-    hot_share: float | None = HOT_SHARE,
+    base: DataFrame, fillers: Sequence[DataFrame], key: str = KEY, *, sequential: bool = False
 ) -> DataFrame:
     """Append to ``base`` the filler rows of keys that ``base`` does not have.
 
     Every filler is compared with the original base, so two fillers may both add a key; with
     ``sequential`` each is compared with what has been filled so far. All base rows stay, also
-    those without a key. ``hot_share`` splits hot filler keys (see ``skew``); ``None`` leaves
-    skew to adaptive execution and saves a pass over the filler.
+    those without a key; filler rows without a key are left out. The keys of the base are
+    gathered once; each filler is read once and its rows are not shuffled while there are few
+    enough keys to broadcast.
     """
-    out, keys = base, known_keys(base, key)
+    out, keys = base, key_set(base, key)
     for filler in fillers:
-        rows = missing_rows(filler.select(*[F.col(f"`{c}`") for c in base.columns]), keys, key, hot_share)
-        out = out.unionByName(rows)
+        rows = filler.select(*[F.col(f"`{c}`") for c in base.columns]).where(F.col(f"`{key}`").isNotNull())
+        added = match_keys(rows, keys, key, "left_anti")
+        out = out.unionByName(added)
         if sequential:
-            keys = known_keys(out, key)
+            keys = keys.unionByName(key_set(added, key))
     return out
 
 

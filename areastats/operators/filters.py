@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats.config import TERRITORY_NAMES
-from areastats.operators.skew import join_unique
+from areastats.operators.skew import key_set, match_keys
 
 
 def nonblank(*columns: str) -> Column:
@@ -34,7 +34,7 @@ def listed(column: str, values: Sequence[str]) -> Column:
 
 def keep_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Allow-list given as a table: a semi join, so the list never passes the driver."""
-    return join_unique(df, keys.select(key).distinct(), key, "left_semi")
+    return match_keys(df, key_set(keys, key), key, "left_semi")
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,14 +1,20 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
 Aggregations need nothing of the kind: Spark combines a hot key on the map side. A join of raw
-rows does, because all rows of one key go to one task. ``join_unique`` takes the hot keys out:
-their rows never shuffle, they meet the few matching rows of the unique side by broadcast.
+rows does, because all rows of one key go to one task. Two ways avoid that here. A set of keys
+that has been counted and found small is broadcast, and the rows stay where they are. Otherwise
+``join_unique`` takes the hot keys out: their rows never shuffle, they meet the few matching rows
+of the unique side by broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from areastats.session import stage
+
+#: A set of keys is broadcast up to this size.
+BROADCAST_KEYS = 500_000
 #: A key is hot when it may hold more than this share of the rows.
 HOT_SHARE = 0.02
 
@@ -19,15 +25,23 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     One pass without a shuffle; the counting sketch has 1/share slots, so the list has at most
     that many entries however large the table is. No key above the share is missed.
     """
-    row = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull()).freqItems(["k"], share).first()
+    row = df.select(F.col(f"`{key}`").alias("k")).where(F.col("k").isNotNull()).freqItems(["k"], share).first()
     return sorted(row[0] or [])
 
 
-def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner", share: float = HOT_SHARE) -> DataFrame:
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "inner",
+    share: float = HOT_SHARE,
+    proven_unique: bool = False,
+) -> DataFrame:
     """Join ``left`` rows to ``right``, which has one row per key (inner, left, semi or anti).
 
-    The result is the plain join's, whole. If ``right`` holds more rows for the hot keys than
-    there are such keys, its uniqueness does not hold and the plain join is used.
+    The result is the plain join's, whole. Only the rows of ``right`` for hot keys are
+    broadcast, at most one per hot key. Unless that is ``proven_unique`` (a ``distinct`` or a
+    ``groupBy`` made it so) they are counted first, and if there are more the plain join is used.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_unique cannot do {how!r}")
@@ -35,13 +49,26 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if not hot:
         return left.join(right, key, how)
     hot_right = right.where(_in(key, hot))
-    if hot_right.limit(len(hot) + 1).count() > len(hot):
+    if not proven_unique and hot_right.limit(len(hot) + 1).count() > len(hot):
         return left.join(right, key, how)
-    cold_left = left.where(~_in(key, hot) | F.col(key).isNull())
+    cold_left = left.where(~_in(key, hot) | F.col(f"`{key}`").isNull())
     return cold_left.join(right.where(~_in(key, hot)), key, how).unionByName(
         left.where(_in(key, hot)).join(F.broadcast(hot_right), key, how)
     )
 
 
+def key_set(df: DataFrame, key: str) -> DataFrame:
+    """The distinct keys without NULL, computed once and kept in the shared folder."""
+    keys = df.select(F.col(f"`{key}`")).where(F.col(f"`{key}`").isNotNull())
+    return stage(keys.distinct(), "keys")
+
+
+def match_keys(rows: DataFrame, keys: DataFrame, key: str, how: str, limit: int = BROADCAST_KEYS) -> DataFrame:
+    """Rows with (``left_semi``) or without (``left_anti``) a key in ``keys``, a ``key_set``."""
+    if keys.limit(limit + 1).count() <= limit:
+        return rows.join(F.broadcast(keys), key, how)
+    return join_unique(rows, keys, key, how, proven_unique=True)
+
+
 def _in(key: str, values: list) -> Column:
-    return F.col(key).isin(values)
+    return F.col(f"`{key}`").isin(values)

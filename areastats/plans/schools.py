@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from areastats.config import KEY
 from areastats.functions.keys import area_key
-from areastats.operators.combine import join_all, known_keys, union_all
+from areastats.operators.combine import join_all, union_all
 from areastats.operators.filters import drop_missing, nonblank, present
-from areastats.operators.measures import count_by_key, school_shares
+from areastats.operators.measures import school_shares
 from areastats.operators.project import pick
 
 
@@ -36,17 +36,15 @@ def raw_site_keys(sites: DataFrame) -> DataFrame:
 def site_counts(base: DataFrame, fillers: Sequence[DataFrame], raw: Sequence[DataFrame], name: str) -> DataFrame:
     """Sites per area from ``base``, and from the other sources for areas that ``base`` lacks.
 
-    The fill looks only at keys, so every source is counted first: what is compared and joined
-    has one row per area, and an area with a third of all sites is no heavier than the others.
-    Sources are each compared with the base alone, so two of them may both add to an area.
+    Sources are each compared with the base alone, so two of them may both add to an area. The
+    fill depends on keys only, so one aggregation over all sources decides it: no join, and an
+    area with a third of all sites is combined on the map side like any other.
     """
-    counts = count_by_key(base, name)
-    keys = known_keys(counts, KEY)
-    parts = [counts]
-    for source in [*fillers, *[raw_site_keys(r) for r in raw]]:
-        source_counts = count_by_key(source.where(present(KEY)), name)
-        parts.append(source_counts.join(keys, KEY, "left_anti"))
-    return union_all(parts).groupBy(KEY).agg(F.sum(name).alias(name))
+    others = [s.where(present(KEY)) for s in [*fillers, *[raw_site_keys(r) for r in raw]]]
+    sources = [base.select(KEY, F.lit(True).alias("in_base"))]
+    sources += [s.select(KEY, F.lit(False).alias("in_base")) for s in others]
+    counts = union_all(sources).groupBy(KEY).agg(F.count_if("in_base").alias("own"), F.count("*").alias("all"))
+    return counts.select(KEY, F.when(F.col("own") > 0, F.col("own")).otherwise(F.col("all")).alias(name))
 
 
 def shares_from_counts(counts: Sequence[DataFrame]) -> DataFrame:

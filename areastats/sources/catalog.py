@@ -13,16 +13,14 @@ from areastats.sources.flat import read_csv
 
 
 def list_sources(spark: SparkSession, directory: str) -> list[str]:
-    """Names directly below ``directory`` that hold data files, sorted.
+    """Names directly below ``directory``, sorted: files, or folders of part files.
 
-    An entry is a file or a folder of part files. Only file paths are read, never contents, and
-    the entry names are made distinct on Spark, so the driver gets one row per entry.
+    One call to the file system, whatever lies below; hidden and marker entries are left out,
+    as Spark's readers leave them out.
     """
-    root = directory.rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    below = F.substring_index(F.col("path"), root + "/", -1)
-    names = files.select(F.substring_index(below, "/", 1).alias("name")).distinct()
-    return [r["name"] for r in names.orderBy("name").collect()]
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(n for n in (e.getPath().getName() for e in entries) if not n.startswith(("_", ".")))
 
 
 def read_each(spark: SparkSession, directory: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
