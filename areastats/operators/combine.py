@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 from areastats.config import KEY
-from areastats.operators.skew import key_set, match_keys
+from areastats.operators.skew import join_unique, key_set
 
 
 def join_all(frames: Sequence[DataFrame], key: str = KEY, how: str = "inner") -> DataFrame:
@@ -41,7 +41,7 @@ def fill_missing(
     out, keys = base, key_set(base, key)
     for filler in fillers:
         rows = filler.select(*[F.col(f"`{c}`") for c in base.columns]).where(F.col(f"`{key}`").isNotNull())
-        added = match_keys(rows, keys, key, "left_anti")
+        added = join_unique(rows, keys, key, "left_anti")
         out = out.unionByName(added)
         if sequential:
             keys = keys.unionByName(key_set(added, key))

@@ -25,6 +25,11 @@ def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def key_count(df: DataFrame, key: str = KEY) -> DataFrame:
+    """One row: rows, rows with a key, and distinct keys."""
+    return df.agg(F.count("*").alias("rows"), F.count(key).alias("keyed"), F.countDistinct(key).alias("keys"))
+
+
 def shares(df: DataFrame, parts: Sequence[str], names: Sequence[str], key: str = KEY) -> DataFrame:
     """Replace part columns by their shares (0 to 1) of the sum of all parts."""
     whole = total(*[F.col(p) for p in parts])

@@ -1,10 +1,10 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
 Aggregations need nothing of the kind: Spark combines a hot key on the map side. A join of raw
-rows does, because all rows of one key go to one task. Two ways avoid that here. A set of keys
-that has been counted and found small is broadcast, and the rows stay where they are. Otherwise
-``join_unique`` takes the hot keys out: their rows never shuffle, they meet the few matching rows
-of the unique side by broadcast.
+rows does, because all rows of one key go to one task. Two ways avoid that here. If the other
+side has been counted and found small, it is broadcast and the rows stay where they are. If not,
+the hot keys are taken out: their rows never shuffle, they meet the few matching rows of the
+other side by broadcast, and the rest is an ordinary join.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats.session import stage
 
-#: A set of keys is broadcast up to this size.
-BROADCAST_KEYS = 500_000
+#: A side with one row per key is broadcast up to this number of rows.
+BROADCAST_ROWS = 500_000
 #: A key is hot when it may hold more than this share of the rows.
 HOT_SHARE = 0.02
 
@@ -35,21 +35,23 @@ def join_unique(
     key: str,
     how: str = "inner",
     share: float = HOT_SHARE,
-    proven_unique: bool = False,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``left`` rows to ``right``, which has one row per key (inner, left, semi or anti).
 
-    The result is the plain join's, whole. Only the rows of ``right`` for hot keys are
-    broadcast, at most one per hot key. Unless that is ``proven_unique`` (a ``distinct`` or a
-    ``groupBy`` made it so) they are counted first, and if there are more the plain join is used.
+    The result is the plain join's, whole. ``right`` is broadcast as a whole only if counted
+    and small, and its rows for hot keys only if they are no more than there are hot keys; if
+    there are more, keys are not unique and the plain join is used.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_unique cannot do {how!r}")
+    if at_most(right, broadcast_rows):
+        return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key, share)
     if not hot:
         return left.join(right, key, how)
     hot_right = right.where(_in(key, hot))
-    if not proven_unique and hot_right.limit(len(hot) + 1).count() > len(hot):
+    if not at_most(hot_right, len(hot)):
         return left.join(right, key, how)
     cold_left = left.where(~_in(key, hot) | F.col(f"`{key}`").isNull())
     return cold_left.join(right.where(~_in(key, hot)), key, how).unionByName(
@@ -57,18 +59,16 @@ def join_unique(
     )
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether a table has at most that many rows; no task reads further than the limit."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def key_set(df: DataFrame, key: str) -> DataFrame:
     """The distinct keys without NULL, computed once and kept in the shared folder."""
     keys = df.select(F.col(f"`{key}`")).where(F.col(f"`{key}`").isNotNull())
     return stage(keys.distinct(), "keys")
 
 
-def match_keys(rows: DataFrame, keys: DataFrame, key: str, how: str, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Rows with (``left_semi``) or without (``left_anti``) a key in ``keys``, a ``key_set``."""
-    if keys.limit(limit + 1).count() <= limit:
-        return rows.join(F.broadcast(keys), key, how)
-    return join_unique(rows, keys, key, how, proven_unique=True)
-
-
 def _in(key: str, values: list) -> Column:
     return F.col(f"`{key}`").isin(values)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.config import KEY
 from areastats.operators.combine import concat_by_name, fill_missing, join_all, merge_pages
-from areastats.operators.measures import count_by_key, distinct_values, mean_by_key
+from areastats.operators.measures import count_by_key, distinct_values, key_count, mean_by_key
 from areastats.operators.project import pages
 from areastats.queries.inputs import GEO, customers, key, orders_with_places, private_sites, table
 from areastats.queries.registry import query
@@ -91,6 +91,13 @@ def mean_per_key(spark: SparkSession, sf: str) -> DataFrame:
     return mean_by_key(rows, F.col("o_totalprice"), "price").withColumn("price", F.round("price", 4))
 
 
+@query("""SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderstatus <> 'P') AS keyed,
+       count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS keys FROM orders""")
+def key_set_size(spark: SparkSession, sf: str) -> DataFrame:
+    some_key = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    return key_count(table(spark, sf, "orders").select(some_key.alias(KEY)))
+
+
 @query("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
 def distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_values(table(spark, sf, "orders"), "o_custkey", "o_orderstatus")

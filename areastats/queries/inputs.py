@@ -7,7 +7,7 @@ Facts are aggregated before they are joined wherever the result allows it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from areastats.config import DROPOUT_POPULATION, INCOME_FIELD, KEY, STATE_CODES, TEEN_POPULATION, TEEN_WORKED
 from areastats.functions.keys import area_key, state_code
@@ -23,8 +23,15 @@ GEO = f"""geo AS (
     FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its schema is read from the files once and declared from then on."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def geo(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,7 +14,7 @@ from areastats.model.network import Model, Network
 from areastats.model.predict import predict, prediction_name
 from areastats.model.scaler import Scaler, fit_scaler, scaler_table, standardize
 from areastats.model.spec import FeatureSpec
-from areastats.model.split import hash_split
+from areastats.model.split import hash_split, random_split
 from areastats.model.store import load_model, save_model
 from areastats.model.sweep import sweep
 from areastats.model.train import train
@@ -32,6 +32,8 @@ from areastats.queries.network_sql import (
 from areastats.queries.rates import rounded
 from areastats.queries.registry import query
 from areastats.session import shared_folder
+from areastats.sources.flat import read_csv, typed
+from areastats.sources.sinks import write_csv
 
 SPEC = FeatureSpec(("SVI",), ("orders", "spent", "mean_order"))
 KEY_COLUMN = "c_custkey"
@@ -79,6 +81,20 @@ def split_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return train_rows.unionByName(test_rows)
 
 
+@query(f"SELECT c_custkey, c_acctbal FROM customer WHERE NOT ({_IN_TRAIN})")
+def export_test_rows(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_folder(spark, "test-rows")
+    write_csv(hash_split(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), "c_custkey")[1], path)
+    return typed(read_csv(spark, path), {"c_custkey": "long", "c_acctbal": "double"})
+
+
+@query("SELECT c_custkey FROM customer")
+def random_split_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Both parts of the random split together are the whole table."""
+    train_rows, test_rows = random_split(table(spark, sf, "customer").select("c_custkey"))
+    return train_rows.unionByName(test_rows)
+
+
 @query("""SELECT count(*) AS rows, count(*) FILTER (WHERE c_acctbal < 0 OR c_mktsegment = 'MACHINERY') AS incomplete
 FROM customer""")
 def incomplete_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -20,7 +20,7 @@ from areastats.session import shared_folder
 from areastats.sources.catalog import read_each, route_by_key, table_query
 from areastats.sources.flat import read_csv, typed
 from areastats.sources.nested import SITE_SCHEMA, read_json
-from areastats.sources.positional import read_positions, read_years
+from areastats.sources.positional import read_positions, read_single_year, read_years
 from areastats.sources.sinks import preview, write_by_state, write_csv, write_lines
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -79,6 +79,16 @@ def csv_positional_years(spark: SparkSession, sf: str) -> DataFrame:
     return typed(years, {"RATE": "double"})
 
 
+@query(_YEARS)
+def csv_single_year(spark: SparkSession, sf: str) -> DataFrame:
+    blanks = [F.lit("x").alias(f"x{i}") for i in range(59)]
+    columns = {7: F.col("o_orderstatus"), 9: F.concat("o_orderpriority", F.lit(", X County")), 58: F.col("o_totalprice")}
+    row = [columns[i].alias(f"x{i}") if i in columns else c for i, c in enumerate(blanks)]
+    path = shared_folder(spark, "year")
+    write_csv(table(spark, sf, "orders").select(*row), path)
+    return typed(read_single_year(spark, path), {"RATE": "double"})
+
+
 def quoted_file(spark: SparkSession, sf: str) -> str:
     path = shared_folder(spark, "quoted")
     label = F.concat_ws(", ", "c_name", "c_mktsegment")

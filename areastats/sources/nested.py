@@ -31,19 +31,22 @@ SVI_SCHEMA = T.StructType(
 def read_json(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     *,
     states: Sequence[str] | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
     """Read a directory of JSON files; the elements of each top-level array become rows.
 
+    Without a ``schema`` Spark infers one in an extra pass, which is meant for a first look.
+
     ``states`` keeps the files of the named states, recognised by ``.<state>.`` in the file name
     or a folder ``<column>=<state>``. The test is on the path alone, so other files are pruned
     before they are opened. A multi-line file cannot be split, so one file is one task: large
     inputs should come as many files, or as one record per line with ``multi_line=False``.
     """
-    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    reader = spark.read.option("multiLine", multi_line)
+    df = (reader if schema is None else reader.schema(schema)).json(path)
     if states is not None:
         pattern = "(?:" + "|".join(rf"\.{s}\.[^/]*$|={s}/" for s in map(re.escape, states)) + ")"
         # A space in a path is reported percent-encoded.

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from areastats.config import HEADER_TOKENS, RANKING_COUNTY, RANKING_RATE, RANKING_STATE
+from areastats.config import HEADER_TOKENS, RANKING_COUNTY, RANKING_RATE, RANKING_STATE, SINGLE_YEAR
 from areastats.functions.text import naive_piece
 from areastats.operators.combine import union_all
 
@@ -69,3 +69,12 @@ def read_years(
     ]
     is_header = F.coalesce(F.col("STATE").isin(list(header_tokens)), F.lit(False))
     return union_all(years).where(~is_header)
+
+
+def read_single_year(
+    spark: SparkSession, path: str | list[str], positions: Mapping[str, int] = SINGLE_YEAR
+) -> DataFrame:
+    """The single-year export as ``COUNTY, STATE, RATE``; its one header line goes with the scan."""
+    return read_positions(
+        spark, path, {"COUNTY": positions["county"], "STATE": positions["state"], "RATE": positions["rate"]}
+    )

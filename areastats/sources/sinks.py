@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from areastats.operators.skew import at_most
+
 #: A table up to this many rows may be written as a single part.
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -23,7 +25,7 @@ def write_csv(
     since one part means one task. ``repartition`` keeps the work upstream parallel, which
     ``coalesce`` would not.
     """
-    if single_file and df.limit(max_single_rows + 1).count() <= max_single_rows:
+    if single_file and at_most(df, max_single_rows):
         df = df.repartition(1)
     df.write.mode(mode).option("header", True).csv(path)
 
