@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import argparse
-import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.config import RANKING_RATE, SCHOOL_FILE_STATES
 from areastats.model.store import load_model, save_model
@@ -34,7 +33,7 @@ from areastats.sources.catalog import read_each, route_by_key
 from areastats.sources.flat import read_csv
 from areastats.sources.nested import SITE_SCHEMA, SVI_SCHEMA, read_json
 from areastats.sources.positional import read_single_year, read_years
-from areastats.sources.sinks import write_by_state, write_csv
+from areastats.sources.sinks import write_by_state, write_csv, write_lines
 
 Args = argparse.Namespace
 Job = Callable[[SparkSession, Args], DataFrame]
@@ -119,12 +118,11 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def run(spark: SparkSession, argv: Sequence[str]) -> None:
-    """Run one job with command line arguments in the given session."""
-    a = parser().parse_args(argv)
+def run(spark: SparkSession, a: Args) -> None:
+    """Run one job in the given session."""
     result = JOBS[a.job](spark, a)
     if a.job.endswith("-lines"):
-        result.where("value IS NOT NULL").write.mode(a.mode).option("lineSep", "\r\n").text(a.output)
+        write_lines(result, F.col("value"), a.output, mode=a.mode)
     elif a.by_state:
         write_by_state(result, a.output, a.by_state, mode=a.mode)
     else:
@@ -133,9 +131,10 @@ def run(spark: SparkSession, argv: Sequence[str]) -> None:
 
 
 def main() -> None:
+    a = parser().parse_args()
     spark = SparkSession.builder.appName("areastats").getOrCreate()
     try:
-        run(spark, sys.argv[1:])
+        run(spark, a)
     finally:
         spark.stop()
 
