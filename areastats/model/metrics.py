@@ -14,8 +14,8 @@ from areastats.model.predict import predict, prediction_name
 OVERALL = "(all)"
 
 
-def residual_sums(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(output, n, sum_r, sum_r2)`` with residual = predicted - actual, in one aggregation."""
+def residual_sums(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, output, n, sum_r, sum_r2)`` with residual = predicted - actual, in one aggregation."""
     entries = []
     for actual, predicted in pairs:
         r = F.col(f"`{predicted}`") - to_double(F.col(f"`{actual}`"))
@@ -27,11 +27,11 @@ def residual_sums(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
                 F.sum(r * r).alias("sum_r2"),
             )
         )
-    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+    return df.groupBy(*by).agg(F.array(*entries).alias("entries")).select(*by, F.inline("entries"))
 
 
-def residual_metrics(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Errors per output, and over all outputs in the row ``(all)``.
+def residual_metrics(df: DataFrame, pairs: Sequence[tuple[str, str]], by: Sequence[str] = ()) -> DataFrame:
+    """Errors per output, and over all outputs in the row ``(all)``, for each value of ``by``.
 
     ``rmse`` is the root of the mean squared residual. ``abs_mean_residual`` is the absolute
     mean residual, in which errors of opposite sign cancel; it is kept for comparison with
@@ -39,8 +39,8 @@ def residual_metrics(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     """
     # One row per output here, so stacking the overall row next to each is cheaper than a
     # second aggregation over the data.
-    rows = residual_sums(df, pairs).withColumn("output", F.explode(F.array(F.col("output"), F.lit(OVERALL))))
-    return rows.groupBy("output").agg(*error_columns(F.sum("n"), F.sum("sum_r"), F.sum("sum_r2")))
+    rows = residual_sums(df, pairs, by).withColumn("output", F.explode(F.array(F.col("output"), F.lit(OVERALL))))
+    return rows.groupBy(*by, "output").agg(*error_columns(F.sum("n"), F.sum("sum_r"), F.sum("sum_r2")))
 
 
 def error_columns(n: Column, sum_r: Column, sum_r2: Column) -> list[Column]:
@@ -54,7 +54,9 @@ def error_columns(n: Column, sum_r: Column, sum_r2: Column) -> list[Column]:
     ]
 
 
-def evaluate(model: Model, df: DataFrame) -> DataFrame:
-    """Errors of a model on the complete rows of a table."""
-    rows = predict(model, model.spec.complete(df))
-    return residual_metrics(rows, [(c, prediction_name(c)) for c in model.spec.outputs])
+def evaluate(model: Model, df: DataFrame, part: Column | None = None) -> DataFrame:
+    """Errors of a model on the complete rows of a table, for each value of ``part`` if given."""
+    extra = [] if part is None else [part.alias("part")]
+    rows = predict(model, model.spec.complete(df, *extra))
+    pairs = [(c, prediction_name(c)) for c in model.spec.outputs]
+    return residual_metrics(rows, pairs, ["part"] if extra else [])

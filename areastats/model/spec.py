@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats.config import KEY
 from areastats.functions.numbers import to_double
@@ -32,13 +32,13 @@ class FeatureSpec:
     def columns(self) -> tuple[str, ...]:
         return self.inputs + self.outputs
 
-    def select(self, df: DataFrame) -> DataFrame:
-        """The columns as doubles, inputs first."""
-        return df.select(*[to_double(F.col(f"`{c}`")).alias(c) for c in self.columns])
+    def select(self, df: DataFrame, *extra: Column) -> DataFrame:
+        """The columns as doubles, inputs first, then any extra ones."""
+        return df.select(*[to_double(F.col(f"`{c}`")).alias(c) for c in self.columns], *extra)
 
-    def complete(self, df: DataFrame) -> DataFrame:
-        """Typed rows without a NULL or NaN, which would spoil every mean and weight."""
-        return self.select(df).na.drop()
+    def complete(self, df: DataFrame, *extra: Column) -> DataFrame:
+        """Typed rows without a NULL or NaN in the columns, which would spoil every mean and weight."""
+        return self.select(df, *extra).na.drop(subset=[f"`{c}`" for c in self.columns])
 
     def incomplete_count(self, df: DataFrame) -> DataFrame:
         """One row: how many rows there are and how many ``complete`` leaves out."""

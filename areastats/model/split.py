@@ -15,6 +15,11 @@ def bucket(columns: Sequence[str], seed: int, buckets: int = 100) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
+def in_train(on: str | Sequence[str] = KEY, train: float = 0.8, seed: int = 42) -> Column:
+    """True for the rows of the train part."""
+    return bucket([on] if isinstance(on, str) else on, seed) < round(train * 100)
+
+
 def hash_split(
     df: DataFrame, on: str | Sequence[str] = KEY, train: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
@@ -23,9 +28,8 @@ def hash_split(
     A job that evaluates a stored model can redo the split exactly, so no training row can
     turn up among its test rows.
     """
-    b = bucket([on] if isinstance(on, str) else on, seed)
-    cut = round(train * 100)
-    return df.where(b < cut), df.where(b >= cut)
+    train_rows = in_train(on, train, seed)
+    return df.where(train_rows), df.where(~train_rows)
 
 
 def random_split(df: DataFrame, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -125,19 +125,32 @@ def write_arrays(df: DataFrame, path: str) -> None:
     texts.write.option("maxRecordsPerFile", 1).partitionBy("state").text(path)
 
 
-@query(f"""WITH {GEO}
-SELECT n_name AS "COUNTY", coalesce(code, '') AS "STATE", c_name AS "NAME"
-FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE r_name IN ('AFRICA', 'ASIA', 'MIDDLE EAST')""")
-def json_array_scan(spark: SparkSession, sf: str) -> DataFrame:
+def json_folder(spark: SparkSession, sf: str) -> str:
+    """Customers as nested records in JSON arrays."""
     record = F.struct(F.col("n_name").alias("COUNTY"), F.col("code").alias("STATE"), F.col("c_name").alias("NAME"))
     path = shared_folder(spark, "json")
     rows = customers(spark, sf).select(
         F.col("r_name").alias("state"), F.to_json(F.struct(record.alias("properties"))).alias("record")
     )
     write_arrays(rows, path)
-    sites = read_json(spark, path, SITE_SCHEMA, states=["AFRICA", "ASIA", "MIDDLE EAST"])
-    flat = pick(sites, {c: f"properties.{c}" for c in ("COUNTY", "STATE", "NAME")})
-    return flat.na.fill("", ["STATE"])
+    return path
+
+
+SITE_FIELDS = {c: f"properties.{c}" for c in ("COUNTY", "STATE", "NAME")}
+
+
+@query(f"""WITH {GEO}
+SELECT n_name AS "COUNTY", coalesce(code, '') AS "STATE", c_name AS "NAME"
+FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE r_name IN ('AFRICA', 'ASIA', 'MIDDLE EAST')""")
+def json_array_scan(spark: SparkSession, sf: str) -> DataFrame:
+    sites = read_json(spark, json_folder(spark, sf), SITE_SCHEMA, states=["AFRICA", "ASIA", "MIDDLE EAST"])
+    return pick(sites, SITE_FIELDS).na.fill("", ["STATE"])
+
+
+@query(f"""WITH {GEO}
+SELECT n_name AS "COUNTY", coalesce(code, '') AS "STATE", c_name AS "NAME" FROM customer JOIN geo ON c_nationkey = n_nationkey""")
+def json_inferred_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return pick(read_json(spark, json_folder(spark, sf)), SITE_FIELDS).na.fill("", ["STATE"])
 
 
 @query("SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
