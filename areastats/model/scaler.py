@@ -27,16 +27,17 @@ class Scaler:
 
 
 def scaler_table(df: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """``(position, column, mean, std)``: all columns in one aggregation; a zero std becomes 1."""
+    """``(position, column, mean, std)``: all columns in one aggregation; a constant has std 1."""
 
     def entry(i: int, name: str) -> Column:
         c = F.col(f"`{name}`")
-        std = F.stddev_pop(c)
         return F.struct(
             F.lit(i).alias("position"),
             F.lit(name).alias("column"),
             F.avg(c).alias("mean"),
-            F.when(std == 0, 1.0).otherwise(std).alias("std"),
+            # Merging partial moments can leave a constant with a tiny deviation, so it is
+            # recognised by its range.
+            F.when(F.min(c) == F.max(c), 1.0).otherwise(F.stddev_pop(c)).alias("std"),
         )
 
     entries = F.array(*[entry(i, c) for i, c in enumerate(spec.columns)])

@@ -81,9 +81,8 @@ def csv_positional_years(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_YEARS)
 def csv_single_year(spark: SparkSession, sf: str) -> DataFrame:
-    blanks = [F.lit("x").alias(f"x{i}") for i in range(59)]
     columns = {7: F.col("o_orderstatus"), 9: F.concat("o_orderpriority", F.lit(", X County")), 58: F.col("o_totalprice")}
-    row = [columns[i].alias(f"x{i}") if i in columns else c for i, c in enumerate(blanks)]
+    row = [columns.get(i, F.lit(None).cast("string")).alias(f"x{i}") for i in range(59)]
     path = shared_folder(spark, "year")
     write_csv(table(spark, sf, "orders").select(*row), path)
     return typed(read_single_year(spark, path), {"RATE": "double"})

@@ -90,6 +90,12 @@ def test_scaler_is_population_and_never_zero(rows):
         fit_scaler(df.limit(0), spec)
 
 
+def test_constant_over_many_partitions(spark):
+    df = spark.range(4900).selectExpr("CAST(id AS DOUBLE) AS SVI", "1.0D AS c", "id").repartition(100, "id").where("id % 7 <> 3")
+    stds = {r["column"]: r["std"] for r in scaler_table(df, FeatureSpec(("SVI",), ("c",))).collect()}
+    assert stds["c"] == 1.0 and stds["SVI"] > 1000
+
+
 @pytest.mark.parametrize("name", ["tanh", "sig", "relu"])
 @pytest.mark.parametrize("hidden", [(), (3,), (3, 4)])
 def test_gradient_against_finite_differences(data, name, hidden):
