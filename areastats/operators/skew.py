@@ -2,19 +2,19 @@
 
 Aggregations need nothing of the kind: Spark combines a hot key on the map side. A join of raw
 rows does, because all rows of one key go to one task. Two ways avoid that here. If the other
-side has been counted and found small, it is broadcast and the rows stay where they are. If not,
+side has been measured and found small, it is broadcast and the rows stay where they are. If not,
 the hot keys are taken out: their rows never shuffle, they meet the few matching rows of the
 other side by broadcast, and the rest is an ordinary join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from areastats.session import stage
 
-#: A side with one row per key is broadcast up to this number of rows.
-BROADCAST_ROWS = 500_000
+#: A side with one row per key is broadcast up to this size.
+BROADCAST_BYTES = 64 * 1024 * 1024
 #: A key is hot when it may hold more than this share of the rows.
 HOT_SHARE = 0.02
 
@@ -35,23 +35,24 @@ def join_unique(
     key: str,
     how: str = "inner",
     share: float = HOT_SHARE,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``left`` rows to ``right``, which has one row per key (inner, left, semi or anti).
 
-    The result is the plain join's, whole. ``right`` is broadcast as a whole only if counted
+    The result is the plain join's, whole. ``right`` is broadcast as a whole only if measured
     and small, and its rows for hot keys only if they are no more than there are hot keys; if
     there are more, keys are not unique and the plain join is used.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join_unique cannot do {how!r}")
-    if at_most(right, broadcast_rows):
+    if measured(right)[1] <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key, share)
     if not hot:
         return left.join(right, key, how)
     hot_right = right.where(_in(key, hot))
-    if not at_most(hot_right, len(hot)):
+    rows, size = measured(hot_right)
+    if rows > len(hot) or size > BROADCAST_BYTES:
         return left.join(right, key, how)
     cold_left = left.where(~_in(key, hot) | F.col(f"`{key}`").isNull())
     return cold_left.join(right.where(~_in(key, hot)), key, how).unionByName(
@@ -59,9 +60,20 @@ def join_unique(
     )
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a table has at most that many rows; no task reads further than the limit."""
-    return df.limit(rows + 1).count() <= rows
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of a table, from one aggregation.
+
+    A ``limit`` would not be cheaper: it sends up to the limit from every partition to one task.
+    """
+    width = F.lit(0)
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            c = F.to_json(F.struct(c))
+        text = isinstance(f.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType, T.BinaryType))
+        width = width + 16 + (F.coalesce(F.octet_length(c), F.lit(0)) if text else 0)
+    row = df.agg(F.count("*"), F.sum(width)).first()
+    return row[0], row[1] or 0
 
 
 def key_set(df: DataFrame, key: str) -> DataFrame:

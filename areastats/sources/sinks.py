@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.operators.skew import at_most
+from areastats.operators.skew import measured
 
-#: A table up to this many rows may be written as a single part.
-SINGLE_FILE_ROWS = 1_000_000
+#: A table up to this size may be written as a single part.
+SINGLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def write_csv(
@@ -15,17 +15,16 @@ def write_csv(
     path: str,
     *,
     single_file: bool = False,
-    max_single_rows: int = SINGLE_FILE_ROWS,
+    max_single_bytes: int = SINGLE_FILE_BYTES,
     mode: str = "errorifexists",
 ) -> None:
     """Write a CSV with header, one part per partition.
 
-    ``single_file`` asks for one part. It is granted when the table has at most
-    ``max_single_rows`` rows, counted first; a larger table is written whole in several parts,
-    since one part means one task. ``repartition`` keeps the work upstream parallel, which
-    ``coalesce`` would not.
+    ``single_file`` asks for one part. It is granted when the table, measured first, has at most
+    ``max_single_bytes``; a larger table is written whole in several parts, since one part means
+    one task. ``repartition`` keeps the work upstream parallel, which ``coalesce`` would not.
     """
-    if single_file and at_most(df, max_single_rows):
+    if single_file and measured(df)[1] <= max_single_bytes:
         df = df.repartition(1)
     df.write.mode(mode).option("header", True).csv(path)
 

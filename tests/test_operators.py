@@ -23,7 +23,7 @@ from areastats.operators.filters import (
 )
 from areastats.operators.measures import count_by_key, distinct_values, key_count, mean_by_key, school_shares
 from areastats.operators.project import drop_present, inputs_first, pages, pick, rename, require_columns
-from areastats.operators.skew import at_most, hot_keys, join_unique
+from areastats.operators.skew import hot_keys, join_unique, measured
 
 KEYED = f"`{KEY}` string, Name string"
 
@@ -137,12 +137,12 @@ def test_hot_keys_are_found(skewed):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("broadcast_rows", [0, 10_000])
-def test_join_unique_equals_plain_join(spark, skewed, how, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [0, 10_000_000])
+def test_join_unique_equals_plain_join(spark, skewed, how, broadcast_bytes):
     right = spark.range(1000).selectExpr("CONCAT('k', id) AS k", "id AS v")
     for extra in ("'hot' AS k, -1L AS v", "'other' AS k, -1L AS v"):
         side = right.unionByName(spark.range(1).selectExpr(extra.split(", ")[0], extra.split(", ")[1]))
-        split = join_unique(skewed, side, "k", how, broadcast_rows=broadcast_rows)
+        split = join_unique(skewed, side, "k", how, broadcast_bytes=broadcast_bytes)
         plain = skewed.join(side, "k", how)
         assert split.columns == plain.columns
         assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
@@ -150,10 +150,13 @@ def test_join_unique_equals_plain_join(spark, skewed, how, broadcast_rows):
 
 def test_join_unique_survives_duplicates(spark, skewed):
     right = spark.range(200).selectExpr("'hot' AS k", "id AS v")
-    assert join_unique(skewed, right, "k", broadcast_rows=0).count() == 10_000 * 200
+    assert join_unique(skewed, right, "k", broadcast_bytes=0).count() == 10_000 * 200
     with pytest.raises(ValueError, match="full"):
         join_unique(skewed, right, "k", "full")
 
 
-def test_at_most(spark):
-    assert at_most(spark.range(10), 10) and not at_most(spark.range(11), 10)
+def test_measured(rows):
+    df = rows("a string, b int, c array<int>, d binary", [("xyz", 1, [1], None), (None, None, None, bytearray(b"12"))])
+    n, size = measured(df)
+    assert n == 2 and 2 * 4 * 16 + 3 + 2 < size < 160
+    assert measured(df.limit(0)) == (0, 0)

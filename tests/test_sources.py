@@ -129,7 +129,7 @@ def test_single_file_only_while_small(spark, tmp_path):
     df = spark.range(100).repartition(4)
     write_csv(df, str(tmp_path / "many"))
     write_csv(df, str(tmp_path / "one"), single_file=True)
-    write_csv(df, str(tmp_path / "large"), single_file=True, max_single_rows=99)
+    write_csv(df, str(tmp_path / "large"), single_file=True, max_single_bytes=99)
     counts = {n: len(part_files(tmp_path / n)) for n in ("many", "one", "large")}
     assert counts["one"] == 1 and counts["many"] > 1 and counts["large"] > 1
     assert all(read_csv(spark, str(tmp_path / n)).count() == 100 for n in counts)
