@@ -1,4 +1,4 @@
-"""Command line: read, run a plan, write. For ``spark-submit areastats/jobs.py <job> ...``."""
+"""Command line: read, run a plan, write. ``spark-submit job.py <job> ...``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.config import RANKING_RATE, SCHOOL_FILE_STATES
+from areastats.model.network import Model
 from areastats.model.store import load_model, save_model
 from areastats.operators.project import pick
 from areastats.plans.measures import (
@@ -64,8 +65,15 @@ def _flat_sites(spark: SparkSession, a: Args) -> DataFrame:
 
 
 def _train(spark: SparkSession, a: Args) -> DataFrame:
+    def save(epoch: int, model: Model) -> None:
+        if a.save_every and epoch % a.save_every == 0:
+            save_model(spark, model, f"{a.output}/model-epoch-{epoch}", a.mode)
+
+    start = load_model(spark, a.model) if a.model else None
     merged = read_csv(spark, a.input)
-    model = train_on_merged(merged, a.inputs, a.hidden, a.epochs, a.rate, a.activation, a.seed)
+    model = train_on_merged(
+        merged, a.inputs, a.hidden, a.epochs, a.rate, a.activation, a.seed, start=start, after_epoch=save
+    )
     save_model(spark, model, f"{a.output}/model", a.mode)
     history = model.history_table(spark)
     return history.selectExpr("epoch", "cost", "array_join(transform(mean_error, e -> string(e)), ' ') AS mean_error")
@@ -108,7 +116,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--base", help="counts: the table that the others fill")
     p.add_argument("--kind", choices=["public", "private"], default="public")
     p.add_argument("--how", default="inner", help="merge: how to join")
-    p.add_argument("--model", help="evaluate: folder of the model")
+    p.add_argument("--model", help="evaluate: folder of the model; train: go on with this one")
+    p.add_argument("--save-every", type=int, help="train: also store the model every so many epochs")
     p.add_argument("--inputs", nargs="*", default=["SVI"], help="train: input columns")
     p.add_argument("--hidden", nargs="*", type=int, default=[], help="train: sizes of the hidden layers")
     p.add_argument("--epochs", type=int, default=150)

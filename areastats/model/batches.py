@@ -11,6 +11,10 @@ from areastats.functions.activations import activation
 from areastats.model.network import Network
 
 
+#: Rows that go through the layers together.
+BLOCK_ROWS = 1000
+
+
 def passes(network: Network) -> tuple[Callable, Callable]:
     """Forward and gradient functions of a network, free of references to the driver."""
     inner, last = activation(network.activation), activation(network.last_activation)
@@ -25,6 +29,11 @@ def passes(network: Network) -> tuple[Callable, Callable]:
 
     def gradient(weights: Sequence[np.ndarray], x: np.ndarray, t: np.ndarray) -> np.ndarray:
         """Sums over the rows: count, half squared error, error per output, weight gradients."""
+        # Blocks whose layers fit the processor cache take about half the time of large ones.
+        blocks = range(0, len(x), BLOCK_ROWS)
+        return sum(block_gradient(weights, x[i : i + BLOCK_ROWS], t[i : i + BLOCK_ROWS]) for i in blocks)
+
+    def block_gradient(weights: Sequence[np.ndarray], x: np.ndarray, t: np.ndarray) -> np.ndarray:
         zs, outs = forward(weights, x)
         error = outs[-1] - t
         delta = error * acts[-1][1](zs[-1], outs[-1])

@@ -19,7 +19,7 @@ from areastats.model.metrics import error_columns
 from areastats.model.network import Network
 from areastats.model.scaler import Scaler, standardize
 from areastats.model.spec import FeatureSpec
-from areastats.model.train import prepare, step
+from areastats.model.train import step, training_rows
 
 # The grids tried.
 EPOCHS = (10, 50, 100)
@@ -49,9 +49,8 @@ def sweep(
     """
     networks = [Network.of(spec, h, a) for h in hidden for a in activations]
     weights = [n.initial_weights(seed) for n in networks]
-    rows, scaler = prepare(train_df, spec, None)
     configs, stored = [], []
-    try:
+    with training_rows(train_df, spec, None) as (rows, scaler):
         for epoch in range(1, max(epochs) + 1):
             sums: list[dict[int, float]] = [{} for _ in networks]
             # One number per weight and network.
@@ -65,8 +64,6 @@ def sweep(
                     configs.append((epoch, f"[{layers}]", learning_rate, network.activation))
                     stored.append((network, weights[i]))
         train_errors = model_errors(rows, spec, scaler, stored)
-    finally:
-        rows.unpersist()
     test_errors = model_errors(standardize(spec.complete(test_df), spec, scaler), spec, scaler, stored)
     table = [(*c, *train_errors.get(i, (None, None)), *test_errors.get(i, (None, None))) for i, c in enumerate(configs)]
     return train_df.sparkSession.createDataFrame(table, _COLUMNS)

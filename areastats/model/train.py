@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 
 import numpy as np
@@ -13,18 +14,23 @@ from areastats.model.gradient import gradient_sums
 from areastats.model.network import Model, Network
 from areastats.model.scaler import Scaler, fit_scaler, standardize
 from areastats.model.spec import FeatureSpec
-from areastats.session import stage
+from areastats.session import staged
 
 
-def prepare(df: DataFrame, spec: FeatureSpec, scaler: Scaler | None) -> tuple[DataFrame, Scaler]:
-    """Complete rows, standardised, written once to the shared folder and cached.
+@contextmanager
+def training_rows(df: DataFrame, spec: FeatureSpec, scaler: Scaler | None) -> Iterator[tuple[DataFrame, Scaler]]:
+    """Complete rows, standardised, written once to the shared folder and cached for the block.
 
     Every epoch reads these rows. Losing an executor costs a re-read of its part of the files,
-    not a re-run of the joins that made the table. The caller unpersists.
+    not a re-run of the joins that made the table.
     """
-    rows = stage(spec.complete(df), "training-rows")
-    scaler = scaler or fit_scaler(rows, spec)
-    return standardize(rows, spec, scaler).persist(StorageLevel.MEMORY_AND_DISK), scaler
+    with staged(spec.complete(df), "training-rows") as complete:
+        scaler = scaler or fit_scaler(complete, spec)
+        rows = standardize(complete, spec, scaler).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield rows, scaler
+        finally:
+            rows.unpersist()
 
 
 def step(
@@ -48,17 +54,14 @@ def train(
     A model that already has a scaler keeps it. ``after_epoch`` gets the epoch number and the
     model so far, e.g. to store it from time to time.
     """
-    rows, scaler = prepare(df, model.spec, model.scaler)
-    current = replace(model, scaler=scaler, history=[])
-    try:
+    with training_rows(df, model.spec, model.scaler) as (rows, scaler):
+        current = replace(model, scaler=scaler, history=[])
         for epoch in range(1, epochs + 1):
             sums = collect_sums(gradient_sums(rows, current.network, current.weights))
             weights, cost, errors = step(current.network, current.weights, sums, learning_rate)
             current = replace(current, weights=weights, history=[*current.history, (epoch, cost, errors)])
             if after_epoch is not None:
                 after_epoch(epoch, replace(current, trained=True))
-    finally:
-        rows.unpersist()
     return replace(current, trained=True)
 
 

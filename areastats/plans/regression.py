@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,11 +23,18 @@ def train_on_merged(
     activation: str = "tanh",
     seed: int = 0,
     key: str = KEY,
+    start: Model | None = None,
+    after_epoch: Callable[[int, Model], None] | None = None,
 ) -> Model:
-    """Train on the train part of a merged table. The defaults are the shipped run: no hidden layer."""
-    spec = FeatureSpec.of(merged, inputs, key)
-    model = Model.new(spec, Network.of(spec, hidden, activation), seed)
-    return train(model, hash_split(merged, key)[0], epochs, learning_rate)
+    """Train on the train part of a merged table. The defaults are the shipped run: no hidden layer.
+
+    ``start`` goes on with a stored model instead of a new one; ``after_epoch`` sees the model
+    after each epoch, e.g. to store it.
+    """
+    if start is None:
+        spec = FeatureSpec.of(merged, inputs, key)
+        start = Model.new(spec, Network.of(spec, hidden, activation), seed)
+    return train(start, hash_split(merged, key)[0], epochs, learning_rate, after_epoch)
 
 
 def evaluate_on_merged(model: Model, merged: DataFrame, key: str = KEY) -> DataFrame:

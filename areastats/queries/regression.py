@@ -173,6 +173,26 @@ def train_model(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(model.weight_table(spark))
 
 
+# Lineitems as rows: discount in, quantity and price out; the network has the default layers.
+ITEM_SPEC = FeatureSpec(("l_discount",), ("l_quantity", "l_extendedprice"))
+ITEM_NETWORK = Network.of(ITEM_SPEC)
+ITEM_EPOCHS = 2
+
+
+@query(f"""WITH {scaled("lineitem", ITEM_SPEC.inputs, ITEM_SPEC.outputs)}, {training(ITEM_NETWORK, SEED, ITEM_EPOCHS, RATE)}
+SELECT layer, row, col, round(w, 6) AS w FROM ({weight_rows(ITEM_NETWORK, f"n_w{ITEM_EPOCHS}")})""")
+def mlp_train_default_layers(spark: SparkSession, sf: str) -> DataFrame:
+    model = train(Model.new(ITEM_SPEC, ITEM_NETWORK, SEED), table(spark, sf, "lineitem"), ITEM_EPOCHS, RATE)
+    return rounded(model.weight_table(spark))
+
+
+@query(f"""WITH {scaled("lineitem", ITEM_SPEC.inputs, ITEM_SPEC.outputs)}, {training(Network.of(ITEM_SPEC, ()), SEED, EPOCHS, RATE)}
+SELECT layer, row, col, round(w, 6) AS w FROM ({weight_rows(Network.of(ITEM_SPEC, ()), f"n_w{EPOCHS}")})""")
+def train_on_lineitems(spark: SparkSession, sf: str) -> DataFrame:
+    model = Model.new(ITEM_SPEC, Network.of(ITEM_SPEC, ()), SEED)
+    return rounded(train(model, table(spark, sf, "lineitem"), EPOCHS, RATE).weight_table(spark))
+
+
 # Fixed scaler and weights for the queries that apply a model.
 FIXED = Scaler(np.array([4500.0, 10.0, 2500000.0, 250000.0]), np.array([3000.0, 3.0, 900000.0, 50000.0]))
 

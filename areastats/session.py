@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +46,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return the table read back.
 
     This cuts the lineage: losing an executor afterwards costs a re-read of files, not a
-    re-run of everything upstream.
+    re-run of everything upstream. The table stays; ``staged`` removes it after use.
     """
+    return _stage(df, shared_folder(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for as long as the block runs."""
     path = shared_folder(df.sparkSession, label)
+    try:
+        yield _stage(df, path)
+    finally:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

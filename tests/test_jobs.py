@@ -78,6 +78,8 @@ def test_all_jobs(spark, landed, tmp_path):
 
     run("train", tmp_path / "merged", tmp_path / "trained", "--epochs", 3, "--hidden", 2)
     assert read_csv(spark, str(tmp_path / "trained" / "history")).count() == 3
+    run("train", tmp_path / "merged", tmp_path / "again", "--epochs", 2, "--model", tmp_path / "trained" / "model", "--save-every", 1)
+    assert {p.name for p in (tmp_path / "again").iterdir()} == {"history", "model", "model-epoch-1", "model-epoch-2"}
     run("evaluate", tmp_path / "merged", tmp_path / "errors", "--model", tmp_path / "trained" / "model")
     assert read_csv(spark, str(tmp_path / "errors")).count() == 14
 

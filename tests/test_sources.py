@@ -1,5 +1,7 @@
 import json
+from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import urlparse
 
 import pytest
 from conftest import collected
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from areastats.functions.text import quoted_line
 from areastats.operators.project import pick
-from areastats.session import shared_folder, stage
+from areastats.session import shared_folder, stage, staged
 from areastats.sources.catalog import list_sources, read_each, route_by_key, table_query
 from areastats.sources.flat import read_csv, typed
 from areastats.sources.nested import SITE_SCHEMA, SVI_SCHEMA, read_json
@@ -177,3 +179,10 @@ def test_shared_folder_follows_the_session(tmp_path):
 
 def test_stage_keeps_rows(spark):
     assert collected(stage(spark.range(3), "rows")) == [(0,), (1,), (2,)]
+
+
+def test_staged_table_goes_after_use(spark):
+    with staged(spark.range(3), "rows") as df:
+        folder = Path(urlparse(df.inputFiles()[0]).path).parent
+        assert df.count() == 3 and folder.exists()
+    assert not folder.exists()
