@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -31,30 +33,56 @@ def positions(network: Network, outputs: Sequence[str]) -> list[str]:
     return names
 
 
-def gradient_sums(df: DataFrame, network: Network, weights: list[np.ndarray]) -> DataFrame:
+def by_inputs(df: DataFrame, network: Network) -> DataFrame:
+    """One row per distinct input: inputs, number of rows, sums and squared sums of the targets.
+
+    A network answers equal inputs equally, so these sums are all that its errors and gradients
+    depend on. An index with four decimals has ten thousand values, however many rows carry it.
+    """
+    xs, ts = _columns(df, 0, network.n_in), _columns(df, network.n_in, network.n_in + network.n_out)
+    sums = [F.sum(t).alias(f"t{j}") for j, t in enumerate(ts)] + [F.sum(t * t).alias(f"q{j}") for j, t in enumerate(ts)]
+    keys = [x.alias(f"x{i}") for i, x in enumerate(xs)]
+    return df.groupBy(*keys).agg(F.count("*").cast("double").alias("n"), *sums)
+
+
+def _columns(df: DataFrame, start: int, end: int) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns[start:end]]
+
+
+def gradient_sums(df: DataFrame, network: Network, weights: list[np.ndarray], grouped: bool = False) -> DataFrame:
     """``(pos, value)`` sums over standardised rows (inputs first, then targets).
 
     Without a hidden layer everything is a built-in aggregate inside generated code. With
     hidden layers each partition is reduced in Arrow batches and the partials are added up by
-    a ``groupBy``. Either way the rows stay on the executors.
+    a ``groupBy``. Either way the rows stay on the executors. ``grouped`` rows come from
+    ``by_inputs``.
     """
     if network.hidden:
-        return gradient_sums_many(df, [network], [weights]).drop("model")
-    xs = [F.col(f"`{c}`") for c in df.columns[: network.n_in]]
-    ts = [F.col(f"`{c}`") for c in df.columns[network.n_in :]]
+        return gradient_sums_many(df, [network], [weights], grouped).drop("model")
+    xs = _columns(df, 0, network.n_in)
+    first = network.n_in + grouped
+    ts = _columns(df, first, first + network.n_out)
     act = activation(network.last_activation)
     zs = weighted_sums(weights[0], xs)
     ys = [act.value(z) for z in zs]
-    errors = [y - t for y, t in zip(ys, ts, strict=True)]
+    if grouped:
+        n, squares = F.col("n"), _columns(df, first + network.n_out, first + 2 * network.n_out)
+        errors = [n * y - t for y, t in zip(ys, ts, strict=True)]
+        squared = [n * y * y - 2.0 * y * t + q for y, t, q in zip(ys, ts, squares, strict=True)]
+        rows = F.sum(n)
+    else:
+        errors = [y - t for y, t in zip(ys, ts, strict=True)]
+        squared = [e * e for e in errors]
+        rows = F.count("*").cast("double")
     deltas = [e * act.slope(z, y) for e, z, y in zip(errors, zs, ys, strict=True)]
-    squares = sum((e * e for e in errors[1:]), errors[0] * errors[0])
-    sums = [F.count("*").cast("double"), F.sum(0.5 * squares), *[F.sum(e) for e in errors]]
-    sums += [F.sum(d) for d in deltas]
+    sums = [rows, F.sum(0.5 * reduce(add, squared)), *[F.sum(e) for e in errors], *[F.sum(d) for d in deltas]]
     sums += [F.sum(d * x) for x in xs for d in deltas]
     return df.agg(F.array(*sums).alias("sums")).select(F.posexplode("sums").alias("pos", "value"))
 
 
-def gradient_sums_many(df: DataFrame, networks: Sequence[Network], weights: Sequence[list[np.ndarray]]) -> DataFrame:
+def gradient_sums_many(
+    df: DataFrame, networks: Sequence[Network], weights: Sequence[list[np.ndarray]], grouped: bool = False
+) -> DataFrame:
     """``(model, pos, value)``: the sums of several networks in one pass over the rows."""
-    partials = df.mapInArrow(gradient_partials(networks, weights), "model int, pos int, value double")
+    partials = df.mapInArrow(gradient_partials(networks, weights, grouped), "model int, pos int, value double")
     return partials.groupBy("model", "pos").agg(F.sum("value").alias("value"))

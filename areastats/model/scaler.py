@@ -28,7 +28,10 @@ class Scaler:
 
 def scaler_table(df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """``(position, column, mean, std)``: all columns in one aggregation; a constant has std 1."""
+    return spec.select(df).agg(_moments(spec).alias("moments")).select(F.inline("moments"))
 
+
+def _moments(spec: FeatureSpec) -> Column:
     def entry(i: int, name: str) -> Column:
         c = F.col(f"`{name}`")
         return F.struct(
@@ -40,16 +43,35 @@ def scaler_table(df: DataFrame, spec: FeatureSpec) -> DataFrame:
             F.when(F.min(c) == F.max(c), 1.0).otherwise(F.stddev_pop(c)).alias("std"),
         )
 
-    entries = F.array(*[entry(i, c) for i, c in enumerate(spec.columns)])
-    return spec.select(df).agg(entries.alias("entries")).select(F.inline("entries"))
+    return F.array(*[entry(i, c) for i, c in enumerate(spec.columns)])
 
 
-def fit_scaler(df: DataFrame, spec: FeatureSpec) -> Scaler:
-    """Fit on the rows given; one row per column comes to the driver."""
-    rows = sorted(scaler_table(df, spec).collect(), key=lambda r: r["position"])
-    if any(r["mean"] is None for r in rows):
+@dataclass(frozen=True)
+class Summary:
+    """What one pass over the rows tells: the scaler, the rows, and about how many distinct inputs."""
+
+    scaler: Scaler
+    rows: int
+    distinct_inputs: int
+
+
+def summarize(df: DataFrame, spec: FeatureSpec) -> Summary:
+    """Summarise the rows given; one entry per column comes to the driver."""
+    inputs = F.struct(*[F.col(f"`{c}`") for c in spec.inputs])
+    row = (
+        spec.select(df)
+        .agg(_moments(spec).alias("moments"), F.count("*").alias("rows"), F.approx_count_distinct(inputs).alias("n"))
+        .first()
+    )
+    if not row["rows"]:
         raise ValueError("no rows to fit the scaler on")
-    return Scaler(np.array([r["mean"] for r in rows]), np.array([r["std"] for r in rows]))
+    means, stds = (np.array([m[k] for m in row["moments"]]) for k in ("mean", "std"))
+    return Summary(Scaler(means, stds), row["rows"], row["n"])
+
+
+def fit_scaler(df: DataFrame, spec: FeatureSpec) -> Scaler:
+    """Scaler of the rows given."""
+    return summarize(df, spec).scaler
 
 
 def standardize(df: DataFrame, spec: FeatureSpec, scaler: Scaler) -> DataFrame:

@@ -13,13 +13,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.model.batches import passes, to_matrix
+from areastats.model.batches import Block, passes, to_matrix
 from areastats.model.gradient import gradient_sums_many
 from areastats.model.metrics import error_columns
 from areastats.model.network import Network
-from areastats.model.scaler import Scaler, standardize
+from areastats.model.scaler import standardize
 from areastats.model.spec import FeatureSpec
-from areastats.model.train import step, training_rows
+from areastats.model.train import TrainingRows, step, training_rows
 
 # The grids tried.
 EPOCHS = (10, 50, 100)
@@ -50,11 +50,11 @@ def sweep(
     networks = [Network.of(spec, h, a) for h in hidden for a in activations]
     weights = [n.initial_weights(seed) for n in networks]
     configs, stored = [], []
-    with training_rows(train_df, spec, None) as (rows, scaler):
+    with training_rows(train_df, spec, None) as rows:
         for epoch in range(1, max(epochs) + 1):
             sums: list[dict[int, float]] = [{} for _ in networks]
             # One number per weight and network.
-            for r in gradient_sums_many(rows, networks, weights).collect():
+            for r in gradient_sums_many(rows.df, networks, weights, rows.grouped).collect():
                 sums[r["model"]][r["pos"]] = r["value"]
             for i, network in enumerate(networks):
                 vector = np.array([sums[i][p] for p in sorted(sums[i])])
@@ -63,31 +63,33 @@ def sweep(
                     layers = ",".join(str(h) for h in network.hidden)
                     configs.append((epoch, f"[{layers}]", learning_rate, network.activation))
                     stored.append((network, weights[i]))
-        train_errors = model_errors(rows, spec, scaler, stored)
-    test_errors = model_errors(standardize(spec.complete(test_df), spec, scaler), spec, scaler, stored)
+        train_errors = model_errors(rows, spec, stored)
+    test = standardize(spec.complete(test_df), spec, rows.scaler)
+    test_errors = model_errors(TrainingRows(test, rows.scaler, grouped=False), spec, stored)
     table = [(*c, *train_errors.get(i, (None, None)), *test_errors.get(i, (None, None))) for i, c in enumerate(configs)]
     return train_df.sparkSession.createDataFrame(table, _COLUMNS)
 
 
 def model_errors(
-    rows: DataFrame, spec: FeatureSpec, scaler: Scaler, models: Sequence[tuple[Network, list[np.ndarray]]]
+    rows: TrainingRows, spec: FeatureSpec, models: Sequence[tuple[Network, list[np.ndarray]]]
 ) -> dict[int, tuple[float, float]]:
     """``rmse`` and ``abs_mean_residual`` per model, in output units, in one pass over scaled rows."""
-    n_in = len(spec.inputs)
+    n_in, n_out, grouped = len(spec.inputs), len(spec.outputs), rows.grouped
     forwards = [(passes(network)[0], weights) for network, weights in models]
-    stds = scaler.outputs(spec)[1]
+    stds = rows.scaler.outputs(spec)[1]
 
     def partials(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(forwards), 3))
         for batch in batches:
-            data = to_matrix(batch)
+            block = Block.of(to_matrix(batch), n_in, n_out, grouped)
             for i, (forward, weights) in enumerate(forwards):
-                r = (forward(weights, data[:, :n_in])[1][-1] - data[:, n_in:]) * stds
-                sums[i] += r.size, r.sum(), np.square(r).sum()
+                y = forward(weights, block.x)[1][-1]
+                residual = (block.errors(y).sum(axis=0) * stds).sum()
+                sums[i] += block.rows * n_out, residual, (block.squared(y) * stds**2).sum()
         model = pa.array(np.arange(len(forwards)), pa.int32())
         columns = [pa.array(c) for c in sums.T]
         yield pa.RecordBatch.from_arrays([model, *columns], names=["model", "n", "sum_r", "sum_r2"])
 
-    sums = rows.mapInArrow(partials, "model int, n double, sum_r double, sum_r2 double")
+    sums = rows.df.mapInArrow(partials, "model int, n double, sum_r double, sum_r2 double")
     errors = sums.groupBy("model").agg(*error_columns(F.sum("n"), F.sum("sum_r"), F.sum("sum_r2")))
     return {r["model"]: (r["rmse"], r["abs_mean_residual"]) for r in errors.collect()}

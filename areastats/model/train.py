@@ -4,33 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from areastats.model.gradient import gradient_sums
+from areastats.model.gradient import by_inputs, gradient_sums
 from areastats.model.network import Model, Network
-from areastats.model.scaler import Scaler, fit_scaler, standardize
+from areastats.model.scaler import Scaler, standardize, summarize
 from areastats.model.spec import FeatureSpec
 from areastats.session import staged
 
 
+#: Rows are grouped by input if that leaves at most one in so many.
+GROUPING_FACTOR = 4
+
+
+@dataclass(frozen=True)
+class TrainingRows:
+    """Standardised rows, one per row of the table or, if ``grouped``, one per distinct input."""
+
+    df: DataFrame
+    scaler: Scaler
+    grouped: bool
+
+
 @contextmanager
-def training_rows(df: DataFrame, spec: FeatureSpec, scaler: Scaler | None) -> Iterator[tuple[DataFrame, Scaler]]:
+def training_rows(df: DataFrame, spec: FeatureSpec, scaler: Scaler | None) -> Iterator[TrainingRows]:
     """Complete rows, standardised, written once to the shared folder and cached for the block.
 
-    Every epoch reads these rows. Losing an executor costs a re-read of its part of the files,
-    not a re-run of the joins that made the table.
+    Every epoch reads these rows, so losing an executor costs a re-read of its part of the files.
+    If inputs repeat often, the rows are added up per distinct input before they are written,
+    which changes no sum that training uses. The table itself is read twice, for its summary and
+    for the rows; one that is expensive to make should be stored first.
     """
-    with staged(spec.complete(df), "training-rows") as complete:
-        scaler = scaler or fit_scaler(complete, spec)
-        rows = standardize(complete, spec, scaler).persist(StorageLevel.MEMORY_AND_DISK)
+    complete = spec.complete(df)
+    summary = summarize(complete, spec)
+    scaler = scaler or summary.scaler
+    rows = standardize(complete, spec, scaler)
+    grouped = summary.distinct_inputs * GROUPING_FACTOR <= summary.rows
+    if grouped:
+        rows = by_inputs(rows, Network.of(spec, ()))
+    with staged(rows, "training-rows") as stored:
+        stored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            yield rows, scaler
+            yield TrainingRows(stored, scaler, grouped)
         finally:
-            rows.unpersist()
+            stored.unpersist()
 
 
 def step(
@@ -54,10 +75,10 @@ def train(
     A model that already has a scaler keeps it. ``after_epoch`` gets the epoch number and the
     model so far, e.g. to store it from time to time.
     """
-    with training_rows(df, model.spec, model.scaler) as (rows, scaler):
-        current = replace(model, scaler=scaler, history=[])
+    with training_rows(df, model.spec, model.scaler) as rows:
+        current = replace(model, scaler=rows.scaler, history=[])
         for epoch in range(1, epochs + 1):
-            sums = collect_sums(gradient_sums(rows, current.network, current.weights))
+            sums = collect_sums(gradient_sums(rows.df, current.network, current.weights, rows.grouped))
             weights, cost, errors = step(current.network, current.weights, sums, learning_rate)
             current = replace(current, weights=weights, history=[*current.history, (epoch, cost, errors)])
             if after_epoch is not None:

@@ -76,7 +76,7 @@ def column_pages_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {GEO}
 SELECT coalesce(CASE WHEN c_mktsegment <> 'MACHINERY' THEN area END, '(none)') AS "County-State", count(*) AS "Public"
-FROM customer JOIN geo ON c_nationkey = n_nationkey GROUP BY 1""")
+FROM customer JOIN geo ON c_nationkey = n_nationkey GROUP BY 1""", name="count_by_key")
 def count_per_key(spark: SparkSession, sf: str) -> DataFrame:
     some_key = F.when(F.col("c_mktsegment") != "MACHINERY", key())
     counts = count_by_key(customers(spark, sf).select(some_key.alias(KEY)), "Public")
@@ -85,7 +85,7 @@ def count_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {GEO}
 SELECT area AS "County-State", round(avg(o_totalprice), 4) AS price
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey GROUP BY area""")
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey GROUP BY area""", name="mean_by_key")
 def mean_per_key(spark: SparkSession, sf: str) -> DataFrame:
     rows = orders_with_places(spark, sf).select(key().alias(KEY), "o_totalprice")
     return mean_by_key(rows, F.col("o_totalprice"), "price").withColumn("price", F.round("price", 4))

@@ -12,13 +12,13 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with the SQL it must agree with."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own or the given name, with the SQL it must agree with."""
 
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        QUERIES[name or f.__name__] = f
         if sql is not None:
-            SQL[f.__name__] = sql
+            SQL[name or f.__name__] = sql
         return f
 
     return register

@@ -31,7 +31,7 @@ from areastats.queries.network_sql import (
 )
 from areastats.queries.rates import rounded
 from areastats.queries.registry import query
-from areastats.session import shared_folder
+from areastats.session import shared_folder, staged
 from areastats.sources.flat import read_csv, typed
 from areastats.sources.sinks import write_csv
 
@@ -74,7 +74,7 @@ _BUCKET = "(CAST('0x' || substr(md5('{seed}:' || {c}), 1, 8) AS BIGINT) % 100)"
 _IN_TRAIN = _BUCKET.format(seed=42, c=KEY_COLUMN) + " < 80"
 
 
-@query(f"SELECT c_custkey, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM customer")
+@query(f"SELECT c_custkey, CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS part FROM customer", name="hash_split")
 def split_by_key(spark: SparkSession, sf: str) -> DataFrame:
     parts = hash_split(table(spark, sf, "customer").select("c_custkey"), "c_custkey")
     train_rows, test_rows = (df.withColumn("part", F.lit(p)) for df, p in zip(parts, ("train", "test"), strict=True))
@@ -133,6 +133,12 @@ def gradient_step_hidden(spark: SparkSession, sf: str) -> DataFrame:
     return _gradient(spark, sf, DEEP)
 
 
+def _train(spark: SparkSession, sf: str, network: Network) -> Model:
+    """Train on the features, stored first because making them takes a join."""
+    with staged(features(spark, sf), "features") as rows:
+        return train(Model.new(SPEC, network, SEED), rows, EPOCHS, RATE)
+
+
 def _history_sql(network: Network) -> str:
     rows = " UNION ALL ".join(
         f"SELECT {k + 1} AS epoch, round(cost, 6) AS cost, round(e0, 6) AS e0, round(e1, 6) AS e1, round(e2, 6) AS e2 FROM n_p{k}"
@@ -143,7 +149,7 @@ def _history_sql(network: Network) -> str:
 
 @query(_history_sql(PLAIN))
 def train_history(spark: SparkSession, sf: str) -> DataFrame:
-    model = train(Model.new(SPEC, PLAIN, SEED), features(spark, sf), EPOCHS, RATE)
+    model = _train(spark, sf, PLAIN)
     errors = [F.col("mean_error")[j].alias(f"e{j}") for j in range(3)]
     return rounded(model.history_table(spark).select("epoch", "cost", *errors))
 
@@ -156,20 +162,19 @@ SELECT layer, row, col, round(w, 6) AS w FROM ({rows})"""
 
 @query(_weights_sql(DEEP))
 def mlp_train(spark: SparkSession, sf: str) -> DataFrame:
-    model = train(Model.new(SPEC, DEEP, SEED), features(spark, sf), EPOCHS, RATE)
-    return rounded(model.weight_table(spark))
+    return rounded(_train(spark, sf, DEEP).weight_table(spark))
 
 
 @query(_weights_sql(LINEAR))
 def mlp_train_linear_output(spark: SparkSession, sf: str) -> DataFrame:
-    model = train(Model.new(SPEC, LINEAR, SEED), features(spark, sf), EPOCHS, RATE)
-    return rounded(model.weight_table(spark))
+    return rounded(_train(spark, sf, LINEAR).weight_table(spark))
 
 
 @query(f"""WITH {FEATURES}, {scaled("features", ['"SVI"'], SPEC.outputs, _IN_TRAIN)}, {training(PLAIN, SEED, EPOCHS, RATE)}
 SELECT layer, row, col, round(w, 6) AS w FROM ({weight_rows(PLAIN, f"n_w{EPOCHS}")})""")
 def train_model(spark: SparkSession, sf: str) -> DataFrame:
-    model = train_on_merged(features(spark, sf), epochs=EPOCHS, learning_rate=RATE, seed=SEED, key=KEY_COLUMN)
+    with staged(features(spark, sf), "features") as rows:
+        model = train_on_merged(rows, epochs=EPOCHS, learning_rate=RATE, seed=SEED, key=KEY_COLUMN)
     return rounded(model.weight_table(spark))
 
 
@@ -264,7 +269,7 @@ ERRORS = ["sse", "mse", "rmse", "abs_mean_residual"]
 
 
 @query(f"""WITH {_predicted(PLAIN)}
-SELECT output, n, {", ".join(_significant(c) for c in ERRORS)} FROM ({_error_rows(_residuals("predicted"))})""")
+SELECT output, n, {", ".join(_significant(c) for c in ERRORS)} FROM ({_error_rows(_residuals("predicted"))})""", name="residual_metrics")
 def residual_errors(spark: SparkSession, sf: str) -> DataFrame:
     rows = predict(fixed_model(PLAIN), features(spark, sf))
     metrics = residual_metrics(rows, [(c, prediction_name(c)) for c in SPEC.outputs])
@@ -313,12 +318,13 @@ SELECT epochs, hidden, learning_rate, activation, {", ".join(f"round({c}, 3) AS
 FROM ({" UNION ALL ".join(rows)})"""
 
 
-@query(_sweep_sql())
+@query(_sweep_sql(), name="sweep")
 def sweep_grid(spark: SparkSession, sf: str) -> DataFrame:
-    train_rows, test_rows = hash_split(features(spark, sf), KEY_COLUMN)
-    table_of_errors = sweep(
-        train_rows, test_rows, SPEC, SWEEP_EPOCHS, SWEEP_HIDDEN, SWEEP_ACTIVATIONS, RATE, SEED
-    )
+    with staged(features(spark, sf), "features") as rows:
+        train_rows, test_rows = hash_split(rows, KEY_COLUMN)
+        table_of_errors = sweep(
+            train_rows, test_rows, SPEC, SWEEP_EPOCHS, SWEEP_HIDDEN, SWEEP_ACTIVATIONS, RATE, SEED
+        )
     return rounded(table_of_errors, 3, learning_rate=6)
 
 
@@ -328,9 +334,10 @@ before AS (SELECT avg(0.5 * (e0 * e0 + e1 * e1 + e2 * e2)) AS cost
 SELECT layer, row, col, round(w, 6) AS w, round(cost, 6) AS cost FROM ({weight_rows(PLAIN, "n_w2")}), before""")
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Train one epoch, store, load, train another: the scaler and weights carry on."""
-    rows, path = features(spark, sf), shared_folder(spark, "model")
-    save_model(spark, train(Model.new(SPEC, PLAIN, SEED), rows, 1, RATE), path)
-    model = train(load_model(spark, path), rows, 1, RATE)
+    path = shared_folder(spark, "model")
+    with staged(features(spark, sf), "features") as rows:
+        save_model(spark, train(Model.new(SPEC, PLAIN, SEED), rows, 1, RATE), path)
+        model = train(load_model(spark, path), rows, 1, RATE)
     return rounded(model.weight_table(spark).withColumn("cost", F.lit(model.history[-1][1])))
 
 

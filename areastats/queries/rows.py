@@ -89,7 +89,7 @@ def strict_key(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {GEO}
 SELECT c_custkey, upper(CASE c_mktsegment WHEN 'BUILDING' THEN n_name WHEN 'MACHINERY' THEN n_name || ' Parish'
        WHEN 'FURNITURE' THEN 'County Line' ELSE n_name || ' county' END) AS county
-FROM customer JOIN geo ON c_nationkey = n_nationkey""")
+FROM customer JOIN geo ON c_nationkey = n_nationkey""", name="strip_suffix")
 def strip_suffix_county(spark: SparkSession, sf: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     county = (
@@ -101,7 +101,7 @@ def strip_suffix_county(spark: SparkSession, sf: str) -> DataFrame:
     return customers(spark, sf).select("c_custkey", strip_suffix(county).alias("county"))
 
 
-@query("""SELECT doc_id, md5(replace(text, 'the', '')) AS digest, length(replace(text, 'the', '')) AS n FROM documents""")
+@query("""SELECT doc_id, md5(replace(text, 'the', '')) AS digest, length(replace(text, 'the', '')) AS n FROM documents""", name="strip_anywhere")
 def strip_anywhere_text(spark: SparkSession, sf: str) -> DataFrame:
     text = strip_anywhere(F.col("text"), "the")
     return table(spark, sf, "documents").select(

@@ -4,8 +4,8 @@ from conftest import collected
 from pyspark.sql import functions as F
 
 from areastats.config import KEY
-from areastats.model.batches import passes
-from areastats.model.gradient import gradient_sums, gradient_sums_many, positions
+from areastats.model.batches import Block, passes
+from areastats.model.gradient import by_inputs, gradient_sums, gradient_sums_many, positions
 from areastats.model.metrics import OVERALL, evaluate, residual_metrics
 from areastats.model.network import Model, Network
 from areastats.model.predict import predict, prediction_name
@@ -104,12 +104,12 @@ def test_gradient_against_finite_differences(data, name, hidden):
     weights = network.initial_weights(5)
     _, gradient = passes(network)
     flat = network.flatten(weights)
-    exact = gradient(weights, x, t)
+    exact = gradient(weights, Block(x, t))
     assert exact[0] == N and len(exact) == len(positions(network, "abc"))
     for i in range(len(flat)):
         d = np.zeros_like(flat)
         d[i] = 1e-6
-        up, down = (gradient(network.unflatten(flat + s * d), x, t)[1] for s in (1, -1))
+        up, down = (gradient(network.unflatten(flat + s * d), Block(x, t))[1] for s in (1, -1))
         assert exact[5 + i] == pytest.approx((up - down) / 2e-6, rel=1e-3, abs=1e-3)
 
 
@@ -120,7 +120,7 @@ def test_column_gradient_equals_batch_gradient(table, spec, data, name):
     rows = spec.complete(table)
     scaled = standardize(rows, spec, fit_scaler(rows, spec))
     x, t = standardised(data)
-    expected = passes(network)[1](weights, x, t)
+    expected = passes(network)[1](weights, Block(x, t))
     assert np.allclose(collect_sums(gradient_sums(scaled, network, weights)), expected)
     assert np.allclose(collect_sums(gradient_sums_many(scaled, [network], [weights])), expected)
 
@@ -130,12 +130,42 @@ def descend(network, weights, x, t, epochs, rate):
     _, gradient = passes(network)
     costs = []
     for _ in range(epochs):
-        means = gradient(weights, x, t) / len(x)
+        means = gradient(weights, Block(x, t)) / len(x)
         costs.append(means[1])
         weights = network.unflatten(network.flatten(weights) - rate * means[2 + network.n_out :])
     return weights, costs
 
 
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Inputs with a few values, one of which has a third of all rows."""
+    x = "CASE WHEN id % 3 = 0 THEN 0.5D ELSE (id % 5) / 5D END"
+    return spark.range(900).selectExpr(f"CONCAT('K', id) AS `{KEY}`", f"{x} AS SVI", "SIN(id) AS a", "100 + id % 11 AS b")
+
+
+@pytest.mark.parametrize("hidden", [(), (3, 2)])
+@pytest.mark.parametrize("name", ["tanh", "sig", "relu"])
+def test_grouping_by_input_changes_no_sum(repeated, hidden, name):
+    spec = FeatureSpec.of(repeated)
+    network = Network.of(spec, hidden, name)
+    weights = network.initial_weights(3)
+    rows = spec.complete(repeated)
+    scaled = standardize(rows, spec, fit_scaler(rows, spec))
+    grouped = by_inputs(scaled, network)
+    assert grouped.count() == 6
+    plain = collect_sums(gradient_sums(scaled, network, weights))
+    assert np.allclose(collect_sums(gradient_sums(grouped, network, weights, grouped=True)), plain)
+
+
+def test_sweep_on_repeated_inputs(repeated):
+    spec = FeatureSpec.of(repeated)
+    out = sweep(repeated, repeated, spec, (2,), ((2,),), ("tanh",)).first()
+    assert out["rmse_train"] == pytest.approx(out["rmse_test"])
+    assert out["abs_mean_residual_train"] == pytest.approx(out["abs_mean_residual_test"])
+    errors = evaluate(train(Model.new(spec, Network.of(spec, (2,))), repeated, 2), repeated)
+    assert errors.where(F.col("output") == OVERALL).first()["rmse"] == pytest.approx(out["rmse_train"])
+
+
 @pytest.mark.parametrize("hidden", [(), (3, 2)])
 def test_training_equals_descent_in_memory(table, spec, data, hidden):
     network = Network.of(spec, hidden)
