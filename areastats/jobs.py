@@ -75,6 +75,7 @@ def _train(spark: SparkSession, a: Args) -> DataFrame:
         merged, a.inputs, a.hidden, a.epochs, a.rate, a.activation, a.seed, start=start, after_epoch=save
     )
     save_model(spark, model, f"{a.output}/model", a.mode)
+    write_csv(model.spec.incomplete_count(merged), f"{a.output}/rows", mode=a.mode)
     history = model.history_table(spark)
     return history.selectExpr("epoch", "cost", "array_join(transform(mean_error, e -> string(e)), ' ') AS mean_error")
 

@@ -61,7 +61,7 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def merge_pages(frames: Sequence[DataFrame]) -> DataFrame:
-    """Put column pages back together by what they share, the row key."""
+    """Put column pages back together by what they share, the row key, which must be unique."""
     return reduce(natural_join, frames)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from areastats.config import DROPOUT_POPULATION, INCOME_FIELD, KEY, STATE_CODES, TEEN_POPULATION, TEEN_WORKED
 from areastats.functions.keys import area_key, state_code
+from areastats.functions.text import plain_number
 from areastats.operators.skew import join_unique
 
 CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU"}
@@ -102,7 +103,7 @@ def ranking_rows(spark: SparkSession, sf: str) -> DataFrame:
     named like a state occurs once more.
     """
     o = orders_with_places(spark, sf)
-    rate = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(F.col("o_totalprice").cast("string"))
+    rate = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(plain_number(F.col("o_totalprice")))
     state = F.when(F.col("o_orderpriority") == "1-URGENT", "US").otherwise(F.col("code"))
     county = F.when(F.col("o_orderstatus") == "P", F.col("r_name")).otherwise(F.concat("n_name", F.lit(" County")))
     return o.select(county.alias("COUNTY"), state.alias("STATE"), rate.alias("RATE"))

@@ -47,7 +47,10 @@ RATE_POSITIONS = {1995: 6, 1996: 6, 1997: 8, 1998: 8, 1999: 11, 2000: 15, 2001:
 
 def yearly_files(spark: SparkSession, sf: str) -> dict[int, str]:
     """Orders as one positional file set per year, of different widths, with two header lines each."""
-    o = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    # An order from before or after goes into the nearest file.
+    first, last = min(RATE_POSITIONS), max(RATE_POSITIONS)
+    year = F.greatest(F.lit(first), F.least(F.lit(last), F.year("o_orderdate")))
+    o = table(spark, sf, "orders").withColumn("year", year)
     positions = F.create_map(*[F.lit(x) for x in chain.from_iterable(RATE_POSITIONS.items())])
     line = F.concat(
         F.lit("a,b,c,"),
