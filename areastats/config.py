@@ -32,6 +32,8 @@ TERRITORY_CODES = ["DC", "PR", "GU", "VI", "AS"]
 SCHOOL_FILES_MISSING = ["Alaska", "Louisiana", "Maine", "Maryland", "North Carolina", "Texas", "Virginia"]
 SCHOOL_FILE_STATES = [s for s in STATE_CODES if s not in SCHOOL_FILES_MISSING]
 
+# Fixed value: name of a yearly ranking file.
+RANKING_FILE = "grad_data{year}.csv"
 # Column positions in the yearly ranking files (state and county stay put).
 RANKING_STATE = 3
 RANKING_COUNTY = 4

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from areastats.config import RANKING_RATE, SCHOOL_FILE_STATES
+from areastats.config import RANKING_FILE, RANKING_RATE, SCHOOL_FILE_STATES
 from areastats.model.network import Model
 from areastats.model.store import load_model, save_model
 from areastats.operators.project import pick
@@ -39,12 +39,8 @@ from areastats.sources.sinks import write_by_state, write_csv, write_lines
 Args = argparse.Namespace
 Job = Callable[[SparkSession, Args], DataFrame]
 
-#: File of one year below the input folder of the graduation job.
-YEAR_FILE = "grad_data{year}.csv"
-
-
 def _years(spark: SparkSession, a: Args) -> DataFrame:
-    return read_years(spark, {y: f"{a.input}/{YEAR_FILE.format(year=y)}" for y in a.years or RANKING_RATE})
+    return read_years(spark, {y: f"{a.input}/{RANKING_FILE.format(year=y)}" for y in a.years or RANKING_RATE})
 
 
 def _sites(spark: SparkSession, a: Args) -> DataFrame:

@@ -91,7 +91,7 @@ def mean_per_key(spark: SparkSession, sf: str) -> DataFrame:
     return mean_by_key(rows, F.col("o_totalprice"), "price").withColumn("price", F.round("price", 4))
 
 
-@query("""SELECT count(*) AS rows, count(*) FILTER (WHERE o_orderstatus <> 'P') AS keyed,
+@query("""SELECT count(*) AS rows, count(CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS keyed,
        count(DISTINCT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS keys FROM orders""")
 def key_set_size(spark: SparkSession, sf: str) -> DataFrame:
     some_key = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
@@ -103,7 +103,7 @@ def distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_values(table(spark, sf, "orders"), "o_custkey", "o_orderstatus")
 
 
-@query("""SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, '' AS origin FROM customer
+@query("""SELECT c_custkey AS id, c_name AS name, coalesce(c_mktsegment, '') AS segment, '' AS origin FROM customer
 UNION ALL SELECT s_suppkey, s_name, '', 'supplier' FROM supplier""")
 def union_by_name_missing(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").selectExpr("c_custkey id", "c_name name", "c_mktsegment segment")

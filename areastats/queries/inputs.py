@@ -190,7 +190,7 @@ def nation_svi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    """Per customer: balance as input; number, sum and mean of the orders as outputs."""
+    """Per customer: balance as input; number, sum and mean of the orders as outputs, where known."""
     per_customer = (
         table(spark, sf, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
@@ -201,7 +201,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
         .withColumn("mean_order", F.col("spent") / F.col("orders"))
     )
     people = table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("SVI"))
-    return people.join(per_customer, "c_custkey")
+    return people.join(per_customer, "c_custkey").na.drop()
 
 
 FEATURES = """features AS (
@@ -209,4 +209,5 @@ FEATURES = """features AS (
     FROM customer JOIN (
         SELECT o_custkey, CAST(count(*) AS DOUBLE) AS orders,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
-        FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey)"""
+        FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey
+    WHERE c_acctbal IS NOT NULL AND spent IS NOT NULL)"""

@@ -31,6 +31,7 @@ def scaled(source: str, inputs: Sequence[str], outputs: Sequence[str], where: st
     """CTEs ``stats`` and ``scaled``, with columns ``a0_0..`` (inputs) and ``t0..`` (targets)."""
     names = [*inputs, *outputs]
     new = [f"a0_{i}" for i in range(len(inputs))] + [f"t{j}" for j in range(len(outputs))]
+    where = " AND ".join([where, *[f"{c} IS NOT NULL" for c in names]])
     stats = ", ".join(
         f"avg({c}) AS m{i}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS s{i}"
         for i, c in enumerate(names)

@@ -101,7 +101,7 @@ def prep_income(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {GEO}
-SELECT n_name AS "COUNTY", r_name AS "STATE", c_name AS "NAME", c_mktsegment AS "KIND"
+SELECT n_name AS "COUNTY", r_name AS "STATE", c_name AS "NAME", coalesce(c_mktsegment, '') AS "KIND"
 FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE r_name NOT IN ('MIDDLE EAST', 'EUROPE')
 UNION ALL SELECT n_name, r_name, s_name, '' FROM supplier JOIN geo ON s_nationkey = n_nationkey
 WHERE r_name NOT IN ('MIDDLE EAST', 'EUROPE')""")
@@ -115,14 +115,14 @@ def prep_schools(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {FLAT_RECORDS}
 SELECT '''' || county || '-' || state || ''' ''' || name || '''' AS value FROM records
-WHERE county IS NOT NULL AND state IS NOT NULL""")
+WHERE county IS NOT NULL AND state IS NOT NULL AND name IS NOT NULL""")
 def prep_site_text(spark: SparkSession, sf: str) -> DataFrame:
     return site_lines(flat_records(spark, sf)).where("value IS NOT NULL")
 
 
 @query(f"""WITH {GEO}
 SELECT '''' || upper(c_name) || '-' || code || ''' ' || CAST(c_acctbal / 10000 AS VARCHAR) AS value
-FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE c_acctbal >= 0 AND code IS NOT NULL""")
+FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE c_acctbal >= 0 AND code IS NOT NULL AND c_name IS NOT NULL""")
 def prep_svi_text(spark: SparkSession, sf: str) -> DataFrame:
     return svi_lines(svi_records(spark, sf))
 

@@ -53,7 +53,7 @@ def site_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {GEO}
 SELECT upper(c_name) || '-' || code AS "County-State", round(c_acctbal / 10000, 6) AS "SVI"
-FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE c_acctbal >= 0 AND code IS NOT NULL""")
+FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE c_acctbal >= 0 AND code IS NOT NULL AND c_name <> ''""")
 def svi_list(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(svi_by_area(svi_records(spark, sf)))
 
@@ -91,7 +91,7 @@ def teen_work_by_area(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(teen_work_rate(teen_rows(spark, sf), CODES))
 
 
-_INCOME = """SELECT area, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS income
+_INCOME = """SELECT area, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(c_acctbal) AS income
     FROM customer JOIN geo ON c_nationkey = n_nationkey GROUP BY area"""
 
 

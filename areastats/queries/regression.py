@@ -95,7 +95,7 @@ def random_split_parts(spark: SparkSession, sf: str) -> DataFrame:
     return train_rows.unionByName(test_rows)
 
 
-@query("""SELECT count(*) AS rows, count(*) FILTER (WHERE c_acctbal < 0 OR c_mktsegment = 'MACHINERY') AS incomplete
+@query("""SELECT count(*) AS rows, count(*) FILTER (WHERE (c_acctbal >= 0 AND c_mktsegment <> 'MACHINERY') IS NOT TRUE) AS incomplete
 FROM customer""")
 def incomplete_rows(spark: SparkSession, sf: str) -> DataFrame:
     balance = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_acctbal"))

@@ -109,7 +109,7 @@ def strip_anywhere_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("""SELECT o_orderkey, o_orderstatus AS state FROM orders""")
+@query("""SELECT o_orderkey, split_part(concat_ws('-', o_orderpriority, o_orderstatus), '-', -1) AS state FROM orders""")
 def key_state_part(spark: SparkSession, sf: str) -> DataFrame:
     # Order priorities hold a hyphen themselves, as some county names do.
     full = F.concat_ws("-", "o_orderpriority", "o_orderstatus")

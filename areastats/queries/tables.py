@@ -45,6 +45,10 @@ def csv_single_file_sink(spark: SparkSession, sf: str) -> DataFrame:
 RATE_POSITIONS = {1995: 6, 1996: 6, 1997: 8, 1998: 8, 1999: 11, 2000: 15, 2001: 20}
 
 
+def _county() -> Column:
+    return F.concat(F.coalesce("o_orderpriority", F.lit("?")), F.lit(", X County"))
+
+
 def yearly_files(spark: SparkSession, sf: str) -> dict[int, str]:
     """Orders as one positional file set per year, of different widths, with two header lines each."""
     # An order from before or after goes into the nearest file.
@@ -54,10 +58,10 @@ def yearly_files(spark: SparkSession, sf: str) -> dict[int, str]:
     positions = F.create_map(*[F.lit(x) for x in chain.from_iterable(RATE_POSITIONS.items())])
     line = F.concat(
         F.lit("a,b,c,"),
-        F.col("o_orderstatus"),
-        F.concat(F.lit(',"'), F.col("o_orderpriority"), F.lit(', X County"')),
+        F.coalesce("o_orderstatus", F.lit("")),
+        F.concat(F.lit(',"'), _county(), F.lit('"')),
         F.expr("repeat(',', p - 4)"),
-        F.col("o_totalprice").cast("string"),
+        F.coalesce(F.col("o_totalprice").cast("string"), F.lit("")),
         F.lit(",z"),
     )
     body = o.withColumn("p", positions[F.col("year")]).select("year", line.alias("line"))
@@ -72,7 +76,7 @@ def yearly_files(spark: SparkSession, sf: str) -> dict[int, str]:
     return {year: f"{path}/year={year}" for year in RATE_POSITIONS}
 
 
-_YEARS = """SELECT o_orderpriority || ', X County' AS "COUNTY", o_orderstatus AS "STATE", o_totalprice AS "RATE"
+_YEARS = """SELECT coalesce(o_orderpriority, '?') || ', X County' AS "COUNTY", o_orderstatus AS "STATE", o_totalprice AS "RATE"
 FROM orders"""
 
 
@@ -84,7 +88,7 @@ def csv_positional_years(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_YEARS)
 def csv_single_year(spark: SparkSession, sf: str) -> DataFrame:
-    columns = {7: F.col("o_orderstatus"), 9: F.concat("o_orderpriority", F.lit(", X County")), 58: F.col("o_totalprice")}
+    columns = {7: F.col("o_orderstatus"), 9: _county(), 58: F.col("o_totalprice")}
     row = [columns.get(i, F.lit(None).cast("string")).alias(f"x{i}") for i in range(59)]
     path = shared_folder(spark, "year")
     write_csv(table(spark, sf, "orders").select(*row), path)
@@ -93,18 +97,18 @@ def csv_single_year(spark: SparkSession, sf: str) -> DataFrame:
 
 def quoted_file(spark: SparkSession, sf: str) -> str:
     path = shared_folder(spark, "quoted")
-    label = F.concat_ws(", ", "c_name", "c_mktsegment")
-    table(spark, sf, "customer").select("c_custkey", label.alias("label")).write.csv(path)
+    label = F.concat("c_name", F.lit(", "), "c_mktsegment")
+    table(spark, sf, "customer").na.fill("?").select("c_custkey", label.alias("label")).write.csv(path)
     return path
 
 
-@query("SELECT c_custkey, c_name || ', ' || c_mktsegment AS label FROM customer")
+@query("SELECT c_custkey, coalesce(c_name, '?') || ', ' || coalesce(c_mktsegment, '?') AS label FROM customer")
 def quoted_csv_split(spark: SparkSession, sf: str) -> DataFrame:
     df = read_positions(spark, quoted_file(spark, sf), {"c_custkey": 0, "label": 1}, header=False)
     return typed(df, {"c_custkey": "long"})
 
 
-@query("""SELECT c_custkey, '"' || c_name AS second, ' ' || c_mktsegment || '"' AS third FROM customer""")
+@query("""SELECT c_custkey, '"' || coalesce(c_name, '?') AS second, ' ' || coalesce(c_mktsegment, '?') || '"' AS third FROM customer""")
 def naive_csv_split(spark: SparkSession, sf: str) -> DataFrame:
     positions = {"c_custkey": 0, "second": 1, "third": 2}
     df = read_positions(spark, quoted_file(spark, sf), positions, quote_aware=False)
@@ -185,7 +189,8 @@ def pushdown_table_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {GEO}
-SELECT '''' || area || ''' ''' || c_name || '''' AS value FROM customer JOIN geo ON c_nationkey = n_nationkey""")
+SELECT '''' || area || ''' ''' || c_name || '''' AS value FROM customer JOIN geo ON c_nationkey = n_nationkey
+WHERE c_name IS NOT NULL""")
 def text_line_sink(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "lines")
     write_lines(public_sites(spark, sf), quoted_line(F.col(KEY), F.col("Name")), path)

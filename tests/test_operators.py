@@ -148,6 +148,31 @@ def test_join_unique_equals_plain_join(spark, skewed, how, broadcast_bytes):
         assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
 
 
+def largest_task(df):
+    """Share of the rows that end up in the largest partition."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_hot_rows_do_not_meet_in_one_task(spark):
+    conf = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 100_000, 1, 16).selectExpr("id", "IF(id % 3 = 0, -1, id % 5000) AS k")
+        right = spark.range(-1, 5000).selectExpr("id AS k", "id * 2 AS v")
+        assert largest_task(left.join(right, "k")) > 0.33
+        assert largest_task(join_unique(left, right, "k", broadcast_bytes=0)) < 0.1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_join_unique_survives_duplicates(spark, skewed):
     right = spark.range(200).selectExpr("'hot' AS k", "id AS v")
     assert join_unique(skewed, right, "k", broadcast_bytes=0).count() == 10_000 * 200
