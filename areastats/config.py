@@ -61,5 +61,4 @@ DROPOUT_FIELDS = {
     "population": "B14005_001E",
     "male": ["B14005_012E", "B14005_013E"],
     "female": ["B14005_026E", "B14005_027E"],
-    "unused": ["B14005_002E", "B14005_008E", "B14005_016E", "B14005_022E"],
 }

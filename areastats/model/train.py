@@ -16,7 +16,6 @@ from areastats.model.scaler import Scaler, standardize, summarize
 from areastats.model.spec import FeatureSpec
 from areastats.session import staged
 
-
 #: Rows are grouped by input if that leaves at most one in so many.
 GROUPING_FACTOR = 4
 

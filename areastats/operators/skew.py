@@ -54,10 +54,13 @@ def join_unique(
     rows, size = measured(hot_right)
     if rows > len(hot) or size > BROADCAST_BYTES:
         return left.join(right, key, how)
-    cold_left = left.where(~_in(key, hot) | F.col(f"`{key}`").isNull())
-    return cold_left.join(right.where(~_in(key, hot)), key, how).unionByName(
-        left.where(_in(key, hot)).join(F.broadcast(hot_right), key, how)
-    )
+    known = left.where(F.col(f"`{key}`").isNotNull())
+    out = known.where(~_in(key, hot)).join(right.where(~_in(key, hot)), key, how)
+    out = out.unionByName(known.where(_in(key, hot)).join(F.broadcast(hot_right), key, how))
+    if how in ("left", "left_anti"):
+        # Rows without a key match nothing and would all go to one task.
+        out = out.unionByName(left.where(F.col(f"`{key}`").isNull()), allowMissingColumns=True)
+    return out
 
 
 def measured(df: DataFrame) -> tuple[int, int]:
