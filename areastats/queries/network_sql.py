@@ -71,7 +71,8 @@ def backward(network: Network, q: str) -> str:
             if l == last:
                 back = f"e{j}"
             else:
-                back = "(" + " + ".join(f"d{l + 1}_{k} * w{l + 1}_{j + 1}_{k}" for k in range(network.shapes[l + 1][1])) + ")"
+                ahead = range(network.shapes[l + 1][1])
+                back = "(" + " + ".join(f"d{l + 1}_{k} * w{l + 1}_{j + 1}_{k}" for k in ahead) + ")"
             deltas.append(f"{back} * {slope.format(z=f'z{l}_{j}', a=f'a{l + 1}_{j}')} AS d{l}_{j}")
         q = f"SELECT *, {', '.join(deltas)} FROM ({q})"
     return q

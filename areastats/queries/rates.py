@@ -39,7 +39,10 @@ from areastats.queries.registry import query
 def rounded(df: DataFrame, places: int = 6, **by_name: int) -> DataFrame:
     """Round the double columns, so that the order of float additions does not show."""
     return df.select(
-        *[F.round(f"`{c}`", by_name.get(c, places)).alias(c) if t == "double" else F.col(f"`{c}`") for c, t in df.dtypes]
+        *[
+            F.round(f"`{c}`", by_name.get(c, places)).alias(c) if t == "double" else F.col(f"`{c}`")
+            for c, t in df.dtypes
+        ]
     )
 
 

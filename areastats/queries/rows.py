@@ -129,7 +129,8 @@ def safe_ratio(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, round(l_extendedprice + l_discount + l_tax, 4) AS whole FROM lineitem""")
 def column_sum(spark: SparkSession, sf: str) -> DataFrame:
     whole = total(F.col("l_extendedprice").cast("string"), F.col("l_discount"), F.col("l_tax"))
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(whole, 4).alias("whole"))
+    items = table(spark, sf, "lineitem")
+    return items.select("l_orderkey", "l_linenumber", "l_partkey", F.round(whole, 4).alias("whole"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey,

@@ -212,7 +212,8 @@ def preview_limit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _part_path() -> Column:
-    return F.concat(F.lit("/in/"), F.col("p_type"), F.lit("/"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit(".csv"))
+    name = F.replace("p_name", F.lit(" "), F.lit("_"))
+    return F.concat(F.lit("/in/"), F.col("p_type"), F.lit("/"), name, F.lit(".csv"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '_') || '.csv' AS label FROM part")
