@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -29,24 +28,24 @@ def local_session(cpus: int | str = "*", partitions: int = 8, memory: str = "8g"
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder of the session.
+    """A new path below the shared folder of the session, removed when the application ends.
 
-    The folder is the one ``spark.checkpoint.dir`` names. Only a local session without that
-    setting gets a machine-local one, because there driver and executors are one process.
+    The folder is the one ``spark.checkpoint.dir`` names. Where that is unset, as in tests, it is
+    the warehouse, which driver and executors share as well; no machine-local folder is used.
     """
-    base = spark.conf.get(SHARED_DIR, None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError(f"set {SHARED_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="areastats-")
-    return f"{base.rstrip('/')}/areastats-{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get(SHARED_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{base.rstrip('/')}/areastats-{spark.sparkContext.applicationId}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(root)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and return the table read back.
 
     This cuts the lineage: losing an executor afterwards costs a re-read of files, not a
-    re-run of everything upstream. The table stays; ``staged`` removes it after use.
+    re-run of everything upstream. The table stays until the application ends, as lazy results
+    still read it; ``staged`` removes it after use.
     """
     return _stage(df, shared_folder(df.sparkSession, label))
 

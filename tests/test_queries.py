@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from areastats.queries import QUERIES, SQL
 from check import difference, oracle
 
 FOLDER = "/root/testdata/sf0.001"
@@ -17,9 +18,9 @@ def test_contract(spark):
     assert result.columns[0] == "County-State" and result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, name):
-    result = contract.queries()[name](spark, FOLDER).toPandas()
+    result = QUERIES[name](spark, FOLDER).toPandas()
     assert len(result) > 0
-    if name in contract.oracle_sql():
-        assert difference(result, oracle(FOLDER, contract.oracle_sql()[name])) is None
+    if name in SQL:
+        assert difference(result, oracle(FOLDER, SQL[name])) is None
