@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from areastats.llm.common import table
 from areastats.llm.line_dedup import line_report
 from areastats.llm.sharding import shard_documents
+from areastats.llm.token_files import read_digests, write_token_files
+from areastats.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,6 +33,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "tokens")
+    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    write_token_files(table(spark, sf_dir, "documents"), path, tokenizer)
+    return read_digests(spark, path)
+
+
 SQL["op8_line_dedup"] = r"""
 WITH cut AS (
   SELECT doc_id, text,
