@@ -39,7 +39,7 @@ def dedup_lines(
     """
     marked = _marked(docs, id_col, text_col)
     if drop_emptied:
-        marked = marked.where((F.col("__n_removed") == 0) | (F.col("__n_removed") < F.col("__n_lines")))
+        marked = marked.where((_removed() == 0) | (_removed() < F.size("__lines")))
     return marked.select(*[_kept_text(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -47,18 +47,22 @@ def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """Per document: id, lines, removed lines and the text that stays (see ``dedup_lines``)."""
     return _marked(docs, id_col, text_col).select(
         F.col(f"`{id_col}`").alias("doc_id"),
-        F.col("__n_lines").cast("long").alias("n_lines"),
-        F.col("__n_removed").cast("long").alias("n_removed"),
+        F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
+        _removed().cast("long").alias("n_removed"),
         _kept_text(text_col).alias("text"),
     )
 
 
+def _removed() -> Column:
+    return F.coalesce(F.size("__removed"), F.lit(0))
+
+
 def _kept_text(text_col: str) -> Column:
-    lines = lines_of(F.col(f"`{text_col}`"))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed"))
+    # "__lines" is named twice, so Spark cuts the text once and not again for every kept line.
+    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed"))
     return (
-        F.when(F.col("__n_removed") == 0, F.col(f"`{text_col}`"))
-        .otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), ""))
+        F.when(_removed() == 0, F.col(f"`{text_col}`"))
+        .otherwise(F.array_join(F.transform(kept, lambda i: F.element_at("__lines", i + 1)), ""))
         .alias(text_col)
     )
 
@@ -68,8 +72,7 @@ def later_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lines = lines_of(F.col(f"`{text_col}`"))
     trimmed = F.transform(lines, lambda line: F.btrim(line, F.lit(BLANK)))
     hashed = (
-        docs.where(F.size(lines) >= 3)
-        .select(F.col(f"`{id_col}`").alias("doc_id"), text_hash(F.col(f"`{text_col}`")).alias("th"), trimmed.alias("t"))
+        docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_hash(F.col(f"`{text_col}`")).alias("th"), trimmed.alias("t"))
         .select(
             "doc_id",
             "th",
@@ -80,7 +83,8 @@ def later_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     hashed = stage(hashed, "line-hashes")
     blank = F.xxhash64(F.lit(""))
-    windows = hashed.select("doc_id", "th", "a", "b", F.explode(F.sequence(F.lit(0), F.size("a") - 3)).alias("pos"))
+    windows = hashed.where(F.size("a") >= 3)
+    windows = windows.select("doc_id", "th", "a", "b", F.explode(F.sequence(F.lit(0), F.size("a") - 3)).alias("pos"))
 
     def three(c: str) -> list[Column]:
         return [F.get(F.col(c), F.col("pos") + k) for k in range(3)]
@@ -102,12 +106,11 @@ def later_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with ``__n_lines``, ``__n_removed`` and ``__removed``."""
+    """``docs`` with its ``__lines`` and the places that go, ``__removed`` (NULL: none)."""
     removed = later_windows(docs, id_col, text_col).select(
         F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__removed"
     )
     text = F.col(f"`{text_col}`")
-    left = docs.withColumns({"__key": text_hash(text), "__n_lines": F.coalesce(F.size(lines_of(text)), F.lit(0))})
+    left = docs.withColumn("__key", text_hash(text))
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th"))
-    out = left.join(removed, same, "left")
-    return out.withColumn("__n_removed", F.coalesce(F.size("__removed"), F.lit(0)))
+    return left.join(removed, same, "left").withColumn("__lines", lines_of(text))

@@ -6,12 +6,13 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.llm.common import table
 from areastats.llm.line_dedup import line_report
 from areastats.llm.sharding import shard_documents
 from areastats.llm.token_files import read_digests, write_token_files
+from areastats.llm.unigram import encode_pieces, read_pieces
 from areastats.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,14 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op3_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = encode_pieces(table(spark, sf_dir, "documents"), pieces, with_ids=False)
+    text = F.crc32(F.col("text").cast("binary"))
+    return coded.select("doc_id", "n_tokens", "n_bytes", "ids_crc32", text.alias("text_crc32"), "round_trip")
+
+
 @query
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
