@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.llm.common import table
+from areastats.llm.language import predict_language
 from areastats.llm.line_dedup import line_report
+from areastats.llm.quality import quality_scores
 from areastats.llm.sharding import shard_documents
 from areastats.llm.token_files import read_digests, write_token_files
 from areastats.llm.unigram import encode_pieces, read_pieces
@@ -24,6 +26,12 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op3_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
@@ -42,6 +50,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "tokens")
