@@ -12,6 +12,7 @@ from areastats.llm.common import table
 from areastats.llm.decontam import find_leaks
 from areastats.llm.language import predict_language
 from areastats.llm.line_dedup import line_report
+from areastats.llm.near_vectors import near_duplicates
 from areastats.llm.quality import quality_scores
 from areastats.llm.sharding import shard_documents
 from areastats.llm.token_files import read_digests, write_token_files
@@ -51,6 +52,11 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
