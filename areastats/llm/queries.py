@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.llm.common import table
 from areastats.llm.decontam import find_leaks
+from areastats.llm.jaccard_join import near_documents
 from areastats.llm.language import predict_language
 from areastats.llm.line_dedup import line_report
 from areastats.llm.near_vectors import near_duplicates
@@ -57,6 +58,11 @@ def op6_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
