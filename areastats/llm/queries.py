@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.llm.common import table
 from areastats.llm.decontam import find_leaks
+from areastats.llm.disclosure import personal_data_report
 from areastats.llm.jaccard_join import near_documents
 from areastats.llm.language import predict_language
 from areastats.llm.line_dedup import line_report
@@ -35,6 +36,11 @@ def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
