@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +33,32 @@ from areastats.llm.elias_fano import EliasFano
 #: Ids in a segment, unless a single document has more.
 SEGMENT_IDS = 1 << 18
 #: Words whose ids a worker keeps.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_200_000
 #: Longer words are not kept.
 CACHE_LENGTH = 40
 _SEGMENTS = "part int, seq int, doc_ids array<long>, n_ids long, ids binary, width int, ends binary"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
-#: A space after white space does not begin a word of its own.
-_INNER_SPACE = re.compile(r"\s ")
-_WORD_START = re.compile(r"(?<=\S) ")
+#: White space after which a break or a space does not begin a part of its own.
+_INNER = re.compile(r"\s[ \n]")
+_START = re.compile(r"(?<=\S)(?=[ \n])")
 
 
 def split_words(text: str) -> list[str]:
-    """``text`` cut before every space that follows a visible character, without those spaces.
+    """``text`` cut before every space or line break that follows a visible character.
 
     A byte-level tokenizer of this family never joins characters across such a place, so the ids
-    of a text are the ids of the first part and of every other part with its space.
+    of a text are the ids of its parts. All parts but the first are named without their space;
+    ``part_text`` gives them back.
     """
-    return _WORD_START.split(text) if _INNER_SPACE.search(text) else text.split(" ")
+    if _INNER.search(text):
+        first, *rest = _START.split(text)
+        return [first, *(p[1:] if p[0] == " " and p[1:2] not in (" ", "\n") else p for p in rest)]
+    return text.replace("\n", " \n").split(" ")
+
+
+def part_text(name: str) -> str:
+    """The part that a name from ``split_words`` (not the first) stands for."""
+    return name if name[:1] in (" ", "\n") and name else f" {name}"
 
 
 class CachedEncoder:
@@ -60,23 +71,37 @@ class CachedEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in found]
+        code = "H" if self.width == 2 else "I"
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as bytes."""
         parts = [split_words(t) for t in texts]
-        firsts = self.ids([p[0] for p in parts])
+        firsts = self.ids([p.pop(0) for p in parts])
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
+            self.marks.clear()
         known = self.words
-        new = list(set().union(*(p[1:] for p in parts)).difference(known.keys()))
-        fresh = dict(zip(new, self.ids([f" {w}" for w in new]), strict=True))
-        known.update(fresh)
-        out = [first + b"".join([known[w] for w in p[1:]]) for first, p in zip(firsts, parts, strict=True)]
+        new = set().union(*parts).difference(known)
+        # Marks behind a letter or digit are tokenised on their own, so "word." is "word" and ".".
+        marked = {}
         for w in new:
+            head = w.rstrip(punctuation)
+            if len(head) < len(w) and head[-1:].isalnum() and not any(t in w for t in self.added):
+                marked[w] = head, w[len(head) :]
+        plain = list(new.difference(marked).union(h for h, _ in marked.values()).difference(known))
+        known.update(zip(plain, self.ids([part_text(w) for w in plain]), strict=True))
+        tails = list({t for _, t in marked.values()}.difference(self.marks))
+        self.marks.update(zip(tails, self.ids(tails), strict=True))
+        for w, (head, tail) in marked.items():
+            known[w] = known[head] + self.marks[tail]
+        get = known.__getitem__
+        out = [first + b"".join(map(get, p)) for first, p in zip(firsts, parts, strict=True)]
+        for w in new.union(plain):
             if len(w) > CACHE_LENGTH:
                 del known[w]
         return out
