@@ -25,12 +25,9 @@ shingles in a sketch of fixed size; it decides how much work there is, never the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
-from operator import and_, or_
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from areastats.llm.common import narrow
 from areastats.llm.components import connected_components
@@ -46,7 +43,7 @@ SKETCH_PIECES = 64
 #: A shingle that may have more rows than this is dealt out by its classes as well.
 HOT_ROWS = 20_000
 #: Pivots per region: one in the first round, which ends regions of near copies, then up to this.
-PIVOTS = 8
+PIVOTS = 32
 _SLACK = 1e-9
 
 
@@ -106,20 +103,12 @@ def linked_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, perc
     epsilon = 1 - percent / 100
     while not region.isEmpty():
         measured = _measure(region, sets, pivots, percent)
-        edges = measured.where(reduce(or_, (_linked(f"d{k}", epsilon) for k in range(pivots))))
-        edges = edges.select(
-            F.col("fp").alias("x"),
-            F.explode(F.array(*[F.when(_linked(f"d{k}", epsilon), F.col(f"p{k}")) for k in range(pivots)])).alias("p"),
-        )
-        edges = edges.where("p is not null").select("p", "x").distinct()
+        edges = measured.where(F.col("d") <= epsilon).select("p", F.col("fp").alias("x"))
         found = edges if found is None else found.unionByName(edges)
-        region, pivots = stage(_open_regions(measured, pivots, epsilon), "regions"), PIVOTS
-    return stage(found.distinct(), "links") if found is not None else rows.select(F.col("doc_id").alias("p"), F.col("doc_id").alias("x")).limit(0)
-
-
-def _linked(distance: str, epsilon: float) -> Column:
-    """Distances of links are exact: they are written as 0 to ``epsilon`` only after an integer test."""
-    return F.coalesce(F.col(distance) <= epsilon, F.lit(False))
+        region, pivots = _open_regions(measured, epsilon), PIVOTS
+    if found is None:
+        return rows.select(F.col("doc_id").alias("p"), F.col("doc_id").alias("x")).limit(0)
+    return stage(found.distinct(), "links")
 
 
 def _profile(width: int) -> Callable:
@@ -254,55 +243,48 @@ def _regions(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _measure(region: DataFrame, sets: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """Members of the regions with pivots ``p0``.. and the distances ``d0``.. from them (NULL: none, or itself)."""
-    slot = F.pmod(F.xxhash64("fp", "g"), F.lit(pivots)).cast("int")
-    chosen = region.where("open").groupBy("g", slot.alias("k")).agg(F.min(F.struct("fp", "n")).alias("p"))
-    wide = chosen.groupBy("g").agg(*[F.max(F.when(F.col("k") == k, F.col("p"))).alias(f"v{k}") for k in range(pivots)])
-    rows = stage(region.join(stage(wide, "pivots"), "g"), "pivoted")
-    each = rows.select(F.explode(F.array(*[F.col(f"v{k}") for k in range(pivots)])).alias("v"), "fp", "n")
-    pairs = each.where("v is not null and v.fp <> fp").select(F.col("v.fp").alias("p"), F.col("v.n").alias("np"), F.col("fp").alias("x"), "n").distinct()
-    # Sizes too far apart bound the distance from below, which is all that the windows need.
+    """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``p`` and the distance ``d``.
+
+    The distance is exact, or a lower bound above a link's where sizes are too far apart, which is
+    all that the windows need. A pivot has no distance from itself.
+    """
+    slot = F.pmod(F.xxhash64("fp", "g"), F.lit(pivots))
+    chosen = region.where("open").groupBy("g", slot).agg(F.min(F.struct("fp", "n")).alias("v"))
+    chosen = stage(chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np")), "pivots")
+    rows = region.join(chosen, "g")
+    pairs = rows.where("p <> fp").select("p", "np", F.col("fp").alias("x"), "n").distinct()
     small, big = F.least("n", "np"), F.greatest("n", "np")
-    pairs = stage(pairs.withColumn("fits", 100 * small >= percent * big).withColumn("bound", 1 - small / big), "pairs")
+    pairs = stage(pairs.select("p", "x", (100 * small >= percent * big).alias("fits"), (1 - small / big).alias("bound")), "pairs")
     there = sets.select(F.col("fp").alias("p"), F.col("s").alias("sp"))
     here = sets.select(F.col("fp").alias("x"), F.col("s").alias("sx"))
     close = pairs.where("fits").select("p", "x").join(there, "p").join(here, "x").select("p", "x", "sp", "sx")
     exact = close.mapInArrow(_distances(percent), "p long, x long, d double")
-    exact = exact.unionByName(pairs.where("not fits").select("p", "x", F.col("bound").alias("d")))
-    exact = stage(exact.groupBy("p", "x").agg(F.min("d").alias("d")), "distances")
-    # Back to the members: one narrow join, then one row per member again.
-    asked = rows.select("g", "fp", F.posexplode(F.array(*[F.col(f"v{k}.fp") for k in range(pivots)])).alias("k", "p")).where("p is not null and p <> fp")
-    got = asked.join(exact, (asked.p == exact.p) & (asked.fp == exact.x)).select("g", "fp", "k", "d")
-    got = got.groupBy("g", "fp").agg(*[F.max(F.when(F.col("k") == k, F.col("d"))).alias(f"d{k}") for k in range(pivots)])
-    plain = rows.select("g", "fp", "n", "open", *[F.col(f"v{k}.fp").alias(f"p{k}") for k in range(pivots)])
-    return stage(plain.join(stage(got, "member-distances"), ["g", "fp"], "left"), "measured")
+    exact = stage(exact.unionByName(pairs.where("not fits").select("p", "x", F.col("bound").alias("d"))), "distances")
+    known = rows.join(exact.withColumnRenamed("x", "fp"), ["p", "fp"], "left")
+    return stage(known.select("g", "fp", "n", "open", "p", "d"), "measured")
 
 
-def _open_regions(measured: DataFrame, pivots: int, epsilon: float) -> DataFrame:
+def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
     """Members of the regions that are joined again."""
-    near, between, pivot = F.lit(False), F.lit(False), F.lit(False)
-    for k in range(pivots):
-        d = F.col(f"d{k}")
-        near = near | _linked(f"d{k}", epsilon)
-        between = between | F.coalesce((d > epsilon) & (d <= 2 * epsilon + _SLACK), F.lit(False))
-        pivot = pivot | F.coalesce(F.col(f"p{k}") == F.col("fp"), F.lit(False))
-    # With a single pivot all linked members are in one cell, and there is no boundary between cells.
-    still = F.col("open") & ~pivot & (~near | between if pivots > 1 else ~near)
-    marked = measured.where(~pivot).withColumn("open", still)
-    spans = [f(F.when(F.col("open"), F.col(f"d{k}"))).alias(f"{n}{k}") for k in range(pivots) for n, f in (("lo", F.min), ("hi", F.max))]
-    ranges = marked.groupBy("g").agg(F.max("open").alias("any"), *spans).where("any")
-    kept = marked.join(stage(ranges, "open-ranges"), "g")
-    inside = reduce(
-        and_,
-        (
-            F.coalesce(F.col(f"d{k}").between(F.col(f"lo{k}") - epsilon - _SLACK, F.col(f"hi{k}") + epsilon + _SLACK), F.lit(True))
-            for k in range(pivots)
-        ),
+    d = F.col("d")
+    members = measured.groupBy("g", "fp").agg(
+        F.max(F.col("p") == F.col("fp")).alias("pivot"),
+        F.max(F.coalesce(d <= epsilon, F.lit(False))).alias("near"),
+        # With a single pivot there is one cell and no boundary between cells.
+        F.max(F.coalesce((d > epsilon) & (d <= 2 * epsilon + _SLACK), F.lit(False))).alias("between"),
+        F.count("*").alias("pivots"),
     )
-    kept = kept.where(F.col("open") | inside).select("g", "fp", "n", "open")
+    boundary = F.col("between") & (F.col("pivots") > 1)
+    members = members.where("not pivot").select("g", "fp", (~F.col("near") | boundary).alias("unreached"))
+    marked = measured.join(stage(members, "marks"), ["g", "fp"])
+    marked = stage(marked.select("g", "fp", "n", "p", "d", (F.col("open") & F.col("unreached")).alias("open")), "marked")
+    ranges = marked.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+    within = d.between(F.col("low") - epsilon - _SLACK, F.col("high") + epsilon + _SLACK)
+    kept = marked.join(stage(ranges, "ranges"), ["g", "p"]).groupBy("g", "fp", "n")
+    kept = kept.agg(F.max("open").alias("open"), F.min(within).alias("within")).where("open or within").drop("within")
     kept = stage(kept, "kept")
     many = kept.groupBy("g").agg(F.count("*").alias("size")).where("size > 1").select("g")
-    return kept.join(stage(many, "open-names"), "g")
+    return stage(kept.join(many, "g"), "regions")
 
 
 def _sets(width: int) -> Callable:
