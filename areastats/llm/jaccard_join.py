@@ -29,9 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.llm.common import narrow
+from areastats.llm.common import narrow, possible
 from areastats.llm.components import connected_components
-from areastats.llm.shingles import Shingler, fingerprint
+from areastats.llm.shingles import Shingler, fingerprint, least_distance, signature
 from areastats.session import stage
 
 #: A link needs this share of the union, in hundredths.
@@ -59,16 +59,16 @@ def near_documents(
     and has no component. Ids must be integers. Other columns are not looked at.
     """
     rows = narrow(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    profile = stage(rows.mapInArrow(_profile(width), "doc_id long, n int, fp long, piece int, counts binary"), "profile")
+    profile = stage(rows.mapInArrow(_profile(width), "doc_id long, n int, fp long, sig binary, piece int, counts binary"), "profile")
     sets = profile.where("piece is null").select("doc_id", "n", "fp")
-    known = sets.where("n > 0 and doc_id is not null")
-    classes = stage(known.groupBy("fp", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    known = profile.where("piece is null and n > 0 and doc_id is not null")
+    classes = stage(known.groupBy("fp", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
     links = linked_classes(rows, profile, classes, percent, width)
     ends = classes.select("fp", "rep")
     edges = links.join(ends.select(F.col("fp").alias("p"), F.col("rep").alias("a")), "p")
     edges = edges.join(ends.select(F.col("fp").alias("x"), F.col("rep").alias("b")), "x").select("a", "b")
     groups = connected_components(edges).withColumnRenamed("id", "rep")
-    named = classes.join(groups, "rep", "left").select("fp", "n", F.coalesce("component", "rep").alias("component"))
+    named = classes.drop("sig").join(groups, "rep", "left").select("fp", "n", F.coalesce("component", "rep").alias("component"))
     usable = F.when(F.col("doc_id").isNotNull(), F.col("fp"))
     return (
         sets.withColumn("fp", usable)
@@ -97,13 +97,15 @@ def linked_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, perc
     members = stage(dealt.mapInArrow(_shared, "key long, fp long, n int"), "members")
     region = stage(_regions(members, percent), "regions")
     wanted = region.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), F.col("fp").alias("want")).distinct()
-    sets = rows.join(stage(wanted, "wanted"), "doc_id").mapInArrow(_sets(width), "fp long, s binary")
-    sets = stage(sets, "sets")
+    wanted = stage(wanted, "wanted")
+    sets = possible(rows, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id")
+    sets = stage(sets.mapInArrow(_sets(width), "fp long, s binary"), "sets")
+    signatures = classes.select("fp", "sig")
     found, pivots = None, 1
     epsilon = 1 - percent / 100
     while not region.isEmpty():
-        measured = _measure(region, sets, pivots, percent)
-        edges = measured.where(F.col("d") <= epsilon).select("p", F.col("fp").alias("x"))
+        measured = _measure(region, sets, signatures, pivots, percent)
+        edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select("p", F.col("fp").alias("x"))
         found = edges if found is None else found.unionByName(edges)
         region, pivots = _open_regions(measured, epsilon), PIVOTS
     if found is None:
@@ -114,23 +116,32 @@ def linked_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, perc
 def _profile(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sketch = Shingler(width), np.zeros(1 << SKETCH_BITS, np.int64)
-        names = ["doc_id", "n", "fp", "piece", "counts"]
+
+        def count(sets: list[np.ndarray]) -> None:
+            nonlocal sketch
+            slots = np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(64 - SKETCH_BITS)
+            sketch += np.bincount(slots.astype(np.int64), minlength=len(sketch))
+
+        names = ["doc_id", "n", "fp", "sig", "piece", "counts"]
         for batch in batches:
-            n, fp, some = [], [], []
-            for text in batch.column("text").to_pylist():
-                s = shingler.shingles(text)
+            n, fp, sig, some, held = [], [], [], [], 0
+            for s in shingler.sets(batch.column("text").to_pylist()):
                 n.append(len(s))
                 fp.append(fingerprint(s))
+                sig.append(signature(s))
                 some.append(s)
-            slots = np.concatenate([*some, np.zeros(0, np.uint64)]) >> np.uint64(64 - SKETCH_BITS)
-            sketch += np.bincount(slots.astype(np.int64), minlength=len(sketch))
+                held += len(s)
+                if held > 1 << 20:
+                    count(some)
+                    some, held = [], 0
+            count(some)
             size = batch.num_rows
             arrays = [batch.column("doc_id"), pa.array(n, type=pa.int32()), pa.array(fp, type=pa.int64())]
-            arrays += [pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
+            arrays += [pa.array(sig, type=pa.binary()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
         for piece, counts in enumerate(np.split(sketch, SKETCH_PIECES)):
             if counts.any():
-                arrays = [pa.nulls(1, t) for t in (pa.int64(), pa.int32(), pa.int64())]
+                arrays = [pa.nulls(1, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.binary())]
                 arrays += [pa.array([piece], type=pa.int32()), pa.array([counts.astype("<u4").tobytes()], type=pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -163,8 +174,7 @@ def _prefixes(sketch, percent: int, width: int) -> Callable:
         shingler, counts, seen = Shingler(width), sketch.value, set()
         for batch in batches:
             keys, fps, sizes = [], [], []
-            for text in batch.column("text").to_pylist():
-                s = shingler.shingles(text)
+            for s in shingler.sets(batch.column("text").to_pylist()):
                 fp = fingerprint(s)
                 if not len(s) or fp in seen:
                     continue
@@ -242,26 +252,38 @@ def _regions(members: DataFrame, percent: int) -> DataFrame:
     return rows.join(stage(single.select("g"), "region-names"), "g").select("g", "fp", "n", F.lit(True).alias("open"))
 
 
-def _measure(region: DataFrame, sets: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``p`` and the distance ``d``.
+def _measure(region: DataFrame, sets: DataFrame, signatures: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``p`` and the distance.
 
-    The distance is exact, or a lower bound above a link's where sizes are too far apart, which is
-    all that the windows need. A pivot has no distance from itself.
+    The distance lies between ``d`` and ``top``. Both are exact unless sizes or signatures show that
+    it is more than a link's; then the windows make do with that bound. A pivot has no distance from itself.
     """
     slot = F.pmod(F.xxhash64("fp", "g"), F.lit(pivots))
     chosen = region.where("open").groupBy("g", slot).agg(F.min(F.struct("fp", "n")).alias("v"))
     chosen = stage(chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np")), "pivots")
     rows = region.join(chosen, "g")
     pairs = rows.where("p <> fp").select("p", "np", F.col("fp").alias("x"), "n").distinct()
-    small, big = F.least("n", "np"), F.greatest("n", "np")
-    pairs = stage(pairs.select("p", "x", (100 * small >= percent * big).alias("fits"), (1 - small / big).alias("bound")), "pairs")
-    there = sets.select(F.col("fp").alias("p"), F.col("s").alias("sp"))
-    here = sets.select(F.col("fp").alias("x"), F.col("s").alias("sx"))
-    close = pairs.where("fits").select("p", "x").join(there, "p").join(here, "x").select("p", "x", "sp", "sx")
-    exact = close.mapInArrow(_distances(percent), "p long, x long, d double")
-    exact = stage(exact.unionByName(pairs.where("not fits").select("p", "x", F.col("bound").alias("d"))), "distances")
-    known = rows.join(exact.withColumnRenamed("x", "fp"), ["p", "fp"], "left")
-    return stage(known.select("g", "fp", "n", "open", "p", "d"), "measured")
+    pairs = pairs.join(possible(signatures, "fp", chosen.select("p")).toDF("p", "a"), "p")
+    pairs = pairs.join(possible(signatures, "fp", region.select("fp")).toDF("x", "b"), "x").select("p", "x", "np", "n", "a", "b")
+    pairs = stage(pairs.mapInArrow(_bounds, "p long, x long, d double").distinct(), "pairs")
+    epsilon = 1 - percent / 100
+    close = pairs.where(F.col("d") <= epsilon + _SLACK).select("p", "x")
+    held = stage(possible(sets, "fp", close.select(F.explode(F.array("p", "x")))), "held-sets")
+    there, here = held.toDF("p", "sp"), held.toDF("x", "sx")
+    close = close.join(there, "p").join(here, "x").select("p", "x", "sp", "sx")
+    exact = close.mapInArrow(_distances(percent), "p long, x long, d double").withColumn("top", F.col("d"))
+    far = pairs.where(F.col("d") > epsilon + _SLACK).withColumn("top", F.lit(1.0))
+    exact = stage(exact.unionByName(far).withColumnRenamed("x", "fp"), "distances")
+    known = rows.join(exact, ["p", "fp"], "left")
+    return stage(known.select("g", "fp", "n", "open", "p", "d", "top"), "measured")
+
+
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        p, x, n_p, n_x, a, b = (c.to_pylist() for c in batch.columns)
+        sizes = [1 - min(m, n) / max(m, n) for m, n in zip(n_p, n_x, strict=True)]
+        d = [max(s, least_distance(*pair)) for s, *pair in zip(sizes, a, b, n_p, n_x, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, type=pa.float64())], names=["p", "x", "d"])
 
 
 def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
@@ -277,9 +299,9 @@ def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
     boundary = F.col("between") & (F.col("pivots") > 1)
     members = members.where("not pivot").select("g", "fp", (~F.col("near") | boundary).alias("unreached"))
     marked = measured.join(stage(members, "marks"), ["g", "fp"])
-    marked = stage(marked.select("g", "fp", "n", "p", "d", (F.col("open") & F.col("unreached")).alias("open")), "marked")
-    ranges = marked.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("d").alias("high"))
-    within = d.between(F.col("low") - epsilon - _SLACK, F.col("high") + epsilon + _SLACK)
+    marked = stage(marked.select("g", "fp", "n", "p", "d", "top", (F.col("open") & F.col("unreached")).alias("open")), "marked")
+    ranges = marked.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("top").alias("high"))
+    within = (F.col("top") >= F.col("low") - epsilon - _SLACK) & (d <= F.col("high") + epsilon + _SLACK)
     kept = marked.join(stage(ranges, "ranges"), ["g", "p"]).groupBy("g", "fp", "n")
     kept = kept.agg(F.max("open").alias("open"), F.min(within).alias("within")).where("open or within").drop("within")
     kept = stage(kept, "kept")
@@ -292,8 +314,8 @@ def _sets(width: int) -> Callable:
         shingler = Shingler(width)
         for batch in batches:
             fps, sets = [], []
-            for text, want in zip(batch.column("text").to_pylist(), batch.column("want").to_pylist(), strict=True):
-                s = shingler.shingles(text)
+            texts = shingler.sets(batch.column("text").to_pylist())
+            for s, want in zip(texts, batch.column("want").to_pylist(), strict=True):
                 if fingerprint(s) == want:
                     fps.append(want)
                     sets.append(s.tobytes())
