@@ -25,9 +25,9 @@ from areastats.session import stage
 
 BLOCKS = 8
 #: Most vectors on either side of a piece.
-PIECE = 8192
+PIECE = 32768
 #: Rows of a piece that are compared at once.
-STRIPE = 512
+STRIPE = 128
 #: Allowance for rounding in the block distances; the cosine itself has none.
 SLACK = 1e-9
 _REPLICAS = "block int, cx int, cy int, id long, size long, home boolean, vector binary"
@@ -173,18 +173,23 @@ def _compare(dimensions: int, cosine: float, dtype: str) -> Callable:
         unit = units(raw)
         turned = unit @ turn
         rows, others = (np.flatnonzero(np.asarray(table[c])) for c in ("is_left", "is_right"))
-        there = np.ascontiguousarray(turned[others, a:b].T)
-        norm = (there * there).sum(axis=0)
+        # In order of a third coordinate, a stripe of rows meets only the others within range of it.
+        # Distances are screened in single precision with room for its rounding, then taken in double.
+        z = min(a + 2, b - 1)
+        rows, others = (side[np.argsort(turned[side, z], kind="stable")] for side in (rows, others))
+        reach = np.sqrt(allowed[block]) + 1e-6
+        there = turned[others, a:b].astype(np.float32)
+        norm, order = (there * there).sum(axis=1), turned[others, z]
         links: list[tuple[np.ndarray, np.ndarray]] = []
         for start in range(0, len(rows), STRIPE):
             mine = rows[start : start + STRIPE]
-            here = turned[mine, a:b]
-            near = here @ there
+            low, high = np.searchsorted(order, [turned[mine[0], z] - reach, turned[mine[-1], z] + reach])
+            here = turned[mine, a:b].astype(np.float32)
+            near = here @ there[low:high].T
             near *= -2
-            near += norm
-            near += (here * here).sum(axis=1)[:, None]
-            i, j = np.nonzero(near <= allowed[block] + SLACK)
-            i, j = mine[i], others[j]
+            near += norm[low:high]
+            i, j = np.nonzero(near <= (allowed[block] + 1e-5 - (here * here).sum(axis=1))[:, None])
+            i, j = mine[i], others[low + j]
             for s in range(0, len(i), 1 << 17):
                 links.append(_verified(i[s : s + (1 << 17)], j[s : s + (1 << 17)], unit, turned, ids, edges, allowed, block, cosine))
         i = np.concatenate([x for x, _ in links]) if links else np.zeros(0, int)
