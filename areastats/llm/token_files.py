@@ -4,15 +4,15 @@ The documents are ordered by id over range partitions. Every partition writes se
 documents, about ``SEGMENT_IDS`` ids each. A segment is one row of a Parquet table, so Spark's
 writer commits it, a lost task writes it again, and readers need no other file system:
 
-``part``, ``seq``   place of the segment: all of part 0 in order of seq, then part 1, ...
+``part``, ``before``  place of the segment: its part, and the ids that stand before it in the part
 ``doc_ids``         ids of its documents, in order (NULL first)
 ``n_ids``           how many token ids it holds
 ``ids``             the token ids of all documents, end ids included, little endian, 2 or 4 bytes
 ``width``           bytes of an id: 2 if every id of the vocabulary fits
 ``ends``            Elias-Fano code of the place after each document's last id
 
-No table of 64-bit offsets is kept: boundaries within a segment come from the code, and the start
-of a segment is the number of ids in the segments before it.
+No table of 64-bit offsets is kept: boundaries within a segment come from the code, and where a
+part begins is the number of ids in the parts before it.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ SEGMENT_IDS = 1 << 18
 CACHE_WORDS = 1_200_000
 #: Longer words are not kept.
 CACHE_LENGTH = 40
-_SEGMENTS = "part int, seq int, doc_ids array<long>, n_ids long, ids binary, width int, ends binary"
+_SEGMENTS = "part int, before long, doc_ids array<long>, n_ids long, ids binary, width int, ends binary"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: White space after which a break or a space does not begin a part of its own.
 _INNER = re.compile(r"\s[ \n]")
@@ -130,9 +130,9 @@ def segment_writer(tokenizer_json, end_id: int, segment_ids: int) -> Callable:
         if encoder is None or store.get("encoder_of") != tokenizer_json.value:
             encoder = CachedEncoder(tokenizer_json.value)
             store.update(encoder=encoder, encoder_of=tokenizer_json.value)
-        part, seq = TaskContext.get().partitionId(), 0
+        part, before = TaskContext.get().partitionId(), 0
         schema = pa.schema(
-            [("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64()),
+            [("part", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64()),
              ("ids", pa.binary()), ("width", pa.int32()), ("ends", pa.binary())]
         )
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
@@ -140,7 +140,7 @@ def segment_writer(tokenizer_json, end_id: int, segment_ids: int) -> Callable:
 
         def segment() -> pa.RecordBatch:
             ends = np.cumsum([len(b) // encoder.width for b in blobs])
-            row = (part, seq, doc_ids, total, b"".join(blobs), encoder.width, EliasFano.encode(ends).to_bytes())
+            row = (part, before, doc_ids, total, b"".join(blobs), encoder.width, EliasFano.encode(ends).to_bytes())
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -153,7 +153,7 @@ def segment_writer(tokenizer_json, end_id: int, segment_ids: int) -> Callable:
                     total += len(blobs[-1]) // encoder.width
                     if total >= segment_ids:
                         yield segment()
-                        doc_ids, blobs, total, seq = [], [], 0, seq + 1
+                        doc_ids, blobs, before, total = [], [], before + total, 0
         if blobs:
             yield segment()
 
@@ -226,12 +226,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: first place in the whole id sequence, length, checksum of the ids."""
     segments = spark.read.schema(_SEGMENTS).parquet(path)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition that wrote; then one row per segment. No row of a document moves.
+    so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition that wrote, so it can be summed in one place and broadcast; no row of
+    # a document moves.
     parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
-    inside = segments.select("part", "seq", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("in_part"))
-    bases = inside.join(parts, "part").select("part", "seq", (F.col("part_base") + F.col("in_part")).alias("base"))
-    rows = segments.join(bases, ["part", "seq"]).select("doc_ids", "ids", "width", "ends", "base")
+    parts = parts.select("part", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("part_base"))
+    rows = segments.join(F.broadcast(parts), "part")
+    rows = rows.select("doc_ids", "ids", "width", "ends", (F.col("part_base") + F.col("before")).alias("base"))
     return rows.mapInArrow(_digests, _ROWS)
