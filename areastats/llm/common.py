@@ -21,6 +21,14 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
 
+def inner_prefix(df: DataFrame) -> str:
+    """How names of helper columns can begin so that none of ``df`` clashes."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def text_hash(text: Column) -> Column:
     """Tells rows with the same id apart: equal texts (or none) give equal values."""
     return F.xxhash64(text, F.octet_length(text))

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import narrow
+from areastats.llm.common import inner_prefix, narrow
 from areastats.session import stage
 
 #: Places that count are 1. Weight 8 over 11 or 12 tokens.
@@ -144,7 +144,7 @@ def _hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
     seeds = windows(items.where(F.size("b") >= shortest), "b", masks, "class", "b")
     seeds = seeds.select("key", "mask", F.col("class"), F.col("pos").alias("ipos"))
     texts = items.select("class", "item_id", "b")
-    looked = windows(rows, "h", masks, "doc_id", "h")
+    looked = windows(rows, "h", masks, "doc_id", "h").where(~_shifted("h", masks))
     hits = looked.join(F.broadcast(seeds), ["key", "mask"]).join(F.broadcast(texts), "class")
     # A hit right behind another of the same mask and offset belongs to the same run.
     follows = F.lit(False)
@@ -158,6 +158,21 @@ def _hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
     return hits.select("doc_id", "h", "item_id", "b", (F.col("pos") - F.col("ipos")).alias("offset"))
 
 
+def _shifted(tokens: str, masks: Sequence[str]) -> Column:
+    """Whether a window looks at the same tokens as the one before it: one token again and again.
+
+    The first window of such a run stands for all of it, else a text of one word would hit at every place.
+    """
+    again = F.lit(False)
+    for m, mask in enumerate(masks):
+        same = (F.col("mask") == m) & (F.col("pos") > 0)
+        for k, c in enumerate(mask):
+            if c == "1":
+                same = same & (F.get(tokens, F.col("pos") - 1 + k) == F.get(tokens, F.col("pos") + k))
+        again = again | same
+    return again
+
+
 def _verified(hits: DataFrame, min_tokens: int) -> DataFrame:
     first = F.greatest(F.lit(0), -F.col("offset"))
     last = F.least(F.size("b"), F.size("h") - F.col("offset"))
@@ -177,5 +192,6 @@ def _verified(hits: DataFrame, min_tokens: int) -> DataFrame:
 
 def remove_leaking(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that leak; all columns, also documents without an id."""
-    leaking = find_leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(leaking, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_anti")
+    leaking = find_leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options).select("doc_id").distinct()
+    gone = f"{inner_prefix(docs)}id"
+    return docs.join(leaking.toDF(gone), F.col(f"`{id_col}`").eqNullSafe(F.col(gone)), "left_anti")

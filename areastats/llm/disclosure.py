@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import narrow, text_hash
+from areastats.llm.common import inner_prefix, narrow, text_hash
 from areastats.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -208,12 +208,14 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("label")))
     label = lambda s: F.when(s["action"] == "remove", "").otherwise("[TERM]")
     terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), label(s).alias("label")))
-    marks = found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.sort_array(F.concat(base, terms)).alias("__marks"))
-    marks = marks.where(F.size("__marks") > 0).distinct()
+    prefix = inner_prefix(docs)
+    key, doc_id, th, marks = (f"{prefix}{c}" for c in ("key", "id", "th", "marks"))
+    marked = found.select("doc_id", "th", F.sort_array(F.concat(base, terms)).alias("marks"))
+    marked = marked.where(F.size("marks") > 0).distinct().toDF(doc_id, th, marks)
     text = F.col(f"`{text_col}`")
-    keyed = docs.withColumn("__key", text_hash(F.coalesce(text, F.lit(""))))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th"))
-    joined = keyed.join(marks, same, "left")
+    keyed = docs.withColumn(key, text_hash(F.coalesce(text, F.lit(""))))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(doc_id)) & (F.col(key) == F.col(th))
+    joined = keyed.join(marked, same, "left")
     none = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
 
     def step(s: Column, m: Column) -> Column:
@@ -225,5 +227,5 @@ def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     def rest(s: Column) -> Column:
         return F.concat(F.array_join(s["out"], ""), F.substr(text, s["pos"] + 1, F.length(text)))
 
-    clean = F.when(F.col("__marks").isNull(), text).otherwise(F.aggregate("__marks", none, step, rest))
+    clean = F.when(F.col(marks).isNull(), text).otherwise(F.aggregate(marks, none, step, rest))
     return joined.select(*[clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

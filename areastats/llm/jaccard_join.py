@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.llm.common import narrow, possible
+from areastats.llm.common import inner_prefix, narrow, possible
 from areastats.llm.components import connected_components
 from areastats.llm.shingles import Shingler, fingerprint, least_distance, signature
 from areastats.session import stage
@@ -84,7 +84,8 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     found = near_documents(docs, id_col=id_col, text_col=text_col, **options)
     gone = found.groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("kept")).where("not kept")
-    return docs.join(gone.select(F.col("doc_id").alias("__id")), F.col(f"`{id_col}`") == F.col("__id"), "left_anti")
+    name = f"{inner_prefix(docs)}id"
+    return docs.join(gone.select("doc_id").toDF(name), F.col(f"`{id_col}`") == F.col(name), "left_anti")
 
 
 def linked_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:

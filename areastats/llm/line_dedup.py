@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import text_hash
+from areastats.llm.common import inner_prefix, text_hash
 from areastats.session import stage
 
 #: Where a line ends; the separator stays with its line, so kept lines join up again.
@@ -37,32 +37,34 @@ def dedup_lines(
     document and are all returned, with the same result; a NULL id sorts first. Equal texts under different
     ids are copies: the first stays, the others lose all lines. Other columns may have any name.
     """
-    marked = _marked(docs, id_col, text_col)
+    marked, removed, lines = _marked(docs, id_col, text_col)
     if drop_emptied:
-        marked = marked.where((_removed() == 0) | (_removed() < F.size("__lines")))
-    return marked.select(*[_kept_text(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+        marked = marked.where((_count(removed) == 0) | (_count(removed) < F.size(lines)))
+    text = _kept_text(text_col, removed, lines)
+    return marked.select(*[text if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, lines, removed lines and the text that stays (see ``dedup_lines``)."""
-    return _marked(docs, id_col, text_col).select(
+    marked, removed, lines = _marked(docs, id_col, text_col)
+    return marked.select(
         F.col(f"`{id_col}`").alias("doc_id"),
-        F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
-        _removed().cast("long").alias("n_removed"),
-        _kept_text(text_col).alias("text"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        _count(removed).cast("long").alias("n_removed"),
+        _kept_text(text_col, removed, lines).alias("text"),
     )
 
 
-def _removed() -> Column:
-    return F.coalesce(F.size("__removed"), F.lit(0))
+def _count(removed: str) -> Column:
+    return F.coalesce(F.size(removed), F.lit(0))
 
 
-def _kept_text(text_col: str) -> Column:
-    # "__lines" is named twice, so Spark cuts the text once and not again for every kept line.
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__removed"))
+def _kept_text(text_col: str, removed: str, lines: str) -> Column:
+    # The lines are named twice, so Spark cuts the text once and not again for every kept line.
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(removed))
     return (
-        F.when(_removed() == 0, F.col(f"`{text_col}`"))
-        .otherwise(F.array_join(F.transform(kept, lambda i: F.element_at("__lines", i + 1)), ""))
+        F.when(_count(removed) == 0, F.col(f"`{text_col}`"))
+        .otherwise(F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + 1)), ""))
         .alias(text_col)
     )
 
@@ -102,15 +104,15 @@ def later_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     repeated = stage(repeated, "repeated-windows")
     later = windows.join(repeated, ["k1", "k2"]).where(~place.eqNullSafe(F.col("first")))
     covered = F.flatten(F.transform(F.collect_list("pos"), lambda p: F.array(p, p + 1, p + 2)))
-    return later.groupBy("doc_id", "th").agg(F.array_distinct(covered).alias("__removed"))
+    return later.groupBy("doc_id", "th").agg(F.array_distinct(covered).alias("removed"))
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with its ``__lines`` and the places that go, ``__removed`` (NULL: none)."""
-    removed = later_windows(docs, id_col, text_col).select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "__removed"
-    )
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
+    """``docs`` with two more columns: the places of the lines that go (NULL: none), and the lines."""
+    prefix = inner_prefix(docs)
+    key, doc_id, th, removed, lines = (f"{prefix}{c}" for c in ("key", "id", "th", "removed", "lines"))
+    found = later_windows(docs, id_col, text_col).toDF(doc_id, th, removed)
     text = F.col(f"`{text_col}`")
-    left = docs.withColumn("__key", text_hash(text))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th"))
-    return left.join(removed, same, "left").withColumn("__lines", lines_of(text))
+    left = docs.withColumn(key, text_hash(text))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(doc_id)) & (F.col(key) == F.col(th))
+    return left.join(found, same, "left").withColumn(lines, lines_of(text)), removed, lines

@@ -36,6 +36,7 @@ def test_columns_stay_and_emptied_documents_go(docs):
     # The row without an id sorts first, so its copy stays.
     assert sorted((r.doc_id or 0, r.text, r.pos) for r in out.collect() if r.text) == [(0, "a\nb\nc", 5)]
     assert {r.doc_id for r in out.collect() if not r.text} == {3, 4}
+    assert {(r["key"], r["__key"], r["first"]) for r in out.collect()} == {("k", "x", None)}
 
 
 def test_repeated_rows_are_one_document(docs):

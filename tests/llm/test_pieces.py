@@ -97,7 +97,7 @@ def test_every_text_comes_back(spark, pieces, docs, encoder):
         assert (r.n_tokens == 0) == (not text)
     assert encoder.decode(encoder.encode(["a▁b"])[0]) == "a▁b" and out[9].ids == out[len(TEXTS)].ids
     assert encode_pieces(docs([]), pieces).collect() == []
-    assert "ids" not in encode_pieces(df, pieces, with_ids=False).columns
+    assert "ids" not in encode_pieces(docs([]), pieces, with_ids=False).columns
 
 
 def test_words_are_encoded_alike_with_and_without_the_cache(pieces, encoder):
