@@ -1,10 +1,24 @@
-"""Plain Python versions of what the operators compute."""
+"""Plain Python versions of what the operators compute, and a fixture that makes documents."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable
 
+import pytest
+from pyspark.sql import functions as F
+
+
+@pytest.fixture
+def docs(spark):
+    """``docs([(id, text), ...])`` makes documents; more columns may be named with one value each."""
+
+    def make(rows, schema="doc_id long, text string", **more):
+        df = spark.createDataFrame([tuple(r) for r in rows], schema)
+        return df.withColumns({c: F.lit(v) for c, v in more.items()}) if more else df
+
+    return make
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

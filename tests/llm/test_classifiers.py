@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from brute import docs  # noqa: F401
 from areastats.llm.language import FTRL, predict_language, softmax, temperature
 from areastats.llm.ngrams import NGrams
 from areastats.llm.quality import quality_scores, vote

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from brute import docs  # noqa: F401
 from areastats.llm.decontam import MASKS, find_leaks, remove_leaking
 
 ITEMS = "item_id long, text string"

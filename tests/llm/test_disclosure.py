@@ -2,7 +2,7 @@ import hashlib
 import random
 
 from areastats.llm.disclosure import find_personal_data, personal_data_report, sanitise
-from brute import base_spans
+from brute import docs, base_spans  # noqa: F401
 
 CARD = "4539 1488 0343 6467"
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from areastats.llm import jaccard_join
 from areastats.llm.jaccard_join import keep_one_of_each, near_documents
-from brute import components, shingles
+from brute import docs, components, shingles  # noqa: F401
 
 
 def linked(sets):

@@ -1,7 +1,7 @@
 import random
 
 from areastats.llm.line_dedup import dedup_lines, line_report
-from brute import line_dedup
+from brute import docs, line_dedup  # noqa: F401
 
 
 def test_against_plain_python(docs):

@@ -6,6 +6,7 @@ import pytest
 import sentencepiece
 import zlib
 
+from brute import docs  # noqa: F401
 from areastats.llm.double_array import DoubleArray
 from areastats.llm.unigram import Unigram, encode_pieces, read_pieces
 

@@ -3,6 +3,7 @@ import zlib
 
 import pytest
 
+from brute import docs  # noqa: F401
 from areastats.llm.sharding import shard_documents
 
 

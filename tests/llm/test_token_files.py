@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from brute import docs  # noqa: F401
 from areastats.llm.elias_fano import EliasFano
 from areastats.llm.token_files import CachedEncoder, read_digests, read_ids, write_token_files
 from areastats.session import shared_folder
