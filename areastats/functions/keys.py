@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
@@ -36,6 +36,10 @@ def area_key(
     return F.concat_ws(sep, name, state)
 
 
-def key_state(key: Column, sep: str = "-") -> Column:
-    """Text after the last separator (county names may hold the separator themselves)."""
-    return F.substring_index(key, sep, -1)
+def key_state(key: Column, sep: str = "-", codes: Iterable[str] = tuple(STATE_CODES.values())) -> Column:
+    """The state code after the last separator (county names may hold the separator themselves).
+
+    NULL if what stands there is no known code, as in keys of areas without a state.
+    """
+    last = F.substring_index(key, sep, -1)
+    return F.when(F.contains(key, F.lit(sep)) & last.isin(*codes), last)

@@ -68,7 +68,8 @@ def _train(spark: SparkSession, a: Args) -> DataFrame:
     start = load_model(spark, a.model) if a.model else None
     merged = read_csv(spark, a.input)
     model = train_on_merged(
-        merged, a.inputs, a.hidden, a.epochs, a.rate, a.activation, a.seed, start=start, after_epoch=save
+        merged, a.inputs, a.hidden, a.epochs, a.rate, a.activation, a.seed, start=start, after_epoch=save,
+        group_inputs=a.group_inputs,
     )
     save_model(spark, model, f"{a.output}/model", a.mode)
     write_csv(model.spec.incomplete_count(merged), f"{a.output}/rows", mode=a.mode)
@@ -104,7 +105,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("input", help="file or folder")
     p.add_argument("output", help="folder to write, outside the input folder")
     p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "append", "ignore"])
-    p.add_argument("--single-file", action="store_true", help="one part, if the result is small")
+    p.add_argument("--parts", type=int, help="write so many parts, each by one task")
+    p.add_argument("--single-file", action="store_const", const=1, dest="parts", help="write one part, by one task")
     p.add_argument("--by-state", metavar="COLUMN", help="one folder per value of this column")
     p.add_argument("--states", nargs="*", help="read the files of these states only")
     p.add_argument("--school-states", action="store_const", dest="states", const=SCHOOL_FILE_STATES)
@@ -118,6 +120,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--inputs", nargs="*", default=["SVI"], help="train: input columns")
     p.add_argument("--hidden", nargs="*", type=int, default=[], help="train: sizes of the hidden layers")
     p.add_argument("--epochs", type=int, default=150)
+    p.add_argument("--group-inputs", action="store_true", help="train: add rows up per distinct input first")
     p.add_argument("--rate", type=float, default=0.1)
     p.add_argument("--activation", default="tanh")
     p.add_argument("--seed", type=int, default=0)
@@ -133,7 +136,7 @@ def run(spark: SparkSession, a: Args) -> None:
         write_by_state(result, a.output, a.by_state, mode=a.mode)
     else:
         path = f"{a.output}/history" if a.job == "train" else a.output
-        write_csv(result, path, single_file=a.single_file, mode=a.mode)
+        write_csv(result, path, parts=a.parts, mode=a.mode)
 
 
 def main() -> None:

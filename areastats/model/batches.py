@@ -21,7 +21,7 @@ class Block:
     """Rows as matrices: inputs and targets, or per distinct input the sums of its targets.
 
     In the second case ``n`` holds the rows behind each input and ``squares`` the sums of the
-    squared targets.
+    squared deviations of the targets from their mean.
     """
 
     x: np.ndarray
@@ -54,7 +54,8 @@ class Block:
         """Sum of ``(y - t)^2`` per output."""
         if self.n is None:
             return np.square(y - self.t).sum(axis=0)
-        return (np.square(y) * self.n[:, None] - 2 * y * self.t + self.squares).sum(axis=0)
+        n = self.n[:, None]
+        return (n * np.square(y - self.t / n) + self.squares).sum(axis=0)
 
 
 def passes(network: Network) -> tuple[Callable, Callable]:

@@ -34,13 +34,17 @@ def positions(network: Network, outputs: Sequence[str]) -> list[str]:
 
 
 def by_inputs(df: DataFrame, network: Network) -> DataFrame:
-    """One row per distinct input: inputs, number of rows, sums and squared sums of the targets.
+    """One row per distinct input: inputs, number of rows, sums of the targets and of their squared deviations.
 
     A network answers equal inputs equally, so these sums are all that its errors and gradients
     depend on. An index with four decimals has ten thousand values, however many rows carry it.
     """
     xs, ts = _columns(df, 0, network.n_in), _columns(df, network.n_in, network.n_in + network.n_out)
-    sums = [F.sum(t).alias(f"t{j}") for j, t in enumerate(ts)] + [F.sum(t * t).alias(f"q{j}") for j, t in enumerate(ts)]
+    sums = [F.sum(t).alias(f"t{j}") for j, t in enumerate(ts)] + [
+        # Deviations from the mean of the input: no difference of large sums, never negative.
+        (F.var_pop(t) * F.count(t)).alias(f"q{j}")
+        for j, t in enumerate(ts)
+    ]
     keys = [x.alias(f"x{i}") for i, x in enumerate(xs)]
     return df.groupBy(*keys).agg(F.count("*").cast("double").alias("n"), *sums)
 
@@ -68,7 +72,7 @@ def gradient_sums(df: DataFrame, network: Network, weights: list[np.ndarray], gr
     if grouped:
         n, squares = F.col("n"), _columns(df, first + network.n_out, first + 2 * network.n_out)
         errors = [n * y - t for y, t in zip(ys, ts, strict=True)]
-        squared = [n * y * y - 2.0 * y * t + q for y, t, q in zip(ys, ts, squares, strict=True)]
+        squared = [n * (y - t / n) * (y - t / n) + q for y, t, q in zip(ys, ts, squares, strict=True)]
         rows = F.sum(n)
     else:
         errors = [y - t for y, t in zip(ys, ts, strict=True)]

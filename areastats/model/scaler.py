@@ -46,33 +46,14 @@ def _moments(spec: FeatureSpec) -> Column:
     return F.array(*[entry(i, c) for i, c in enumerate(spec.columns)])
 
 
-@dataclass(frozen=True)
-class Summary:
-    """What one pass over the rows tells: the scaler, the rows, and about how many distinct inputs."""
-
-    scaler: Scaler
-    rows: int
-    distinct_inputs: int
-
-
-def summarize(df: DataFrame, spec: FeatureSpec) -> Summary:
-    """Summarise the rows given; one entry per column comes to the driver."""
-    inputs = F.struct(*[F.col(f"`{c}`") for c in spec.inputs])
-    row = (
-        spec.select(df)
-        .agg(_moments(spec).alias("moments"), F.count("*").alias("rows"), F.approx_count_distinct(inputs).alias("n"))
-        .first()
-    )
+def fit_scaler(df: DataFrame, spec: FeatureSpec) -> Scaler:
+    """Scaler of the rows given, in one pass; one entry per column comes to the driver."""
+    row = spec.select(df).agg(_moments(spec).alias("moments"), F.count("*").alias("rows")).first()
     if not row["rows"]:
         raise ValueError("no rows to fit the scaler on")
-    means, stds = (np.array([m[k] for m in row["moments"]]) for k in ("mean", "std"))
-    return Summary(Scaler(means, stds), row["rows"], row["n"])
+    return Scaler(*(np.array([m[k] for m in row["moments"]]) for k in ("mean", "std")))
 
 
-def fit_scaler(df: DataFrame, spec: FeatureSpec) -> Scaler:
-    """Scaler of the rows given."""
-    return summarize(df, spec).scaler
-
 
 def standardize(df: DataFrame, spec: FeatureSpec, scaler: Scaler) -> DataFrame:
     """Replace the columns of the specification by their standardised values."""

@@ -1,4 +1,4 @@
-"""A model as small Parquet tables."""
+"""A model as one row of a Parquet table, so it is stored whole or not at all."""
 
 from __future__ import annotations
 
@@ -9,47 +9,43 @@ from areastats.model.network import Model, Network
 from areastats.model.scaler import Scaler
 from areastats.model.spec import FeatureSpec
 
-_SCALER = "position int, column string, role string, mean double, std double"
-_CONFIG = "n_in int, n_out int, hidden array<int>, activation string, output_activation string, trained boolean"
+_MODEL = (
+    "inputs array<string>, outputs array<string>, hidden array<int>, activation string, output_activation string, "
+    "trained boolean, weights array<double>, means array<double>, stds array<double>, "
+    "history array<struct<epoch: int, cost: double, mean_error: array<double>>>"
+)
 
 
 def save_model(spark: SparkSession, model: Model, path: str, mode: str = "errorifexists") -> None:
-    """Write weights, scaler, configuration and history below ``path``."""
-    roles = ["input"] * len(model.spec.inputs) + ["output"] * len(model.spec.outputs)
-    scaled = model.scaler is not None
-    means = model.scaler.means.tolist() if scaled else [None] * len(roles)
-    stds = model.scaler.stds.tolist() if scaled else [None] * len(roles)
-    columns = list(zip(range(len(roles)), model.spec.columns, roles, means, stds, strict=True))
-    n = model.network
-    config = [(n.n_in, n.n_out, list(n.hidden), n.activation, n.output_activation, model.trained)]
-    tables = {
-        "weights": model.weight_table(spark),
-        "scaler": spark.createDataFrame(columns, _SCALER),
-        "config": spark.createDataFrame(config, _CONFIG),
-        "history": model.history_table(spark),
-    }
-    for name, df in tables.items():
-        df.write.mode(mode).parquet(f"{path}/{name}")
+    """Write weights, scaler, configuration and history to ``path``.
+
+    The file appears when the write is committed; a crash before that leaves no model.
+    """
+    n, scaler = model.network, model.scaler
+    row = (
+        list(model.spec.inputs),
+        list(model.spec.outputs),
+        list(n.hidden),
+        n.activation,
+        n.output_activation,
+        model.trained,
+        n.flatten(model.weights).tolist(),
+        None if scaler is None else scaler.means.tolist(),
+        None if scaler is None else scaler.stds.tolist(),
+        [(epoch, cost, list(errors)) for epoch, cost, errors in model.history],
+    )
+    spark.createDataFrame([row], _MODEL).coalesce(1).write.mode(mode).parquet(path)
 
 
 def load_model(spark: SparkSession, path: str) -> Model:
-    """Read a stored model; its tables have one row per weight, column or epoch."""
-    config = spark.read.parquet(f"{path}/config").first()
-    columns = sorted(spark.read.parquet(f"{path}/scaler").collect(), key=lambda r: r["position"])
-    spec = FeatureSpec(
-        tuple(r["column"] for r in columns if r["role"] == "input"),
-        tuple(r["column"] for r in columns if r["role"] == "output"),
-    )
+    """Read a stored model; a folder without one is an error."""
+    row = spark.read.schema(_MODEL).parquet(path).first()
+    if row is None:
+        raise ValueError(f"{path} holds no complete model")
+    spec = FeatureSpec(tuple(row["inputs"]), tuple(row["outputs"]))
     network = Network(
-        config["n_in"], config["n_out"], tuple(config["hidden"]), config["activation"], config["output_activation"]
-    )
-    weights = [np.zeros(shape) for shape in network.shapes]
-    for r in spark.read.parquet(f"{path}/weights").collect():
-        weights[r["layer"]][r["row"], r["col"]] = r["w"]
-    scaler = None
-    if all(r["mean"] is not None for r in columns):
-        scaler = Scaler(np.array([r["mean"] for r in columns]), np.array([r["std"] for r in columns]))
-    history = sorted(
-        (r["epoch"], r["cost"], tuple(r["mean_error"])) for r in spark.read.parquet(f"{path}/history").collect()
+        len(spec.inputs), len(spec.outputs), tuple(row["hidden"]), row["activation"], row["output_activation"]
     )
-    return Model(spec, network, weights, scaler, config["trained"], history)
+    scaler = None if row["means"] is None else Scaler(np.array(row["means"]), np.array(row["stds"]))
+    history = sorted((r["epoch"], r["cost"], tuple(r["mean_error"])) for r in row["history"])
+    return Model(spec, network, network.unflatten(np.array(row["weights"])), scaler, row["trained"], history)

@@ -41,6 +41,7 @@ def sweep(
     activations: Sequence[str] = ACTIVATIONS,
     learning_rate: float = 0.1,
     seed: int = 0,
+    group_inputs: bool = False,
 ) -> DataFrame:
     """One row per combination with its errors on the train and test rows.
 
@@ -50,7 +51,7 @@ def sweep(
     networks = [Network.of(spec, h, a) for h in hidden for a in activations]
     weights = [n.initial_weights(seed) for n in networks]
     configs, stored = [], []
-    with training_rows(train_df, spec, None) as rows:
+    with training_rows(train_df, spec, None, group_inputs) as rows:
         for epoch in range(1, max(epochs) + 1):
             sums: list[dict[int, float]] = [{} for _ in networks]
             # One number per weight and network.

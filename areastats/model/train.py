@@ -7,18 +7,14 @@ from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from areastats.model.gradient import by_inputs, gradient_sums
 from areastats.model.network import Model, Network
-from areastats.model.scaler import Scaler, standardize, summarize
+from areastats.model.scaler import Scaler, fit_scaler, standardize
 from areastats.model.spec import FeatureSpec
 from areastats.session import staged
 
-#: Rows are grouped by input if that leaves at most one in so many.
-GROUPING_FACTOR = 4
-
 
 @dataclass(frozen=True)
 class TrainingRows:
@@ -30,27 +26,23 @@ class TrainingRows:
 
 
 @contextmanager
-def training_rows(df: DataFrame, spec: FeatureSpec, scaler: Scaler | None) -> Iterator[TrainingRows]:
-    """Complete rows, standardised, written once to the shared folder and cached for the block.
+def training_rows(
+    df: DataFrame, spec: FeatureSpec, scaler: Scaler | None, group_inputs: bool = False
+) -> Iterator[TrainingRows]:
+    """Complete rows, standardised, written once to the shared folder for the block.
 
     Every epoch reads these rows, so losing an executor costs a re-read of its part of the files.
-    If inputs repeat often, the rows are added up per distinct input before they are written,
-    which changes no sum that training uses. The table itself is read twice, for its summary and
+    With ``group_inputs`` the rows are added up per distinct input before they are written, which
+    changes no sum that training uses and pays off where inputs repeat often. The table itself is read twice, for its summary and
     for the rows; one that is expensive to make should be stored first.
     """
     complete = spec.complete(df)
-    summary = summarize(complete, spec)
-    scaler = scaler or summary.scaler
+    scaler = scaler or fit_scaler(complete, spec)
     rows = standardize(complete, spec, scaler)
-    grouped = summary.distinct_inputs * GROUPING_FACTOR <= summary.rows
-    if grouped:
+    if group_inputs:
         rows = by_inputs(rows, Network.of(spec, ()))
     with staged(rows, "training-rows") as stored:
-        stored.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            yield TrainingRows(stored, scaler, grouped)
-        finally:
-            stored.unpersist()
+        yield TrainingRows(stored, scaler, group_inputs)
 
 
 def step(
@@ -68,15 +60,18 @@ def train(
     epochs: int = 50,
     learning_rate: float = 0.1,
     after_epoch: Callable[[int, Model], None] | None = None,
+    group_inputs: bool = False,
 ) -> Model:
     """Train on the complete rows of ``df``; one aggregation job per epoch.
 
-    A model that already has a scaler keeps it. ``after_epoch`` gets the epoch number and the
+    A model that already has a scaler keeps it, and one that has a history goes on counting
+    epochs where it stopped. ``after_epoch`` gets the epoch number and the
     model so far, e.g. to store it from time to time.
     """
-    with training_rows(df, model.spec, model.scaler) as rows:
-        current = replace(model, scaler=rows.scaler, history=[])
-        for epoch in range(1, epochs + 1):
+    done = max((epoch for epoch, _, _ in model.history), default=0)
+    with training_rows(df, model.spec, model.scaler, group_inputs) as rows:
+        current = replace(model, scaler=rows.scaler)
+        for epoch in range(done + 1, done + epochs + 1):
             sums = collect_sums(gradient_sums(rows.df, current.network, current.weights, rows.grouped))
             weights, cost, errors = step(current.network, current.weights, sums, learning_rate)
             current = replace(current, weights=weights, history=[*current.history, (epoch, cost, errors)])

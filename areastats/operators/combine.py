@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -61,7 +61,17 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def merge_pages(frames: Sequence[DataFrame]) -> DataFrame:
-    """Put column pages back together by what they share, the row key, which must be unique."""
+    """Put column pages back together by what they share, the row key.
+
+    Keys are checked first, in one aggregation over the key columns: a repeated or NULL key would
+    pair rows that do not belong together, so it is an error.
+    """
+    if len(frames) > 1:
+        shared = [c for c in frames[0].columns if all(c in f.columns for f in frames)]
+        keys = [F.col(f"`{c}`") for c in shared]
+        missing = reduce(or_, (k.isNull() for k in keys), F.lit(False))
+        if not frames[0].groupBy(*keys).agg(F.count("*").alias("__rows")).where((F.col("__rows") > 1) | missing).isEmpty():
+            raise ValueError(f"the row key {shared} repeats or is missing")
     return reduce(natural_join, frames)
 
 

@@ -36,11 +36,13 @@ def join_unique(
     how: str = "inner",
     share: float = HOT_SHARE,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``left`` rows to ``right``, which has one row per key (inner, left, semi or anti).
 
     The result is the plain join's, whole. ``right`` is broadcast as a whole only if measured
-    and small, and its rows for hot keys only if they are no more than there are hot keys; if
+    and at most ``broadcast_bytes``, and its rows for hot keys only if they take at most ``hot_bytes``
+    and are no more than there are hot keys; if
     there are more, keys are not unique and the plain join is used.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -52,7 +54,7 @@ def join_unique(
         return left.join(right, key, how)
     hot_right = right.where(_in(key, hot))
     rows, size = measured(hot_right)
-    if rows > len(hot) or size > BROADCAST_BYTES:
+    if rows > len(hot) or size > hot_bytes:
         return left.join(right, key, how)
     known = left.where(F.col(f"`{key}`").isNotNull())
     out = known.where(~_in(key, hot)).join(right.where(~_in(key, hot)), key, how)

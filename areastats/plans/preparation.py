@@ -21,9 +21,8 @@ from areastats.config import (
 from areastats.functions.keys import area_key
 from areastats.functions.numbers import total
 from areastats.functions.text import plain_number, quoted_line, strip_anywhere
-from areastats.operators.combine import concat_by_name, merge_pages
+from areastats.operators.combine import concat_by_name
 from areastats.operators.filters import nonblank, present, without_territories
-from areastats.operators.project import pages
 
 
 def prepare_dropouts(
@@ -56,16 +55,12 @@ def prepare_teens(table: DataFrame, territories: Sequence[str] = TERRITORY_NAMES
     )
 
 
-def prepare_income(
-    table: DataFrame, row_id: str = "OBJECTID", territories: Sequence[str] = TERRITORY_NAMES, page: int = 5
-) -> DataFrame:
-    """All survey fields of the states, fetched in pages of columns and put together again.
+def prepare_income(table: DataFrame, territories: Sequence[str] = TERRITORY_NAMES) -> DataFrame:
+    """All survey fields of the states.
 
-    A landed table has no limit on columns, so callers that do not need the pages should use
-    ``without_territories`` alone; the result is the same without any join.
+    They used to be fetched in pages of columns and joined; a landed table needs neither.
     """
-    kept = without_territories(table, "State", territories)
-    return merge_pages(pages(kept, row_id, page))
+    return without_territories(table, "State", territories)
 
 
 def prepare_sites(

@@ -25,16 +25,17 @@ def train_on_merged(
     key: str = KEY,
     start: Model | None = None,
     after_epoch: Callable[[int, Model], None] | None = None,
+    group_inputs: bool = False,
 ) -> Model:
     """Train on the train part of a merged table. The defaults are the shipped run: no hidden layer.
 
     ``start`` goes on with a stored model instead of a new one; ``after_epoch`` sees the model
-    after each epoch, e.g. to store it.
+    after each epoch, e.g. to store it. ``group_inputs`` adds rows up per distinct input first.
     """
     if start is None:
         spec = FeatureSpec.of(merged, inputs, key)
         start = Model.new(spec, Network.of(spec, hidden, activation), seed)
-    return train(start, hash_split(merged, key)[0], epochs, learning_rate, after_epoch)
+    return train(start, hash_split(merged, key)[0], epochs, learning_rate, after_epoch, group_inputs)
 
 
 def evaluate_on_merged(model: Model, merged: DataFrame, key: str = KEY) -> DataFrame:

@@ -97,7 +97,7 @@ def prep_income(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_name").alias("B19049_003E"),
         F.upper("r_name").alias("B19049_004E"),
     )
-    return prepare_income(landed, "OBJECTID", TERRITORY)
+    return prepare_income(landed, TERRITORY)
 
 
 @query(f"""WITH {GEO}

@@ -37,7 +37,7 @@ def csv_header_scan(spark: SparkSession, sf: str) -> DataFrame:
 SELECT area AS "County-State", count(*) AS "Public" FROM customer JOIN geo ON c_nationkey = n_nationkey GROUP BY area""")
 def csv_single_file_sink(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark, "csv")
-    write_csv(count_by_key(public_sites(spark, sf), "Public"), path, single_file=True)
+    write_csv(count_by_key(public_sites(spark, sf), "Public"), path, parts=1)
     return typed(read_csv(spark, path, [KEY, "Public"]), {"Public": "long"})
 
 
@@ -124,8 +124,8 @@ def write_arrays(df: DataFrame, path: str) -> None:
 
     def arrays(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for state, part in batch.groupby("state"):
-                yield pd.DataFrame({"state": [state], "value": ["[" + ",\n".join(part["record"]) + "]"]})
+            for state, part in batch.groupby("state", dropna=False):
+                yield pd.DataFrame({"state": [None if pd.isna(state) else state], "value": ["[" + ",\n".join(part["record"]) + "]"]})
 
     texts = df.mapInPandas(arrays, "state string, value string")
     texts.write.option("maxRecordsPerFile", 1).partitionBy("state").text(path)

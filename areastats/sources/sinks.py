@@ -1,31 +1,19 @@
-"""Writers. Every one of them is parallel unless the result is known to be small."""
+"""Writers. Every one of them is parallel unless the caller asks for a number of parts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.operators.skew import measured
 
-#: A table up to this size may be written as a single part.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
+def write_csv(df: DataFrame, path: str, *, parts: int | None = None, mode: str = "errorifexists") -> None:
+    """Write a CSV with header, one part per partition, or exactly ``parts`` parts.
 
-
-def write_csv(
-    df: DataFrame,
-    path: str,
-    *,
-    single_file: bool = False,
-    max_single_bytes: int = SINGLE_FILE_BYTES,
-    mode: str = "errorifexists",
-) -> None:
-    """Write a CSV with header, one part per partition.
-
-    ``single_file`` asks for one part. It is granted when the table, measured first, has at most
-    ``max_single_bytes``; a larger table is written whole in several parts, since one part means
-    one task. ``repartition`` keeps the work upstream parallel, which ``coalesce`` would not.
+    Each part is written by one task, whatever the size of the table; ``parts=1`` is for results
+    that are known to be small. ``repartition`` keeps the work upstream parallel, which ``coalesce``
+    would not.
     """
-    if single_file and measured(df)[1] <= max_single_bytes:
-        df = df.repartition(1)
+    if parts is not None:
+        df = df.repartition(parts)
     df.write.mode(mode).option("header", True).csv(path)
 
 

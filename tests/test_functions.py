@@ -39,8 +39,8 @@ def test_key_flags(rows):
 
 
 def test_state_of_key_is_after_the_last_hyphen(rows):
-    df = rows("k string", [("MIAMI-DADE-FL",), ("O'BRIEN-IA",), ("ST. CLAIR-MI",)])
-    assert values(df, key_state(F.col("k"))) == ["FL", "IA", "MI"]
+    df = rows("k string", [("MIAMI-DADE-FL",), ("O'BRIEN-IA",), ("ST. CLAIR-MI",), ("WASHINGTON",), ("MIAMI-DADE",), ("FL",)])
+    assert values(df, key_state(F.col("k"))) == ["FL", "IA", "MI", None, None, None]
 
 
 def test_suffix_goes_only_at_the_end(rows):

@@ -80,7 +80,7 @@ def test_all_jobs(spark, landed, tmp_path):
     assert read_csv(spark, str(tmp_path / "trained" / "history")).count() == 3
     assert collected(read_csv(spark, str(tmp_path / "trained" / "rows"))) == [("35", "0")]
     run("train", tmp_path / "merged", tmp_path / "again", "--epochs", 2, "--model", tmp_path / "trained" / "model", "--save-every", 1)
-    assert {p.name for p in (tmp_path / "again").iterdir()} == {"history", "rows", "model", "model-epoch-1", "model-epoch-2"}
+    assert {p.name for p in (tmp_path / "again").iterdir()} == {"history", "rows", "model", "model-epoch-4", "model-epoch-5"}
     run("evaluate", tmp_path / "merged", tmp_path / "errors", "--model", tmp_path / "trained" / "model")
     assert read_csv(spark, str(tmp_path / "errors")).count() == 14
 

@@ -157,9 +157,26 @@ def test_grouping_by_input_changes_no_sum(repeated, hidden, name):
     assert np.allclose(collect_sums(gradient_sums(grouped, network, weights, grouped=True)), plain)
 
 
+def test_perfectly_fitted_repeats_have_no_negative_error(spark):
+    """Large targets, each input many times and always with one target: the error sums are exact zeros or more."""
+    spec = FeatureSpec(("x",), ("t",))
+    rows = spark.range(2000).selectExpr("double(id % 7) / 3 AS x", "1e6 + double(id % 7) / 3 AS t")
+    network = Network.of(spec, ())
+    grouped = by_inputs(rows, network)
+    assert grouped.where("q0 < 0").count() == 0 and grouped.agg(F.sum("q0")).first()[0] < 1e-6
+    for hidden in ((), (3,)):
+        network = Network.of(spec, hidden)
+        weights = network.initial_weights(1)
+        plain = collect_sums(gradient_sums(rows, network, weights))
+        assert np.allclose(collect_sums(gradient_sums(grouped, network, weights, grouped=True)), plain, rtol=1e-9)
+        assert plain[1] >= 0
+
+
 def test_sweep_on_repeated_inputs(repeated):
     spec = FeatureSpec.of(repeated)
-    out = sweep(repeated, repeated, spec, (2,), ((2,),), ("tanh",)).first()
+    out = sweep(repeated, repeated, spec, (2,), ((2,),), ("tanh",), group_inputs=True).first()
+    plain = sweep(repeated, repeated, spec, (2,), ((2,),), ("tanh",)).first()
+    assert all(a == pytest.approx(b) for a, b in zip(out, plain, strict=True) if isinstance(a, float))
     assert out["rmse_train"] == pytest.approx(out["rmse_test"])
     assert out["abs_mean_residual_train"] == pytest.approx(out["abs_mean_residual_test"])
     errors = evaluate(train(Model.new(spec, Network.of(spec, (2,))), repeated, 2), repeated)
@@ -188,6 +205,7 @@ def test_training_goes_on_with_the_stored_scaler(spark, table, spec, tmp_path):
     rest = train(loaded, table, 2)
     assert all(np.allclose(a, b) for a, b in zip(rest.weights, once.weights, strict=True))
     assert [e for e, _ in seen] == [1, 2, 3, 4]
+    assert [h[0] for h in rest.history] == [1, 2, 3, 4] and np.allclose([h[1] for h in rest.history], [h[1] for h in once.history])
     assert all(np.allclose(a, b) for a, b in zip(seen[1][1], half.weights, strict=True))
 
 

@@ -102,6 +102,13 @@ def test_pages_come_back_together(rows):
     assert collected(merge_pages(parts).select(df.columns)) == collected(df)
 
 
+def test_pages_with_a_repeated_or_missing_key_are_an_error(rows):
+    for keys in ((1, 1), (1, None)):
+        df = rows("id int, a int, b int", [(k, i, i) for i, k in enumerate(keys)])
+        with pytest.raises(ValueError, match="row key"):
+            merge_pages(pages(df, "id", 1))
+
+
 def test_unions(rows):
     a, b = rows("x int, y int", [(1, 2)]), rows("y int, x int", [(4, 3)])
     assert collected(union_all([a, b])) == [(1, 2), (3, 4)]

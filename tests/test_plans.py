@@ -164,8 +164,8 @@ def test_prepare_teens(survey):
     assert collected(prepare_teens(survey)) == [("Autauga County", "Alabama", 90.0, 30.0, "Autauga ")]
 
 
-def test_prepare_income_pages(survey):
-    out = prepare_income(survey, page=3)
+def test_prepare_income(survey):
+    out = prepare_income(survey)
     assert out.columns == survey.columns
     assert collected(out) == collected(survey.where("State = 'Alabama'"))
 

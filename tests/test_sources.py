@@ -126,13 +126,13 @@ def test_table_query(rows):
     assert table_query(df).count() == 3
 
 
-def test_single_file_only_while_small(spark, tmp_path):
+def test_number_of_parts_is_as_asked(spark, tmp_path):
     df = spark.range(100).repartition(4)
     write_csv(df, str(tmp_path / "many"))
-    write_csv(df, str(tmp_path / "one"), single_file=True)
-    write_csv(df, str(tmp_path / "large"), single_file=True, max_single_bytes=99)
-    counts = {n: len(part_files(tmp_path / n)) for n in ("many", "one", "large")}
-    assert counts["one"] == 1 and counts["many"] > 1 and counts["large"] > 1
+    write_csv(df, str(tmp_path / "one"), parts=1)
+    write_csv(df, str(tmp_path / "three"), parts=3)
+    counts = {n: len(part_files(tmp_path / n)) for n in ("many", "one", "three")}
+    assert counts["one"] == 1 and counts["many"] > 1 and counts["three"] == 3
     assert all(read_csv(spark, str(tmp_path / n)).count() == 100 for n in counts)
 
 
@@ -164,14 +164,10 @@ def test_preview(spark):
     assert preview(spark.range(100)).count() == 20
 
 
-def test_shared_folder_follows_the_session(spark, tmp_path):
-    assert shared_folder(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    assert shared_folder(spark, "x") != shared_folder(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
-    try:
-        assert shared_folder(spark, "x").startswith(f"{tmp_path}/areastats-")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_follows_the_session(spark):
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    one, other = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one.startswith(f"{base.rstrip('/')}/areastats-") and one != other
 
 
 def test_stage_keeps_rows(spark):
