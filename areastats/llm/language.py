@@ -124,7 +124,8 @@ def predict_language(
     # The share of each language that gives ``sample`` rows on average; no row is ranked.
     place = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) / float(1 << 30)
     shares = usable.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
-    chosen = usable.join(shares, "lang").where(place < F.col("share")).select("lang", "text", "doc_id")
+    # One row per language; the weights, which the driver trains, have a column for each.
+    chosen = usable.join(F.broadcast(shares), "lang").where(place < F.col("share")).select("lang", "text", "doc_id")
     languages, counted = _sample_counts(chosen)
     names = sorted(set(languages))
     labels = np.array([names.index(v) for v in languages], np.int64)
