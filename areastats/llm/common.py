@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -34,6 +36,18 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text, F.octet_length(text))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python so many rows at a time in the jobs of this block; wide rows need small batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker.
 

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from areastats.llm.common import inner_prefix, narrow, possible
+from areastats.llm.common import arrow_batches, inner_prefix, narrow, possible
 from areastats.llm.components import connected_components
 from areastats.llm.shingles import Shingler, fingerprint, least_distance, signature
 from areastats.session import stage
@@ -44,6 +44,8 @@ SKETCH_PIECES = 64
 HOT_ROWS = 20_000
 #: Pivots per region: one in the first round, which ends regions of near copies, then up to this.
 PIVOTS = 32
+#: Rows that a Python worker gets at a time: texts, or pairs of whole sets.
+BATCH_ROWS = 500
 _SLACK = 1e-9
 
 
@@ -59,11 +61,8 @@ def near_documents(
     and has no component. Ids must be integers. Other columns are not looked at.
     """
     rows = narrow(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    profile = stage(rows.mapInArrow(_profile(width), "doc_id long, n int, fp long, sig binary, piece int, counts binary"), "profile")
-    sets = profile.where("piece is null").select("doc_id", "n", "fp")
-    known = profile.where("piece is null and n > 0 and doc_id is not null")
-    classes = stage(known.groupBy("fp", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
-    links = linked_classes(rows, profile, classes, percent, width)
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        sets, classes, links = _classes_and_links(rows, percent, width)
     ends = classes.select("fp", "rep")
     edges = links.join(ends.select(F.col("fp").alias("p"), F.col("rep").alias("a")), "p")
     edges = edges.join(ends.select(F.col("fp").alias("x"), F.col("rep").alias("b")), "x").select("a", "b")
@@ -77,6 +76,15 @@ def near_documents(
     )
 
 
+def _classes_and_links(rows: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    profile = stage(rows.mapInArrow(_profile(width), "doc_id long, n int, fp long, sig binary, piece int, counts binary"), "profile")
+    sets = profile.where("piece is null").select("doc_id", "n", "fp")
+    known = profile.where("piece is null and n > 0 and doc_id is not null")
+    classes = stage(known.groupBy("fp", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
+    links = linked_classes(rows, profile, classes, percent, width)
+    return sets, classes, links
+
+
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The row with the smallest id of each group of linked documents; rows without an id all stay.
 
@@ -328,8 +336,8 @@ def _sets(width: int) -> Callable:
 def _distances(percent: int) -> Callable:
     epsilon = 1 - percent / 100
 
-    def distance(a: bytes, b: bytes) -> float:
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    def distance(a: pa.Scalar, b: pa.Scalar) -> float:
+        x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
         if len(x) > len(y):
             x, y = y, x
         at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -341,7 +349,7 @@ def _distances(percent: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            d = [distance(a, b) for a, b in zip(batch.column("sp").to_pylist(), batch.column("sx").to_pylist(), strict=True)]
+            d = [distance(a, b) for a, b in zip(batch.column("sp"), batch.column("sx"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("x"), pa.array(d, type=pa.float64())], names=["p", "x", "d"])
 
     return run

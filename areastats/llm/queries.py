@@ -105,3 +105,33 @@ SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(removed), 0)
          array_to_string([l[i] FOR i IN range(1, len(l) + 1) IF NOT list_contains(removed, i - 1)], '') END AS text
 FROM cut LEFT JOIN g USING (doc_id)
 """
+
+_COMPONENTS = """
+reach(id, other) AS (SELECT x, y FROM links UNION SELECT r.id, l.y FROM reach r JOIN links l ON l.x = r.other),
+lowest AS (SELECT id, least(id, min(other)) AS low FROM reach GROUP BY id)"""
+
+SQL["op6_subspace_pigeonhole"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+          ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+{_COMPONENTS},
+n AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(low, vec_id) AS component_id, coalesce(low, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN lowest ON id = vec_id
+"""
+SQL["op7_jaccard_join"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 3, 2))
+                                    IF len(w) > 0]) AS s FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+{_COMPONENTS}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id FROM s LEFT JOIN lowest ON id = doc_id
+"""
