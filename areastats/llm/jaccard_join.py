@@ -11,11 +11,15 @@ pair need not be compared once both are known to be connected. The join works in
    in a prefix opens a region, and a link lies within some region. Sizes are distances from the
    empty set: regions are cut in size windows, with boundary classes in two of them. Regions with the same members are one.
 3. In each region pivots are chosen among its open classes, and every member is compared with
-   them exactly. Members linked with a pivot join its cell: they are connected to each other.
-   What remains open are classes that no pivot reaches, and classes on a boundary: linked with one
-   pivot and within ``2 EPSILON`` of another. All others stay only if by the triangle inequality
+   them exactly. Members linked with a pivot join its cell: they are connected to each other, and
+   cells that share a member, in this round or an earlier one, are connected too and are one.
+   What remains open are classes that no pivot reaches, and classes that can link with another cell:
+   linked with one pivot and within ``2 EPSILON`` of the pivot of another cell, or such that a member
+   closed earlier in another cell is no more than ``EPSILON`` farther from each pivot linked with. All
+   others stay only if by the triangle inequality
    they can still link with an open one: for each pivot their distance lies within ``EPSILON`` of the
-   range of the open ones' distances. A region with open members is joined again, with new pivots.
+   range of the open ones' distances. A region with open members is joined again, with new pivots,
+   unless all its members are in one cell.
 
 Each round removes its pivots from the open classes, so it ends; a region of near copies ends
 after one round with one comparison per member. The order of shingles comes from counts of all
@@ -241,7 +245,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _regions(members: DataFrame, percent: int) -> DataFrame:
-    """``g``, ``fp``, ``n``, ``open``: regions with at least two classes, none twice.
+    """``g``, ``fp``, ``n``, ``open``, ``cell`` (none yet): regions with at least two classes, none twice.
 
     Linked classes have sizes within a factor of each other, so each lies in the window of its size or
     the next one; a class is copied into the next window.
@@ -258,11 +262,11 @@ def _regions(members: DataFrame, percent: int) -> DataFrame:
         F.max("own").alias("some"),
     )
     single = marks.where("size > 1 and some").groupBy("size", "m1", "m2").agg(F.min("g").alias("g"))
-    return rows.join(stage(single.select("g"), "region-names"), "g").select("g", "fp", "n", F.lit(True).alias("open"))
+    return rows.join(stage(single.select("g"), "region-names"), "g").select("g", "fp", "n", F.lit(True).alias("open"), F.lit(None).cast("long").alias("cell"))
 
 
 def _measure(region: DataFrame, sets: DataFrame, signatures: DataFrame, pivots: int, percent: int) -> DataFrame:
-    """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``p`` and the distance.
+    """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``cell``, ``p`` and the distance.
 
     The distance lies between ``d`` and ``top``. Both are exact unless sizes or signatures show that
     it is more than a link's; then the windows make do with that bound. A pivot has no distance from itself.
@@ -284,7 +288,7 @@ def _measure(region: DataFrame, sets: DataFrame, signatures: DataFrame, pivots:
     far = pairs.where(F.col("d") > epsilon + _SLACK).withColumn("top", F.lit(1.0))
     exact = stage(exact.unionByName(far).withColumnRenamed("x", "fp"), "distances")
     known = rows.join(exact, ["p", "fp"], "left")
-    return stage(known.select("g", "fp", "n", "open", "p", "d", "top"), "measured")
+    return stage(known.select("g", "fp", "n", "open", "cell", "p", "d", "top"), "measured")
 
 
 def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,28 +300,81 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
-    """Members of the regions that are joined again."""
+    """Members of the regions that are joined again.
+
+    A pair that links and is not yet connected has an open class in its region: one of two classes
+    that are both closed lies in the cell of a pivot of this round, and the other is in the same cell,
+    or has a pivot of another cell within ``2 epsilon`` of the first, or was closed before and is
+    within ``epsilon`` of the first's distance from its pivot.
+    """
     d = F.col("d")
+    near = F.coalesce(d <= epsilon, F.lit(False))
     members = measured.groupBy("g", "fp").agg(
         F.max(F.col("p") == F.col("fp")).alias("pivot"),
-        F.max(F.coalesce(d <= epsilon, F.lit(False))).alias("near"),
-        # With a single pivot there is one cell and no boundary between cells.
-        F.max(F.coalesce((d > epsilon) & (d <= 2 * epsilon + _SLACK), F.lit(False))).alias("between"),
-        F.count("*").alias("pivots"),
+        F.max(near).alias("near"),
+        F.max("cell").alias("before"),
+        F.array_sort(F.collect_set(F.when(near | (F.col("p") == F.col("fp")), F.col("p")))).alias("cells"),
     )
-    boundary = F.col("between") & (F.col("pivots") > 1)
-    members = members.where("not pivot").select("g", "fp", (~F.col("near") | boundary).alias("unreached"))
-    marked = measured.join(stage(members, "marks"), ["g", "fp"])
-    marked = stage(marked.select("g", "fp", "n", "p", "d", "top", (F.col("open") & F.col("unreached")).alias("open")), "marked")
+    known = F.when(F.col("before").isNotNull(), F.array("before")).otherwise(F.array().cast("array<long>"))
+    members = stage(members.withColumn("cells", F.array_union("cells", known)), "members-met")
+    names = stage(_cells(members), "cells")
+    own = members.where("not pivot").select("g", "fp", "near", F.get("cells", F.lit(0)).alias("a"))
+    own = own.join(names, ["g", "a"], "left").select("g", "fp", "near", F.coalesce("cell", "a").alias("cell"))
+    pivots = members.where("pivot").select("g", F.col("fp").alias("p")).join(names.withColumnRenamed("a", "p"), ["g", "p"], "left")
+    pivots = pivots.select("g", "p", F.coalesce("cell", "p").alias("home"))
+    marked = measured.drop("cell").join(own, ["g", "fp"]).join(pivots, ["g", "p"])
+    marked = stage(marked.withColumn("apart", ~F.col("cell").eqNullSafe(F.col("home"))), "marked")
+    # How near a pivot a member of another cell lies that was closed before.
+    closest = stage(marked.where("not open and apart").groupBy("g", "p").agg(F.min("d").alias("closest")), "closest")
+    met = marked.where("open").join(closest, ["g", "p"], "left")
+    unsure = met.groupBy("g", "fp").agg(
+        F.max("near").alias("near"),
+        F.max(F.col("apart") & (d <= 2 * epsilon + _SLACK)).alias("boundary"),
+        # NULL for a pivot that the class does not link with; one linked pivot out of reach is enough.
+        F.min(F.when(d <= epsilon, F.coalesce(F.col("closest") <= d + epsilon + _SLACK, F.lit(False)))).alias("reached"),
+    )
+    unsure = unsure.where(~F.col("near") | F.col("boundary") | F.col("reached")).select("g", "fp", F.lit(True).alias("unsure"))
+    marked = marked.select("g", "fp", "n", "p", "d", "top", "cell").join(stage(unsure, "marks"), ["g", "fp"], "left")
+    marked = marked.withColumn("open", F.coalesce("unsure", F.lit(False))).drop("unsure")
     ranges = marked.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("top").alias("high"))
     within = (F.col("top") >= F.col("low") - epsilon - _SLACK) & (d <= F.col("high") + epsilon + _SLACK)
-    kept = marked.join(stage(ranges, "ranges"), ["g", "p"]).groupBy("g", "fp", "n")
+    kept = marked.join(stage(ranges, "ranges"), ["g", "p"]).groupBy("g", "fp", "n", "cell")
     kept = kept.agg(F.max("open").alias("open"), F.min(within).alias("within")).where("open or within").drop("within")
     kept = stage(kept, "kept")
-    many = kept.groupBy("g").agg(F.count("*").alias("size")).where("size > 1").select("g")
+    # Members that are all in one cell have nothing left to find.
+    many = kept.groupBy("g").agg(F.min("cell").alias("low"), F.max("cell").alias("high"), F.count("*").alias("size"), F.count("cell").alias("named"))
+    many = many.where("size > 1 and (named < size or low <> high)").select("g")
     return stage(kept.join(many, "g"), "regions")
 
 
+def _cells(members: DataFrame) -> DataFrame:
+    """``g``, ``a``, ``cell``: what cells are called that share a member, by region."""
+    edges = members.where(F.size("cells") > 1).select("g", F.get("cells", F.lit(0)).alias("a"), F.explode("cells").alias("b"))
+    edges = edges.where("a <> b").distinct().groupBy("g").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+    return edges.mapInArrow(_joined, "g long, a long, cell long")
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        regions, names, cells = [], [], []
+        for g, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            parent = {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for a, b in zip(left, right, strict=True):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+            for a in list(parent):
+                regions.append(g)
+                names.append(a)
+                cells.append(root(a))
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in (regions, names, cells)], names=["g", "a", "cell"])
+
+
 def _sets(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)

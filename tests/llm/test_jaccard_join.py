@@ -68,6 +68,29 @@ def test_chains_and_large_groups(docs):
     assert out == components(sets, linked(sets))
 
 
+def bridged(size, bridge):
+    """An article under two frequent headers: two large groups of near copies, joined by one pair at most."""
+    article = [f"a{i}" for i in range(240)]
+    heads = [[f"{side}{i}" for i in range(70)] for side in "xy"]
+    rows = []
+    for side, head in enumerate(heads):
+        rows += [(10_000 * side + k, " ".join([*head, *article, f"end{side}", f"t{side}{k}"])) for k in range(size)]
+        if bridge:
+            rows.append((10_000 * side + 5000, " ".join([*head[-20:], *article])))
+    # The headers are more frequent than the article, so that the article's shingles make the regions.
+    return rows + [(50_000 + k, " ".join(heads[0] + heads[1])) for k in range(4 * size)]
+
+
+@pytest.mark.parametrize("bridge", [True, False])
+def test_two_large_groups_with_a_single_link_between_them(docs, bridge):
+    rows = bridged(300, bridge)
+    sets = {i: shingles(t) for i, t in rows if i < 50_000}
+    want = components(sets, linked(sets))
+    assert len(set(want.values())) == (1 if bridge else 2)
+    out = {r.doc_id: r.component_id for r in near_documents(docs(rows)).collect()}
+    assert out == want | {i: 50_000 for i, _ in rows if i >= 50_000}
+
+
 def test_repeated_rows_nulls_and_empty_tables(docs):
     text = "one two three four five six"
     out = near_documents(docs([(5, text), (5, text), (None, text), (9, text), (3, None), (4, "")])).collect()
