@@ -110,6 +110,19 @@ def training(network: Network, seed: int, epochs: int, rate: float, prefix: str
     return ",\n".join(ctes)
 
 
+def long_training(network: Network, seed: int, epochs: int, rate: float, prefix: str = "n") -> str:
+    """CTE ``<prefix>_all``: the weights after ``epoch`` 0 to ``epochs``, by a recursive CTE (needs WITH RECURSIVE)."""
+    names = ", ".join(weight_names(network))
+    rows = backward(network, forward(network, f"SELECT * FROM scaled, {prefix}_run WHERE epoch < {epochs}"))
+    updates = ", ".join(
+        f"any_value({w}) - {rate} * avg({term}) AS {w}"
+        for w, term in zip(weight_names(network), gradient_entries(network), strict=True)
+    )
+    return f"""{initial(network, seed, f"{prefix}_w0")},
+{prefix}_run AS (SELECT 0 AS epoch, {names} FROM {prefix}_w0 UNION ALL SELECT epoch + 1 AS epoch, {updates} FROM ({rows}) GROUP BY epoch),
+{prefix}_all AS MATERIALIZED (SELECT * FROM {prefix}_run)"""
+
+
 def weight_rows(network: Network, source: str) -> str:
     """The one row of weights as ``(layer, row, col, w)`` rows."""
     parts = []

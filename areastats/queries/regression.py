@@ -16,7 +16,7 @@ from areastats.model.scaler import Scaler, fit_scaler, scaler_table, standardize
 from areastats.model.spec import FeatureSpec
 from areastats.model.split import hash_split, random_split
 from areastats.model.store import load_model, save_model
-from areastats.model.sweep import sweep
+from areastats.model.sweep import ACTIVATIONS, EPOCHS as GRID_EPOCHS, HIDDEN, sweep
 from areastats.model.train import train
 from areastats.plans.regression import evaluate_on_merged, train_on_merged
 from areastats.queries.inputs import FEATURES, features, table
@@ -25,6 +25,7 @@ from areastats.queries.network_sql import (
     forward,
     gradient_entries,
     initial,
+    long_training,
     scaled,
     training,
     weight_rows,
@@ -178,6 +179,19 @@ def train_model(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(model.weight_table(spark))
 
 
+#: Epochs of the training run that the reference ships.
+SHIPPED_EPOCHS = 150
+
+
+@query(f"""WITH RECURSIVE {FEATURES}, {scaled("features", ['"SVI"'], SPEC.outputs, _IN_TRAIN)}, {long_training(PLAIN, SEED, SHIPPED_EPOCHS, RATE)}
+SELECT layer, row, col, round(w, 6) AS w FROM ({weight_rows(PLAIN, f"(SELECT * FROM n_all WHERE epoch = {SHIPPED_EPOCHS})")})""")
+def train_shipped_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole shipped run: 150 epochs without a hidden layer."""
+    with staged(features(spark, sf), "features") as rows:
+        model = train_on_merged(rows, epochs=SHIPPED_EPOCHS, learning_rate=RATE, seed=SEED, key=KEY_COLUMN)
+    return rounded(model.weight_table(spark))
+
+
 # Lineitems as rows: discount in, quantity and price out; the network has the default layers.
 ITEM_SPEC = FeatureSpec(("l_discount",), ("l_quantity", "l_extendedprice"))
 ITEM_NETWORK = Network.of(ITEM_SPEC)
@@ -328,6 +342,39 @@ def sweep_grid(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(table_of_errors, 3, learning_rate=6)
 
 
+def _full_sweep_sql() -> str:
+    ctes, rows = [], []
+    for h in HIDDEN:
+        for act in ACTIVATIONS:
+            network = Network.of(SPEC, h, act)
+            prefix = f"n{len(ctes)}"
+            ctes.append(long_training(network, SEED, max(GRID_EPOCHS), RATE, prefix))
+            epochs = ", ".join(map(str, GRID_EPOCHS))
+            inputs = f'SELECT f.*, m0, m1, m2, m3, s0, s1, s2, s3, ("SVI" - m0) / s0 AS a0_0, w.* FROM features f, stats, {prefix}_all w WHERE epoch IN ({epochs})'
+            last = len(network.shapes)
+            outs = ", ".join(f"a{last}_{j} * s{j + 1} + m{j + 1} AS p{j}" for j in range(3))
+            residuals = _residuals(f"(SELECT *, {outs} FROM ({forward(network, inputs)}))", f"epoch, {_IN_TRAIN} AS in_train,")
+            layers = ",".join(str(n) for n in h)
+            rows.append(f"""SELECT epoch AS epochs, '[{layers}]' AS hidden, {RATE}::DOUBLE AS learning_rate, '{act}' AS activation,
+       sqrt(avg(r * r) FILTER (WHERE in_train)) AS rmse_train, abs(avg(r) FILTER (WHERE in_train)) AS abs_mean_residual_train,
+       sqrt(avg(r * r) FILTER (WHERE NOT in_train)) AS rmse_test, abs(avg(r) FILTER (WHERE NOT in_train)) AS abs_mean_residual_test
+FROM ({residuals}) GROUP BY epoch""")
+    base = scaled("features", ['"SVI"'], SPEC.outputs, _IN_TRAIN)
+    errors = ["rmse_train", "abs_mean_residual_train", "rmse_test", "abs_mean_residual_test"]
+    return f"""WITH RECURSIVE {FEATURES}, {base}, {", ".join(ctes)}
+SELECT epochs, hidden, learning_rate, activation, {", ".join(f"round({c}, 3) AS {c}" for c in errors)}
+FROM ({" UNION ALL ".join(rows)})"""
+
+
+@query(_full_sweep_sql())
+def sweep_whole_grid(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole grid of the reference: 3 numbers of epochs, 5 layer lists, 2 activations."""
+    with staged(features(spark, sf), "features") as rows:
+        train_rows, test_rows = hash_split(rows, KEY_COLUMN)
+        table_of_errors = sweep(train_rows, test_rows, SPEC, learning_rate=RATE, seed=SEED)
+    return rounded(table_of_errors, 3, learning_rate=6)
+
+
 @query(f"""WITH {FEATURES}, {_SCALED}, {training(PLAIN, SEED, 2, RATE)},
 before AS (SELECT avg(0.5 * (e0 * e0 + e1 * e1 + e2 * e2)) AS cost
            FROM ({backward(PLAIN, forward(PLAIN, "SELECT * FROM scaled, n_w1"))}))

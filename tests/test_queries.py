@@ -24,3 +24,10 @@ def test_query_agrees_with_sql(spark, name):
     assert len(result) > 0
     if name in SQL:
         assert difference(result, oracle(FOLDER, SQL[name])) is None
+
+
+def test_the_whole_training_run_and_grid_are_among_the_queries(spark):
+    shipped = QUERIES["train_shipped_run"](spark, FOLDER)
+    assert "epoch < 150" in SQL["train_shipped_run"] and shipped.count() == 6
+    grid = QUERIES["sweep_whole_grid"](spark, FOLDER).collect()
+    assert len({(r.epochs, r.hidden, r.activation) for r in grid}) == len(grid) == 3 * 5 * 2
