@@ -146,29 +146,32 @@ def _hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
     texts = items.select("class", "item_id", "b")
     looked = windows(rows, "h", masks, "doc_id", "h").where(~_shifted("h", masks))
     hits = looked.join(F.broadcast(seeds), ["key", "mask"]).join(F.broadcast(texts), "class")
-    # A hit right behind another of the same mask and offset belongs to the same run.
+    # A hit right behind another of the same mask and offset belongs to the same run, unless that other
+    # one was not looked up: the run would not be verified at all.
     follows = F.lit(False)
     for m, mask in enumerate(masks):
         same = (F.col("mask") == m) & (F.col("pos") > 0) & (F.col("ipos") > 0)
         for k, c in enumerate(mask):
             if c == "1":
                 same = same & (F.get("h", F.col("pos") - 1 + k) == F.get("b", F.col("ipos") - 1 + k))
-        follows = follows | same
+        follows = follows | (same & ~_shifted("h", [mask], F.col("pos") - 1))
     hits = hits.where(~follows)
     return hits.select("doc_id", "h", "item_id", "b", (F.col("pos") - F.col("ipos")).alias("offset"))
 
 
-def _shifted(tokens: str, masks: Sequence[str]) -> Column:
-    """Whether a window looks at the same tokens as the one before it: one token again and again.
+def _shifted(tokens: str, masks: Sequence[str], pos: Column | None = None) -> Column:
+    """Whether a window (of the row's mask if there are several) looks at the same tokens as the one before it: one token again and again.
 
     The first window of such a run stands for all of it, else a text of one word would hit at every place.
     """
-    again = F.lit(False)
+    again, pos = F.lit(False), F.col("pos") if pos is None else pos
     for m, mask in enumerate(masks):
-        same = (F.col("mask") == m) & (F.col("pos") > 0)
+        same = pos > 0
+        if len(masks) > 1:
+            same = (F.col("mask") == m) & same
         for k, c in enumerate(mask):
             if c == "1":
-                same = same & (F.get(tokens, F.col("pos") - 1 + k) == F.get(tokens, F.col("pos") + k))
+                same = same & (F.get(tokens, pos - 1 + k) == F.get(tokens, pos + k))
         again = again | same
     return again
 

@@ -74,3 +74,11 @@ def test_repeated_words_and_long_texts(spark, docs):
     rows = [(1, "to " * 20_000), (1, "to " * 20_000), (2, " ".join(noise(20_000)))]
     out = leaks(spark, docs(rows), [(1, "to " * 30)])
     assert set(out) == {(1, 1)} and out[1, 1].n_equal == 30 and out[1, 1].doc_start == 0
+
+
+@pytest.mark.parametrize("before", [16, 40])
+def test_an_item_that_opens_with_a_run_of_one_token(spark, docs, before):
+    item = ["0"] * 15 + ITEM[:30]
+    out = leaks(spark, docs([(1, " ".join(["0"] * before + ITEM[:30]))]), [(1, " ".join(item))])
+    leak = out[1, 1]
+    assert (leak.n_equal, leak.n_tokens, leak.doc_start, leak.doc_end) == (45, 45, before - 15, before + 30)
