@@ -7,6 +7,9 @@ tells about it is ``PMI(t, e) = log2(N n(t, e) / (n(t) n(e)))``, and ``PMI / IC`
 share, 1 if the term occurs only beside the entity. A term that discloses at least ``GENERALISE``
 is replaced by a placeholder, from ``REMOVE`` on it is removed, each beside the entity it reveals.
 
+With ``context`` None, as in the query, terms are counted in whole documents, whatever their length, and
+replaced wherever they stand; the kinds of entities count as entities too, so that one seen once has an estimate.
+
 Counts run over all documents. A term must stand beside its entity in at least ``SUPPORT``
 different texts, as any rare word beside a number seen once would reveal it. Native: patterns,
 higher-order functions, aggregations and joins of narrow tables.
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import inner_prefix, narrow, text_hash
+from areastats.llm.common import inner_prefix, narrow, possible, text_hash
 from areastats.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -35,6 +38,8 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){1
 CONTEXT = 80
 #: A term is a whole run of letters, so many at least.
 TERM = r"\p{L}{4,}"
+#: A term where whole documents are looked at; the disclosed share decides, not the length.
+ANY_TERM = r"\p{L}+"
 SUPPORT = 2
 GENERALISE, REMOVE = 0.75, 0.95
 
@@ -109,7 +114,7 @@ def entity(span: Column) -> Column:
 
 def find_personal_data(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-    generalise: float = GENERALISE, remove: float = REMOVE, context: int = CONTEXT,
+    generalise: float = GENERALISE, remove: float = REMOVE, context: int | None = CONTEXT,
 ) -> DataFrame:
     """``doc_id``, ``th`` (hash of the text), ``base`` (spans by pattern) and ``terms`` of every row.
 
@@ -117,9 +122,11 @@ def find_personal_data(
     by start; they never overlap a base span. A NULL text counts as empty and has no spans. Rows
     with equal id and text are one document in the counts and are all returned. Of two
     actions for one place the stronger holds. Ids may be NULL. Other columns are not looked at; an
-    empty table gives an empty result.
+    empty table gives an empty result. With ``context`` None terms are looked for in whole documents.
     """
     rows = narrow(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    if context is None:
+        return _with_terms(*_everywhere(rows, support, generalise, remove))
     found = rows.select("doc_id", text_hash(F.col("text")).alias("th"), "text", base_spans(F.col("text")).alias("base"))
     around = _contexts("text", "base", context)
     found = stage(found.select("doc_id", "th", "base", F.when(F.size("base") > 0, around).alias("near")), "spans")
@@ -132,12 +139,80 @@ def find_personal_data(
     hits = beside.join(risky, ["entity", "term"]).groupBy("doc_id", "th", "start", "end").agg(F.max("share").alias("share"))
     action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
     spans = hits.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "end", action.alias("action")))).alias("terms"))
+    return _with_terms(found, spans)
+
+
+def _with_terms(found: DataFrame, spans: DataFrame) -> DataFrame:
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "terms")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
     return found.join(spans, same, "left").select("doc_id", "th", "base", F.coalesce("terms", none).alias("terms"))
 
 
+def _everywhere(rows: DataFrame, support: int, least: float, remove: float) -> tuple[DataFrame, DataFrame]:
+    """All documents with their base spans, and the revealing terms of those that have some."""
+    found = rows.select("doc_id", text_hash(F.col("text")).alias("th"), "text", base_spans(F.col("text")).alias("base"))
+    words = F.transform(F.regexp_extract_all(_blanked("text", "base"), F.lit(ANY_TERM), F.lit(0)), F.lower)
+    found = stage(found.select("doc_id", "th", "base", F.array_distinct(words).alias("words")), "words")
+    risky = stage(_revealing_anywhere(found, support, least), "revealing")
+    # Most words are no risky terms: they go before the join, so it shuffles few rows.
+    hits = possible(found.select("doc_id", "th", F.explode("words").alias("term")), "term", risky.select("term")).join(risky, "term")
+    hits = hits.groupBy("doc_id", "th").agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("risky"))
+    hits = stage(hits.toDF("__id", "__th", "risky"), "risky-documents")
+    keyed = rows.withColumn("th", text_hash(F.col("text")))
+    marked = keyed.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")))
+    marked = marked.withColumn("clean", _blanked("text", base_spans(F.col("text"))))
+    runs, gaps = F.regexp_extract_all("clean", F.lit(ANY_TERM), F.lit(0)), F.split("clean", ANY_TERM, -1)
+    pairs = F.zip_with(F.slice(gaps, 1, F.size(runs)), runs, lambda g, h: F.struct(F.length(g).alias("gap"), h.alias("hit")))
+    none = F.array().cast("array<struct<start:int,end:int,action:string>>")
+
+    def step(s: Column, p: Column) -> Column:
+        begin = s["pos"] + p["gap"]
+        end = begin + F.length(p["hit"])
+        share = F.element_at("risky", F.lower(p["hit"]))
+        term = F.struct(begin.alias("start"), end.alias("end"), F.when(share >= remove, "remove").otherwise("generalise").alias("action"))
+        return F.struct(end.alias("pos"), F.when(share.isNull(), s["out"]).otherwise(F.concat(s["out"], F.array(term))).alias("out"))
+
+    terms = F.aggregate(pairs, F.struct(F.lit(0).alias("pos"), none.alias("out")), step)["out"]
+    return found.drop("words"), marked.select("doc_id", "th", terms.alias("terms")).distinct()
+
+
+def _blanked(text: str, base: str | Column) -> Column:
+    """The text with blanks in place of its base spans; places stay the same."""
+    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+
+    def step(s: Column, b: Column) -> Column:
+        begin, end = F.greatest(s["pos"], b["start"]), F.greatest(s["pos"], b["end"])
+        before = F.substr(F.col(text), s["pos"] + 1, begin - s["pos"])
+        return F.struct(end.alias("pos"), F.concat(s["out"], before, F.repeat(F.lit(" "), end - begin)).alias("out"))
+
+    def rest(s: Column) -> Column:
+        return F.concat(s["out"], F.substr(F.col(text), s["pos"] + 1, F.length(text)))
+
+    base = F.col(base) if isinstance(base, str) else base
+    places = F.array_sort(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+    return F.when(F.size(base) == 0, F.col(text)).otherwise(F.aggregate(places, start, step, rest))
+
+
+def _revealing_anywhere(found: DataFrame, support: int, least: float) -> DataFrame:
+    """``term``, ``share`` of all terms that disclose at least ``least`` of an entity or of a kind of entity."""
+    # Equal texts have equal spans and words: they are opened once and count with their documents.
+    texts = found.where(F.size("base") > 0).groupBy("th")
+    texts = texts.agg(F.size(F.collect_set(F.struct("doc_id"))).alias("docs"), F.first("base").alias("base"), F.first("words").alias("words"))
+    kinds = F.transform("base", lambda s: F.xxhash64(F.lit("kind"), s["kind"]))
+    named = F.array_distinct(F.concat(F.transform("base", entity), kinds))
+    held = stage(texts.select("docs", "words", F.explode(named).alias("entity")), "held")
+    entities = held.groupBy("entity").agg(F.sum("docs").alias("n_e"))
+    joint = held.select("docs", "entity", F.explode("words").alias("term")).groupBy("entity", "term")
+    joint = joint.agg(F.sum("docs").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= support).drop("texts")
+    counts = found.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    total = stage(found.agg(F.count("*").cast("double").alias("n")), "total")  # one row
+    known = joint.join(counts, "term").join(entities, "entity").join(F.broadcast(total)).where("n > n_e")
+    pmi = F.log2(F.col("n") * F.col("n_te") / (F.greatest("n_t", "n_te") * F.col("n_e")))
+    known = known.withColumn("share", pmi / F.log2(F.col("n") / F.col("n_e"))).where(F.col("share") >= least)
+    return known.groupBy("term").agg(F.max("share").alias("share"))
+
+
 def _contexts(text: str, base: str, context: int) -> Column:
     """Per span its entity and the whole terms within ``context`` characters of it."""
 

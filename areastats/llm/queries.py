@@ -38,7 +38,7 @@ def op1_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_data_report(table(spark, sf_dir, "documents"))
+    return personal_data_report(table(spark, sf_dir, "documents"), context=None)
 
 
 @query

@@ -83,3 +83,19 @@ def test_repeated_rows_and_empty_tables(docs):
     out = personal_data_report(docs([(1, "a@b.c"), (1, "a@b.c"), (1, "x"), (None, "a@b.c")])).collect()
     assert sorted(r.n_email for r in out) == [0, 1, 1, 1]
     assert personal_data_report(docs([])).collect() == []
+
+
+def test_terms_far_from_an_entity_and_short_ones_in_whole_documents(docs):
+    filler = " ordinary words about nothing" * 10
+    rows = [(i, f"ordinary words about nothing number {'abcdefghij'[i % 10]}") for i in range(200)]
+    rows += [(300, f"Żyx é🎉 is the one,{filler} zan@mail.org"), (301, f"zan@mail.org,{filler} {filler} says żyx"), (302, "Now ŻYX is masked")]
+    rows += [(303, f"whois 1.2.3.4 {filler}"), (304, f"{filler} whois 5.6.7.8"), (304, f"{filler} whois 5.6.7.8"), (None, None)]
+    df, text = docs(rows), dict(rows)
+    spans = [(r.doc_id, r.spans) for r in personal_data_report(df, context=None).collect()]
+    assert len(spans) == len(rows)
+    found = {i: [text[i][int(a) : int(b)].lower() for k, a, b in (x.split(":") for x in s.split(",") if x) if k == "term"] for i, s in spans}
+    assert found[300] == found[301] == found[302] == ["żyx"]  # wherever it stands
+    assert found[303] == found[304] == ["whois"]  # each address once, their kind twice
+    assert not any(found[i] for i in range(200)) and sanitise(df, context=None).where("doc_id = 302").first().text != "Now ŻYX is masked"
+    near = {r.doc_id: r.n_term for r in personal_data_report(df).collect()}
+    assert near[302] == near[303] == 0
