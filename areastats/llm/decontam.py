@@ -8,7 +8,9 @@ equal token, ``PENALTY`` off for each other. A document is reported with an item
 has ``min_tokens`` equal tokens (or all tokens the item has, if fewer).
 
 Native: per document one array of token hashes, then explode, projection and broadcast joins in
-one stage. Document tokens are never shuffled; only the few verified hits are.
+one stage. Document tokens are never shuffled; only the few verified hits are. What the windows need of
+longer loops is computed over the array before the explode, so the generated method of the window
+loop stays below the size up to which the JVM compiles methods (8,000 bytes).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from areastats.llm.common import inner_prefix, narrow
+from areastats.llm.common import inner_prefix, narrow, possible
 from areastats.session import stage
 
 #: Places that count are 1. Weight 8 over 11 or 12 tokens.
@@ -26,7 +28,7 @@ MASKS = ("11101100111", "110110110011", "111011010101")
 MIN_TOKENS = 12
 #: What a differing token costs; a stretch with more than a quarter of them loses.
 PENALTY = 3
-#: The benchmark is looked up in blocks of at most so many tokens, so a broadcast stays small.
+#: A benchmark of at most so many tokens is broadcast; a larger one is shuffled by its window keys.
 BLOCK_TOKENS = 500_000
 _SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -37,29 +39,27 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seed_key(tokens: str, at: Column, mask: str) -> Column:
-    """Hash of the tokens that the mask looks at, from place ``at`` on."""
-    return F.xxhash64(*[F.get(F.col(tokens), at + k) for k, c in enumerate(mask) if c == "1"])
-
-
 def windows(rows: DataFrame, tokens: str, masks: Sequence[str], *keep: str) -> DataFrame:
     """``mask``, ``pos`` and ``key`` of every window of every row, beside the columns ``keep``.
 
-    Masks and places come from one explode, so a row is opened once and stays in generated code.
+    Masks and places come from one explode, so a row is opened once and stays in generated code. The
+    tokens of a window are columns of their own before the masks choose among them: the masks share
+    them, which keeps the generated method short.
     """
-    shortest = min(map(len, masks))
+    shortest, longest = min(map(len, masks)), max(map(len, masks))
     places = F.size(tokens) - shortest + 1
     steps = F.when(places > 0, F.sequence(F.lit(0), places * len(masks) - 1))
     out = rows.select(*keep, F.explode(steps).alias("__step"))
-    mask = F.pmod(F.col("__step"), F.lit(len(masks)))
-    pos = F.expr(f"cast(__step div {len(masks)} as int)")
-    key = F.xxhash64(F.lit(0))
-    for m, text in enumerate(masks):
-        key = F.when(mask == m, seed_key(tokens, pos, text)).otherwise(key)
-    fits = F.lit(False)
+    out = out.select(*keep, F.pmod("__step", F.lit(len(masks))).alias("mask"), F.expr(f"cast(__step div {len(masks)} as int)").alias("pos"))
+    lengths = F.element_at(F.array(*[F.lit(len(m)) for m in masks]), F.col("mask") + 1)
+    out = out.where(F.col("pos") + lengths <= F.size(tokens))
+    used = [k for k in range(longest) if any(m[k : k + 1] == "1" for m in masks)]
+    out = out.select("*", *[F.get(tokens, F.col("pos") + k).alias(f"__t{k}") for k in used])
+    key = None
     for m, text in enumerate(masks):
-        fits = fits | ((mask == m) & (pos + len(text) <= F.size(tokens)))
-    return out.where(fits).select(*keep, mask.alias("mask"), pos.alias("pos"), key.alias("key"))
+        hashed = F.xxhash64(*[f"__t{k}" for k, c in enumerate(text) if c == "1"])
+        key = hashed if key is None else F.when(F.col("mask") == m, hashed).otherwise(key)
+    return out.select(*keep, "mask", "pos", key.alias("key"))
 
 
 def best_stretch(equal: Column) -> Column:
@@ -114,22 +114,19 @@ def find_leaks(
     Items with the same tokens are one item, the lowest id. An item with fewer tokens than a mask
     has places is found where it stands as a whole; one without tokens (or NULL) never.
     NULL and empty documents have no leak. Rows with equal ids count as one document. A
-    benchmark beyond ``block_tokens`` is looked up block by block, with the same result. Other columns are not
+    benchmark beyond ``block_tokens`` is not broadcast but shuffled, with the same result. Other columns are not
     looked at; either table may be empty.
     """
     items = stage(benchmark_items(benchmark, item_col, item_text_col), "benchmark")
     size = items.agg(F.coalesce(F.sum(F.size("b")), F.lit(0))).first()[0]
-    short = [r[0] for r in items.where(F.size("b") < max(map(len, masks))).select(F.size("b")).distinct().collect()]
+    longest = max(map(len, masks))
+    short = [r[0] for r in items.where(F.size("b") < longest).select(F.size("b")).distinct().collect()]
     rows = narrow(docs, id_col, text_col).select("doc_id", token_hashes(F.col("text")).alias("h"))
-    blocks = -(-size // block_tokens) or 1
-    found = None
-    for block in range(blocks):
-        part = items.where(F.pmod("class", F.lit(blocks)) == block) if blocks > 1 else items
-        hits = _hits(rows, part, masks)
-        for length in sorted(short):  # at most as many as a mask is long
-            hits = hits.unionByName(_hits(rows, part.where(F.size("b") == length), ["1" * length]))
-        hits = _verified(hits, min_tokens)
-        found = hits if found is None else found.unionByName(hits)
+    look_up = _hits if size <= block_tokens else _shuffled_hits
+    found = _verified(look_up(rows, items, masks), min_tokens)
+    for length in sorted(short):  # at most as many as a mask is long
+        whole = look_up(rows, items.where(F.size("b") == length), ["1" * length])
+        found = found.unionByName(_verified(whole, min_tokens))
     best = F.max(F.struct("n_equal", (-F.col("doc_start")).alias("before"), "n_tokens")).alias("best")
     found = found.groupBy("doc_id", "item_id").agg(best)
     start = -F.col("best.before")
@@ -138,42 +135,70 @@ def find_leaks(
     )
 
 
+def _seeds(items: DataFrame, masks: Sequence[str]) -> DataFrame:
+    seeds = windows(items.where(F.size("b") >= min(map(len, masks))), "b", masks, "class", "b")
+    return seeds.select("key", "mask", "class", F.col("pos").alias("ipos"))
+
+
 def _hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """Documents and items with the offset of a hit, once for each run of hits."""
-    shortest = min(map(len, masks))
-    seeds = windows(items.where(F.size("b") >= shortest), "b", masks, "class", "b")
-    seeds = seeds.select("key", "mask", F.col("class"), F.col("pos").alias("ipos"))
+    """Documents and items with the offset of a hit, once for each run of hits; the benchmark is broadcast."""
     texts = items.select("class", "item_id", "b")
-    looked = windows(rows, "h", masks, "doc_id", "h").where(~_shifted("h", masks))
-    hits = looked.join(F.broadcast(seeds), ["key", "mask"]).join(F.broadcast(texts), "class")
+    looked = windows(rows.withColumn("runs", _runs("h", masks)), "h", masks, "doc_id", "h", "runs")
+    looked = looked.where(~_shifted(F.col("pos"), masks))
+    hits = looked.join(F.broadcast(_seeds(items, masks)), ["key", "mask"]).join(F.broadcast(texts), "class")
     # A hit right behind another of the same mask and offset belongs to the same run, unless that other
     # one was not looked up: the run would not be verified at all.
-    follows = F.lit(False)
-    for m, mask in enumerate(masks):
-        same = (F.col("mask") == m) & (F.col("pos") > 0) & (F.col("ipos") > 0)
-        for k, c in enumerate(mask):
-            if c == "1":
-                same = same & (F.get("h", F.col("pos") - 1 + k) == F.get("b", F.col("ipos") - 1 + k))
-        follows = follows | (same & ~_shifted("h", [mask], F.col("pos") - 1))
-    hits = hits.where(~follows)
-    return hits.select("doc_id", "h", "item_id", "b", (F.col("pos") - F.col("ipos")).alias("offset"))
+    counted = F.array(*[F.array(*[F.lit(k) for k, c in enumerate(mask) if c == "1"]) for mask in masks])
+    before = F.forall(
+        F.element_at(counted, F.col("mask") + 1),
+        lambda k: F.get("h", F.col("pos") - 1 + k) == F.get("b", F.col("ipos") - 1 + k),
+    )
+    follows = (F.col("pos") > 0) & (F.col("ipos") > 0) & before & ~_shifted(F.col("pos") - 1, masks)
+    return hits.where(~follows).select("doc_id", "h", "item_id", "b", (F.col("pos") - F.col("ipos")).alias("offset"))
+
+
+def _shuffled_hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
+    """The same for a benchmark that is too large to broadcast: still one pass over the windows.
+
+    A bitmap of fixed size keeps most windows that no item has out of the shuffle; what travels is a
+    window's key and place, and the tokens are joined again for the few documents with a hit.
+    """
+    named = rows.withColumn("th", F.xxhash64("h"))
+    seeds = stage(_seeds(items, masks), "seeds")
+    looked = windows(named.withColumn("runs", _runs("h", masks)), "h", masks, "doc_id", "th", "h", "runs")
+    looked = looked.where(~_shifted(F.col("pos"), masks)).select("doc_id", "th", "mask", "pos", "key")
+    hits = possible(looked, "key", seeds.select("key").distinct()).join(seeds, ["key", "mask"])
+    hits = hits.select("doc_id", "th", "class", (F.col("pos") - F.col("ipos")).alias("offset")).distinct()
+    hits = stage(hits, "hits").withColumnsRenamed({"doc_id": "hit_id", "th": "hit_th"})
+    named = possible(named, "th", hits.select("hit_th").distinct()).dropDuplicates(["doc_id", "th"])
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th"))
+    texts = items.select("class", "item_id", "b")
+    return hits.join(named, same).join(texts, "class").select("doc_id", "h", "item_id", "b", "offset")
+
+
+def _runs(tokens: str, masks: Sequence[str]) -> Column:
+    """For every place, whether one token stands there and at all places before it that the longest mask covers.
+
+    A function over the array, outside generated code: it ends at the first different token, so it
+    costs one comparison for most places, and a window needs one look-up later.
+    """
+    places = range(1, max(map(len, masks)) + 1)
+
+    def same(x: Column, i: Column) -> Column:
+        run = F.lit(True)
+        for k in places:
+            run = run & F.coalesce(x == F.get(tokens, i - k), F.lit(False))
+        return run
+
+    return F.transform(tokens, same)
 
 
-def _shifted(tokens: str, masks: Sequence[str], pos: Column | None = None) -> Column:
-    """Whether a window (of the row's mask if there are several) looks at the same tokens as the one before it: one token again and again.
+def _shifted(pos: Column, masks: Sequence[str]) -> Column:
+    """Whether the window at ``pos`` only repeats the one before it: one token again and again.
 
     The first window of such a run stands for all of it, else a text of one word would hit at every place.
     """
-    again, pos = F.lit(False), F.col("pos") if pos is None else pos
-    for m, mask in enumerate(masks):
-        same = pos > 0
-        if len(masks) > 1:
-            same = (F.col("mask") == m) & same
-        for k, c in enumerate(mask):
-            if c == "1":
-                same = same & (F.get(tokens, pos - 1 + k) == F.get(tokens, pos + k))
-        again = again | same
-    return again
+    return F.coalesce(F.get("runs", pos + (max(map(len, masks)) - 1)), F.lit(False))
 
 
 def _verified(hits: DataFrame, min_tokens: int) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -82,3 +83,76 @@ def test_an_item_that_opens_with_a_run_of_one_token(spark, docs, before):
     out = leaks(spark, docs([(1, " ".join(["0"] * before + ITEM[:30]))]), [(1, " ".join(item))])
     leak = out[1, 1]
     assert (leak.n_equal, leak.n_tokens, leak.doc_start, leak.doc_end) == (45, 45, before - 15, before + 30)
+
+
+def plain_search(rows, items, min_tokens=12):
+    """Every offset at which some mask fits, and the best stretch along it."""
+    classes = {}
+    for item_id, text in items:
+        tokens = tuple(re.findall(r"[^\W_]+", text.lower()))
+        if tokens:
+            classes[tokens] = min(item_id, classes.get(tokens, item_id))
+    out = {}
+    for doc_id, text in rows:
+        h = re.findall(r"[^\W_]+", text.lower())
+        for b, item_id in classes.items():
+            masks = [*MASKS, *(["1" * len(b)] if len(b) < 12 else [])]
+            offsets = set()
+            for mask in masks:
+                places = [k for k, c in enumerate(mask) if c == "1"]
+                seeds = {}
+                for i in range(len(b) - len(mask) + 1):
+                    seeds.setdefault(tuple(b[i + k] for k in places), []).append(i)
+                for j in range(len(h) - len(mask) + 1):
+                    offsets.update(j - i for i in seeds.get(tuple(h[j + k] for k in places), []))
+            for offset in offsets:
+                first, last = max(0, -offset), min(len(b), len(h) - offset)
+                points = equal = start = 0
+                best = (0, 0, 0, -1)
+                for at in range(first, last):
+                    if points <= 0:
+                        points, equal, start = 0, 0, at
+                    hit = b[at] == h[offset + at]
+                    points, equal = points + (1 if hit else -3), equal + hit
+                    if points > best[0]:
+                        best = (points, equal, start, at)
+                if best[1] >= min(min_tokens, len(b)):
+                    found = (best[1], -(offset + best[2]), best[3] - best[2] + 1)
+                    out[doc_id, item_id] = max(found, out.get((doc_id, item_id), found))
+    return {k: (n, t, -s, -s + t) for k, (n, s, t) in out.items()}
+
+
+@pytest.mark.parametrize("block_tokens", [500_000, 10])
+def test_equals_a_plain_search(spark, docs, block_tokens):
+    random.seed(4)
+    few = [f"t{i}" for i in range(4)]
+
+    def mixed(n):
+        return [random.choice(few if random.random() < 0.5 else WORDS) for _ in range(n)]
+
+    items = [(i, mixed(random.choice([1, 3, 11, 12, 30, 60]))) for i in range(25)]
+    rows = []
+    for i in range(60):
+        text = mixed(random.choice([5, 40, 120]))
+        for _ in range(3):
+            part = list(random.choice(items)[1])
+            part = [random.choice(few) if random.random() < 0.1 else w for w in part[random.randrange(3) :]]
+            at = random.randrange(len(text) + 1)
+            text[at:at] = part + [random.choice(part or few)] * random.choice([0, 0, 20])
+        rows.append((i, " ".join(text)))
+    items = [(i, " ".join(t)) for i, t in items]
+    want = plain_search(rows, items)
+    got = leaks(spark, docs(rows), items, block_tokens=block_tokens)
+    assert {k: (r.n_equal, r.n_tokens, r.doc_start, r.doc_end) for k, r in got.items()} == want and len(want) > 80
+
+
+def test_the_window_loop_is_compiled(spark, docs, capsys):
+    """The JVM interprets methods above 8,000 bytes for ever."""
+    found = find_leaks(docs([(1, " ".join(ITEM))]), spark.createDataFrame([(1, " ".join(ITEM))], ITEMS))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found.explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert len(sizes) > 3 and max(sizes) < 7500
