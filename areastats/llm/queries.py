@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from areastats.llm.common import table
 from areastats.llm.decontam import find_leaks
 from areastats.llm.disclosure import personal_data_report
+from areastats.llm.importance import importance_draw
 from areastats.llm.jaccard_join import near_documents
 from areastats.llm.language import predict_language
+from areastats.llm.license_scan import license_report
 from areastats.llm.line_dedup import line_report
 from areastats.llm.near_vectors import near_duplicates
+from areastats.llm.prefix_trie import prefix_trie
 from areastats.llm.quality import quality_scores
 from areastats.llm.sharding import shard_documents
 from areastats.llm.token_files import read_digests, write_token_files
@@ -87,6 +90,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 SQL["op8_line_dedup"] = r"""
 WITH cut AS (
   SELECT doc_id, text,
@@ -135,3 +154,64 @@ links AS (
 {_COMPONENTS}
 SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(low, doc_id) AS component_id FROM s LEFT JOIN lowest ON id = doc_id
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes of a text."""
+    byte = f"[('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT FOR i IN range(strlen({text}))]"
+    bits = "list_reduce(list_prepend(xor(a, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {byte}), lambda a, b: {bits}), 4294967295)"
+
+
+SQL["op12_importance_draw"] = rf"""
+WITH f AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+a AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+w AS (SELECT w, {_crc32("w")} % 10000 AS bucket FROM (SELECT w FROM f UNION SELECT w FROM a)),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN w USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM a JOIN w USING (w) GROUP BY bucket),
+g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + 10000)::DOUBLE
+                                 / ((s + 1)::DOUBLE * ((SELECT count(*) FROM a) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+d AS (
+  SELECT doc_id, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM f JOIN w USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+c AS (
+  SELECT doc_id, coalesce(n, 0) AS n, coalesce(weight, 0) AS weight,
+         ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM documents LEFT JOIN d USING (doc_id)),
+e AS (SELECT doc_id, n, weight, weight + floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296)))::BIGINT AS score FROM c),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS many FROM e WHERE n >= 20)
+SELECT doc_id, n::BIGINT AS n_features, weight, score, CASE WHEN r <= many * 10 // 100 THEN r END AS rank
+FROM e LEFT JOIN r USING (doc_id)
+"""
+
+SQL["op13_prefix_trie"] = rf"""
+WITH c AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST,
+                       sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, own, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM c),
+b AS (
+  SELECT h.conv_id, list_concat(coalesce(s.own, [])[1:h.h], h.own[h.h + 1:]) AS p
+  FROM h LEFT JOIN c s ON s.conv_id = h.conv_id - h.conv_id % 20),
+n AS (SELECT conv_id, len(p) AS size, p, unnest(range(len(p) + 1)) AS d FROM b),
+k AS (
+  SELECT conv_id, size, d, to_json(p[1:d]) AS key, CASE WHEN d > 0 THEN to_json(p[1:d - 1]) END AS up,
+         CASE WHEN d > 0 THEN len(regexp_extract_all(p[d].t, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM n),
+m AS (
+  SELECT key, any_value(up) AS up, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM k GROUP BY key),
+kids AS (SELECT up AS key, count(*) AS n FROM m WHERE up IS NOT NULL GROUP BY up),
+sums AS (
+  SELECT k.key, sum(m.saved) AS saved, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END) AS leaves
+  FROM m JOIN k ON k.conv_id = m.conv_id AND k.d <= m.d LEFT JOIN kids ON kids.key = m.key GROUP BY k.key)
+SELECT m.conv_id, m.d::BIGINT AS depth, u.conv_id AS parent_conv_id, m.n_convs::BIGINT AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+       sums.leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN sums USING (key) LEFT JOIN kids ON kids.key = m.key LEFT JOIN m u ON u.key = m.up
+"""
