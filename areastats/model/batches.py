@@ -97,7 +97,7 @@ def to_matrix(batch: pa.RecordBatch) -> np.ndarray:
 def gradient_partials(networks: Sequence[Network], weights: Sequence[list[np.ndarray]], grouped: bool) -> Callable:
     """Function for ``mapInArrow``: the gradient sums of every network over one partition.
 
-    A task returns one number per weight, however many rows it has read.
+    A task returns one vector, however many rows it has read.
     """
     n_in, n_out = networks[0].n_in, networks[0].n_out
     gradients = [passes(n)[1] for n in networks]
@@ -110,14 +110,7 @@ def gradient_partials(networks: Sequence[Network], weights: Sequence[list[np.nda
             block = Block.of(to_matrix(batch), n_in, n_out, grouped)
             sums = [g(w, block) for g, w in zip(gradients, weights, strict=True)]
             totals = sums if totals is None else [a + b for a, b in zip(totals, sums, strict=True)]
-        for model, vector in enumerate(totals or []):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(vector), model), pa.int32()),
-                    pa.array(np.arange(len(vector)), pa.int32()),
-                    pa.array(vector, pa.float64()),
-                ],
-                names=["model", "pos", "value"],
-            )
+        if totals:
+            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate(totals)], pa.list_(pa.float64()))], names=["sums"])
 
     return run

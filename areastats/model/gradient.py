@@ -7,24 +7,33 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from areastats.functions.activations import activation
 from areastats.model.batches import gradient_partials
 from areastats.model.network import Network
 
 
-def weighted_sums(weights: np.ndarray, xs: Sequence[Column]) -> list[Column]:
-    """``x . W + bias`` for every output, as column expressions."""
+def weighted_sums(weights: Sequence[Sequence[Column | float]], xs: Sequence[Column]) -> list[Column]:
+    """``x . W + bias`` for every output, as column expressions; row 0 of ``weights`` is the bias."""
     out = []
-    for j in range(weights.shape[1]):
-        z = F.lit(float(weights[0, j]))
+    for j in range(len(weights[0])):
+        z = F.lit(weights[0][j])
         for i, x in enumerate(xs):
-            z = z + x * float(weights[i + 1, j])
+            z = z + x * weights[i + 1][j]
         out.append(z)
     return out
 
 
+def weights_as_data(spark: SparkSession, vector: np.ndarray) -> Column:
+    """Weights as the value of a one-row table.
+
+    As literals they would be part of the generated code, which would be compiled anew every epoch.
+    """
+    row = spark.sql("SELECT :weights AS weights FROM VALUES (1) AS one(x)", args={"weights": F.lit(vector.tolist())})
+    return row.scalar()
+
+
 def positions(network: Network, outputs: Sequence[str]) -> list[str]:
     """Names of the entries of a gradient vector, in order."""
     names = ["rows", "half_squared_error", *[f"error:{c}" for c in outputs]]
@@ -53,40 +62,69 @@ def _columns(df: DataFrame, start: int, end: int) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns[start:end]]
 
 
-def gradient_sums(df: DataFrame, network: Network, weights: list[np.ndarray], grouped: bool = False) -> DataFrame:
-    """``(pos, value)`` sums over standardised rows (inputs first, then targets).
+class GradientSums:
+    """``(pos, value)`` sums of a network over standardised rows (inputs first, then targets), given its weights.
 
-    Without a hidden layer everything is a built-in aggregate inside generated code. With
+    Without a hidden layer everything is a built-in aggregate inside generated code; its expressions
+    are built once and look the weights up in a column, so every epoch runs the same code. With
     hidden layers each partition is reduced in Arrow batches and the partials are added up by
     a ``groupBy``. Either way the rows stay on the executors. ``grouped`` rows come from
     ``by_inputs``.
     """
-    if network.hidden:
-        return gradient_sums_many(df, [network], [weights], grouped).drop("model")
-    xs = _columns(df, 0, network.n_in)
-    first = network.n_in + grouped
-    ts = _columns(df, first, first + network.n_out)
-    act = activation(network.last_activation)
-    zs = weighted_sums(weights[0], xs)
-    ys = [act.value(z) for z in zs]
-    if grouped:
-        n, squares = F.col("n"), _columns(df, first + network.n_out, first + 2 * network.n_out)
-        errors = [n * y - t for y, t in zip(ys, ts, strict=True)]
-        squared = [n * (y - t / n) * (y - t / n) + q for y, t, q in zip(ys, ts, squares, strict=True)]
-        rows = F.sum(n)
-    else:
-        errors = [y - t for y, t in zip(ys, ts, strict=True)]
-        squared = [e * e for e in errors]
-        rows = F.count("*").cast("double")
-    deltas = [e * act.slope(z, y) for e, z, y in zip(errors, zs, ys, strict=True)]
-    sums = [rows, F.sum(0.5 * reduce(add, squared)), *[F.sum(e) for e in errors], *[F.sum(d) for d in deltas]]
-    sums += [F.sum(d * x) for x in xs for d in deltas]
-    return df.agg(F.array(*sums).alias("sums")).select(F.posexplode("sums").alias("pos", "value"))
+
+    def __init__(self, df: DataFrame, network: Network, grouped: bool = False):
+        self.df, self.network, self.grouped = df, network, grouped
+        self.weights = "weights"
+        while self.weights in df.columns:
+            self.weights += "_"
+        if not network.hidden:
+            self.sums = self._sums()
+
+    def _sums(self) -> Column:
+        df, network = self.df, self.network
+        xs = _columns(df, 0, network.n_in)
+        first = network.n_in + self.grouped
+        ts = _columns(df, first, first + network.n_out)
+        act = activation(network.last_activation)
+        rows, cols = network.shapes[0]
+        zs = weighted_sums([[F.get(self.weights, F.lit(i * cols + j)) for j in range(cols)] for i in range(rows)], xs)
+        ys = [act.value(z) for z in zs]
+        if self.grouped:
+            n, squares = F.col("n"), _columns(df, first + network.n_out, first + 2 * network.n_out)
+            errors = [n * y - t for y, t in zip(ys, ts, strict=True)]
+            squared = [n * (y - t / n) * (y - t / n) + q for y, t, q in zip(ys, ts, squares, strict=True)]
+            count = F.sum(n)
+        else:
+            errors = [y - t for y, t in zip(ys, ts, strict=True)]
+            squared = [e * e for e in errors]
+            count = F.count("*").cast("double")
+        deltas = [e * act.slope(z, y) for e, z, y in zip(errors, zs, ys, strict=True)]
+        sums = [count, F.sum(0.5 * reduce(add, squared)), *[F.sum(e) for e in errors], *[F.sum(d) for d in deltas]]
+        return F.array(*sums, *[F.sum(d * x) for x in xs for d in deltas])
+
+    def __call__(self, weights: list[np.ndarray]) -> DataFrame:
+        if self.network.hidden:
+            return gradient_sums_many(self.df, [self.network], [weights], self.grouped).drop("model")
+        row = weights_as_data(self.df.sparkSession, self.network.flatten(weights))
+        sums = self.df.withColumn(self.weights, row).agg(self.sums.alias("sums"))
+        return sums.select(F.posexplode("sums").alias("pos", "value"))
+
+
+def gradient_sums(df: DataFrame, network: Network, weights: list[np.ndarray], grouped: bool = False) -> DataFrame:
+    """``(pos, value)`` sums for one set of weights; ``GradientSums`` is for many."""
+    return GradientSums(df, network, grouped)(weights)
 
 
 def gradient_sums_many(
     df: DataFrame, networks: Sequence[Network], weights: Sequence[list[np.ndarray]], grouped: bool = False
 ) -> DataFrame:
-    """``(model, pos, value)``: the sums of several networks in one pass over the rows."""
-    partials = df.mapInArrow(gradient_partials(networks, weights, grouped), "model int, pos int, value double")
-    return partials.groupBy("model", "pos").agg(F.sum("value").alias("value"))
+    """``(model, pos, value)``: the sums of several networks in one pass over the rows.
+
+    A task returns one vector with the sums of all networks, one after the other.
+    """
+    partials = df.mapInArrow(gradient_partials(networks, weights, grouped), "sums array<double>")
+    totals = partials.select(F.posexplode("sums").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
+    ends = np.cumsum([len(positions(n, range(n.n_out))) for n in networks]).tolist()
+    model = reduce(add, [(F.col("at") >= end).cast("int") for end in ends])
+    start = F.get(F.lit([0, *ends]), F.col("model"))
+    return totals.withColumn("model", model).select("model", (F.col("at") - start).alias("pos"), "value")

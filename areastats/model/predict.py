@@ -40,7 +40,7 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
 
 def _plain(model: Model, xs: list[Column]) -> list[Column]:
     act = activation(model.network.last_activation)
-    return [act.value(z) for z in weighted_sums(model.weights[0], xs)]
+    return [act.value(z) for z in weighted_sums(model.weights[0].tolist(), xs)]
 
 
 def _hidden(model: Model, xs: list[Column]) -> list[Column]:

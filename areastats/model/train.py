@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 from pyspark.sql import DataFrame
 
-from areastats.model.gradient import by_inputs, gradient_sums
+from areastats.model.gradient import GradientSums, by_inputs
 from areastats.model.network import Model, Network
 from areastats.model.scaler import Scaler, fit_scaler, standardize
 from areastats.model.spec import FeatureSpec
@@ -71,8 +71,9 @@ def train(
     done = max((epoch for epoch, _, _ in model.history), default=0)
     with training_rows(df, model.spec, model.scaler, group_inputs) as rows:
         current = replace(model, scaler=rows.scaler)
+        sums_of = GradientSums(rows.df, model.network, rows.grouped)
         for epoch in range(done + 1, done + epochs + 1):
-            sums = collect_sums(gradient_sums(rows.df, current.network, current.weights, rows.grouped))
+            sums = collect_sums(sums_of(current.weights))
             weights, cost, errors = step(current.network, current.weights, sums, learning_rate)
             current = replace(current, weights=weights, history=[*current.history, (epoch, cost, errors)])
             if after_epoch is not None:

@@ -29,7 +29,7 @@ def plan(df):
 
 PYTHON = {"gradient_step_hidden", "predict_hidden"}
 # Results of training are small tables that the driver makes from the weights.
-TRAINING = {n for n in QUERIES if "train" in n} | {"model_roundtrip", "sweep", "evaluate_model"}
+TRAINING = {n for n in QUERIES if "train" in n} | {"model_roundtrip", "sweep", "sweep_whole_grid", "evaluate_model"}
 
 
 @needs_tables

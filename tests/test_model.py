@@ -295,3 +295,16 @@ def test_train_and_evaluate_on_merged(spark, table, tmp_path):
     assert errors.count() == 10
     n = {(r["part"], r["output"]): r["n"] for r in errors.collect()}
     assert n["train", "a"] + n["test", "a"] == N
+
+
+def compilations(spark):
+    return spark._jvm.org.apache.spark.metrics.source.CodegenMetrics.METRIC_COMPILATION_TIME().getCount()
+
+
+@pytest.mark.parametrize("hidden", [(), (3, 2)])
+def test_no_code_is_compiled_after_the_second_epoch(spark, hidden):
+    rows = spark.range(500).selectExpr("rand(1) AS weights", "rand(2) AS b", "rand(3) AS t", "rand(4) AS u")
+    spec = FeatureSpec(("weights", "b"), ("t", "u"))
+    seen = []
+    train(Model.new(spec, Network.of(spec, hidden), 3), rows, 5, 0.1, after_epoch=lambda epoch, model: seen.append(compilations(spark)))
+    assert seen[1] == seen[-1]
