@@ -30,8 +30,8 @@ def weights_as_data(spark: SparkSession, vector: np.ndarray) -> Column:
 
     As literals they would be part of the generated code, which would be compiled anew every epoch.
     """
-    row = spark.sql("SELECT :weights AS weights FROM VALUES (1) AS one(x)", args={"weights": F.lit(vector.tolist())})
-    return row.scalar()
+    values = ", ".join(f"double('{w!r}')" for w in vector.tolist())
+    return spark.sql(f"SELECT array({values}) AS weights FROM VALUES (1) AS one(x)").scalar()
 
 
 def positions(network: Network, outputs: Sequence[str]) -> list[str]:
@@ -102,12 +102,25 @@ class GradientSums:
         sums = [count, F.sum(0.5 * reduce(add, squared)), *[F.sum(e) for e in errors], *[F.sum(d) for d in deltas]]
         return F.array(*sums, *[F.sum(d * x) for x in xs for d in deltas])
 
+    def _row(self, weights: list[np.ndarray]) -> DataFrame:
+        row = weights_as_data(self.df.sparkSession, self.network.flatten(weights))
+        return self.df.withColumn(self.weights, row).agg(self.sums.alias("sums"))
+
     def __call__(self, weights: list[np.ndarray]) -> DataFrame:
         if self.network.hidden:
             return gradient_sums_many(self.df, [self.network], [weights], self.grouped).drop("model")
-        row = weights_as_data(self.df.sparkSession, self.network.flatten(weights))
-        sums = self.df.withColumn(self.weights, row).agg(self.sums.alias("sums"))
-        return sums.select(F.posexplode("sums").alias("pos", "value"))
+        return self._row(weights).select(F.posexplode("sums").alias("pos", "value"))
+
+    def collect(self, weights: list[np.ndarray]) -> np.ndarray:
+        """The sums on the driver: one number per weight."""
+        if self.network.hidden:
+            return collect_sums(self(weights))
+        return np.array(self._row(weights).collect()[0][0], dtype=float)
+
+
+def collect_sums(sums: DataFrame) -> np.ndarray:
+    """Bring ``(pos, value)`` sums to the driver: one number per weight."""
+    return np.array([r["value"] for r in sorted(sums.collect(), key=lambda r: r["pos"])], dtype=float)
 
 
 def gradient_sums(df: DataFrame, network: Network, weights: list[np.ndarray], grouped: bool = False) -> DataFrame:

@@ -73,14 +73,9 @@ def train(
         current = replace(model, scaler=rows.scaler)
         sums_of = GradientSums(rows.df, model.network, rows.grouped)
         for epoch in range(done + 1, done + epochs + 1):
-            sums = collect_sums(sums_of(current.weights))
+            sums = sums_of.collect(current.weights)
             weights, cost, errors = step(current.network, current.weights, sums, learning_rate)
             current = replace(current, weights=weights, history=[*current.history, (epoch, cost, errors)])
             if after_epoch is not None:
                 after_epoch(epoch, replace(current, trained=True))
     return replace(current, trained=True)
-
-
-def collect_sums(sums: DataFrame) -> np.ndarray:
-    """Bring gradient sums to the driver: one number per weight."""
-    return np.array([r["value"] for r in sorted(sums.collect(), key=lambda r: r["pos"])], dtype=float)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from areastats.config import KEY
 from areastats.model.batches import Block, passes
-from areastats.model.gradient import by_inputs, gradient_sums, gradient_sums_many, positions
+from areastats.model.gradient import by_inputs, collect_sums, gradient_sums, gradient_sums_many, positions
 from areastats.model.metrics import OVERALL, evaluate, residual_metrics
 from areastats.model.network import Model, Network
 from areastats.model.predict import predict, prediction_name
@@ -14,7 +14,7 @@ from areastats.model.spec import FeatureSpec
 from areastats.model.split import hash_split, random_split
 from areastats.model.store import load_model, save_model
 from areastats.model.sweep import sweep
-from areastats.model.train import collect_sums, train
+from areastats.model.train import train
 from areastats.plans.regression import evaluate_on_merged, train_on_merged
 
 N = 200
