@@ -22,13 +22,17 @@ pair need not be compared once both are known to be connected. The join works in
    unless all its members are in one cell.
 
 Each round removes its pivots from the open classes, so it ends; a region of near copies ends
-after one round with one comparison per member. The order of shingles comes from counts of all
+after one round with one comparison per member. A region with no more open classes than a round has
+pivots is finished exactly: all of them are pivots. The number of pivots grows from round to round, so a
+region needs a number of rounds that grows with the logarithm of its open classes. The order of shingles comes from counts of all
 shingles in a sketch of fixed size; it decides how much work there is, never the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import ExitStack
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 from areastats.llm.common import arrow_batches, inner_prefix, narrow, possible
 from areastats.llm.components import connected_components
 from areastats.llm.shingles import Shingler, fingerprint, least_distance, signature
-from areastats.session import stage
+from areastats.session import stage, staged
 
 #: A link needs this share of the union, in hundredths.
 PERCENT = 75
@@ -46,8 +50,9 @@ SKETCH_BITS = 20
 SKETCH_PIECES = 64
 #: A shingle that may have more rows than this is dealt out by its classes as well.
 HOT_ROWS = 20_000
-#: Pivots per region: one in the first round, which ends regions of near copies, then up to this.
-PIVOTS = 32
+#: Pivots per region: one in the first round, which ends regions of near copies, then so many,
+#: and so many times more in every further round.
+PIVOTS, GROWTH = 32, 4
 #: Rows that a Python worker gets at a time: texts, or pairs of whole sets.
 BATCH_ROWS = 500
 _SLACK = 1e-9
@@ -117,10 +122,13 @@ def linked_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, perc
     found, pivots = None, 1
     epsilon = 1 - percent / 100
     while not region.isEmpty():
-        measured = _measure(region, sets, signatures, pivots, percent)
-        edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select("p", F.col("fp").alias("x"))
+        with ExitStack() as tables:  # what a round writes goes when the next one's regions are written
+            measured = _measure(region, sets, signatures, pivots, percent, tables)
+            edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select("p", F.col("fp").alias("x"))
+            edges = stage(edges.distinct(), "edges")
+            region = stage(_open_regions(measured, epsilon, tables), "regions")
         found = edges if found is None else found.unionByName(edges)
-        region, pivots = _open_regions(measured, epsilon), PIVOTS
+        pivots = PIVOTS if pivots == 1 else pivots * GROWTH
     if found is None:
         return rows.select(F.col("doc_id").alias("p"), F.col("doc_id").alias("x")).limit(0)
     return stage(found.distinct(), "links")
@@ -265,14 +273,26 @@ def _regions(members: DataFrame, percent: int) -> DataFrame:
     return rows.join(stage(single.select("g"), "region-names"), "g").select("g", "fp", "n", F.lit(True).alias("open"), F.lit(None).cast("long").alias("cell"))
 
 
-def _measure(region: DataFrame, sets: DataFrame, signatures: DataFrame, pivots: int, percent: int) -> DataFrame:
+def _measure(
+    region: DataFrame, sets: DataFrame, signatures: DataFrame, pivots: int, percent: int, tables: ExitStack
+) -> DataFrame:
     """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``cell``, ``p`` and the distance.
 
     The distance lies between ``d`` and ``top``. Both are exact unless sizes or signatures show that
     it is more than a link's; then the windows make do with that bound. A pivot has no distance from itself.
     """
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        return tables.enter_context(staged(df, label))
+
     slot = F.pmod(F.xxhash64("fp", "g"), F.lit(pivots))
-    chosen = region.where("open").groupBy("g", slot).agg(F.min(F.struct("fp", "n")).alias("v"))
+    if pivots > 1:
+        # Where a slot each is enough, every open class is a pivot: this round finishes the region.
+        large = region.where("open").groupBy("g").agg((F.count("*") > pivots).alias("large"))
+        opened = region.where("open").join(large, "g")
+        chosen = opened.groupBy("g", F.when(F.col("large"), slot).otherwise(F.col("fp")))
+    else:
+        chosen = region.where("open").groupBy("g", slot)
+    chosen = chosen.agg(F.min(F.struct("fp", "n")).alias("v"))
     chosen = stage(chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np")), "pivots")
     rows = region.join(chosen, "g")
     pairs = rows.where("p <> fp").select("p", "np", F.col("fp").alias("x"), "n").distinct()
@@ -299,7 +319,7 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, type=pa.float64())], names=["p", "x", "d"])
 
 
-def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
+def _open_regions(measured: DataFrame, epsilon: float, tables: ExitStack) -> DataFrame:
     """Members of the regions that are joined again.
 
     A pair that links and is not yet connected has an open class in its region: one of two classes
@@ -307,6 +327,10 @@ def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
     or has a pivot of another cell within ``2 epsilon`` of the first, or was closed before and is
     within ``epsilon`` of the first's distance from its pivot.
     """
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        return tables.enter_context(staged(df, label))
+
     d = F.col("d")
     near = F.coalesce(d <= epsilon, F.lit(False))
     members = measured.groupBy("g", "fp").agg(
@@ -344,7 +368,7 @@ def _open_regions(measured: DataFrame, epsilon: float) -> DataFrame:
     # Members that are all in one cell have nothing left to find.
     many = kept.groupBy("g").agg(F.min("cell").alias("low"), F.max("cell").alias("high"), F.count("*").alias("size"), F.count("cell").alias("named"))
     many = many.where("size > 1 and (named < size or low <> high)").select("g")
-    return stage(kept.join(many, "g"), "regions")
+    return kept.join(many, "g")
 
 
 def _cells(members: DataFrame) -> DataFrame:
