@@ -5,22 +5,26 @@ documents, about ``SEGMENT_IDS`` ids each. A segment is one row of a Parquet tab
 writer commits it, a lost task writes it again, and readers need no other file system:
 
 ``part``, ``before``  place of the segment: its part, and the ids that stand before it in the part
+``first_id``, ``last_id``  the lowest and highest id of its documents
 ``doc_ids``         ids of its documents, in order (NULL first)
 ``n_ids``           how many token ids it holds
 ``ids``             the token ids of all documents, end ids included, little endian, 2 or 4 bytes
 ``width``           bytes of an id: 2 if every id of the vocabulary fits
 ``ends``            Elias-Fano code of the place after each document's last id
 
-No table of 64-bit offsets is kept: boundaries within a segment come from the code, and where a
+No table of 64-bit offsets is kept: readers select boundaries within a segment from the code, and where a
 part begins is the number of ids in the parts before it.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 from string import punctuation
 
 import numpy as np
@@ -36,10 +40,11 @@ SEGMENT_IDS = 1 << 18
 CACHE_WORDS = 1_200_000
 #: Longer words are not kept.
 CACHE_LENGTH = 40
-_SEGMENTS = "part int, before long, doc_ids array<long>, n_ids long, ids binary, width int, ends binary"
+_SEGMENTS = "part int, before long, first_id long, last_id long, doc_ids array<long>, n_ids long, ids binary, width int, ends binary"
 _ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: White space after which a break or a space does not begin a part of its own.
 _INNER = re.compile(r"\s[ \n]")
+_MARKS = frozenset(punctuation)
 _START = re.compile(r"(?<=\S)(?=[ \n])")
 
 
@@ -61,13 +66,28 @@ def part_text(name: str) -> str:
     return name if name[:1] in (" ", "\n") and name else f" {name}"
 
 
+def cuts_words(config: dict) -> bool:
+    """Whether the tokenizer gives a text the ids of its words, one after the other."""
+    cutter, model = config.get("pre_tokenizer") or {}, config["model"]
+    usual = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space", True)
+    plain = model.get("type") == "BPE" and not model.get("dropout") and not model.get("continuing_subword_prefix")
+    return bool(usual and plain and not config.get("normalizer") and not model.get("end_of_word_suffix"))
+
+
 class CachedEncoder:
-    """The tokenizers library, asked once for every word that a worker meets."""
+    """The tokenizers library, asked once for every word that a worker meets.
+
+    That holds for byte-level tokenizers that cut texts by the usual pattern and change nothing before;
+    any other one gets whole texts.
+    """
 
     def __init__(self, tokenizer_json: str):
+        # Spark has a task for every core; threads within a task only cost more processor time.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.by_word = cuts_words(json.loads(tokenizer_json))
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.words: dict[str, bytes] = {}
@@ -80,6 +100,8 @@ class CachedEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as bytes."""
+        if not self.by_word:
+            return self.ids(texts)
         parts = [split_words(t) for t in texts]
         firsts = self.ids([p.pop(0) for p in parts])
         if len(self.words) > CACHE_WORDS:
@@ -88,22 +110,21 @@ class CachedEncoder:
         known = self.words
         new = set().union(*parts).difference(known)
         # Marks behind a letter or digit are tokenised on their own, so "word." is "word" and ".".
-        marked = {}
-        for w in new:
-            head = w.rstrip(punctuation)
-            if len(head) < len(w) and head[-1:].isalnum() and not any(t in w for t in self.added):
-                marked[w] = head, w[len(head) :]
-        plain = list(new.difference(marked).union(h for h, _ in marked.values()).difference(known))
+        heads = [(w, w.rstrip(punctuation)) for w in new if w[-1:] in _MARKS]
+        added = [t for t in self.added if any(t in text for text in texts)]
+        marked = [(w, h, w[len(h) :]) for w, h in heads if h[-1:].isalnum() and not any(t in w for t in added)]
+        plain = new.difference([w for w, _, _ in marked])
+        plain.update(h for _, h, _ in marked if h not in known)
+        plain = list(plain)
         known.update(zip(plain, self.ids([part_text(w) for w in plain]), strict=True))
-        tails = list({t for _, t in marked.values()}.difference(self.marks))
+        tails = list({t for _, _, t in marked}.difference(self.marks))
         self.marks.update(zip(tails, self.ids(tails), strict=True))
-        for w, (head, tail) in marked.items():
-            known[w] = known[head] + self.marks[tail]
+        marks = self.marks
+        known.update([(w, known[h] + marks[t]) for w, h, t in marked])
         get = known.__getitem__
         out = [first + b"".join(map(get, p)) for first, p in zip(firsts, parts, strict=True)]
-        for w in new.union(plain):
-            if len(w) > CACHE_LENGTH:
-                del known[w]
+        for w in {w for w in new if len(w) > CACHE_LENGTH}.union(w for w in plain if len(w) > CACHE_LENGTH):
+            del known[w]
         return out
 
 
@@ -132,7 +153,7 @@ def segment_writer(tokenizer_json, end_id: int, segment_ids: int) -> Callable:
             store.update(encoder=encoder, encoder_of=tokenizer_json.value)
         part, before = TaskContext.get().partitionId(), 0
         schema = pa.schema(
-            [("part", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64()),
+            [("part", pa.int32()), ("before", pa.int64()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_ids", pa.int64()),
              ("ids", pa.binary()), ("width", pa.int32()), ("ends", pa.binary())]
         )
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
@@ -140,7 +161,8 @@ def segment_writer(tokenizer_json, end_id: int, segment_ids: int) -> Callable:
 
         def segment() -> pa.RecordBatch:
             ends = np.cumsum([len(b) // encoder.width for b in blobs])
-            row = (part, before, doc_ids, total, b"".join(blobs), encoder.width, EliasFano.encode(ends).to_bytes())
+            known = [i for i in doc_ids if i is not None]
+            row = (part, before, min(known, default=None), max(known, default=None), doc_ids, total, b"".join(blobs), encoder.width, EliasFano.encode(ends).to_bytes())
             return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
@@ -175,7 +197,7 @@ def write_token_files(
 
     Each document ends with ``end_id``, so a NULL or empty text is that id alone. Rows with equal
     ids are ordered by a hash of the text, then the text; a NULL id comes first. Other columns
-    are not looked at. An empty table writes no segment.
+    are not looked at. An empty table writes no segment. Ids must be integers.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json)  # the vocabulary: fixed size
@@ -186,9 +208,9 @@ def write_token_files(
     segments.write.option("compression", "zstd").parquet(path)
 
 
-def _boundaries(row_ends: bytes) -> tuple[np.ndarray, np.ndarray]:
-    ends = EliasFano.from_bytes(row_ends).decode()
-    return np.concatenate([[0], ends[:-1]]), ends
+def _boundaries(code: EliasFano) -> list[int]:
+    """Where each document of a segment begins, and the end of the last."""
+    return [0, *map(code.select, range(len(code)))]
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,10 +220,10 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc_ids, ids, width, ends, base = (
                 batch.column(c)[i].as_py() for c in ("doc_ids", "ids", "width", "ends", "base")
             )
-            begins, ends = _boundaries(ends)
+            cuts = _boundaries(EliasFano.from_bytes(ends))
             wide = memoryview(np.frombuffer(ids, dtype=f"<u{width}").astype("<u4").tobytes())
-            crc = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
-            columns = [doc_ids, begins + base, ends - begins, crc]
+            crc = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in pairwise(cuts)]
+            columns = [doc_ids, [a + base for a in cuts[:-1]], np.diff(cuts), crc]
             arrays = [pa.array(c, type=pa.int64()) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -211,9 +233,9 @@ def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             doc_ids, ids, width, ends = (batch.column(c)[i].as_py() for c in ("doc_ids", "ids", "width", "ends"))
-            _, ends = _boundaries(ends)
+            cuts = _boundaries(EliasFano.from_bytes(ends))
             flat = pa.array(np.frombuffer(ids, dtype=f"<u{width}").astype(np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), type=pa.int32()), flat)
+            lists = pa.ListArray.from_arrays(pa.array(cuts, type=pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([pa.array(doc_ids, type=pa.int64()), lists], schema=schema)
 
 
@@ -223,6 +245,32 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return segments.select("doc_ids", "ids", "width", "ends").mapInArrow(_ids, "doc_id long, ids array<long>")
 
 
+def read_documents(spark: SparkSession, path: str, wanted: Sequence[int]) -> DataFrame:
+    """``doc_id`` and ``ids`` of some documents: only their segments are opened, and two boundaries selected for each.
+
+    An id that several documents share gives all of them; one that no document has gives none.
+    """
+    some = sorted(set(wanted))
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                doc_ids, ids, width, ends = (batch.column(c)[i].as_py() for c in ("doc_ids", "ids", "width", "ends"))
+                code, flat = EliasFano.from_bytes(ends), np.frombuffer(ids, dtype=f"<u{width}")
+                at = np.flatnonzero(np.isin([-1 if d is None else d for d in doc_ids], some)).tolist()
+                at = [k for k in at if doc_ids[k] is not None]
+                lists = [flat[code.select(k - 1) if k else 0 : code.select(k)].astype(np.int64) for k in at]
+                yield pa.RecordBatch.from_arrays([pa.array([doc_ids[k] for k in at], pa.int64()), pa.array(lists, pa.list_(pa.int64()))], schema=schema)
+
+    segments = spark.read.schema(_SEGMENTS).parquet(path)
+    if not some:
+        return segments.limit(0).select(F.lit(0).cast("long").alias("doc_id"), F.array(F.lit(0).cast("long")).alias("ids"))
+    near = segments.where((F.col("last_id") >= some[0]) & (F.col("first_id") <= some[-1]))
+    near = near.where(F.exists(F.lit(some), lambda d: (d >= F.col("first_id")) & (d <= F.col("last_id"))))
+    return near.select("doc_ids", "ids", "width", "ends").mapInArrow(pick, "doc_id long, ids array<long>")
+
+
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: first place in the whole id sequence, length, checksum of the ids."""
     segments = spark.read.schema(_SEGMENTS).parquet(path)

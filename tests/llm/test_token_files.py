@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from brute import docs  # noqa: F401
 from areastats.llm.elias_fano import EliasFano
-from areastats.llm.token_files import CachedEncoder, read_digests, read_ids, write_token_files
+from areastats.llm.token_files import CachedEncoder, read_digests, read_documents, read_ids, write_token_files
 from areastats.session import shared_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -58,6 +58,9 @@ def test_files_against_the_library(spark, docs, segment):
         start += len(ids)
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in read_digests(spark, path).collect()} == {i: v[:3] for i, v in want.items()}
     assert {r.doc_id: r.ids for r in read_ids(spark, path).collect()} == {i: v[3] for i, v in want.items()}
+    some = [*list(want)[::3], 10**9]
+    assert {r.doc_id: r.ids for r in read_documents(spark, path, some).collect()} == {i: want[i][3] for i in some[:-1]}
+    assert read_documents(spark, path, []).collect() == []
 
 
 def test_ties_null_ids_and_empty_tables(spark, docs):
@@ -68,3 +71,12 @@ def test_ties_null_ids_and_empty_tables(spark, docs):
     path = shared_folder(spark, "tokens")
     write_token_files(docs([]), path, JSON)
     assert read_digests(spark, path).collect() == [] == read_ids(spark, path).collect()
+
+
+def test_other_tokenizers_get_whole_texts(spark, docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tokenizer = CachedEncoder(Path(path).read_text(encoding="utf-8")), Tokenizer.from_file(path)
+    assert not encoder.by_word and CachedEncoder(JSON).by_word
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in TEXTS]
+    assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(TEXTS)] == want
+
