@@ -9,7 +9,8 @@ from operator import and_, or_
 from pyspark.sql import DataFrame, functions as F
 
 from areastats.config import KEY
-from areastats.operators.skew import join_unique, key_set
+from areastats.operators.skew import join_unique
+from areastats.session import stage
 
 
 def join_all(frames: Sequence[DataFrame], key: str = KEY, how: str = "inner") -> DataFrame:
@@ -34,18 +35,32 @@ def fill_missing(
 
     Every filler is compared with the original base, so two fillers may both add a key; with
     ``sequential`` each is compared with what has been filled so far. All base rows stay, also
-    those without a key; filler rows without a key are left out. The keys of the base are
-    gathered once; each filler is read once and its rows are not shuffled while there are few
-    enough keys to broadcast.
+    those without a key; filler rows without a key are left out.
+
+    In turn, a key belongs to the first source that has it: one aggregation over the keys of all
+    sources finds that out, combined on the map side, and one join applies it. Else each filler is
+    read once, and its rows are not shuffled while there are few enough base keys to broadcast.
     """
-    out, keys = base, key_set(base, key)
-    for filler in fillers:
-        rows = filler.select(*[F.col(f"`{c}`") for c in base.columns]).where(F.col(f"`{key}`").isNotNull())
-        added = join_unique(rows, keys, key, "left_anti")
-        out = out.unionByName(added)
-        if sequential:
-            keys = keys.unionByName(key_set(added, key))
-    return out
+    columns = [F.col(f"`{c}`") for c in base.columns]
+    k = F.col(f"`{key}`")
+    rows = [f.select(*columns).where(k.isNotNull()) for f in fillers]
+    if not rows:
+        return base
+    if sequential:
+        return base.unionByName(_in_turn(base, rows, key))
+    keys = stage(base.select(k).where(k.isNotNull()).distinct(), "keys")
+    return reduce(DataFrame.unionByName, [join_unique(r, keys, key, "left_anti") for r in rows], base)
+
+
+def _in_turn(base: DataFrame, fillers: Sequence[DataFrame], key: str) -> DataFrame:
+    """The filler rows whose source is the first with their key. Nothing runs before the result is asked for."""
+    source = "source"
+    while source in base.columns:
+        source += "_"
+    numbered = reduce(DataFrame.unionByName, [f.withColumn(source, F.lit(i)) for i, f in enumerate(fillers, start=1)])
+    keys = base.select(F.col(f"`{key}`"), F.lit(0).alias(source)).unionByName(numbered.select(F.col(f"`{key}`"), source))
+    first = keys.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`")).agg(F.min(source).alias(source))
+    return numbered.join(first.where(F.col(source) > 0), [key, source], "left_semi").select(*[F.col(f"`{c}`") for c in base.columns])
 
 
 def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:

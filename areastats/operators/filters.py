@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from areastats.config import TERRITORY_NAMES
-from areastats.operators.skew import join_unique, key_set
+from areastats.operators.skew import join_unique
 
 
 def nonblank(*columns: str) -> Column:
@@ -33,8 +33,8 @@ def listed(column: str, values: Sequence[str]) -> Column:
 
 
 def keep_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Allow-list given as a table: a semi join, so the list never passes the driver."""
-    return join_unique(df, key_set(keys, key), key, "left_semi")
+    """Allow-list given as a table: a semi join, so the list never passes the driver; it may repeat keys."""
+    return join_unique(df, keys.select(F.col(f"`{key}`")), key, "left_semi")
 
 
 def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

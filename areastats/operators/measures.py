@@ -20,6 +20,11 @@ def mean_by_key(df: DataFrame, value: Column, name: str, key: str = KEY) -> Data
     return df.groupBy(key).agg(F.avg(value).alias(name))
 
 
+def mean_of_parts(df: DataFrame, total: Column, count: Column, name: str, key: str = KEY) -> DataFrame:
+    """Unweighted mean per key of values of which rows hold sums and counts."""
+    return df.groupBy(key).agg(F.try_divide(F.sum(total).cast("double"), F.sum(count).cast("double")).alias(name))
+
+
 def distinct_values(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct combinations of the columns."""
     return df.select(*columns).distinct()

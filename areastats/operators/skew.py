@@ -3,8 +3,8 @@
 Aggregations need nothing of the kind: Spark combines a hot key on the map side. A join of raw
 rows does, because all rows of one key go to one task. Two ways avoid that here. If the other
 side has been measured and found small, it is broadcast and the rows stay where they are. If not,
-the hot keys are taken out: their rows never shuffle, they meet the few matching rows of the
-other side by broadcast, and the rest is an ordinary join.
+the rows of a hot key are cut into pieces by a salt, and the few rows of the other side that have
+the key are repeated for every salt: one ordinary join, each side read once.
 """
 
 from __future__ import annotations
@@ -13,20 +13,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from areastats.session import stage
 
-#: A side with one row per key is broadcast up to this size.
+#: A side is broadcast up to this size.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: A key is hot when it may hold more than this share of the rows.
-HOT_SHARE = 0.02
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """All keys with more than ``share`` of the rows, and perhaps a few others.
-
-    One pass without a shuffle; the counting sketch has 1/share slots, so the list has at most
-    that many entries however large the table is. No key above the share is missed.
-    """
-    row = df.select(F.col(f"`{key}`").alias("k")).where(F.col("k").isNotNull()).freqItems(["k"], share).first()
-    return sorted(row[0] or [])
+#: What a task of a join should get.
+TASK_BYTES = 64 * 1024 * 1024
+#: Pieces that a task's share is dealt out in; many small pieces fill tasks evenly.
+PIECES = 16
+#: Bytes of the sample from which hot keys are estimated, if the plan's own estimate of the size holds.
+SAMPLE_BYTES = 256 * 1024 * 1024
+HOWS = ("inner", "left", "left_semi", "left_anti")
 
 
 def join_unique(
@@ -34,42 +29,62 @@ def join_unique(
     right: DataFrame,
     key: str,
     how: str = "inner",
-    share: float = HOT_SHARE,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_bytes: int = BROADCAST_BYTES,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
-    """Join ``left`` rows to ``right``, which has one row per key (inner, left, semi or anti).
+    """Join ``left`` rows to the fewer rows of ``right`` (inner, left, semi or anti).
 
-    The result is the plain join's, whole. ``right`` is broadcast as a whole only if measured
-    and at most ``broadcast_bytes``, and its rows for hot keys only if they take at most ``hot_bytes``
-    and are no more than there are hot keys; if
-    there are more, keys are not unique and the plain join is used.
+    The result is the plain join's, whole. ``right`` is broadcast if measured and at most
+    ``broadcast_bytes``; else the join is salted.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+    if how not in HOWS:
         raise ValueError(f"join_unique cannot do {how!r}")
     if measured(right)[1] <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
-    hot = hot_keys(left, key, share)
-    if not hot:
-        return left.join(right, key, how)
-    hot_right = right.where(_in(key, hot))
-    rows, size = measured(hot_right)
-    if rows > len(hot) or size > hot_bytes:
-        return left.join(right, key, how)
-    known = left.where(F.col(f"`{key}`").isNotNull())
-    out = known.where(~_in(key, hot)).join(right.where(~_in(key, hot)), key, how)
-    out = out.unionByName(known.where(_in(key, hot)).join(F.broadcast(hot_right), key, how))
-    if how in ("left", "left_anti"):
-        # Rows without a key match nothing and would all go to one task.
-        out = out.unionByName(left.where(F.col(f"`{key}`").isNull()), allowMissingColumns=True)
-    return out
+    return salted_join(left, right, key, how, task_bytes)
 
 
-def measured(df: DataFrame) -> tuple[int, int]:
-    """Rows and approximate bytes of a table, from one aggregation.
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The plain join with the rows of hot keys of ``left`` dealt out over tasks.
 
-    A ``limit`` would not be cheaper: it sends up to the limit from every partition to one task.
+    Keys may repeat on both sides. A salt comes from all columns of a row, so it is the same if the row
+    is computed again after an executor is lost; rows that are equal in every column stay together. Rows
+    without a key match nothing and are spread in the same way.
     """
+    if how not in HOWS:
+        raise ValueError(f"salted_join cannot do {how!r}")
+    name = "salt"
+    while name in left.columns or name in right.columns or f"{name} count" in left.columns:
+        name += "_"
+    k, count, salt = F.col(f"`{key}`"), f"{name} count", F.col(f"`{name}`")
+    # Written down, since both sides must see the same counts.
+    hot = F.broadcast(stage(hot_keys(left, key, task_bytes).withColumnRenamed("salts", count), "hot-keys"))
+    of_row = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    rows = left.join(hot, key, "left").withColumn(
+        name, F.when(k.isNull(), of_row).otherwise(F.pmod(of_row, F.coalesce(F.col(f"`{count}`"), F.lit(1)).cast("long")))
+    )
+    copies = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(f"`{count}`"), F.lit(1)).cast("long") - 1)
+    others = right.join(hot, key, "left").withColumn(name, F.explode(copies)).drop(count)
+    return rows.drop(count).join(others, [key, name], how).drop(name)
+
+
+def hot_keys(df: DataFrame, key: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """``key`` and ``salts`` of the keys whose rows take more than a piece of ``task_bytes``.
+
+    Estimated from a sample, which costs one pass and a shuffle of partial counts; the result decides
+    only how evenly tasks are filled. There are at most as many keys as pieces in the whole table.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    share = min(1.0, SAMPLE_BYTES / max(size, 1))
+    rows = df if share == 1.0 else df.sample(share, seed=1)
+    k, piece = F.col(f"`{key}`"), task_bytes / PIECES
+    sizes = rows.where(k.isNotNull()).groupBy(k).agg(F.sum(row_bytes(df)).alias("bytes"))
+    salts = F.ceil(F.col("bytes") / (share * piece)).cast("int")
+    return sizes.select(k, salts.alias("salts")).where("salts > 1")
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate bytes of a row."""
     width = F.lit(0)
     for f in df.schema:
         c = F.col(f"`{f.name}`")
@@ -77,15 +92,13 @@ def measured(df: DataFrame) -> tuple[int, int]:
             c = F.to_json(F.struct(c))
         text = isinstance(f.dataType, (T.StringType, T.ArrayType, T.MapType, T.StructType, T.BinaryType))
         width = width + 16 + (F.coalesce(F.octet_length(c), F.lit(0)) if text else 0)
-    row = df.agg(F.count("*"), F.sum(width)).first()
-    return row[0], row[1] or 0
+    return width
 
 
-def key_set(df: DataFrame, key: str) -> DataFrame:
-    """The distinct keys without NULL, computed once and kept in the shared folder."""
-    keys = df.select(F.col(f"`{key}`")).where(F.col(f"`{key}`").isNotNull())
-    return stage(keys.distinct(), "keys")
-
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of a table, from one aggregation.
 
-def _in(key: str, values: list) -> Column:
-    return F.col(f"`{key}`").isin(values)
+    A ``limit`` would not be cheaper: it sends up to the limit from every partition to one task.
+    """
+    row = df.agg(F.count("*"), F.sum(row_bytes(df))).first()
+    return row[0], row[1] or 0

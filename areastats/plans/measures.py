@@ -25,7 +25,7 @@ from areastats.functions.numbers import ratio, to_double
 from areastats.functions.text import strip_anywhere, strip_suffix
 from areastats.operators.combine import join_all
 from areastats.operators.filters import nonblank, not_listed, present
-from areastats.operators.measures import mean_by_key
+from areastats.operators.measures import mean_by_key, mean_of_parts
 from areastats.operators.project import pick
 
 
@@ -48,14 +48,20 @@ def graduation_rate(
     non_states: Sequence[str] = NON_STATES,
     non_counties: Sequence[str] = NON_COUNTIES,
     suffixes: Sequence[str] = (" County",),
+    parts: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Mean rate per area over all years from ``COUNTY, STATE, RATE`` text rows.
 
     Rows for the nation, for states and left-over header lines go by deny-list, rows without a
     rate by the blank test. A county that is named exactly like a state goes with the states.
+    ``parts`` names columns with the sum and number of the rates of a row that stands for many; there is no ``RATE`` then.
     """
-    kept = rows.where(not_listed("STATE", non_states) & not_listed("COUNTY", non_counties) & nonblank("RATE"))
+    kept = rows.where(not_listed("STATE", non_states) & not_listed("COUNTY", non_counties))
     key = area_key(strip_suffix(F.col("COUNTY"), suffixes), F.col("STATE"), trim=False, upper=False, strict=True)
+    if parts:
+        total, count = (F.col(f"`{p}`") for p in parts)
+        return mean_of_parts(kept.where(count > 0).withColumn(KEY, key), total, count, GRADUATION_RATE)
+    kept = kept.where(nonblank("RATE"))
     keyed = kept.select(key.alias(KEY), to_double(F.col("RATE")).alias("rate"))
     return mean_by_key(keyed, F.col("rate"), GRADUATION_RATE)
 

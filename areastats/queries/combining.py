@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from areastats.config import KEY
 from areastats.operators.combine import concat_by_name, fill_missing, join_all, merge_pages
-from areastats.operators.measures import count_by_key, distinct_values, key_count, mean_by_key
+from areastats.operators.measures import count_by_key, distinct_values, key_count, mean_of_parts
 from areastats.operators.project import pages
-from areastats.queries.inputs import GEO, customers, key, orders_with_places, private_sites, table
+from areastats.queries.inputs import GEO, customers, key, order_sums, private_sites, table
 from areastats.queries.registry import query
 
 
@@ -87,8 +87,9 @@ def count_per_key(spark: SparkSession, sf: str) -> DataFrame:
 SELECT area AS "County-State", round(avg(o_totalprice), 4) AS price
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey GROUP BY area""", name="mean_by_key")
 def mean_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    rows = orders_with_places(spark, sf).select(key().alias(KEY), "o_totalprice")
-    return mean_by_key(rows, F.col("o_totalprice"), "price").withColumn("price", F.round("price", 4))
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    sums = order_sums(spark, sf, {"price": price, "prices": F.when(price.isNotNull(), 1).otherwise(0)}).withColumn(KEY, key())
+    return mean_of_parts(sums, F.col("price"), F.col("prices"), "price").withColumn("price", F.round("price", 4))
 
 
 @query("""SELECT count(*) AS rows, count(CASE WHEN o_orderstatus <> 'P' THEN o_custkey END) AS keyed,

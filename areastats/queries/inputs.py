@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from areastats.config import DROPOUT_POPULATION, INCOME_FIELD, KEY, STATE_CODES, TEEN_POPULATION, TEEN_WORKED
 from areastats.functions.keys import area_key, state_code
 from areastats.functions.text import plain_number
+from areastats.operators.eager import partial_sums, roll_up, totals
 from areastats.operators.skew import join_unique
 
 CODES = {"AFRICA": "AF", "AMERICA": "AM", "ASIA": "AS", "EUROPE": "EU"}
@@ -119,6 +120,75 @@ RANKING_ROWS = f"""{GEO}, ranking AS (
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey)"""
 
 
+#: Orders by whether their county is a region and whether they stand for the nation.
+_KINDS = [(region, nation) for region in (False, True) for nation in (False, True)]
+
+
+def _rate_sums() -> dict[str, Column]:
+    """Sum and number of the rates of an order that has one, apart for every kind of order."""
+    region = F.coalesce(F.col("o_orderstatus") == "P", F.lit(False))
+    nation = F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False))
+    rate = F.when(F.coalesce(F.col("o_orderpriority") != "5-LOW", F.lit(True)), F.col("o_totalprice").cast("decimal(18,2)"))
+    sums = {}
+    for i, (r, n) in enumerate(_KINDS):
+        own = F.when((region == r) & (nation == n), rate)
+        sums |= {f"rate{i}": own, f"rates{i}": F.when(own.isNotNull(), 1).otherwise(0)}
+    return sums
+
+
+def _people(spark: SparkSession, sf: str, **sums: Column) -> DataFrame:
+    keys = [F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")]
+    return table(spark, sf, "customer").select(*keys, *[c.alias(n) for n, c in sums.items()])
+
+
+def _with_places(by_nation: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    return by_nation.join(geo(spark, sf), "n_nationkey")
+
+
+def order_sums(spark: SparkSession, sf: str, sums: dict[str, Column]) -> DataFrame:
+    """Sums over the orders of each nation, with its place."""
+    orders = partial_sums(table(spark, sf, "orders"), "o_custkey", sums)
+    return _with_places(totals(roll_up(orders, _people(spark, sf), "o_custkey", "n_nationkey"), "n_nationkey"), spark, sf)
+
+
+def ranking_sums(spark: SparkSession, sf: str, facts: DataFrame | None = None) -> DataFrame:
+    """``COUNTY``, ``STATE``, ``rate``, ``rates``: the rows of ``ranking_rows`` with a rate, added up by nation and kind."""
+    facts = order_sums(spark, sf, _rate_sums()) if facts is None else facts
+    kinds = [
+        F.struct(
+            (F.col("r_name") if region else F.concat("n_name", F.lit(" County"))).alias("COUNTY"),
+            (F.lit("US") if nation else F.col("code")).alias("STATE"),
+            F.col(f"rate{i}").alias("rate"),
+            F.col(f"rates{i}").alias("rates"),
+        )
+        for i, (region, nation) in enumerate(_KINDS)
+    ]
+    return facts.select(F.inline(F.array(*kinds)))
+
+
+def nation_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per nation with every sum that the measures need; each table is read once.
+
+    Items are added up per order, with the orders per customer, with the customers per nation.
+    """
+    returned = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    items = table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    items = partial_sums(items, "o_orderkey", {"items": F.lit(1), "returned": returned})
+    finished = F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
+    sums = {"orders": F.lit(1), "finished": finished, **_rate_sums()}
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", *[c.alias(n) for n, c in sums.items()])
+    balance = F.col("c_acctbal").cast("decimal(18,2)")
+    solvent = F.when(F.col("c_acctbal") >= 0, balance)
+    people = _people(
+        spark, sf, customers=F.lit(1), balance=balance, balances=F.when(balance.isNotNull(), 1).otherwise(0),
+        solvent_balance=solvent, solvents=F.when(solvent.isNotNull(), 1).otherwise(0),
+    )
+    per_customer = roll_up(items, orders, "o_orderkey", "o_custkey")
+    per_nation = roll_up(per_customer, people, "o_custkey", "n_nationkey")
+    sellers = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), F.lit(1).alias("suppliers"))
+    return _with_places(totals(per_nation.unionByName(sellers, allowMissingColumns=True), "n_nationkey"), spark, sf)
+
+
 def counts_by_nation(spark: SparkSession, sf: str, by_customer: DataFrame, *names: str) -> DataFrame:
     """Add up per-customer counts (``o_custkey`` and ``names``) by nation, then look up the place."""
     people = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
@@ -180,15 +250,6 @@ def income_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def nation_svi(spark: SparkSession, sf: str) -> DataFrame:
-    """Per nation: a vulnerability record from the mean balance of customers that are not in debt."""
-    solvent = table(spark, sf, "customer").where("c_acctbal >= 0")
-    by_nation = solvent.groupBy("c_nationkey").agg((exact_mean("c_acctbal") / 10000).alias("RPL_THEMES"))
-    return by_nation.join(geo(spark, sf).withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey").select(
-        F.col("n_name").alias("COUNTY"), F.col("code").alias("ST_ABBR"), "RPL_THEMES"
-    )
-
-
 def features(spark: SparkSession, sf: str) -> DataFrame:
     """Per customer: balance as input; number, sum and mean of the orders as outputs, where known."""
     per_customer = (

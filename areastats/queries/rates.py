@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from areastats.config import DROPOUT_RATE, GRADUATION_RATE, INCOME, KEY, PRIVATE_SHARE, PUBLIC_SHARE, TEEN_RATE
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from areastats.config import (
+    DROPOUT_POPULATION,
+    DROPOUT_RATE,
+    GRADUATION_RATE,
+    INCOME,
+    INCOME_FIELD,
+    KEY,
+    PRIVATE_SHARE,
+    PUBLIC_SHARE,
+    TEEN_POPULATION,
+    TEEN_RATE,
+    TEEN_WORKED,
+)
 from areastats.operators.measures import count_by_key
 from areastats.plans.measures import (
     dropout_rate,
@@ -26,14 +38,15 @@ from areastats.queries.inputs import (
     flat_records,
     income_rows,
     key,
-    nation_svi,
+    nation_facts,
     private_sites,
     public_sites,
-    ranking_rows,
+    ranking_sums,
     svi_records,
     teen_rows,
 )
 from areastats.queries.registry import query
+from areastats.session import stage
 
 
 def rounded(df: DataFrame, places: int = 6, **by_name: int) -> DataFrame:
@@ -70,7 +83,8 @@ _GRADUATION = f"""SELECT upper(regexp_replace(county, ' County$', '')) || '-' ||
 @query(f"""WITH {RANKING_ROWS}
 SELECT area AS "County-State", round(rate, 4) AS "Graduation-Rate" FROM ({_GRADUATION})""")
 def graduation_by_area(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(graduation_rate(ranking_rows(spark, sf), non_counties=REGION_NAMES), 4)
+    rows = ranking_sums(spark, sf)
+    return rounded(graduation_rate(rows, non_counties=REGION_NAMES, parts=("rate", "rates")), 4)
 
 
 _DROPOUT = """SELECT area, CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) / count(*) AS rate
@@ -135,15 +149,29 @@ def shares_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, sf: str) -> DataFrame:
-    """All measures of an area, which come from every one of the tables."""
+    """All measures of an area, from one table of sums that every one of the tables is read for once."""
+    facts = stage(nation_facts(spark, sf), "nation-facts")
+
+    def mean(total: str, count: str) -> Column:
+        return F.try_divide(F.col(total).cast("double"), F.col(count).cast("double"))
+
+    def having(count: str, **columns: Column) -> DataFrame:
+        return facts.where(F.col(count) > 0).select(*[c.alias(n) for n, c in columns.items()])
+
+    place = {"County": F.col("n_name"), "State": F.col("r_name")}
+    svi = having("solvents", COUNTY=F.col("n_name"), ST_ABBR=F.col("code"), RPL_THEMES=mean("solvent_balance", "solvents") / 10000)
+    counts = [having(n, **{KEY: key(), name: F.col(n)}) for n, name in (("customers", "Public"), ("suppliers", "Private"))]
+    dropouts = having("items", **place, Total_Dropout=F.col("returned"), **{DROPOUT_POPULATION: F.col("items")})
+    teens = having("orders", **place, **{TEEN_WORKED: F.col("finished"), TEEN_POPULATION: F.col("orders")})
+    income = having("customers", NAME=F.concat("n_name", F.lit(" County")), State=F.col("r_name"), **{INCOME_FIELD: mean("balance", "balances")})
     return merge_measures(
         [
-            svi_by_area(nation_svi(spark, sf)),
-            _shares(spark, sf),
-            graduation_rate(ranking_rows(spark, sf), non_counties=REGION_NAMES),
-            dropout_rate(dropout_rows(spark, sf), CODES),
-            teen_work_rate(teen_rows(spark, sf), CODES),
-            household_income(income_rows(spark, sf), CODES),
+            svi_by_area(svi),
+            shares_from_counts(counts),
+            graduation_rate(ranking_sums(spark, sf, facts), non_counties=REGION_NAMES, parts=("rate", "rates")),
+            dropout_rate(dropouts, CODES),
+            teen_work_rate(teens, CODES),
+            household_income(income, CODES),
         ]
     )
 

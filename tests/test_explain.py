@@ -15,6 +15,7 @@ from areastats.operators.combine import join_all
 from areastats.operators.measures import count_by_key
 from areastats.plans.schools import site_counts
 from areastats.queries import QUERIES
+from areastats.queries.inputs import nation_facts
 from areastats.sources.catalog import table_query
 from areastats.sources.nested import SITE_SCHEMA, read_json
 from areastats.sources.positional import read_positions
@@ -101,3 +102,15 @@ def test_only_inputs_go_to_python(spark):
     text = plan(predict(Model.new(spec, Network.of(spec, (2,))), df))
     assert text.count("ArrowEvalPython") == 1
     assert "other" not in re.search(r"ArrowEvalPython \[(.*?)\]", text).group(1)
+
+
+@needs_tables
+def test_merged_table_reads_each_fact_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        facts, merged = plan(nation_facts(spark, FOLDER)), plan(QUERIES["merged_table"](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tables = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+    assert [facts.count(f"{FOLDER}/{t}.parquet") for t in tables] == [1] * 6 and not any(f"/{t}.parquet" in merged for t in tables)
+    assert facts.count("Exchange hashpartitioning") + merged.count("Exchange hashpartitioning") < 15

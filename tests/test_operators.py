@@ -1,3 +1,5 @@
+from contextlib import contextmanager
+
 import pytest
 from conftest import collected
 from hypothesis import given, settings, strategies as st
@@ -12,6 +14,7 @@ from areastats.operators.combine import (
     natural_join,
     union_all,
 )
+from areastats.operators.eager import partial_sums, roll_up, totals
 from areastats.operators.filters import (
     drop_missing,
     keep_keys,
@@ -23,7 +26,7 @@ from areastats.operators.filters import (
 )
 from areastats.operators.measures import count_by_key, distinct_values, key_count, mean_by_key, school_shares
 from areastats.operators.project import drop_present, inputs_first, pages, pick, rename, require_columns
-from areastats.operators.skew import hot_keys, join_unique, measured
+from areastats.operators.skew import hot_keys, join_unique, measured, salted_join
 
 KEYED = f"`{KEY}` string, Name string"
 
@@ -138,55 +141,102 @@ def skewed(spark):
     return spark.range(30_000).selectExpr("id", key)
 
 
+HOWS = ["inner", "left", "left_semi", "left_anti"]
+
+
+def equal(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
 def test_hot_keys_are_found(skewed):
-    assert "hot" in hot_keys(skewed, "k")
-    assert len(hot_keys(skewed, "k")) <= 50
+    hot = {r.k: r.salts for r in hot_keys(skewed, "k", task_bytes=100_000).collect()}
+    assert set(hot) == {"hot"} and 50 < hot["hot"] < 100
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("how", HOWS)
 @pytest.mark.parametrize("broadcast_bytes", [0, 10_000_000])
 def test_join_unique_equals_plain_join(spark, skewed, how, broadcast_bytes):
     right = spark.range(1000).selectExpr("CONCAT('k', id) AS k", "id AS v")
-    for extra in ("'hot' AS k, -1L AS v", "'other' AS k, -1L AS v"):
-        side = right.unionByName(spark.range(1).selectExpr(extra.split(", ")[0], extra.split(", ")[1]))
-        split = join_unique(skewed, side, "k", how, broadcast_bytes=broadcast_bytes)
-        plain = skewed.join(side, "k", how)
-        assert split.columns == plain.columns
-        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    for extra in ("'hot' AS k, -1L AS v", "'other' AS k, -1L AS v", "CAST(NULL AS STRING) AS k, -1L AS v"):
+        side = right.unionByName(spark.range(1).selectExpr(*extra.split(", ")))
+        joined = join_unique(skewed, side, "k", how, broadcast_bytes=broadcast_bytes, task_bytes=50_000)
+        assert equal(joined, skewed.join(side, "k", how))
 
 
-def largest_task(df):
-    """Share of the rows that end up in the largest partition."""
-    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
-    return max(counts) / sum(counts)
+@pytest.mark.parametrize("how", HOWS)
+def test_salted_join_with_keys_repeated_on_both_sides(spark, skewed, how):
+    left = skewed.where("id < 3000").selectExpr("id AS salt", "k", "id % 3 AS `salt count`")
+    right = spark.range(300).selectExpr("IF(id < 20, 'hot', CONCAT('k', id % 90)) AS k", "id AS v", "1 AS salt_")
+    assert equal(salted_join(left, right, "k", how, task_bytes=5_000), left.join(right, "k", how))
+    assert equal(salted_join(left.limit(0), right, "k", how), left.limit(0).join(right, "k", how))
+    assert equal(salted_join(left, right.limit(0), "k", how), left.join(right.limit(0), "k", how))
 
 
-def test_hot_rows_do_not_meet_in_one_task(spark):
-    conf = {
-        "spark.sql.adaptive.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "16",
-    }
+@contextmanager
+def settings_of(spark, conf):
     before = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        left = spark.range(0, 100_000, 1, 16).selectExpr("id", "IF(id % 3 = 0, -1, id % 5000) AS k")
-        right = spark.range(-1, 5000).selectExpr("id AS k", "id * 2 AS v")
-        assert largest_task(left.join(right, "k")) > 0.33
-        assert largest_task(join_unique(left, right, "k", broadcast_bytes=0)) < 0.1
+        yield
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
 
 
+PLAIN_PLANS = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+
+
+def tasks(df):
+    """Rows of each partition, largest first."""
+    return sorted((r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()), reverse=True)
+
+
+def test_hot_rows_do_not_meet_in_one_task(spark):
+    """One key with a third of the rows, then 40 keys of 1.9 % each; one scan of the large side."""
+    with settings_of(spark, PLAIN_PLANS):
+        right = spark.range(-1, 5000).selectExpr("id AS k", "id * 2 AS v")
+        for key in ("IF(id % 3 = 0, -1, id % 5000)", "IF(id % 100 < 76, id % 40, id % 5000)"):
+            left = spark.range(0, 200_000, 1, 16).selectExpr("id", f"{key} AS k")
+            plain = tasks(left.join(right, "k"))
+            joined = join_unique(left, right, "k", broadcast_bytes=0, task_bytes=200_000 * 32 // 16)
+            even = tasks(joined)
+            assert plain[0] > 2 * plain[8] and even[0] < 2 * even[8] and sum(even) == sum(plain)
+            assert joined._jdf.queryExecution().executedPlan().toString().count("Range (0, 200000") == 1
+
+
 def test_join_unique_survives_duplicates(spark, skewed):
     right = spark.range(200).selectExpr("'hot' AS k", "id AS v")
-    assert join_unique(skewed, right, "k", broadcast_bytes=0).count() == 10_000 * 200
+    assert join_unique(skewed, right, "k", broadcast_bytes=0, task_bytes=100_000).count() == 10_000 * 200
     with pytest.raises(ValueError, match="full"):
         join_unique(skewed, right, "k", "full")
 
 
+def test_fill_in_turn_starts_no_job_while_it_is_planned(spark, rows):
+    frames = [spark.range(n).selectExpr(f"CONCAT('k', id) AS `{KEY}`", "'x' AS Name", "1 AS source") for n in (3, 5, 9)]
+    spark.sparkContext.setJobGroup("planning", "")
+    filled = fill_missing(frames[0], frames[1:], sequential=True)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("planning") in ((), [])
+    spark.sparkContext.setJobGroup("other", "")
+    assert filled.count() == 9 and filled.columns == [KEY, "Name", "source"]
+    assert fill_missing(frames[0], [], sequential=True) is frames[0]
+
+
+def test_roll_up_equals_joins(spark, rows):
+    items = rows("o int, v int", [(1, 2), (1, 3), (2, 5), (None, 7), (9, 11), (3, None)])
+    orders = rows("o int, c int, n int", [(1, 10, 1), (2, 10, 1), (3, 20, 1), (4, 20, 1), (None, 30, 1), (5, None, 1)])
+    people = rows("c int, a string, m int", [(10, "x", 1), (20, "y", 1), (30, "x", 1), (40, "z", 1), (None, "y", 1)])
+    per_customer = roll_up(items, orders, "o", "c")
+    out = collected(totals(roll_up(per_customer, people, "c", "a"), "a").select("a", "m", "n", "v"))
+    assert out == [("x", 2, 3, 10), ("y", 2, 2, None), ("z", 1, None, None)]
+    with pytest.raises(Exception, match="repeats"):
+        roll_up(items, orders.unionByName(orders), "o", "c").collect()
+    with pytest.raises(ValueError, match="same name"):
+        roll_up(items, orders.withColumnRenamed("n", "v"), "o", "c")
+    sums = partial_sums(items, "o", {"twice": F.col("v") * 2})
+    assert collected(totals(sums, "o")) == [(1, 10), (2, 10), (3, None), (9, 22), (None, 14)]
+
+
 def test_measured(rows):
     df = rows("a string, b int, c array<int>, d binary", [("xyz", 1, [1], None), (None, None, None, bytearray(b"12"))])
     n, size = measured(df)
