@@ -50,6 +50,12 @@ def file_label(path: Column) -> Column:
     return F.regexp_extract(path, r"/(\w+\.\w+)$", 1)
 
 
+def source_label(path: Column) -> Column:
+    """The name of the file that a row comes from, or of its folder where that is a table of part files."""
+    plain = F.replace(path, F.lit("%20"), F.lit(" "))
+    return F.regexp_extract(plain, r"([^/]+?)(?:/part-[^/]*)?$", 1)
+
+
 def naive_piece(line: Column, index: int, sep: str = ",") -> Column:
     """Piece ``index`` of a plain split that knows nothing about quotes; NULL past the end."""
     return F.get(F.split(line, re.escape(sep)), index)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from areastats.config import RANKING_FILE, RANKING_RATE, SCHOOL_FILE_STATES
 from areastats.model.network import Model
 from areastats.model.store import load_model, save_model
+from areastats.model.sweep import ACTIVATIONS, EPOCHS, HIDDEN
 from areastats.operators.project import pick
 from areastats.plans.measures import (
     dropout_rate,
@@ -28,7 +29,7 @@ from areastats.plans.preparation import (
     site_lines,
     svi_lines,
 )
-from areastats.plans.regression import evaluate_on_merged, train_on_merged
+from areastats.plans.regression import evaluate_on_merged, predict_on_merged, sweep_on_merged, train_on_merged
 from areastats.plans.schools import shares_from_counts, site_counts, site_keys
 from areastats.sources.catalog import read_each, route_by_key
 from areastats.sources.flat import read_csv
@@ -77,6 +78,13 @@ def _train(spark: SparkSession, a: Args) -> DataFrame:
     return history.selectExpr("epoch", "cost", "array_join(transform(mean_error, e -> string(e)), ' ') AS mean_error")
 
 
+def _sweep(spark: SparkSession, a: Args) -> DataFrame:
+    layers = [[int(n) for n in text.split(",") if n.strip()] for text in a.layers] if a.layers else HIDDEN
+    return sweep_on_merged(
+        read_csv(spark, a.input), a.inputs, a.grid_epochs, layers, a.activations, a.rate, a.seed, group_inputs=a.group_inputs
+    )
+
+
 JOBS: dict[str, Job] = {
     "sites": lambda s, a: site_keys(_sites(s, a)),
     "svi": lambda s, a: svi_by_area(read_json(s, a.input, SVI_SCHEMA, states=a.states)),
@@ -89,6 +97,8 @@ JOBS: dict[str, Job] = {
     "merge": lambda s, a: merge_measures(_tables(s, a), a.how),
     "train": _train,
     "evaluate": lambda s, a: evaluate_on_merged(load_model(s, a.model), read_csv(s, a.input)),
+    "predict": lambda s, a: predict_on_merged(load_model(s, a.model), read_csv(s, a.input)),
+    "sweep": _sweep,
     "prepare-dropouts": lambda s, a: prepare_dropouts(read_csv(s, a.input)),
     "prepare-teens": lambda s, a: prepare_teens(read_csv(s, a.input)),
     "prepare-income": lambda s, a: prepare_income(read_csv(s, a.input)),
@@ -115,12 +125,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--base", help="counts: the table that the others fill")
     p.add_argument("--kind", choices=["public", "private"], default="public")
     p.add_argument("--how", default="inner", help="merge: how to join")
-    p.add_argument("--model", help="evaluate: folder of the model; train: go on with this one")
+    p.add_argument("--model", help="evaluate, predict: folder of the model; train: go on with this one")
     p.add_argument("--save-every", type=int, help="train: also store the model every so many epochs")
-    p.add_argument("--inputs", nargs="*", default=["SVI"], help="train: input columns")
+    p.add_argument("--inputs", nargs="*", default=["SVI"], help="train, sweep: input columns")
     p.add_argument("--hidden", nargs="*", type=int, default=[], help="train: sizes of the hidden layers")
     p.add_argument("--epochs", type=int, default=150)
     p.add_argument("--group-inputs", action="store_true", help="train: add rows up per distinct input first")
+    p.add_argument("--grid-epochs", nargs="*", type=int, default=list(EPOCHS), help="sweep: numbers of epochs")
+    p.add_argument("--layers", nargs="*", help='sweep: layer lists such as "" or "3,10,10"')
+    p.add_argument("--activations", nargs="*", default=list(ACTIVATIONS), help="sweep: activations")
     p.add_argument("--rate", type=float, default=0.1)
     p.add_argument("--activation", default="tanh")
     p.add_argument("--seed", type=int, default=0)

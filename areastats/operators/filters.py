@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from areastats.config import TERRITORY_NAMES
 from areastats.operators.skew import join_unique
@@ -22,6 +22,21 @@ def present(*columns: str) -> Column:
     return reduce(and_, (F.col(c).isNotNull() for c in columns))
 
 
+def checked(df: DataFrame, reasons: Mapping[str, Column], counts: Observation) -> DataFrame:
+    """Rows to which none of the reasons applies; the others are counted by the first reason that does.
+
+    The counts are gathered while the rows are read, so there is no second pass. ``counts.get`` has them when an action on
+    the result has ended: ``kept`` and a number for every reason. A reason that is NULL does not apply.
+    """
+    why = "why"
+    while why in df.columns:
+        why += "_"
+    first = F.coalesce(*[F.when(applies, F.lit(name)) for name, applies in reasons.items()])
+    found = [F.count_if(F.col(why) == name).alias(name) for name in reasons]
+    labelled = df.withColumn(why, first).observe(counts, F.count_if(F.col(why).isNull()).alias("kept"), *found)
+    return labelled.where(F.col(why).isNull()).drop(why)
+
+
 def not_listed(column: str, values: Sequence[str]) -> Column:
     """Deny-list as one predicate, which the scan can take; NULL is dropped as well."""
     return ~F.col(column).isin(list(values))

@@ -4,22 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from areastats.config import KEY
 from areastats.functions.keys import area_key
 from areastats.operators.combine import join_all, union_all
-from areastats.operators.filters import drop_missing, nonblank, present
+from areastats.operators.filters import checked, drop_missing, nonblank, present
 from areastats.operators.measures import school_shares
 from areastats.operators.project import pick
 
 
-def site_keys(records: DataFrame) -> DataFrame:
+def site_keys(records: DataFrame, rejected: Observation | None = None) -> DataFrame:
     """Nested school records to ``(County-State, Name)``; records without county or state go.
 
     County names are trimmed and upper-cased, so the keys agree with those of all other tables.
+    ``rejected`` counts the records that go, in the same pass: ``no_county`` and ``no_state``.
     """
     flat = pick(records, {c: f"properties.{c}" for c in ("COUNTY", "STATE", "NAME")})
+    if rejected is not None:
+        flat = checked(flat, {"no_county": F.coalesce(F.col("COUNTY") == "", F.lit(True)), "no_state": F.col("STATE").isNull()}, rejected)
     keyed = flat.where(nonblank("COUNTY")).select(
         area_key(F.col("COUNTY"), F.col("STATE"), strict=True).alias(KEY), F.col("NAME").alias("Name")
     )

@@ -2,26 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from itertools import chain
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from areastats.config import KEY
 from areastats.functions.text import file_label, quoted_line
 from areastats.operators.combine import union_all
 from areastats.operators.measures import count_by_key
 from areastats.operators.project import pick, rename
-from areastats.plans.schools import raw_site_keys
-from areastats.queries.inputs import GEO, customers, private_sites, public_sites, suppliers, table
+from areastats.plans.schools import raw_site_keys, site_keys
+from areastats.queries.inputs import FLAT_RECORDS, GEO, customers, flat_records, geo, private_sites, public_sites, suppliers, table
 from areastats.queries.registry import query
-from areastats.session import shared_folder
-from areastats.sources.catalog import read_each, route_by_key, table_query
-from areastats.sources.flat import read_csv, typed
-from areastats.sources.nested import SITE_SCHEMA, read_json
+from areastats.session import shared_folder, stage
+from areastats.sources.catalog import read_each, read_together, route_by_key, table_query
+from areastats.sources.flat import read_csv, read_states, typed
+from areastats.sources.nested import SITE_SCHEMA, read_json, write_json_arrays
 from areastats.sources.positional import read_positions, read_single_year, read_years
-from areastats.sources.sinks import preview, write_by_state, write_csv, write_lines
+from areastats.sources.sinks import preview, rewrite_states, write_by_state, write_csv, write_lines
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 
@@ -115,30 +113,12 @@ def naive_csv_split(spark: SparkSession, sf: str) -> DataFrame:
     return typed(df, {"c_custkey": "long"})
 
 
-def write_arrays(df: DataFrame, path: str) -> None:
-    """Write ``(state, record)`` as multi-line JSON arrays, one folder per state.
-
-    An array holds the records of one state in one Arrow batch, whose size the session bounds,
-    so neither a task nor a file ever gets a whole state.
-    """
-
-    def arrays(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for state, part in batch.groupby("state", dropna=False):
-                yield pd.DataFrame({"state": [None if pd.isna(state) else state], "value": ["[" + ",\n".join(part["record"]) + "]"]})
-
-    texts = df.mapInPandas(arrays, "state string, value string")
-    texts.write.option("maxRecordsPerFile", 1).partitionBy("state").text(path)
-
-
 def json_folder(spark: SparkSession, sf: str) -> str:
     """Customers as nested records in JSON arrays."""
     record = F.struct(F.col("n_name").alias("COUNTY"), F.col("code").alias("STATE"), F.col("c_name").alias("NAME"))
     path = shared_folder(spark, "json")
-    rows = customers(spark, sf).select(
-        F.col("r_name").alias("state"), F.to_json(F.struct(record.alias("properties"))).alias("record")
-    )
-    write_arrays(rows, path)
+    rows = customers(spark, sf).withColumn("state", F.col("r_name"))
+    write_json_arrays(rows, F.to_json(F.struct(record.alias("properties"))), path)
     return path
 
 
@@ -221,3 +201,73 @@ def file_label_of_path(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", file_label(_part_path()).alias("label"))
 
 
+def _by_region(spark: SparkSession, sf: str, *regions: str) -> DataFrame:
+    rows = customers(spark, sf).select("c_custkey", "c_name", F.col("c_acctbal").alias("balance"), F.col("r_name").alias("State"))
+    return rows.where(F.col("State").isin(list(regions))) if regions else rows
+
+
+@query(f"""WITH {GEO}, rows AS (SELECT c_custkey, c_name, c_acctbal AS balance, r_name AS state FROM customer JOIN geo ON c_nationkey = n_nationkey)
+SELECT c_custkey, c_name, state AS "State" FROM rows WHERE state IN ('AFRICA', 'AMERICA')
+UNION ALL SELECT c_custkey, c_name, state FROM rows WHERE state = 'AMERICA'
+UNION ALL SELECT c_custkey, c_name, state FROM rows WHERE state = 'ASIA' AND balance >= 0
+UNION ALL SELECT c_custkey, c_name, state FROM rows WHERE state = 'EUROPE'""")
+def save_modes(spark: SparkSession, sf: str) -> DataFrame:
+    """Two states written, one appended again, one rewritten by a later run, one rewritten twice."""
+    path = shared_folder(spark, "states")
+    write_by_state(_by_region(spark, sf, "MIDDLE EAST"), path)
+    write_by_state(_by_region(spark, sf, "AFRICA", "AMERICA", "ASIA"), path, mode="overwrite")
+    write_by_state(_by_region(spark, sf, "AMERICA"), path, mode="append")
+    write_by_state(_by_region(spark, sf), path, mode="ignore")
+    rewrite_states(_by_region(spark, sf, "ASIA").where("balance >= 0"), path)
+    for _ in range(2):
+        rewrite_states(_by_region(spark, sf, "EUROPE"), path)
+    return typed(read_states(spark, path, ["c_custkey", "c_name", "balance"]).drop("balance"), {"c_custkey": "long"})
+
+
+def pruned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customers of two states by a list, and of the states of a table by a join."""
+    path = shared_folder(spark, "states")
+    write_by_state(_by_region(spark, sf), path)
+    columns = ["c_custkey", "c_name", "balance"]
+    codes = geo(spark, sf).where(F.col("code").like("A%") & (F.col("r_name") != "ASIA")).select(F.col("r_name").alias("State"), "code")
+    return read_states(spark, path, columns, ["ASIA", "EUROPE"]), read_states(spark, path, columns, codes.distinct())
+
+
+@query(f"""WITH {GEO}
+SELECT 'list' AS found, c_custkey, r_name AS "State" FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE r_name IN ('ASIA', 'EUROPE')
+UNION ALL SELECT code, c_custkey, r_name FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE r_name IN ('AFRICA', 'AMERICA')""")
+def pruned_states(spark: SparkSession, sf: str) -> DataFrame:
+    listed, joined = pruned(spark, sf)
+    rows = listed.withColumn("code", F.lit("list")).unionByName(joined)
+    return typed(rows.select(F.col("code").alias("found"), "c_custkey", "State"), {"c_custkey": "long"})
+
+
+REGION_FILES = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+
+@query(f"""WITH {GEO}
+SELECT r_name || '.csv' AS source, c_custkey FROM customer JOIN geo ON c_nationkey = n_nationkey
+UNION ALL SELECT r_name || '.csv', c_custkey FROM customer JOIN geo ON c_nationkey = n_nationkey WHERE r_name IN ('ASIA', 'EUROPE')""")
+def source_of_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of the same columns in one scan, and some of them one by one; the scan says where each row is from."""
+    path = shared_folder(spark, "sources")
+    for region in REGION_FILES:
+        write_csv(_by_region(spark, sf, region).select("c_custkey", "c_name"), f"{path}/{region}.csv")
+    rows = read_together(spark, path, ["c_custkey", "c_name"])
+    some = union_all(list(read_each(spark, path, ["ASIA.csv", "EUROPE.csv"], label="source").values()))
+    return typed(union_all([rows, some]).select("source", "c_custkey"), {"c_custkey": "long"})
+
+
+@query(f"""WITH {FLAT_RECORDS}
+SELECT 'no_county' AS reason, count(*) AS n FROM records WHERE coalesce(county, '') = ''
+UNION ALL SELECT 'no_state', count(*) FROM records WHERE county <> '' AND state IS NULL
+UNION ALL SELECT 'kept', count(*) FROM records WHERE county <> '' AND state IS NOT NULL
+UNION ALL SELECT 'rows', count(*) FROM records WHERE county <> '' AND state IS NOT NULL""")
+def rejected_sites(spark: SparkSession, sf: str) -> DataFrame:
+    """How many records the keyed list leaves out and why, counted while the list is written, and its rows."""
+    nested = flat_records(spark, sf).select(F.struct("COUNTY", "STATE", "NAME").alias("properties"))
+    counts = Observation("sites")
+    kept = stage(site_keys(nested, counts), "sites")
+    found = [F.struct(F.lit(k).alias("reason"), F.lit(n).cast("long").alias("n")) for k, n in counts.get.items()]
+    rows = kept.agg(F.count("*").alias("n")).select(F.lit("rows").alias("reason"), "n")
+    return spark.range(1).select(F.inline(F.array(*found))).unionByName(rows)

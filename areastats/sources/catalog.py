@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from areastats.config import KEY
+from areastats.functions.text import source_label
 from areastats.operators.project import require_columns
 from areastats.sources.flat import read_csv
 
@@ -23,16 +24,35 @@ def list_sources(spark: SparkSession, directory: str) -> list[str]:
     return sorted(n for n in (e.getPath().getName() for e in entries) if not n.startswith(("_", ".")))
 
 
-def read_each(spark: SparkSession, directory: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+def read_each(
+    spark: SparkSession, directory: str, names: Sequence[str] | None = None, label: str | None = None
+) -> dict[str, DataFrame]:
     """One frame per CSV source of a directory (schemas may differ), in the given order.
 
+    ``label`` names a column for the source of each row, as the scan reports it, so rows can be told
+    apart after a union.
+
     Without ``names`` the sorted listing decides. Naming the inputs is better where the order
     matters, as it does for the base of a fill and the column order of a merge.
     """
     names = list(names) if names is not None else list_sources(spark, directory)
     if not names:
         raise ValueError(f"no data files in {directory}")
-    return {n: read_csv(spark, f"{directory.rstrip('/')}/{n}") for n in names}
+    frames = {n: read_csv(spark, f"{directory.rstrip('/')}/{n}") for n in names}
+    return frames if label is None else {n: with_source(df, label) for n, df in frames.items()}
+
+
+def with_source(df: DataFrame, label: str = "source") -> DataFrame:
+    """Rows of a file scan with the name of the file or table folder they come from."""
+    if label in df.columns:
+        raise ValueError(f"there is a column {label!r} already")
+    return df.withColumn(label, source_label(F.col("_metadata.file_path")))
+
+
+def read_together(spark: SparkSession, directory: str, columns: Sequence[str], label: str = "source") -> DataFrame:
+    """All CSV sources of a directory that have the same columns, in one scan, with the source of each row."""
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+    return with_source(reader.schema(", ".join(f"`{c}` string" for c in columns)).csv(directory), label)
 
 
 @dataclass

@@ -32,6 +32,15 @@ def write_by_state(df: DataFrame, path: str, state: str = "State", *, mode: str
     df.hint("rebalance", F.col(f"`{state}`")).write.mode(mode).option("header", True).partitionBy(state).csv(path)
 
 
+def rewrite_states(df: DataFrame, path: str, state: str = "State") -> None:
+    """``write_by_state`` that replaces the states that ``df`` has rows of and leaves all others as they are.
+
+    So a run that is repeated, or that covers some of the states only, never doubles or loses a state.
+    """
+    rows = df.hint("rebalance", F.col(f"`{state}`")).write.mode("overwrite")
+    rows.option("partitionOverwriteMode", "dynamic").option("header", True).partitionBy(state).csv(path)
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """The first ``n`` rows, as a DataFrame; nothing runs until the caller asks."""
     return df.limit(n)

@@ -84,6 +84,16 @@ def test_all_jobs(spark, landed, tmp_path):
     run("evaluate", tmp_path / "merged", tmp_path / "errors", "--model", tmp_path / "trained" / "model")
     assert read_csv(spark, str(tmp_path / "errors")).count() == 14
 
+    run("predict", tmp_path / "merged", tmp_path / "predicted", "--model", tmp_path / "trained" / "model")
+    predicted = read_csv(spark, str(tmp_path / "predicted"))
+    outputs = [c for c in merged.columns if c not in (KEY, "SVI")]
+    assert predicted.columns == [*merged.columns, *(f"predicted {c}" for c in outputs), "part"]
+    assert predicted.where(" and ".join(f"`predicted {c}` is not null" for c in outputs)).count() == 35
+    assert {r.part for r in predicted.select("part").distinct().collect()} == {"train", "test"}
+    run("sweep", tmp_path / "merged", tmp_path / "grid", "--grid-epochs", 1, 2, "--layers", "", "3,2", "--activations", "sig")
+    grid = {(r.epochs, r.hidden, r.activation) for r in read_csv(spark, str(tmp_path / "grid")).collect()}
+    assert grid == {(e, h, "sig") for e in "12" for h in ("[]", "[3,2]")}
+
     run("site-lines", landed / "public", tmp_path / "lines")
     assert spark.read.text(str(tmp_path / "lines")).where("value = '''C0-AL'' ''C0 0'''").count() == 1
     run("svi-lines", landed / "svi", tmp_path / "svi_lines")

@@ -1,6 +1,6 @@
 import pytest
 from conftest import collected
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from areastats.config import (
     DROPOUT_RATE,
@@ -188,3 +188,13 @@ def test_text_lines(rows):
 def test_key_column_is_reachable(rows):
     df = rows(f"`{KEY}` string", [("a-AL",)])
     assert df.where(F.col(KEY) == "a-AL").count() == 1
+
+
+def test_rejected_sites_are_counted_in_the_same_pass(spark, rows):
+    data = [(("Adams", "NE", "a"),), (("", "AL", "b"),), ((None, "AL", "c"),), (("Autauga", None, "d"),), (("", None, "e"),), (None,)]
+    records = rows(f"properties struct<{FLAT}>", data)
+    counts = Observation()
+    kept = site_keys(records, counts)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    assert collected(kept) == collected(site_keys(records)) == [("ADAMS-NE", "a")]
+    assert counts.get == {"kept": 1, "no_county": 4, "no_state": 1}

@@ -5,16 +5,16 @@ from urllib.parse import urlparse
 import pytest
 from conftest import collected
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from areastats.functions.text import quoted_line
 from areastats.operators.project import pick
 from areastats.session import shared_folder, stage, staged
-from areastats.sources.catalog import list_sources, read_each, route_by_key, table_query
-from areastats.sources.flat import read_csv, typed
-from areastats.sources.nested import SITE_SCHEMA, SVI_SCHEMA, read_json
+from areastats.sources.catalog import list_sources, read_each, read_together, route_by_key, table_query, with_source
+from areastats.sources.flat import read_csv, read_states, typed
+from areastats.sources.nested import SITE_SCHEMA, SVI_SCHEMA, read_json, write_json_arrays
 from areastats.sources.positional import read_positions, read_single_year, read_years
-from areastats.sources.sinks import preview, write_by_state, write_csv, write_lines
+from areastats.sources.sinks import preview, rewrite_states, write_by_state, write_csv, write_lines
 
 
 def part_files(folder, suffix="csv"):
@@ -179,3 +179,61 @@ def test_staged_table_goes_after_use(spark):
         folder = Path(urlparse(df.inputFiles()[0]).path).parent
         assert df.count() == 3 and folder.exists()
     assert not folder.exists()
+
+
+def files(path):
+    return [p for p in path.rglob("*") if p.is_file() and not p.name.startswith(("_", "."))]
+
+
+def test_json_arrays_are_packed_by_bytes(spark, tmp_path):
+    """One state has most records; a record larger than a file stands alone; no state is a state of its own."""
+    rows = spark.range(4000).selectExpr(
+        "IF(id % 10 = 0, IF(id % 20 = 0, NULL, 'Ohio'), 'New York') AS place", "id", "CONCAT('x', REPEAT('y', id % 50)) AS t"
+    )
+    rows = rows.unionByName(spark.range(1).selectExpr("'Ohio' AS place", "-1L AS id", "REPEAT('z', 30000) AS t"))
+    write_json_arrays(rows, F.to_json(F.struct("id", "t")), str(tmp_path / "j"), "place", file_bytes=10_000)
+    back = read_json(spark, str(tmp_path / "j"), T.StructType.fromDDL("id long, t string, place string"))
+    assert collected(back.select("id", "t", "place")) == collected(rows.select("id", "t", "place"))
+    sizes = sorted(p.stat().st_size for p in files(tmp_path / "j"))
+    total = sum(sizes)
+    assert sizes[-1] > 30_000 and sizes[-2] < 10_200 and len(sizes) < 2 * total / 10_000 + 3
+    empty = rows.limit(0)
+    write_json_arrays(empty, F.to_json(F.struct("id")), str(tmp_path / "none"), "place")
+    assert files(tmp_path / "none") == []
+
+
+def test_rewritten_states_leave_the_others(spark, rows, tmp_path):
+    path = str(tmp_path / "s")
+    write_by_state(rows("a int, State string", [(1, "Ohio"), (2, "Utah"), (3, None)]), path)
+    for _ in range(2):
+        rewrite_states(rows("a int, State string", [(7, "Ohio"), (8, "Iowa")]), path)
+    back = read_states(spark, path, ["a"])
+    assert collected(back) == [("2", "Utah"), ("3", None), ("7", "Ohio"), ("8", "Iowa")]
+    rewrite_states(rows("a int, State string", []), path)
+    assert back.count() == 4
+    assert collected(read_states(spark, path, ["a"], ["Utah", "Iowa"])) == [("2", "Utah"), ("8", "Iowa")]
+
+
+def test_states_are_pruned_by_a_list_and_by_a_table(spark, rows, tmp_path):
+    path = str(tmp_path / "s")
+    write_by_state(spark.range(1000).selectExpr("id", "CONCAT('s', id % 20) AS State"), path)
+    spark.range(20).selectExpr("CONCAT('s', id) AS State", "id AS n").write.parquet(str(tmp_path / "dim"))
+    listed = read_states(spark, path, ["id"], ["s3", "s4"])
+    text = listed._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [State" in text and "PushedFilters: []" in text and listed.count() == 100
+    dim = spark.read.parquet(str(tmp_path / "dim")).where("n > 17")
+    joined = read_states(spark, path, ["id"], dim)
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 100 and joined.columns == ["State", "id", "n"]
+
+
+def test_rows_carry_their_source(spark, tmp_path):
+    (tmp_path / "d" / "north east.csv").mkdir(parents=True)
+    (tmp_path / "d" / "north east.csv" / "part-0.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "d" / "south.csv").write_text("a,b\n3,4\n")
+    rows = read_together(spark, str(tmp_path / "d"), ["a", "b"])
+    assert collected(rows) == [("1", "2", "north east.csv"), ("3", "4", "south.csv")]
+    one = read_each(spark, str(tmp_path / "d"), label="from")
+    assert collected(one["south.csv"]) == [("3", "4", "south.csv")] and one["north east.csv"].first()["from"] == "north east.csv"
+    with pytest.raises(ValueError, match="already"):
+        with_source(rows, "b")
