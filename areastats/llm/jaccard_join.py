@@ -10,21 +10,18 @@ pair need not be compared once both are known to be connected. The join works in
    takes the first ``n - ceil(0.75 n) + 1``. Two linked classes share one of them, so every shingle
    in a prefix opens a region, and a link lies within some region. Sizes are distances from the
    empty set: regions are cut in size windows, with boundary classes in two of them. Regions with the same members are one.
-3. In each region pivots are chosen among its open classes, and every member is compared with
-   them exactly. Members linked with a pivot join its cell: they are connected to each other, and
-   cells that share a member, in this round or an earlier one, are connected too and are one.
-   What remains open are classes that no pivot reaches, and classes that can link with another cell:
-   linked with one pivot and within ``2 EPSILON`` of the pivot of another cell, or such that a member
-   closed earlier in another cell is no more than ``EPSILON`` farther from each pivot linked with. All
-   others stay only if by the triangle inequality
-   they can still link with an open one: for each pivot their distance lies within ``EPSILON`` of the
-   range of the open ones' distances. A region with open members is joined again, with new pivots,
-   unless all its members are in one cell.
-
-Each round removes its pivots from the open classes, so it ends; a region of near copies ends
-after one round with one comparison per member. A region with no more open classes than a round has
-pivots is finished exactly: all of them are pivots. The number of pivots grows from round to round, so a
-region needs a number of rounds that grows with the logarithm of its open classes. The order of shingles comes from counts of all
+3. In each region pivots are chosen, and every member is compared with them exactly. Members linked
+   with a pivot join its cell. Cells that share a member, in any region, are one cell: they are
+   connected, and nothing within a cell needs to be compared any more.
+4. A region whose members are all in one cell is finished. Else a link that is still unknown has at
+   least one end outside the largest cell of the region, so further pivots come from there. A pivot is
+   compared with the whole region and then leaves it. Members of the largest cell are boundary documents, which stay only
+   as long as the triangle inequality allows a link with a member outside it: for each pivot their distance lies
+   within ``EPSILON`` of the range of those members' distances. The rest is joined again, with new pivots.
+
+A region gets as many pivots as keep its comparisons of a round within ``PAIRS``, at least one; where that is enough for all
+members outside the largest cell, the region is finished exactly. ``PAIRS`` grows from round to round, so the number of
+rounds grows with the logarithm of what one region needs. The order of shingles comes from counts of all
 shingles in a sketch of fixed size; it decides how much work there is, never the result.
 """
 
@@ -50,9 +47,9 @@ SKETCH_BITS = 20
 SKETCH_PIECES = 64
 #: A shingle that may have more rows than this is dealt out by its classes as well.
 HOT_ROWS = 20_000
-#: Pivots per region: one in the first round, which ends regions of near copies, then so many,
-#: and so many times more in every further round.
-PIVOTS, GROWTH = 32, 4
+#: Comparisons of a region in a round, unless one pivot needs more, and how much more every further round has.
+#: The first round has one pivot per region, which ends regions of near copies.
+PAIRS, GROWTH = 2048, 8
 #: Rows that a Python worker gets at a time: texts, or pairs of whole sets.
 BATCH_ROWS = 500
 _SLACK = 1e-9
@@ -71,12 +68,10 @@ def near_documents(
     """
     rows = narrow(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
-        sets, classes, links = _classes_and_links(rows, percent, width)
-    ends = classes.select("fp", "rep")
-    edges = links.join(ends.select(F.col("fp").alias("p"), F.col("rep").alias("a")), "p")
-    edges = edges.join(ends.select(F.col("fp").alias("x"), F.col("rep").alias("b")), "x").select("a", "b")
-    groups = connected_components(edges).withColumnRenamed("id", "rep")
-    named = classes.drop("sig").join(groups, "rep", "left").select("fp", "n", F.coalesce("component", "rep").alias("component"))
+        sets, classes, cells = _classes_and_cells(rows, percent, width)
+    named = classes.drop("sig").join(cells, "fp", "left").withColumn("cell", F.coalesce("cell", "fp"))
+    first = named.groupBy("cell").agg(F.min("rep").alias("component"))
+    named = named.join(first, "cell").select("fp", "n", "component")
     usable = F.when(F.col("doc_id").isNotNull(), F.col("fp"))
     return (
         sets.withColumn("fp", usable)
@@ -85,13 +80,12 @@ def near_documents(
     )
 
 
-def _classes_and_links(rows: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _classes_and_cells(rows: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     profile = stage(rows.mapInArrow(_profile(width), "doc_id long, n int, fp long, sig binary, piece int, counts binary"), "profile")
     sets = profile.where("piece is null").select("doc_id", "n", "fp")
     known = profile.where("piece is null and n > 0 and doc_id is not null")
     classes = stage(known.groupBy("fp", "n").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "classes")
-    links = linked_classes(rows, profile, classes, percent, width)
-    return sets, classes, links
+    return sets, classes, connected_classes(rows, profile, classes, percent, width)
 
 
 def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -105,33 +99,56 @@ def keep_one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return docs.join(gone.select("doc_id").toDF(name), F.col(f"`{id_col}`") == F.col(name), "left_anti")
 
 
-def linked_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links ``p``, ``x`` between classes that connect whatever is connected."""
+def connected_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
+    """``fp`` and ``cell``, the same for all classes that links connect; classes without a link may be missing."""
     spark = rows.sparkSession
     sketch = spark.sparkContext.broadcast(_sketch(profile))
     postings = rows.where("doc_id is not null").mapInArrow(_prefixes(sketch, percent, width), "key long, salt int, fp long, n int")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = postings.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "fp")
-    members = stage(dealt.mapInArrow(_shared, "key long, fp long, n int"), "members")
-    region = stage(_regions(members, percent), "regions")
+    with ExitStack() as tables:
+        dealt = postings.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "fp")
+        members = tables.enter_context(staged(dealt.mapInArrow(_shared, "key long, fp long, n int"), "members"))
+        region = stage(_regions(members, percent, tables), "regions")
     wanted = region.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), F.col("fp").alias("want")).distinct()
     wanted = stage(wanted, "wanted")
     sets = possible(rows, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id")
     sets = stage(sets.mapInArrow(_sets(width), "fp long, s binary"), "sets")
     signatures = classes.select("fp", "sig")
-    found, pivots = None, 1
-    epsilon = 1 - percent / 100
+    cells, pairs, epsilon = None, None, 1 - percent / 100
     while not region.isEmpty():
         with ExitStack() as tables:  # what a round writes goes when the next one's regions are written
-            measured = _measure(region, sets, signatures, pivots, percent, tables)
-            edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select("p", F.col("fp").alias("x"))
-            edges = stage(edges.distinct(), "edges")
-            region = stage(_open_regions(measured, epsilon, tables), "regions")
-        found = edges if found is None else found.unionByName(edges)
-        pivots = PIVOTS if pivots == 1 else pivots * GROWTH
-    if found is None:
-        return rows.select(F.col("doc_id").alias("p"), F.col("doc_id").alias("x")).limit(0)
-    return stage(found.distinct(), "links")
+            measured = _measure(region, sets, signatures, pairs, percent, tables)
+            edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select(F.col("p").alias("a"), F.col("fp").alias("b"))
+            cells = _joined_cells(cells, edges.distinct())
+            left = _within_reach(measured, epsilon, tables) if pairs else measured.where("p <> fp").select("g", "fp", "n")
+            region = stage(_unfinished(left, cells, tables), "regions")
+        pairs = PAIRS if pairs is None else pairs * GROWTH
+    return spark.createDataFrame([], "fp long, cell long") if cells is None else cells
+
+
+def _joined_cells(cells: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """Cells after more links: those that a link connects are one."""
+    if cells is None:
+        return stage(connected_components(edges).select(F.col("id").alias("fp"), F.col("component").alias("cell")), "cells")
+    for end in ("a", "b"):
+        known = cells.select(F.col("fp").alias(end), "cell")
+        edges = edges.join(known, end, "left").withColumn(end, F.coalesce("cell", end)).drop("cell")
+    grown = stage(connected_components(edges).select(F.col("id").alias("old"), F.col("component").alias("new")), "grown")
+    moved = cells.join(grown, F.col("cell") == F.col("old"), "left").select("fp", F.coalesce("new", "cell").alias("cell"))
+    single = grown.join(cells.select(F.col("fp").alias("old")), "old", "left_anti").select(F.col("old").alias("fp"), F.col("new").alias("cell"))
+    return stage(moved.unionByName(single), "cells")
+
+
+def _unfinished(left: DataFrame, cells: DataFrame, tables: ExitStack) -> DataFrame:
+    """Members of regions with several cells: ``g``, ``fp``, ``n``, ``cell``, ``open`` (outside the largest), ``size`` and ``n_open``."""
+    members = left.join(cells, "fp", "left").withColumn("cell", F.coalesce("cell", "fp"))
+    members = tables.enter_context(staged(members, "members-met"))
+    counts = members.groupBy("g", "cell").agg(F.count("*").alias("members"))
+    largest = F.max(F.struct("members", "cell"))
+    several = counts.groupBy("g").agg(largest.alias("largest"), F.sum("members").alias("size"), F.count("*").alias("cells")).where("cells > 1")
+    several = several.select("g", F.col("largest.cell").alias("main"), "size", (F.col("size") - F.col("largest.members")).alias("n_open"))
+    rows = members.join(several, "g")
+    return rows.select("g", "fp", "n", "cell", (F.col("cell") != F.col("main")).alias("open"), "size", "n_open")
 
 
 def _profile(width: int) -> Callable:
@@ -252,8 +269,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield cut(left, last=True)[0]
 
 
-def _regions(members: DataFrame, percent: int) -> DataFrame:
-    """``g``, ``fp``, ``n``, ``open``, ``cell`` (none yet): regions with at least two classes, none twice.
+def _regions(members: DataFrame, percent: int, tables: ExitStack) -> DataFrame:
+    """``g``, ``fp``, ``n``: regions with at least two classes, none twice.
 
     Linked classes have sizes within a factor of each other, so each lies in the window of its size or
     the next one; a class is copied into the next window.
@@ -262,7 +279,7 @@ def _regions(members: DataFrame, percent: int) -> DataFrame:
     window = F.floor(F.log(F.col("n")) / step).cast("int")
     rows = members.select(F.explode(F.array(window, window + 1)).alias("w"), window.alias("own"), "key", "fp", "n")
     rows = rows.select(F.xxhash64("key", "w").alias("g"), "fp", "n", (F.col("w") == F.col("own")).alias("own"))
-    rows = stage(rows, "windows")
+    rows = tables.enter_context(staged(rows, "windows"))
     marks = rows.groupBy("g").agg(
         F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("fp", "own")).alias("m1"),
@@ -270,45 +287,48 @@ def _regions(members: DataFrame, percent: int) -> DataFrame:
         F.max("own").alias("some"),
     )
     single = marks.where("size > 1 and some").groupBy("size", "m1", "m2").agg(F.min("g").alias("g"))
-    return rows.join(stage(single.select("g"), "region-names"), "g").select("g", "fp", "n", F.lit(True).alias("open"), F.lit(None).cast("long").alias("cell"))
+    return rows.join(single.select("g"), "g").select("g", "fp", "n")
 
 
 def _measure(
-    region: DataFrame, sets: DataFrame, signatures: DataFrame, pivots: int, percent: int, tables: ExitStack
+    region: DataFrame, sets: DataFrame, signatures: DataFrame, pairs: int | None, percent: int, tables: ExitStack
 ) -> DataFrame:
-    """A row per member and pivot of its region: ``g``, ``fp``, ``n``, ``open``, ``cell``, ``p`` and the distance.
+    """A row per member and pivot of its region: the region's columns, ``p`` and the distance.
 
     The distance lies between ``d`` and ``top``. Both are exact unless sizes or signatures show that
-    it is more than a link's; then the windows make do with that bound. A pivot has no distance from itself.
+    it is more than a link's; then the windows make do with that bound. A pivot has no distance from itself, and
+    where all open members are pivots none is computed within a cell.
     """
+
     def stage(df: DataFrame, label: str) -> DataFrame:
         return tables.enter_context(staged(df, label))
 
-    slot = F.pmod(F.xxhash64("fp", "g"), F.lit(pivots))
-    if pivots > 1:
-        # Where a slot each is enough, every open class is a pivot: this round finishes the region.
-        large = region.where("open").groupBy("g").agg((F.count("*") > pivots).alias("large"))
-        opened = region.where("open").join(large, "g")
-        chosen = opened.groupBy("g", F.when(F.col("large"), slot).otherwise(F.col("fp")))
+    if pairs is None:  # the first round: one pivot each, and nothing is known yet
+        chosen = region.groupBy("g").agg(F.min(F.struct("fp", "n")).alias("v"))
+        chosen = chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np"))
+        apart = F.lit(True)
     else:
-        chosen = region.where("open").groupBy("g", slot)
-    chosen = chosen.agg(F.min(F.struct("fp", "n")).alias("v"))
-    chosen = stage(chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np")), "pivots")
+        pivots = F.greatest(F.lit(1), F.floor(F.lit(pairs) / F.col("size")))
+        few = F.col("n_open") <= pivots
+        slot = F.when(few, F.col("fp")).otherwise(F.pmod(F.xxhash64("fp", "g"), pivots))
+        chosen = region.where("open").groupBy("g", slot).agg(F.min(F.struct("fp", "n", "cell", few.alias("few"))).alias("v"))
+        chosen = chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np"), F.col("v.cell").alias("home"), F.col("v.few").alias("few"))
+        apart = ~F.col("few") | (F.col("home") != F.col("cell"))
+    chosen = stage(chosen, "pivots")
     rows = region.join(chosen, "g")
-    pairs = rows.where("p <> fp").select("p", "np", F.col("fp").alias("x"), "n").distinct()
-    pairs = pairs.join(possible(signatures, "fp", chosen.select("p")).toDF("p", "a"), "p")
-    pairs = pairs.join(possible(signatures, "fp", region.select("fp")).toDF("x", "b"), "x").select("p", "x", "np", "n", "a", "b")
-    pairs = stage(pairs.mapInArrow(_bounds, "p long, x long, d double").distinct(), "pairs")
+    asked = rows.where((F.col("p") != F.col("fp")) & apart).select("p", "np", F.col("fp").alias("x"), "n").distinct()
+    asked = asked.join(possible(signatures, "fp", chosen.select("p")).toDF("p", "a"), "p")
+    asked = asked.join(possible(signatures, "fp", region.select("fp")).toDF("x", "b"), "x").select("p", "x", "np", "n", "a", "b")
+    bounds = stage(asked.mapInArrow(_bounds, "p long, x long, d double"), "pairs")
     epsilon = 1 - percent / 100
-    close = pairs.where(F.col("d") <= epsilon + _SLACK).select("p", "x")
+    close = bounds.where(F.col("d") <= epsilon + _SLACK).select("p", "x")
     held = stage(possible(sets, "fp", close.select(F.explode(F.array("p", "x")))), "held-sets")
     there, here = held.toDF("p", "sp"), held.toDF("x", "sx")
     close = close.join(there, "p").join(here, "x").select("p", "x", "sp", "sx")
     exact = close.mapInArrow(_distances(percent), "p long, x long, d double").withColumn("top", F.col("d"))
-    far = pairs.where(F.col("d") > epsilon + _SLACK).withColumn("top", F.lit(1.0))
+    far = bounds.where(F.col("d") > epsilon + _SLACK).withColumn("top", F.lit(1.0))
     exact = stage(exact.unionByName(far).withColumnRenamed("x", "fp"), "distances")
-    known = rows.join(exact, ["p", "fp"], "left")
-    return stage(known.select("g", "fp", "n", "open", "cell", "p", "d", "top"), "measured")
+    return stage(rows.drop("np", "home", "few").join(exact, ["p", "fp"], "left"), "measured")
 
 
 def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,84 +339,19 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d, type=pa.float64())], names=["p", "x", "d"])
 
 
-def _open_regions(measured: DataFrame, epsilon: float, tables: ExitStack) -> DataFrame:
-    """Members of the regions that are joined again.
+def _within_reach(measured: DataFrame, epsilon: float, tables: ExitStack) -> DataFrame:
+    """``g``, ``fp``, ``n`` of the members that may still link with an open one; pivots have left.
 
-    A pair that links and is not yet connected has an open class in its region: one of two classes
-    that are both closed lies in the cell of a pivot of this round, and the other is in the same cell,
-    or has a pivot of another cell within ``2 epsilon`` of the first, or was closed before and is
-    within ``epsilon`` of the first's distance from its pivot.
+    A region without open members left, because all were pivots, is gone. A missing distance says nothing.
     """
-
-    def stage(df: DataFrame, label: str) -> DataFrame:
-        return tables.enter_context(staged(df, label))
-
-    d = F.col("d")
-    near = F.coalesce(d <= epsilon, F.lit(False))
-    members = measured.groupBy("g", "fp").agg(
-        F.max(F.col("p") == F.col("fp")).alias("pivot"),
-        F.max(near).alias("near"),
-        F.max("cell").alias("before"),
-        F.array_sort(F.collect_set(F.when(near | (F.col("p") == F.col("fp")), F.col("p")))).alias("cells"),
-    )
-    known = F.when(F.col("before").isNotNull(), F.array("before")).otherwise(F.array().cast("array<long>"))
-    members = stage(members.withColumn("cells", F.array_union("cells", known)), "members-met")
-    names = stage(_cells(members), "cells")
-    own = members.where("not pivot").select("g", "fp", "near", F.get("cells", F.lit(0)).alias("a"))
-    own = own.join(names, ["g", "a"], "left").select("g", "fp", "near", F.coalesce("cell", "a").alias("cell"))
-    pivots = members.where("pivot").select("g", F.col("fp").alias("p")).join(names.withColumnRenamed("a", "p"), ["g", "p"], "left")
-    pivots = pivots.select("g", "p", F.coalesce("cell", "p").alias("home"))
-    marked = measured.drop("cell").join(own, ["g", "fp"]).join(pivots, ["g", "p"])
-    marked = stage(marked.withColumn("apart", ~F.col("cell").eqNullSafe(F.col("home"))), "marked")
-    # How near a pivot a member of another cell lies that was closed before.
-    closest = stage(marked.where("not open and apart").groupBy("g", "p").agg(F.min("d").alias("closest")), "closest")
-    met = marked.where("open").join(closest, ["g", "p"], "left")
-    unsure = met.groupBy("g", "fp").agg(
-        F.max("near").alias("near"),
-        F.max(F.col("apart") & (d <= 2 * epsilon + _SLACK)).alias("boundary"),
-        # NULL for a pivot that the class does not link with; one linked pivot out of reach is enough.
-        F.min(F.when(d <= epsilon, F.coalesce(F.col("closest") <= d + epsilon + _SLACK, F.lit(False)))).alias("reached"),
-    )
-    unsure = unsure.where(~F.col("near") | F.col("boundary") | F.col("reached")).select("g", "fp", F.lit(True).alias("unsure"))
-    marked = marked.select("g", "fp", "n", "p", "d", "top", "cell").join(stage(unsure, "marks"), ["g", "fp"], "left")
-    marked = marked.withColumn("open", F.coalesce("unsure", F.lit(False))).drop("unsure")
-    ranges = marked.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("top").alias("high"))
-    within = (F.col("top") >= F.col("low") - epsilon - _SLACK) & (d <= F.col("high") + epsilon + _SLACK)
-    kept = marked.join(stage(ranges, "ranges"), ["g", "p"]).groupBy("g", "fp", "n", "cell")
-    kept = kept.agg(F.max("open").alias("open"), F.min(within).alias("within")).where("open or within").drop("within")
-    kept = stage(kept, "kept")
-    # Members that are all in one cell have nothing left to find.
-    many = kept.groupBy("g").agg(F.min("cell").alias("low"), F.max("cell").alias("high"), F.count("*").alias("size"), F.count("cell").alias("named"))
-    many = many.where("size > 1 and (named < size or low <> high)").select("g")
-    return kept.join(many, "g")
-
-
-def _cells(members: DataFrame) -> DataFrame:
-    """``g``, ``a``, ``cell``: what cells are called that share a member, by region."""
-    edges = members.where(F.size("cells") > 1).select("g", F.get("cells", F.lit(0)).alias("a"), F.explode("cells").alias("b"))
-    edges = edges.where("a <> b").distinct().groupBy("g").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
-    return edges.mapInArrow(_joined, "g long, a long, cell long")
-
-
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        regions, names, cells = [], [], []
-        for g, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            parent = {}
-
-            def root(x: int) -> int:
-                while parent.setdefault(x, x) != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            for a, b in zip(left, right, strict=True):
-                x, y = root(a), root(b)
-                parent[max(x, y)] = min(x, y)
-            for a in list(parent):
-                regions.append(g)
-                names.append(a)
-                cells.append(root(a))
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in (regions, names, cells)], names=["g", "a", "cell"])
+    rows = measured.withColumns({"d": F.coalesce("d", F.lit(0.0)), "top": F.coalesce("top", F.lit(1.0))})
+    pivots = tables.enter_context(staged(measured.where("p = fp").select("g", "fp"), "gone"))
+    rows = rows.where("p <> fp").join(pivots, ["g", "fp"], "left_anti")
+    ranges = rows.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("top").alias("high"))
+    ranges = tables.enter_context(staged(ranges, "ranges"))
+    within = (F.col("top") >= F.col("low") - epsilon - _SLACK) & (F.col("d") <= F.col("high") + epsilon + _SLACK)
+    kept = rows.join(ranges, ["g", "p"]).groupBy("g", "fp", "n").agg(F.max("open").alias("open"), F.min(within).alias("within"))
+    return kept.where("open or within").select("g", "fp", "n")
 
 
 def _sets(width: int) -> Callable:

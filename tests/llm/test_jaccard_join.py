@@ -47,7 +47,8 @@ def corpus(seed, size):
 def test_against_all_pairs(docs, seed, monkeypatch):
     if seed == 2:  # many keys dealt out by class, and few pivots, so that regions are joined again and again
         monkeypatch.setattr(jaccard_join, "HOT_ROWS", 2)
-        monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
+        monkeypatch.setattr(jaccard_join, "PAIRS", 8)
+        monkeypatch.setattr(jaccard_join, "GROWTH", 2)
     rows = corpus(seed, 350)
     sets = {i: shingles(t) for i, t in rows}
     want = components(sets, linked(sets))
