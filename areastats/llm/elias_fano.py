@@ -61,13 +61,26 @@ class EliasFano:
                 low |= int(bit) << k
         return (high << self.low_bits) | low
 
+    def select_many(self, first: int, last: int) -> np.ndarray:
+        """Numbers ``first`` to ``last - 1``, reading from one stored place to another."""
+        if not 0 <= first <= last <= self.n:
+            raise IndexError((first, last))
+        block, end = first // STEP, -(-last // STEP)
+        start = int(self.places[block]) if block < len(self.places) else 8 * len(self.high)
+        stop = int(self.places[end]) if end < len(self.places) else 8 * len(self.high)
+        byte = start // 8
+        flags = np.unpackbits(self.high[byte : stop // 8 + 1], bitorder="little")[start - 8 * byte :]
+        ones = np.flatnonzero(flags)[first - block * STEP : last - block * STEP] + start
+        index = np.arange(first, last)
+        high = (ones - index).astype(np.uint64) << np.uint64(self.low_bits)
+        at = first * self.low_bits
+        bits = np.unpackbits(self.low[at // 8 : -(-last * self.low_bits // 8)], bitorder="little")[at % 8 :]
+        bits = bits[: len(index) * self.low_bits].reshape(len(index), self.low_bits).astype(np.uint64)
+        return (high | (bits << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)).astype(np.int64)
+
     def decode(self) -> np.ndarray:
         """All numbers."""
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        high = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        bits = np.unpackbits(self.low, bitorder="little", count=self.n * self.low_bits)
-        bits = bits.reshape(self.n, self.low_bits).astype(np.uint64)
-        return (high | (bits << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)).astype(np.int64)
+        return self.select_many(0, self.n)
 
     def to_bytes(self) -> bytes:
         head = struct.pack(_HEAD, self.n, self.low_bits, len(self.low), len(self.high), len(self.places))

@@ -46,7 +46,7 @@ def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = read_pieces(public_tokenizers.path("piece_bpe_32k.model"), scores="ranks")
     coded = encode_pieces(table(spark, sf_dir, "documents"), pieces, with_ids=False)
     text = F.crc32(F.col("text").cast("binary"))
     return coded.select("doc_id", "n_tokens", "n_bytes", "ids_crc32", text.alias("text_crc32"), "round_trip")

@@ -210,7 +210,7 @@ def write_token_files(
 
 def _boundaries(code: EliasFano) -> list[int]:
     """Where each document of a segment begins, and the end of the last."""
-    return [0, *map(code.select, range(len(code)))]
+    return [0, *code.select_many(0, len(code)).tolist()]
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

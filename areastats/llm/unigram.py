@@ -36,12 +36,14 @@ _SEGMENT = re.compile(r" +[^ \n]*|\n[^ \n]*")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
-def read_pieces(model_file: str) -> list[tuple[str, float, str]]:
+def read_pieces(model_file: str, scores: str = "file") -> list[tuple[str, float, str]]:
     """Piece, log score and kind (``piece``, ``byte``, ``other``) by id, from a model file.
 
-    A file that numbers its pieces by rank (scores 0, -1, -2, ...) gets log scores by Zipf's law:
-    the probability of a piece falls with its rank.
+    ``scores`` says what the file holds: ``file`` takes its scores as log scores, ``ranks`` only their order, for files
+    that number their pieces. The probability of a piece then falls with its rank, by Zipf's law.
     """
+    if scores not in ("file", "ranks"):
+        raise ValueError(f"scores are 'file' or 'ranks', not {scores!r}")
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -51,7 +53,7 @@ def read_pieces(model_file: str) -> list[tuple[str, float, str]]:
         kind = "byte" if model.is_byte(i) else "other" if other else "piece"
         out.append((model.id_to_piece(i), model.get_score(i), kind))
     normal = [s for _, s, kind in out if kind == "piece"]
-    if normal == [-float(r) for r in range(len(normal))] or min(normal) < -1000:
+    if scores == "ranks" and normal:
         total = math.log(sum(1 / (r + SHIFT) for r in range(len(normal))))
         rank = {s: r for r, s in enumerate(sorted(set(normal), reverse=True))}
         out = [(p, -math.log(rank[s] + SHIFT) - total if kind == "piece" else s, kind) for p, s, kind in out]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -19,7 +20,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def pieces():
-    return read_pieces(MODEL)
+    return read_pieces(MODEL, scores="ranks")
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +105,12 @@ def test_every_text_comes_back(spark, pieces, docs, encoder):
 def test_words_are_encoded_alike_with_and_without_the_cache(pieces, encoder):
     fresh = Unigram(pieces)
     assert fresh.encode(TEXTS) == fresh.encode(TEXTS) == encoder.encode(TEXTS)
+
+
+def test_scores_are_taken_as_asked():
+    ranked, own = read_pieces(MODEL, scores="ranks"), read_pieces(MODEL)
+    assert [p for p, _, _ in ranked] == [p for p, _, _ in own]
+    assert min(s for _, s, kind in own if kind == "piece") < -1000  # this file numbers its pieces
+    assert sum(math.exp(s) for _, s, kind in ranked if kind == "piece") == pytest.approx(1, abs=1e-6)
+    with pytest.raises(ValueError, match="guess"):
+        read_pieces(MODEL, scores="guess")

@@ -33,6 +33,10 @@ def test_elias_fano_takes_little_space():
     code = EliasFano.encode(values)
     assert len(code.to_bytes()) * 8 / 20_000 < 2 + np.log2(values[-1] / 20_000) + 3
     assert [code.select(i) for i in range(0, 20_000, 97)] == values[::97].tolist()
+    for first, last in ((0, 0), (0, 1), (63, 65), (64, 128), (1000, 7777), (19_999, 20_000), (20_000, 20_000)):
+        assert code.select_many(first, last).tolist() == values[first:last].tolist()
+    with pytest.raises(IndexError):
+        code.select_many(5, 20_001)
     with pytest.raises(ValueError):
         EliasFano.encode(np.array([2, 1]))
     with pytest.raises(IndexError):
