@@ -44,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts as pieces and back, with the ids."""
-    return encode_pieces(docs, read_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    return encode_pieces(docs, read_pieces(public_tokenizers.path("piece_bpe_32k.model"), scores="ranks"))
 
 
 STAGES = [
