@@ -33,7 +33,11 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     The folder is the one ``spark.checkpoint.dir`` names. Where that is unset, as in tests, it is
     the warehouse, which driver and executors share as well; no machine-local folder is used.
     """
-    base = spark.conf.get(SHARED_DIR, None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get(SHARED_DIR, None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and base.startswith(("file:", "/")):
+            raise ValueError(f"set {SHARED_DIR} to a folder that all executors share; the warehouse {base} is a local one")
     root = f"{base.rstrip('/')}/areastats-{spark.sparkContext.applicationId}"
     target = spark._jvm.org.apache.hadoop.fs.Path(root)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
