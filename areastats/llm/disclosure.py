@@ -9,6 +9,8 @@ is replaced by a placeholder, from ``REMOVE`` on it is removed, each beside the
 
 With ``context`` None, as in the query, terms are counted in whole documents, whatever their length, and
 replaced wherever they stand; the kinds of entities count as entities too, so that one seen once has an estimate.
+Rare words stand beside a kind of entity by chance, and the more of them a corpus has the more often, so a term must
+also pass a test: that chance brings it there so often must be less likely than ``ALPHA`` for all pairs tried together.
 
 Counts run over all documents. A term must stand beside its entity in at least ``SUPPORT``
 different texts, as any rare word beside a number seen once would reveal it. Native: patterns,
@@ -42,6 +44,8 @@ TERM = r"\p{L}{4,}"
 ANY_TERM = r"\p{L}+"
 SUPPORT = 2
 GENERALISE, REMOVE = 0.75, 0.95
+#: How likely a single term of the whole corpus may be taken by chance, where whole documents are counted.
+ALPHA = 0.05
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -114,7 +118,7 @@ def entity(span: Column) -> Column:
 
 def find_personal_data(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-    generalise: float = GENERALISE, remove: float = REMOVE, context: int | None = CONTEXT,
+    generalise: float = GENERALISE, remove: float = REMOVE, context: int | None = CONTEXT, alpha: float = ALPHA,
 ) -> DataFrame:
     """``doc_id``, ``th`` (hash of the text), ``base`` (spans by pattern) and ``terms`` of every row.
 
@@ -122,11 +126,12 @@ def find_personal_data(
     by start; they never overlap a base span. A NULL text counts as empty and has no spans. Rows
     with equal id and text are one document in the counts and are all returned. Of two
     actions for one place the stronger holds. Ids may be NULL. Other columns are not looked at; an
-    empty table gives an empty result. With ``context`` None terms are looked for in whole documents.
+    empty table gives an empty result. With ``context`` None terms are looked for in whole documents and must pass the
+    test of ``alpha``.
     """
     rows = narrow(docs, id_col, text_col).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     if context is None:
-        return _with_terms(*_everywhere(rows, support, generalise, remove))
+        return _with_terms(*_everywhere(rows, support, generalise, remove, alpha))
     found = rows.select("doc_id", text_hash(F.col("text")).alias("th"), "text", base_spans(F.col("text")).alias("base"))
     around = _contexts("text", "base", context)
     found = stage(found.select("doc_id", "th", "base", F.when(F.size("base") > 0, around).alias("near")), "spans")
@@ -149,12 +154,12 @@ def _with_terms(found: DataFrame, spans: DataFrame) -> DataFrame:
     return found.join(spans, same, "left").select("doc_id", "th", "base", F.coalesce("terms", none).alias("terms"))
 
 
-def _everywhere(rows: DataFrame, support: int, least: float, remove: float) -> tuple[DataFrame, DataFrame]:
+def _everywhere(rows: DataFrame, support: int, least: float, remove: float, alpha: float) -> tuple[DataFrame, DataFrame]:
     """All documents with their base spans, and the revealing terms of those that have some."""
     found = rows.select("doc_id", text_hash(F.col("text")).alias("th"), "text", base_spans(F.col("text")).alias("base"))
     words = F.transform(F.regexp_extract_all(_blanked("text", "base"), F.lit(ANY_TERM), F.lit(0)), F.lower)
     found = stage(found.select("doc_id", "th", "base", F.array_distinct(words).alias("words")), "words")
-    risky = stage(_revealing_anywhere(found, support, least), "revealing")
+    risky = stage(_revealing_anywhere(found, support, least, alpha), "revealing")
     # Most words are no risky terms: they go before the join, so it shuffles few rows.
     hits = possible(found.select("doc_id", "th", F.explode("words").alias("term")), "term", risky.select("term")).join(risky, "term")
     hits = hits.groupBy("doc_id", "th").agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("risky"))
@@ -194,25 +199,43 @@ def _blanked(text: str, base: str | Column) -> Column:
     return F.when(F.size(base) == 0, F.col(text)).otherwise(F.aggregate(places, start, step, rest))
 
 
-def _revealing_anywhere(found: DataFrame, support: int, least: float) -> DataFrame:
-    """``term``, ``share`` of all terms that disclose at least ``least`` of an entity or of a kind of entity."""
+def _revealing_anywhere(found: DataFrame, support: int, least: float, alpha: float) -> DataFrame:
+    """``term``, ``share`` of all terms that disclose at least ``least`` of an entity or of a kind of entity, and not by chance."""
     # Equal texts have equal spans and words: they are opened once and count with their documents.
     texts = found.where(F.size("base") > 0).groupBy("th")
     texts = texts.agg(F.size(F.collect_set(F.struct("doc_id"))).alias("docs"), F.first("base").alias("base"), F.first("words").alias("words"))
     kinds = F.transform("base", lambda s: F.xxhash64(F.lit("kind"), s["kind"]))
     named = F.array_distinct(F.concat(F.transform("base", entity), kinds))
     held = stage(texts.select("docs", "words", F.explode(named).alias("entity")), "held")
-    entities = held.groupBy("entity").agg(F.sum("docs").alias("n_e"))
+    entities = held.groupBy("entity").agg(F.sum("docs").alias("n_e"), F.count("*").alias("texts"))
+    entities = stage(entities.where(F.col("texts") >= support).drop("texts"), "entities")
+    # An entity of too few texts has no term with support: it goes before the words are opened.
+    held = possible(held, "entity", entities.select("entity"))
     joint = held.select("docs", "entity", F.explode("words").alias("term")).groupBy("entity", "term")
     joint = joint.agg(F.sum("docs").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= support).drop("texts")
+    joint = stage(joint, "joint")
     counts = found.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = stage(found.agg(F.count("*").cast("double").alias("n")), "total")  # one row
-    known = joint.join(counts, "term").join(entities, "entity").join(F.broadcast(total)).where("n > n_e")
-    pmi = F.log2(F.col("n") * F.col("n_te") / (F.greatest("n_t", "n_te") * F.col("n_e")))
+    n = stage(found.agg(F.count("*").cast("double").alias("n")), "total").scalar()
+    tests = stage(joint.agg(F.count("*").cast("double").alias("tests")), "tests").scalar()
+    known = joint.join(counts, "term").join(entities, "entity").withColumns({"n": n, "tests": tests}).where("n > n_e")
+    known = known.withColumn("n_t", F.greatest("n_t", "n_te"))
+    pmi = F.log2(F.col("n") * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
     known = known.withColumn("share", pmi / F.log2(F.col("n") / F.col("n_e"))).where(F.col("share") >= least)
+    known = known.where(evidence(F.col("n_te"), F.col("n_t"), F.col("n_e") / F.col("n")) >= F.log(F.col("tests") / alpha))
     return known.groupBy("term").agg(F.max("share").alias("share"))
 
 
+def evidence(hits: Column, trials: Column, chance: Column) -> Column:
+    """How little chance explains so many hits: minus the logarithm of a bound of that probability.
+
+    Chernoff's bound of a binomial tail, trials times the divergence of the share of hits from the chance; 0 if
+    there are no more hits than expected.
+    """
+    share = hits / trials
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - chance))).otherwise(0.0)
+    return F.when(share > chance, trials * (share * F.log(share / chance) + rest)).otherwise(0.0)
+
+
 def _contexts(text: str, base: str, context: int) -> Column:
     """Per span its entity and the whole terms within ``context`` characters of it."""
 

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable
 import pytest
 from pyspark.sql import functions as F
 
+from areastats.llm.decontam import MASKS
+
 
 @pytest.fixture
 def docs(spark):
@@ -90,3 +92,40 @@ def line_dedup(docs: list[tuple]) -> dict:
                 first[key] = min(first.get(key, (doc_id, text, i)), (doc_id, text, i))
     gone = {(*place[:2], place[2] + k) for key, place in windows if first[key] != place for k in range(3)}
     return {d: "".join(p for i, p in enumerate(parts) if (*d, i) not in gone) if d[1] else d[1] for d, parts in lines.items()}
+
+
+def plain_search(rows, items, min_tokens=12):
+    """Every offset at which some mask fits, and the best stretch along it."""
+    classes = {}
+    for item_id, text in items:
+        tokens = tuple(re.findall(r"[^\W_]+", text.lower()))
+        if tokens:
+            classes[tokens] = min(item_id, classes.get(tokens, item_id))
+    out = {}
+    for doc_id, text in rows:
+        h = re.findall(r"[^\W_]+", text.lower())
+        for b, item_id in classes.items():
+            masks = [*MASKS, *(["1" * len(b)] if len(b) < 12 else [])]
+            offsets = set()
+            for mask in masks:
+                places = [k for k, c in enumerate(mask) if c == "1"]
+                seeds = {}
+                for i in range(len(b) - len(mask) + 1):
+                    seeds.setdefault(tuple(b[i + k] for k in places), []).append(i)
+                for j in range(len(h) - len(mask) + 1):
+                    offsets.update(j - i for i in seeds.get(tuple(h[j + k] for k in places), []))
+            for offset in offsets:
+                first, last = max(0, -offset), min(len(b), len(h) - offset)
+                points = equal = start = 0
+                best = (0, 0, 0, -1)
+                for at in range(first, last):
+                    if points <= 0:
+                        points, equal, start = 0, 0, at
+                    hit = b[at] == h[offset + at]
+                    points, equal = points + (1 if hit else -3), equal + hit
+                    if points > best[0]:
+                        best = (points, equal, start, at)
+                if best[1] >= min(min_tokens, len(b)):
+                    found = (best[1], -(offset + best[2]), best[3] - best[2] + 1)
+                    out[doc_id, item_id] = max(found, out.get((doc_id, item_id), found))
+    return {k: (n, t, -s, -s + t) for k, (n, s, t) in out.items()}

@@ -1,5 +1,8 @@
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 from areastats.llm.disclosure import find_personal_data, personal_data_report, sanitise
 from brute import docs, base_spans  # noqa: F401
@@ -99,3 +102,47 @@ def test_terms_far_from_an_entity_and_short_ones_in_whole_documents(docs):
     assert not any(found[i] for i in range(200)) and sanitise(df, context=None).where("doc_id = 302").first().text != "Now ŻYX is masked"
     near = {r.doc_id: r.n_term for r in personal_data_report(df).collect()}
     assert near[302] == near[303] == 0
+
+
+def plain_terms(rows, alpha=0.05):
+    """Revealing terms of whole documents, counted in memory: the texts here hold e-mails only, as one word."""
+    split = {d: (set(re.findall(r"\S+@\S+", d[1])), set(re.findall(r"[^\W\d_]+", re.sub(r"\S+@\S+", " ", d[1]).lower()))) for d in set(rows)}
+    n, joint, texts, n_e, n_t = len(split), Counter(), {}, Counter(), Counter()
+    for (_, text), (mails, words) in split.items():
+        n_t.update(words)
+        for e in [*mails, *(["kind"] if mails else [])]:
+            n_e[e] += 1
+            for w in words:
+                joint[e, w] += 1
+                texts.setdefault((e, w), set()).add(text)
+    tried = [p for p in joint if len(texts[p]) >= 2]
+    out = set()
+    for e, w in tried:
+        k, t, p = joint[e, w], n_t[w], n_e[e] / n
+        if p < 1 and math.log(k / t / p) / -math.log(p) >= 0.75 - 1e-12 and k / t > p:
+            q = k / t
+            bound = t * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0))
+            if bound >= math.log(len(tried) / alpha):
+                out.add(w)
+    return out
+
+
+def test_terms_of_whole_documents_against_plain_counts(docs):
+    """Planted terms are found; of thousands of rare words, which often stand beside a mail by chance, none is."""
+    random.seed(3)
+    rare = ["".join(random.choices("abcdefghijklmnopqrstuvw", k=6)) for _ in range(1500)]
+    rows = []
+    for i in range(600):
+        words = random.choices(rare, k=12)
+        if i % 12 == 0:
+            words += [f"p{'abcdefghij'[i // 12 % 10]}@mail.org"] + (["zyxel"] if i // 12 % 10 == 3 else []) + (["kindly"] if i % 24 == 0 else [])
+        rows.append((i, " ".join(words)))
+    rows += [(1000, "ask zyxel"), (1001, "kindly " * 30_000), (1002, ""), (rows[0][0], rows[0][1])]
+    want = plain_terms(rows)
+    assert {"zyxel", "kindly"} <= want and len(want & set(rare)) == 0
+    text = dict(rows)
+    out = personal_data_report(docs(rows), context=None).collect()
+    spans = [(r.doc_id, *map(int, x.split(":")[1:])) for r in out for x in r.spans.split(",") if x.startswith("term")]
+    assert {text[i][a:b].lower() for i, a, b in spans} == want
+    assert sum(1 for i, _, _ in spans if i == 1001) == 30_000 and {i for i, _, _ in spans} >= {1000, 1001}
+    assert personal_data_report(docs([]), context=None).collect() == []

@@ -1,5 +1,7 @@
-from collections import Counter
+import hashlib
+import math
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -45,3 +47,21 @@ def test_nulls_repeats_and_empty_tables(docs):
     assert len({r.shard for r in out if r.doc_id == 7}) == 1
     assert sorted(r.slot for r in out if r.doc_id == 7) == [0, 1, 2]
     assert result(docs([])) == []
+
+
+def plain_shard(doc_id, weights):
+    """The shard with the highest weighted score, one digest per four shards."""
+    key = "null" if doc_id is None else str(doc_id)
+    scores = []
+    for s, w in enumerate(weights):
+        digest = hashlib.md5(f"{key}:{s // 4}".encode()).hexdigest()
+        u = (int(digest[8 * (s % 4) : 8 * (s % 4) + 8], 16) + 0.5) / 2**32
+        scores.append((-w / math.log(u) if w else -1.0, -s))
+    return -max(scores)[1]
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 24, [2.0, 0.0, 1.0, 5.0, 0.5]])
+def test_shards_are_those_of_plain_rendezvous_hashing(docs, weights):
+    ids = [None, 0, -5, 2**62, *range(1000, 1400)]
+    out = {r.doc_id: (r.shard, r.grown_shard) for r in result(docs([(i, "x") for i in ids]), weights=weights, grown_weight=1.5)}
+    assert out == {i: (plain_shard(i, weights), plain_shard(i, [*weights, 1.5])) for i in ids}
