@@ -23,7 +23,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import pairwise
 from string import punctuation
 
@@ -37,7 +37,7 @@ from areastats.llm.elias_fano import EliasFano
 #: Ids in a segment, unless a single document has more.
 SEGMENT_IDS = 1 << 18
 #: Words whose ids a worker keeps.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 1_600_000
 #: Longer words are not kept.
 CACHE_LENGTH = 40
 _SEGMENTS = "part int, before long, first_id long, last_id long, doc_ids array<long>, n_ids long, ids binary, width int, ends binary"
@@ -61,6 +61,16 @@ def split_words(text: str) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
+def byte_chars() -> dict[int, str]:
+    """The character that byte-level models write for each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_CHARS = byte_chars()
+
+
 def part_text(name: str) -> str:
     """The part that a name from ``split_words`` (not the first) stands for."""
     return name if name[:1] in (" ", "\n") and name else f" {name}"
@@ -93,11 +103,28 @@ class CachedEncoder:
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain_letters = not any(t.strip().isalpha() for t in self.added)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.width == 2 else "I"
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word_ids(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of words with the space before each, by word.
+
+        The cutter leaves letters behind a space together, so words of letters go straight to the model.
+        """
+        code, space, tokenize = "H" if self.width == 2 else "I", _BYTE_CHARS[32], self.tokenizer.model.tokenize
+        out, other = {}, []
+        for w in words:
+            if w.isalpha() and self.plain_letters:
+                chars = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_CHARS)
+                out[w] = array(code, [t.id for t in tokenize(space + chars)]).tobytes()
+            else:
+                other.append(w)
+        out.update(zip(other, self.ids([part_text(w) for w in other]), strict=True))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text, as bytes."""
         if not self.by_word:
@@ -115,8 +142,7 @@ class CachedEncoder:
         marked = [(w, h, w[len(h) :]) for w, h in heads if h[-1:].isalnum() and not any(t in w for t in added)]
         plain = new.difference([w for w, _, _ in marked])
         plain.update(h for _, h, _ in marked if h not in known)
-        plain = list(plain)
-        known.update(zip(plain, self.ids([part_text(w) for w in plain]), strict=True))
+        known.update(self.word_ids(plain))
         tails = list({t for _, _, t in marked}.difference(self.marks))
         self.marks.update(zip(tails, self.ids(tails), strict=True))
         marks = self.marks

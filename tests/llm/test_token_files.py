@@ -84,3 +84,12 @@ def test_other_tokenizers_get_whole_texts(spark, docs):
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in TEXTS]
     assert [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode(TEXTS)] == want
 
+
+def test_words_of_letters_give_the_ids_that_the_library_gives():
+    random.seed(5)
+    encoder = CachedEncoder(JSON)
+    letters = [c for c in map(chr, [*range(65, 0x3000, 7), *range(0x4E00, 0x9000, 501), 0x10400, 0x1D400, 0x20000]) if c.isalpha()]
+    words = ["".join(random.choices(letters if i % 2 else "abcdefgheinst", k=random.randint(1, 12))) for i in range(3000)]
+    words += ["x1", "a'b", "½", "²", "٣", "word", "Été", "e\u0301", "don't"]
+    assert encoder.word_ids(words) == dict(zip(words, encoder.ids([f" {w}" for w in words]), strict=True))
+
