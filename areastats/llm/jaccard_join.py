@@ -9,18 +9,23 @@ pair need not be compared once both are known to be connected. The join works in
    The first cells come from prefixes: of its shingles in a fixed order, rarest first, a class
    takes the first ``n - ceil(0.75 n) + 1``. Two linked classes share one of them, so every shingle
    in a prefix opens a region, and a link lies within some region. Sizes are distances from the
-   empty set: regions are cut in size windows, with boundary classes in two of them. Regions with the same members are one.
-3. In each region pivots are chosen, and every member is compared with them exactly. Members linked
-   with a pivot join its cell. Cells that share a member, in any region, are one cell: they are
+   empty set: regions are cut in size windows, with boundary classes in two of them.
+   Of the shingles that two linked classes share, the first in the order stands early enough in both to leave room for
+   the intersection they need. So the place of a shingle tells how large a partner may be that has it as the
+   first one in common: the class's ``reach`` in the region. Two members can link only if the size of
+   each is within the other's reach, and members without such a partner leave. Near copies with too many shingles of their own for
+   any link go here. Regions with the same members are one; a member keeps its largest reach.
+3. In each region pivots are chosen, at first the member with the largest reach for its size, and every member is compared with them exactly.
+   Members linked with a pivot join its cell. Cells that share a member, in any region, are one cell: they are
    connected, and nothing within a cell needs to be compared any more.
 4. A region whose members are all in one cell is finished. Else a link that is still unknown has at
-   least one end outside the largest cell of the region, so further pivots come from there. A pivot is
-   compared with the whole region and then leaves it. Members of the largest cell are boundary documents, which stay only
+   least one end outside the largest cell of the region, so further pivots come from there, and members leave that reach none of
+   those. A pivot is compared with the whole region and then leaves it. Members of the largest cell are boundary documents, which stay only
    as long as the triangle inequality allows a link with a member outside it: for each pivot their distance lies
    within ``EPSILON`` of the range of those members' distances. The rest is joined again, with new pivots.
 
 A region gets as many pivots as keep its comparisons of a round within ``PAIRS``, at least one; where that is enough for all
-members outside the largest cell, the region is finished exactly. ``PAIRS`` grows from round to round, so the number of
+members outside the largest cell, they are compared with all they reach, and the region is finished exactly. ``PAIRS`` grows from round to round, so the number of
 rounds grows with the logarithm of what one region needs. The order of shingles comes from counts of all
 shingles in a sketch of fixed size; it decides how much work there is, never the result.
 """
@@ -53,6 +58,8 @@ PAIRS, GROWTH = 2048, 8
 #: Rows that a Python worker gets at a time: texts, or pairs of whole sets.
 BATCH_ROWS = 500
 _SLACK = 1e-9
+#: A pivot: its class, size, cell, reach, and whether all open members of its region are pivots.
+PIVOT = ("p", "np", "home", "far", "few")
 
 
 def near_documents(
@@ -103,11 +110,11 @@ def connected_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, p
     """``fp`` and ``cell``, the same for all classes that links connect; classes without a link may be missing."""
     spark = rows.sparkSession
     sketch = spark.sparkContext.broadcast(_sketch(profile))
-    postings = rows.where("doc_id is not null").mapInArrow(_prefixes(sketch, percent, width), "key long, salt int, fp long, n int")
+    postings = rows.where("doc_id is not null").mapInArrow(_prefixes(sketch, percent, width), "key long, salt int, fp long, n int, reach int")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with ExitStack() as tables:
         dealt = postings.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "fp")
-        members = tables.enter_context(staged(dealt.mapInArrow(_shared, "key long, fp long, n int"), "members"))
+        members = tables.enter_context(staged(dealt.mapInArrow(_shared, "key long, fp long, n int, reach int"), "members"))
         region = stage(_regions(members, percent, tables), "regions")
     wanted = region.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), F.col("fp").alias("want")).distinct()
     wanted = stage(wanted, "wanted")
@@ -120,7 +127,7 @@ def connected_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, p
             measured = _measure(region, sets, signatures, pairs, percent, tables)
             edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select(F.col("p").alias("a"), F.col("fp").alias("b"))
             cells = _joined_cells(cells, edges.distinct())
-            left = _within_reach(measured, epsilon, tables) if pairs else measured.where("p <> fp").select("g", "fp", "n")
+            left = _within_reach(measured, epsilon, tables) if pairs else measured.where("p <> fp").select("g", "fp", "n", "reach")
             region = stage(_unfinished(left, cells, tables), "regions")
         pairs = PAIRS if pairs is None else pairs * GROWTH
     return spark.createDataFrame([], "fp long, cell long") if cells is None else cells
@@ -140,15 +147,29 @@ def _joined_cells(cells: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 
 def _unfinished(left: DataFrame, cells: DataFrame, tables: ExitStack) -> DataFrame:
-    """Members of regions with several cells: ``g``, ``fp``, ``n``, ``cell``, ``open`` (outside the largest), ``size`` and ``n_open``."""
+    """Members of regions with several cells that reach a member of another one.
+
+    ``g``, ``fp``, ``n``, ``reach``, ``cell``, ``open`` (outside the largest), ``size`` and ``n_open``.
+    """
     members = left.join(cells, "fp", "left").withColumn("cell", F.coalesce("cell", "fp"))
     members = tables.enter_context(staged(members, "members-met"))
-    counts = members.groupBy("g", "cell").agg(F.count("*").alias("members"))
-    largest = F.max(F.struct("members", "cell"))
-    several = counts.groupBy("g").agg(largest.alias("largest"), F.sum("members").alias("size"), F.count("*").alias("cells")).where("cells > 1")
-    several = several.select("g", F.col("largest.cell").alias("main"), "size", (F.col("size") - F.col("largest.members")).alias("n_open"))
-    rows = members.join(several, "g")
-    return rows.select("g", "fp", "n", "cell", (F.col("cell") != F.col("main")).alias("open"), "size", "n_open")
+    counts = members.groupBy("g", "cell").agg(F.count("*").alias("members"), F.min("n").alias("least"), F.max("reach").alias("most"))
+    counts = tables.enter_context(staged(counts, "cells-met"))
+    several = counts.groupBy("g").agg(F.max(F.struct("members", "cell")).alias("largest"), F.count("*").alias("cells")).where("cells > 1")
+    outside = F.col("cell") != F.col("main")
+    ends = counts.join(several.select("g", F.col("largest.cell").alias("main")), "g").groupBy("g", "main")
+    ends = ends.agg(
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
+        F.min(F.when(outside, F.col("least"))).alias("least_open"),
+        F.max(F.when(outside, F.col("most"))).alias("most_open"),
+    )
+    rows = members.join(ends, "g").withColumn("open", outside)
+    least, most = (F.when(F.col("open"), F.col(c)).otherwise(F.col(f"{c}_open")) for c in ("least", "most"))
+    rows = rows.where((F.col("reach") >= least) & (F.col("n") <= most)).select("g", "fp", "n", "reach", "cell", "open")
+    rows = tables.enter_context(staged(rows, "members-left"))
+    sizes = rows.groupBy("g").agg(F.count("*").alias("size"), F.count_if("open").alias("n_open")).where("size > 1 and n_open > 0")
+    return rows.join(sizes, "g")
 
 
 def _profile(width: int) -> Callable:
@@ -206,43 +227,55 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def _prefixes(sketch, percent: int, width: int) -> Callable:
-    """Per class met in a task: the shingles of its prefix, rarest first, as rows."""
+    """Per class met in a task: the shingles of its prefix as rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, counts, seen = Shingler(width), sketch.value, set()
         for batch in batches:
-            keys, fps, sizes = [], [], []
+            keys, frequencies, reaches, fps, sizes = [], [], [], [], []
             for s in shingler.sets(batch.column("text").to_pylist()):
                 fp = fingerprint(s)
                 if not len(s) or fp in seen:
                     continue
                 seen.add(fp)
-                n = len(s)
-                take = n - -(-percent * n // 100) + 1
-                frequency = counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                keys.append(s[np.lexsort((s, frequency))[:take]])
+                for out, found in zip((keys, frequencies, reaches), _prefix(s, counts, percent), strict=True):
+                    out.append(found)
                 fps.append(fp)
-                sizes.append(n)
+                sizes.append(len(s))
             if not keys:
                 continue
             repeat = list(map(len, keys))
             key, fp = np.concatenate(keys), np.repeat(np.array(fps, np.int64), repeat)
             # Keys that may be hot are dealt out by class; -1 marks those that stay in one place.
-            deal = counts[(key >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] // HOT_ROWS + 1
+            deal = np.concatenate(frequencies) // HOT_ROWS + 1
             salt = np.where(deal > 1, (fp >> 7) % deal, -1).astype(np.int32)
             arrays = [key.astype(np.int64), salt, fp, np.repeat(np.array(sizes, np.int32), repeat)]
+            arrays.append(np.concatenate(reaches).astype(np.int32))
             for at in range(0, len(key), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(a[at : at + (1 << 16)]) for a in arrays], names=["key", "salt", "fp", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[at : at + (1 << 16)]) for a in arrays], names=["key", "salt", "fp", "n", "reach"])
 
     return run
 
 
+def _prefix(s: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first shingles of a set, rarest first, how frequent they are, and the reach of each.
+
+    The reach is the size of the largest class that may link if this shingle is the first that both have: with ``i``
+    before it, ``n - i`` are left for the intersection, which has ``percent / (100 + percent)`` of both sizes at least.
+    """
+    n = len(s)
+    take = n - -(-percent * n // 100) + 1
+    frequency = counts[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
+    first = np.lexsort((s, frequency))[:take]
+    return s[first], frequency[first], (100 * n - (100 + percent) * np.arange(take)) // percent
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, salt and class: equal rows once, and no keys that one class has alone.
+    """Rows sorted by key, salt and class: equal rows once, and none that reach no other class of their key.
 
     Keys that are dealt out by class may be alone in one place and not in another; they stay.
     """
-    left = np.zeros((4, 0), np.int64)
+    left = np.zeros((5, 0), np.int64)
 
     def cut(rows: np.ndarray, last: bool) -> tuple[pa.RecordBatch, np.ndarray]:
         new = np.ones(rows.shape[1], bool)
@@ -251,15 +284,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = np.ones(rows.shape[1], bool)
         starts[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)
         first = np.flatnonzero(starts)
-        # The last run may go on in the next batch: its first two rows are enough to know it is shared.
+        # The last run may go on in the next batch.
         end = rows.shape[1] if last or not len(first) else first[-1]
-        lengths = np.diff(np.append(first, rows.shape[1]))
-        run = np.cumsum(starts) - 1
-        keep = (lengths[run] > 1) | (rows[1] >= 0) if len(first) else np.zeros(0, bool)
-        keep[end:] = False
-        out = rows[:, keep]
-        names, types = ["key", "fp", "n"], [pa.int64(), pa.int64(), pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(out[i], type=t) for i, t in zip((0, 2, 3), types, strict=True)], names=names), rows[:, end:]
+        out = rows[:, :end]
+        if end:
+            first, (_, salt, _, n, reach) = first[first < end], out
+            meets = (reach >= _least_of_others(n, first)) & (n <= -_least_of_others(-reach, first))
+            out = out[:, meets | (salt >= 0)]
+        names, types = ["key", "fp", "n", "reach"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(out[i], type=t) for i, t in zip((0, 2, 3, 4), types, strict=True)], names=names), rows[:, end:]
 
     for batch in batches:
         rows = np.stack([np.asarray(c).astype(np.int64) for c in batch.columns])
@@ -269,25 +302,50 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield cut(left, last=True)[0]
 
 
+def _least_of_others(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each value the least of the others in its run, or a number beyond all if it is alone."""
+    lengths = np.diff(np.append(starts, len(values)))
+    least = np.repeat(np.minimum.reduceat(values, starts), lengths)
+    is_least = values == least
+    second = np.repeat(np.minimum.reduceat(np.where(is_least, np.int64(1 << 40), values), starts), lengths)
+    alone = np.repeat(np.add.reduceat(is_least.astype(np.int64), starts) == 1, lengths)
+    return np.where(is_least & alone, second, least)
+
+
 def _regions(members: DataFrame, percent: int, tables: ExitStack) -> DataFrame:
-    """``g``, ``fp``, ``n``: regions with at least two classes, none twice.
+    """``g``, ``fp``, ``n``, ``reach``: regions with at least two classes, none twice.
 
     Linked classes have sizes within a factor of each other, so each lies in the window of its size or
-    the next one; a class is copied into the next window.
+    the next one; a class that reaches the next window is copied into it.
     """
     step = F.lit(np.log(100 / percent) * (1 + 1e-9))
-    window = F.floor(F.log(F.col("n")) / step).cast("int")
-    rows = members.select(F.explode(F.array(window, window + 1)).alias("w"), window.alias("own"), "key", "fp", "n")
-    rows = rows.select(F.xxhash64("key", "w").alias("g"), "fp", "n", (F.col("w") == F.col("own")).alias("own"))
+    window, reached = (F.floor(F.log(F.greatest(F.col(c), F.lit(1))) / step).cast("int") for c in ("n", "reach"))
+    windows = F.when(reached > window, F.array(window, window + 1)).otherwise(F.array(window))
+    rows = members.select(F.explode(windows).alias("w"), window.alias("own"), "key", "fp", "n", "reach")
+    rows = rows.select(F.xxhash64("key", "w").alias("g"), "fp", "n", "reach", (F.col("w") == F.col("own")).alias("own"))
     rows = tables.enter_context(staged(rows, "windows"))
+    ends = rows.groupBy("g").agg(
+        F.min("n").alias("least"),
+        F.max("reach").alias("most"),
+        F.min(F.when(F.col("own"), F.col("n"))).alias("least_own"),
+        F.max(F.when(F.col("own"), F.col("reach"))).alias("most_own"),
+        F.count("*").alias("size"),
+    )
+    # Copies meet each other in their own window.
+    least, most = (F.when(F.col("own"), F.col(c)).otherwise(F.col(f"{c}_own")) for c in ("least", "most"))
+    rows = rows.join(ends.where("size > 1"), "g").where((F.col("reach") >= least) & (F.col("n") <= most))
+    rows = tables.enter_context(staged(rows.select("g", "fp", "n", "reach", "own"), "meeting"))
     marks = rows.groupBy("g").agg(
         F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("fp", "own")).alias("m1"),
         F.bit_xor(F.xxhash64(F.lit(1), "fp", "own")).alias("m2"),
         F.max("own").alias("some"),
     )
-    single = marks.where("size > 1 and some").groupBy("size", "m1", "m2").agg(F.min("g").alias("g"))
-    return rows.join(single.select("g"), "g").select("g", "fp", "n")
+    marks = tables.enter_context(staged(marks.where("size > 1 and some"), "marks"))
+    same = ["size", "m1", "m2"]
+    single = marks.join(marks.groupBy(*same).agg(F.min("g").alias("one")), same).select("g", "one")
+    rows = rows.join(single, "g").groupBy("one", "fp", "n").agg(F.max("reach").alias("reach"))
+    return rows.withColumnRenamed("one", "g")
 
 
 def _measure(
@@ -297,26 +355,28 @@ def _measure(
 
     The distance lies between ``d`` and ``top``. Both are exact unless sizes or signatures show that
     it is more than a link's; then the windows make do with that bound. A pivot has no distance from itself, and
-    where all open members are pivots none is computed within a cell.
+    where all open members are pivots there are rows only of members that it reaches in other cells.
     """
 
     def stage(df: DataFrame, label: str) -> DataFrame:
         return tables.enter_context(staged(df, label))
 
     if pairs is None:  # the first round: one pivot each, and nothing is known yet
-        chosen = region.groupBy("g").agg(F.min(F.struct("fp", "n")).alias("v"))
+        short = (-F.col("reach") / F.col("n")).alias("short")
+        chosen = region.groupBy("g").agg(F.min(F.struct(short, "fp", "n")).alias("v"))
         chosen = chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np"))
-        apart = F.lit(True)
+        asked = F.lit(True)
     else:
         pivots = F.greatest(F.lit(1), F.floor(F.lit(pairs) / F.col("size")))
         few = F.col("n_open") <= pivots
         slot = F.when(few, F.col("fp")).otherwise(F.pmod(F.xxhash64("fp", "g"), pivots))
-        chosen = region.where("open").groupBy("g", slot).agg(F.min(F.struct("fp", "n", "cell", few.alias("few"))).alias("v"))
-        chosen = chosen.select("g", F.col("v.fp").alias("p"), F.col("v.n").alias("np"), F.col("v.cell").alias("home"), F.col("v.few").alias("few"))
-        apart = ~F.col("few") | (F.col("home") != F.col("cell"))
+        chosen = region.where("open").groupBy("g", slot).agg(F.min(F.struct("fp", "n", "cell", "reach", few.alias("few"))).alias("v"))
+        chosen = chosen.select("g", *[F.col(f"v.{c}").alias(name) for c, name in zip(("fp", "n", "cell", "reach", "few"), PIVOT, strict=True)])
+        meet = (F.col("n") <= F.col("far")) & (F.col("np") <= F.col("reach"))
+        asked = ~F.col("few") | (F.col("p") == F.col("fp")) | ((F.col("home") != F.col("cell")) & meet)
     chosen = stage(chosen, "pivots")
-    rows = region.join(chosen, "g")
-    asked = rows.where((F.col("p") != F.col("fp")) & apart).select("p", "np", F.col("fp").alias("x"), "n").distinct()
+    rows = region.join(chosen, "g").where(asked)
+    asked = rows.where(F.col("p") != F.col("fp")).select("p", "np", F.col("fp").alias("x"), "n").distinct()
     asked = asked.join(possible(signatures, "fp", chosen.select("p")).toDF("p", "a"), "p")
     asked = asked.join(possible(signatures, "fp", region.select("fp")).toDF("x", "b"), "x").select("p", "x", "np", "n", "a", "b")
     bounds = stage(asked.mapInArrow(_bounds, "p long, x long, d double"), "pairs")
@@ -328,7 +388,7 @@ def _measure(
     exact = close.mapInArrow(_distances(percent), "p long, x long, d double").withColumn("top", F.col("d"))
     far = bounds.where(F.col("d") > epsilon + _SLACK).withColumn("top", F.lit(1.0))
     exact = stage(exact.unionByName(far).withColumnRenamed("x", "fp"), "distances")
-    return stage(rows.drop("np", "home", "few").join(exact, ["p", "fp"], "left"), "measured")
+    return stage(rows.drop("np", "home", "far", "few").join(exact, ["p", "fp"], "left"), "measured")
 
 
 def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +400,7 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _within_reach(measured: DataFrame, epsilon: float, tables: ExitStack) -> DataFrame:
-    """``g``, ``fp``, ``n`` of the members that may still link with an open one; pivots have left.
+    """``g``, ``fp``, ``n``, ``reach`` of the members that may still link with an open one; pivots have left.
 
     A region without open members left, because all were pivots, is gone. A missing distance says nothing.
     """
@@ -350,8 +410,8 @@ def _within_reach(measured: DataFrame, epsilon: float, tables: ExitStack) -> Dat
     ranges = rows.where("open").groupBy("g", "p").agg(F.min("d").alias("low"), F.max("top").alias("high"))
     ranges = tables.enter_context(staged(ranges, "ranges"))
     within = (F.col("top") >= F.col("low") - epsilon - _SLACK) & (F.col("d") <= F.col("high") + epsilon + _SLACK)
-    kept = rows.join(ranges, ["g", "p"]).groupBy("g", "fp", "n").agg(F.max("open").alias("open"), F.min(within).alias("within"))
-    return kept.where("open or within").select("g", "fp", "n")
+    kept = rows.join(ranges, ["g", "p"]).groupBy("g", "fp", "n", "reach").agg(F.max("open").alias("open"), F.min(within).alias("within"))
+    return kept.where("open or within").select("g", "fp", "n", "reach")
 
 
 def _sets(width: int) -> Callable:

@@ -1,5 +1,8 @@
 import random
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +95,72 @@ def test_two_large_groups_with_a_single_link_between_them(docs, bridge):
     assert out == want | {i: 50_000 for i, _ in rows if i >= 50_000}
 
 
+@pytest.fixture
+def compared(monkeypatch):
+    """Numbers of pairs that rounds compare."""
+    found, staged = [], jaccard_join.staged
+
+    @contextmanager
+    def counted(df, label):
+        with staged(df, label) as table:
+            if label == "pairs":
+                found.append(table.count())
+            yield table
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    return found
+
+
+def test_near_copies_that_link_with_nothing_are_not_compared_with_all(docs, compared):
+    # Half of the copies have so many own shingles that they are no copies, but share the rest with the whole group.
+    random.seed(5)
+    words = [f"w{i}" for i in range(150)]
+    rows = []
+    for k in range(400):
+        copy = list(words)
+        for place in random.sample(range(len(words)), random.choice([1, 2, 3, 5, 6, 7])):
+            copy[place] = f"n{random.randrange(10**9)}"
+        rows.append((k, " ".join(copy)))
+    sets = {i: shingles(t) for i, t in rows}
+    want = components(sets, linked(sets))
+    assert 100 < len(set(want.values())) < 350
+    assert {r.doc_id: r.component_id for r in near_documents(docs(rows)).collect()} == want
+    assert sum(compared) < 20 * len(rows)
+
+
+def test_what_reaches_no_other_class_leaves():
+    rows = [  # key, salt, class, size, reach
+        (1, -1, 10, 100, 133), (1, -1, 10, 100, 133), (1, -1, 11, 100, 89), (1, -1, 12, 90, 100),
+        (2, -1, 10, 100, 133),
+        (3, -1, 10, 100, 99), (3, -1, 11, 100, 120),
+        (4, -1, 10, 100, 100), (4, -1, 11, 100, 100),
+        (5, 0, 10, 100, 75),
+        (6, -1, 10, 100, 120), (6, -1, 11, 120, 100),
+    ]
+    want = [(1, 10), (1, 12), (4, 10), (4, 11), (5, 10), (6, 10), (6, 11)]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    for size in (1, 2, 5, 50):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*p, strict=True), types, strict=True)], names=list("ksfnr")) for p in parts]
+        out = [r for b in jaccard_join._shared(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns[:2]), strict=True)]
+        assert out == want
+
+
+def test_reach_of_prefixes_loses_no_link():
+    random.seed(3)
+    for _ in range(300):
+        n = random.randrange(1, 60)
+        a = random.sample(range(80), n)
+        b = random.sample(sorted(set(range(80)) - set(a)), random.randrange(0, min(20, 80 - n) + 1)) + random.sample(a, random.randrange(n // 2, n + 1))
+        sets = [np.array(sorted(x), np.uint64) for x in (a, b) if x]
+        if len(sets) < 2 or not linked([set(a), set(b)])(0, 1):
+            continue
+        counts = np.zeros(1 << jaccard_join.SKETCH_BITS, np.int64)
+        reach = [dict(zip(*jaccard_join._prefix(s, counts, 75)[::2], strict=True)) for s in sets]
+        first = min(set(a) & set(b))
+        assert reach[0][first] >= len(b) and reach[1][first] >= len(a)
+
+
 def test_repeated_rows_nulls_and_empty_tables(docs):
     text = "one two three four five six"
     out = near_documents(docs([(5, text), (5, text), (None, text), (9, text), (3, None), (4, "")])).collect()
