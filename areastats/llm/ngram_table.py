@@ -88,7 +88,7 @@ class Stretches:
     def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether stretches ``a`` and ``b`` hold the same bytes, pair by pair."""
         equal = self.lengths[a] == self.lengths[b]
-        at = np.flatnonzero(equal & (a != b))
+        at = np.flatnonzero(equal & (a != b) & (self.lengths[a] > 0))
         long = self.lengths[a[at]] >= _LONG
         for i in at[long].tolist():
             equal[i] = self.bytes_of(a[i]) == self.bytes_of(b[i])

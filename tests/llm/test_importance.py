@@ -84,6 +84,11 @@ def test_hashes_and_bytes():
     assert s.same(a, b).tolist() == [s.bytes_of(i) == s.bytes_of(j) for i, j in zip(a.tolist(), b.tolist())]
 
 
+def test_empty_stretches_are_equal():
+    s = ngram_table.Stretches(b"abcdefgh", np.array([1, 4, 4]), np.array([0, 0, 1]))
+    assert s.same(np.array([0, 0]), np.array([1, 2])).tolist() == [True, False]
+
+
 def test_equal_hashes_of_different_bytes(monkeypatch):
     monkeypatch.setattr(ngram_table.Stretches, "hashes", lambda self: np.full(len(self.starts), 5, np.uint64))
     words = [random.choice([b"a", b"bb", b"ab", b"c" * 50]) for _ in range(500)]
