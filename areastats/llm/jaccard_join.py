@@ -116,15 +116,17 @@ def connected_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, p
         dealt = postings.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "fp")
         members = tables.enter_context(staged(dealt.mapInArrow(_shared, "key long, fp long, n int, reach int"), "members"))
         region = stage(_regions(members, percent, tables), "regions")
-    wanted = region.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), F.col("fp").alias("want")).distinct()
-    wanted = stage(wanted, "wanted")
-    sets = possible(rows, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id")
-    sets = stage(sets.mapInArrow(_sets(width), "fp long, s binary"), "sets")
-    signatures = classes.select("fp", "sig")
+    signatures, sets = classes.select("fp", "sig"), None
     cells, pairs, epsilon = None, None, 1 - percent / 100
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        nonlocal sets
+        sets = _more_sets(sets, ids, rows, classes, width)
+        return sets
+
     while not region.isEmpty():
         with ExitStack() as tables:  # what a round writes goes when the next one's regions are written
-            measured = _measure(region, sets, signatures, pairs, percent, tables)
+            measured = _measure(region, sets_of, signatures, pairs, percent, tables)
             edges = measured.where((F.col("d") <= epsilon) & (F.col("top") <= epsilon)).select(F.col("p").alias("a"), F.col("fp").alias("b"))
             cells = _joined_cells(cells, edges.distinct())
             left = _within_reach(measured, epsilon, tables) if pairs else measured.where("p <> fp").select("g", "fp", "n", "reach")
@@ -133,6 +135,18 @@ def connected_classes(rows: DataFrame, profile: DataFrame, classes: DataFrame, p
     return spark.createDataFrame([], "fp long, cell long") if cells is None else cells
 
 
+def _more_sets(sets: DataFrame | None, ids: DataFrame, rows: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+    """``fp`` and ``s`` of the classes read so far and of those in ``ids``; only texts of classes that are new are read."""
+    ids = ids.toDF("fp").distinct()
+    new = ids if sets is None else ids.join(sets.select("fp"), "fp", "left_anti")
+    wanted = stage(new.join(classes, "fp").select(F.col("rep").alias("doc_id"), F.col("fp").alias("want")).distinct(), "wanted")
+    if wanted.isEmpty() and sets is not None:
+        return sets
+    texts = possible(rows, "doc_id", wanted.select("doc_id")).join(wanted, "doc_id")
+    more = stage(texts.mapInArrow(_sets(width), "fp long, s binary"), "sets")
+    return more if sets is None else sets.unionByName(more)
+
+
 def _joined_cells(cells: DataFrame | None, edges: DataFrame) -> DataFrame:
     """Cells after more links: those that a link connects are one."""
     if cells is None:
@@ -349,7 +363,7 @@ def _regions(members: DataFrame, percent: int, tables: ExitStack) -> DataFrame:
 
 
 def _measure(
-    region: DataFrame, sets: DataFrame, signatures: DataFrame, pairs: int | None, percent: int, tables: ExitStack
+    region: DataFrame, sets_of: Callable, signatures: DataFrame, pairs: int | None, percent: int, tables: ExitStack
 ) -> DataFrame:
     """A row per member and pivot of its region: the region's columns, ``p`` and the distance.
 
@@ -382,7 +396,8 @@ def _measure(
     bounds = stage(asked.mapInArrow(_bounds, "p long, x long, d double"), "pairs")
     epsilon = 1 - percent / 100
     close = bounds.where(F.col("d") <= epsilon + _SLACK).select("p", "x")
-    held = stage(possible(sets, "fp", close.select(F.explode(F.array("p", "x")))), "held-sets")
+    ends = stage(close.select(F.explode(F.array("p", "x")).alias("fp")).distinct(), "ends")
+    held = stage(possible(sets_of(ends), "fp", ends), "held-sets")
     there, here = held.toDF("p", "sp"), held.toDF("x", "sx")
     close = close.join(there, "p").join(here, "x").select("p", "x", "sp", "sx")
     exact = close.mapInArrow(_distances(percent), "p long, x long, d double").withColumn("top", F.col("d"))
