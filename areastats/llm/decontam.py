@@ -7,8 +7,10 @@ item is laid along the document at that offset and the best stretch is found: on
 equal token, ``PENALTY`` off for each other. A document is reported with an item if the stretch
 has ``min_tokens`` equal tokens (or all tokens the item has, if fewer).
 
-Native: per document one array of token hashes, then explode, projection and broadcast joins in
-one stage. Document tokens are never shuffled; only the few verified hits are. What the windows need of
+Native: per document one array of token hashes, then explode, projection and broadcast join in
+one stage, whose generated loop ends in a hash table of distinct offsets. Only the tokens that lie beside
+an item go on from there, never a whole document: generated code keeps all rows of a document that pass an
+explode or a join in memory until the next operator outside it takes them. What the windows need of
 longer loops is computed over the array before the explode, so the generated method of the window
 loop stays below the size up to which the JVM compiles methods (8,000 bytes).
 """
@@ -40,9 +42,9 @@ def token_hashes(text: Column) -> Column:
 
 
 def windows(rows: DataFrame, tokens: str, masks: Sequence[str], *keep: str) -> DataFrame:
-    """``mask``, ``pos`` and ``key`` of every window of every row, beside the columns ``keep``.
+    """``pos`` and ``key`` of every window under every mask of every row, beside the columns ``keep``.
 
-    Masks and places come from one explode, so a row is opened once and stays in generated code. The
+    A key is made from the mask and the tokens it counts. Masks and places come from one explode, so a row is opened once and stays in generated code. The
     tokens of a window are columns of their own before the masks choose among them: the masks share
     them, which keeps the generated method short.
     """
@@ -57,9 +59,9 @@ def windows(rows: DataFrame, tokens: str, masks: Sequence[str], *keep: str) -> D
     out = out.select("*", *[F.get(tokens, F.col("pos") + k).alias(f"__t{k}") for k in used])
     key = None
     for m, text in enumerate(masks):
-        hashed = F.xxhash64(*[f"__t{k}" for k, c in enumerate(text) if c == "1"])
+        hashed = F.xxhash64(F.lit(m), *[f"__t{k}" for k, c in enumerate(text) if c == "1"])
         key = hashed if key is None else F.when(F.col("mask") == m, hashed).otherwise(key)
-    return out.select(*keep, "mask", "pos", key.alias("key"))
+    return out.select(*keep, "pos", key.alias("key"))
 
 
 def best_stretch(equal: Column) -> Column:
@@ -137,24 +139,31 @@ def find_leaks(
 
 def _seeds(items: DataFrame, masks: Sequence[str]) -> DataFrame:
     seeds = windows(items.where(F.size("b") >= min(map(len, masks))), "b", masks, "class", "b")
-    return seeds.select("key", "mask", "class", F.col("pos").alias("ipos"))
+    return seeds.select("key", "class", F.col("pos").alias("ipos"), F.size("b").alias("n_item"))
 
 
 def _hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
-    """Documents and items with the offset of a hit, once for each run of hits; the benchmark is broadcast."""
-    texts = items.select("class", "item_id", "b")
+    """Documents and items with each offset of a hit and the tokens beside the item; the benchmark is broadcast."""
+    found = _offsets(rows, _seeds(items, masks), masks)
+    return found.join(F.broadcast(items.select("class", "item_id", "b")), "class")
+
+
+def _offsets(rows: DataFrame, seeds: DataFrame, masks: Sequence[str]) -> DataFrame:
+    """Documents and classes with each offset of a hit, once for all hits along it.
+
+    From the explode to the grouping all is one generated loop: it puts hits into a hash table that can spill.
+    """
     looked = windows(rows.withColumn("runs", _runs("h", masks)), "h", masks, "doc_id", "h", "runs")
     looked = looked.where(~_shifted(F.col("pos"), masks))
-    hits = looked.join(F.broadcast(_seeds(items, masks)), ["key", "mask"]).join(F.broadcast(texts), "class")
-    # A hit right behind another of the same mask and offset belongs to the same run, unless that other
-    # one was not looked up: the run would not be verified at all.
-    counted = F.array(*[F.array(*[F.lit(k) for k, c in enumerate(mask) if c == "1"]) for mask in masks])
-    before = F.forall(
-        F.element_at(counted, F.col("mask") + 1),
-        lambda k: F.get("h", F.col("pos") - 1 + k) == F.get("b", F.col("ipos") - 1 + k),
-    )
-    follows = (F.col("pos") > 0) & (F.col("ipos") > 0) & before & ~_shifted(F.col("pos") - 1, masks)
-    return hits.where(~follows).select("doc_id", "h", "item_id", "b", (F.col("pos") - F.col("ipos")).alias("offset"))
+    hits = looked.join(F.broadcast(seeds), "key").withColumn("offset", F.col("pos") - F.col("ipos"))
+    return hits.select("doc_id", "class", "offset", _beside().alias("part")).distinct()
+
+
+def _beside() -> Column:
+    """The tokens of a document that lie beside those of the item."""
+    first = F.greatest(F.lit(0), -F.col("offset"))
+    last = F.least(F.col("n_item"), F.size("h") - F.col("offset"))
+    return F.slice("h", F.col("offset") + first + 1, last - first)
 
 
 def _shuffled_hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> DataFrame:
@@ -166,14 +175,14 @@ def _shuffled_hits(rows: DataFrame, items: DataFrame, masks: Sequence[str]) -> D
     named = rows.withColumn("th", F.xxhash64("h"))
     seeds = stage(_seeds(items, masks), "seeds")
     looked = windows(named.withColumn("runs", _runs("h", masks)), "h", masks, "doc_id", "th", "h", "runs")
-    looked = looked.where(~_shifted(F.col("pos"), masks)).select("doc_id", "th", "mask", "pos", "key")
-    hits = possible(looked, "key", seeds.select("key").distinct()).join(seeds, ["key", "mask"])
-    hits = hits.select("doc_id", "th", "class", (F.col("pos") - F.col("ipos")).alias("offset")).distinct()
+    looked = looked.where(~_shifted(F.col("pos"), masks)).select("doc_id", "th", "pos", "key")
+    hits = possible(looked, "key", seeds.select("key").distinct()).join(seeds, "key")
+    hits = hits.select("doc_id", "th", "class", "n_item", (F.col("pos") - F.col("ipos")).alias("offset")).distinct()
     hits = stage(hits, "hits").withColumnsRenamed({"doc_id": "hit_id", "th": "hit_th"})
     named = possible(named, "th", hits.select("hit_th").distinct()).dropDuplicates(["doc_id", "th"])
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("th") == F.col("hit_th"))
-    texts = items.select("class", "item_id", "b")
-    return hits.join(named, same).join(texts, "class").select("doc_id", "h", "item_id", "b", "offset")
+    found = hits.join(named, same).select("doc_id", "class", "offset", _beside().alias("part"))
+    return found.join(items.select("class", "item_id", "b"), "class")
 
 
 def _runs(tokens: str, masks: Sequence[str]) -> Column:
@@ -203,10 +212,7 @@ def _shifted(pos: Column, masks: Sequence[str]) -> Column:
 
 def _verified(hits: DataFrame, min_tokens: int) -> DataFrame:
     first = F.greatest(F.lit(0), -F.col("offset"))
-    last = F.least(F.size("b"), F.size("h") - F.col("offset"))
-    lined = F.zip_with(
-        F.slice("b", first + 1, last - first), F.slice("h", F.col("offset") + first + 1, last - first), lambda a, b: a == b
-    )
+    lined = F.zip_with(F.slice("b", first + 1, F.size("part")), "part", lambda a, b: a == b)
     out = hits.select("doc_id", "item_id", "offset", first.alias("first"), F.size("b").alias("n_item"), best_stretch(lined).alias("s"))
     out = out.where(F.col("s.best_equal") >= F.least(F.lit(min_tokens), F.col("n_item")))
     return out.select(

@@ -2,8 +2,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from brute import docs, plain_search  # noqa: F401
+from areastats.llm import decontam
 from areastats.llm.decontam import MASKS, find_leaks, remove_leaking
 
 ITEMS = "item_id long, text string"
@@ -119,3 +121,28 @@ def test_the_window_loop_is_compiled(spark, docs, capsys):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert len(sizes) > 3 and max(sizes) < 7500
+
+
+@pytest.mark.parametrize("block_tokens", [500_000, 10])
+def test_a_long_text_full_of_hits_fits_in_memory(spark, docs, block_tokens):
+    """65,000 hits in a text of 30,000 tokens: with the text beside each hit they are 17 GB."""
+    out = leaks(spark, docs([(1, " ".join(ITEM * 750)), (2, "x")]), [(7, " ".join(ITEM))], block_tokens=block_tokens)
+    assert {k: (r.n_equal, r.n_tokens, r.doc_start, r.doc_end) for k, r in out.items()} == {(1, 7): (40, 40, 0, 40)}
+
+
+def test_one_generated_loop_from_the_windows_to_the_grouping(spark, docs, capsys):
+    """Between two loops all hits of a text would be kept in memory; a method above 8,000 bytes would be interpreted."""
+    rows = decontam.narrow(docs([(1, " ".join(ITEM))]), "doc_id", "text").select("doc_id", decontam.token_hashes(F.col("text")).alias("h"))
+    items = decontam.benchmark_items(spark.createDataFrame([(1, " ".join(ITEM))], ITEMS), "item_id", "text")
+    found = decontam._offsets(rows, decontam._seeds(items, MASKS), MASKS)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found.explain()
+        plan = capsys.readouterr().out
+        found.explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    loops = [re.search(rf"\*\((\d+)\) {node}", plan)[1] for node in ("Generate explode", "BroadcastHashJoin")]
+    assert set(loops) == {re.findall(r"\*\((\d+)\) HashAggregate\(keys=\[doc_id", plan)[-1]}
+    assert max(sizes) < 7500
