@@ -62,16 +62,17 @@ def possible(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``key`` may be among the one column of ``ids``; none that is gets lost.
 
     A bitmap of fixed size (4 MB) is broadcast whatever the number of ids, so that a join that
-    follows shuffles few rows that find no partner.
+    follows shuffles few rows that find no partner. Places come from functions that are never NULL: for others Spark
+    infers a filter that repeats the whole expression of the key, which may make a method too long to be compiled.
     """
 
     def place(c: str) -> Column:
-        return F.pmod(F.xxhash64(F.col(c)), F.lit(1 << 25))
+        return F.xxhash64(F.col(c)).bitwiseAND(F.lit((1 << 25) - 1).cast("long"))
 
     name = ids.columns[0]
     marks = ids.select(place(name).alias("__bit"))
-    maps = marks.groupBy(F.expr("__bit div 32768").alias("__bucket")).agg(F.bitmap_construct_agg(F.col("__bit") % 32768).alias("__map"))
-    rows = df.withColumn("__bit", place(key)).withColumn("__bucket", F.expr("__bit div 32768")).join(F.broadcast(maps), "__bucket")
+    maps = marks.groupBy(F.shiftright("__bit", 15).alias("__bucket")).agg(F.bitmap_construct_agg(F.col("__bit") % 32768).alias("__map"))
+    rows = df.withColumn("__bit", place(key)).withColumn("__bucket", F.shiftright("__bit", 15)).join(F.broadcast(maps), "__bucket")
     byte = F.conv(F.hex(F.expr("substring(__map, cast((__bit % 32768) div 8 + 1 as int), 1)")), 16, 10).cast("int")
     bit = byte.bitwiseAND(F.expr("shiftleft(1, cast(__bit % 8 as int))"))
     return rows.where(bit != 0).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -130,19 +130,34 @@ def test_a_long_text_full_of_hits_fits_in_memory(spark, docs, block_tokens):
     assert {k: (r.n_equal, r.n_tokens, r.doc_start, r.doc_end) for k, r in out.items()} == {(1, 7): (40, 40, 0, 40)}
 
 
-def test_one_generated_loop_from_the_windows_to_the_grouping(spark, docs, capsys):
-    """Between two loops all hits of a text would be kept in memory; a method above 8,000 bytes would be interpreted."""
-    rows = decontam.narrow(docs([(1, " ".join(ITEM))]), "doc_id", "text").select("doc_id", decontam.token_hashes(F.col("text")).alias("h"))
-    items = decontam.benchmark_items(spark.createDataFrame([(1, " ".join(ITEM))], ITEMS), "item_id", "text")
-    found = decontam._offsets(rows, decontam._seeds(items, MASKS), MASKS)
+def explained(spark, capsys, found):
+    """The plan, and the size of the largest generated method; the JVM interprets those above 8,000 bytes."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         found.explain()
         plan = capsys.readouterr().out
         found.explain("codegen")
-        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        return plan, max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    loops = [re.search(rf"\*\((\d+)\) {node}", plan)[1] for node in ("Generate explode", "BroadcastHashJoin")]
-    assert set(loops) == {re.findall(r"\*\((\d+)\) HashAggregate\(keys=\[doc_id", plan)[-1]}
-    assert max(sizes) < 7500
+
+
+def rows_and_seeds(spark, docs):
+    rows = decontam.narrow(docs([(1, " ".join(ITEM))]), "doc_id", "text").select("doc_id", decontam.token_hashes(F.col("text")).alias("h"))
+    items = decontam.benchmark_items(spark.createDataFrame([(1, " ".join(ITEM))], ITEMS), "item_id", "text")
+    return rows, decontam._seeds(items, MASKS)
+
+
+def test_one_generated_loop_from_the_windows_to_the_grouping(spark, docs, capsys):
+    """Between two loops all hits of a text would be kept in memory."""
+    plan, size = explained(spark, capsys, decontam._offsets(*rows_and_seeds(spark, docs), MASKS))
+    loops = {re.search(rf"\*\((\d+)\) {node}", plan)[1] for node in ("Generate explode", "BroadcastHashJoin")}
+    assert loops == {re.findall(r"\*\((\d+)\) HashAggregate\(keys=\[doc_id", plan)[-1]} and size < 7500
+
+
+def test_the_loop_that_asks_the_bitmap_is_compiled(spark, docs, capsys):
+    rows, seeds = rows_and_seeds(spark, docs)
+    looked = decontam.windows(rows.withColumn("runs", decontam._runs("h", MASKS)), "h", MASKS, "doc_id", "h", "runs")
+    looked = looked.where(~decontam._shifted(F.col("pos"), MASKS)).select("doc_id", "pos", "key")
+    plan, size = explained(spark, capsys, decontam.possible(looked, "key", seeds.select("key")))
+    assert "Generate explode" in plan and size < 7500
